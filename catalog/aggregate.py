@@ -1,0 +1 @@
+"""Placeholder."""
