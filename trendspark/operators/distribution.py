@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -134,36 +133,43 @@ def average_rank(df: DataFrame, col: str, out: str = "avg_rank") -> DataFrame:
     return df.join(ranks, c(col) == c("_value"), "left").drop("_value")
 
 
-def _spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    pairs = (
-        df.select(c(a).cast("double").alias("x"), c(b).cast("double").alias("y"))
+def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(a, b, r) rank correlation over the rows where both values are present.
+
+    Rows fold to distinct value pairs first; all column pairs then share one ranking pass.
+    """
+    cells = F.array(
+        *[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), c(a).cast("double").alias("x"), c(b).cast("double").alias("y"))
+            for a, b in combinations(cols, 2)
+        ]
+    )
+    folded = (
+        df.select(F.inline(cells))
         .filter("x is not null and y is not null")
-        .groupBy("x", "y")
+        .groupBy("a", "b", "x", "y")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    pairs = durable(pairs, "pairs")
-
-    def ranks(col: str) -> DataFrame:
-        sizes = pairs.groupBy(col).agg(F.sum("w").alias("cnt"))
-        ranked = running_totals(sizes, [col], {"upto": c("cnt")})
-        table = ranked.select(c(col), (c("upto") - (c("cnt") - 1) / 2).alias(f"r{col}"))
-        return durable(table, "ranks")
-
-    joined = pairs.join(ranks("x"), "x").join(ranks("y"), "y")
-    # Moments in closed form; the mean rank is (n+1)/2, so centring loses no precision.
-    n = pairs.agg(F.sum("w")).first()[0] or 0
-    dx, dy = c("rx") - (n + 1) / 2, c("ry") - (n + 1) / 2
-    sums = joined.agg(
-        F.sum(c("w") * dx * dy).alias("xy"), F.sum(c("w") * dx * dx).alias("xx"), F.sum(c("w") * dy * dy).alias("yy")
-    )
-    return sums.select(
-        F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(c("xy"), F.sqrt(c("xx") * c("yy"))).alias("r")
+    pairs = durable(folded, "pairs")
+
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), c(s).alias("value")) for s in ("x", "y")])
+    sizes = pairs.select("a", "b", "w", F.inline(sides)).groupBy("a", "b", "side", "value").agg(F.sum("w").alias("cnt"))
+    ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["a", "b", "side"], grand={"upto": "n"})
+    # Centred on the mean rank (n+1)/2, so the moments below lose no precision.
+    ranks = durable(
+        ranked.select("a", "b", "side", "value", (c("upto") - (c("cnt") - 1) / 2 - (c("n") + 1) / 2).alias("d")), "ranks"
     )
 
+    def ranks_of(side: str) -> DataFrame:
+        return ranks.filter(c("side") == side).select("a", "b", c("value").alias(side), c("d").alias(f"d{side}"))
 
-def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, r) rank correlation over the rows where both values are present."""
-    return reduce(DataFrame.union, [_spearman_pair(df, a, b) for a, b in combinations(cols, 2)])
+    joined = pairs.join(ranks_of("x"), ["a", "b", "x"]).join(ranks_of("y"), ["a", "b", "y"])
+    sums = joined.groupBy("a", "b").agg(
+        F.sum(c("w") * c("dx") * c("dy")).alias("xy"),
+        F.sum(c("w") * c("dx") * c("dx")).alias("xx"),
+        F.sum(c("w") * c("dy") * c("dy")).alias("yy"),
+    )
+    return sums.select("a", "b", F.try_divide(c("xy"), F.sqrt(c("xx") * c("yy"))).alias("r"))
 
 
 def skew(df: DataFrame, cols: Sequence[str], adjusted: bool = True) -> DataFrame:
