@@ -48,8 +48,8 @@ def run_experiment(
     searched = getattr(model, "bestModel", None)
     if searched is not None:
         scores = getattr(model, "avgMetrics", None) or model.validationMetrics
-        best_cv_score = max(scores)
-        chosen = model.getEstimatorParamMaps()[scores.index(best_cv_score)]
+        best_cv_score = float(max(scores))
+        chosen = model.getEstimatorParamMaps()[list(scores).index(max(scores))]
         params = {p.name: v for p, v in chosen.items()} | dict(params or {})
         model = searched
     scored = durable(score(model, evaluation).select("label", "prediction", "probability"), "scored")

@@ -38,7 +38,7 @@ def acquire(
     big = enrich_left(base, dedupe_key(details_table, key, [n for n in details_table.columns if n != key][:1]), key)
     hot = labelled_source(trending, True, today, big)
     fresh = labelled_source(candidates, False, today, big)
-    fresh = exclude_known(fresh, known_ids([big, hot], key), key).select(*big.columns)
+    fresh = exclude_known(fresh, known_ids([big, hot], key), key)
     together = union_sources([big, hot, fresh])
     shared = [n for n in scraped.columns if n != key and n in together.columns]
     return merge_scraped(together, scraped, key, shared)

@@ -26,7 +26,9 @@ def write_table(
     out = csv_ready(df) if fmt == "csv" else df
     writer = out.write.format(fmt).mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
