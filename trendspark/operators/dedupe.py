@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.session import c
@@ -41,15 +41,13 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 def dedupe_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row per key in ``order``.
 
-    ``min_by`` aggregates before the shuffle, so a key holding a third of the
-    table sends one row per task, and the result does not depend on partitioning.
+    The planner turns "row number = 1" into a group limit that runs before the
+    shuffle, so a key holding a third of the table sends one row per task. The
+    result does not depend on partitioning.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [n for n in df.columns if n not in keys]
-    rank = F.struct(*[c(o) if isinstance(o, str) else o for o in order])
-    first = F.min_by(F.struct(*[c(n) for n in rest]), rank)
-    out = df.groupBy(*[c(k) for k in keys]).agg(first.alias("_row"))
-    return out.select(*[c(n) if n in keys else c("_row").getField(n).alias(n) for n in df.columns])
+    first = Window.partitionBy(*[c(k) for k in keys]).orderBy(*[c(o) if isinstance(o, str) else o for o in order])
+    return df.withColumn("__nth", F.row_number().over(first)).filter(c("__nth") == 1).drop("__nth")
 
 
 def duplicate_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -19,14 +19,14 @@ from trendspark.session import c, durable
 
 def _replace_listed(df: DataFrame, col: str, listed: DataFrame, other: object, out: str | None = None) -> DataFrame:
     """``other`` where the value is in the one-column table ``listed``."""
-    hits = listed.select(c(listed.columns[0]).alias("_hit"))
+    hits = listed.select(c(listed.columns[0]).alias("__hit"))
     kind = df.schema[col].dataType
     target = out or col
-    replaced = F.when(c("_hit").isNotNull(), F.lit(other).cast(kind)).otherwise(c(col))
-    joined = df.join(hits, c(col) == c("_hit"), "left").withColumn("_new", replaced)
-    kept = [c("_new").alias(n) if n == target else c(n) for n in df.columns]
+    replaced = F.when(c("__hit").isNotNull(), F.lit(other).cast(kind)).otherwise(c(col))
+    joined = df.join(hits, c(col) == c("__hit"), "left").withColumn("__new", replaced)
+    kept = [c("__new").alias(n) if n == target else c(n) for n in df.columns]
     if target not in df.columns:
-        kept.append(c("_new").alias(target))
+        kept.append(c("__new").alias(target))
     return joined.select(*kept)
 
 
@@ -79,7 +79,7 @@ class FrequencyEncoding:
 
 def clean_language(df: DataFrame, col: str, codes: DataFrame, unknown: str = "unknown") -> DataFrame:
     """Values whose base code is not in the one-column ``codes`` become ``unknown``; null stays."""
-    known = codes.select(c(codes.columns[0]).alias("_code")).distinct()
-    joined = df.withColumn("_base", normalize_language(c(col))).join(known, c("_base") == c("_code"), "left")
-    fixed = F.when(c(col).isNotNull() & c("_code").isNull(), F.lit(unknown)).otherwise(c(col))
+    known = codes.select(c(codes.columns[0]).alias("__code")).distinct()
+    joined = df.withColumn("__base", normalize_language(c(col))).join(known, c("__base") == c("__code"), "left")
+    fixed = F.when(c(col).isNotNull() & c("__code").isNull(), F.lit(unknown)).otherwise(c(col))
     return joined.withColumn(col, fixed).select(*[c(n) for n in df.columns])

@@ -25,12 +25,12 @@ def merge_scraped(base: DataFrame, scraped: DataFrame, key: str, conflicts: Sequ
 
 def map_lookup(df: DataFrame, col: str, table: DataFrame, value: str, out: str | None = None) -> DataFrame:
     """Replace ``col`` by ``table[value]``; unseen values become null. ``table`` is unique on ``col``."""
-    pairs = table.select(c(col).alias("_key"), c(value).alias("_mapped"))
+    pairs = table.select(c(col).alias("__key"), c(value).alias("__mapped"))
     target = out or col
-    joined = df.join(pairs, c(col) == c("_key"), "left")
-    kept = [c("_mapped").alias(target) if n == target else c(n) for n in df.columns]
+    joined = df.join(pairs, c(col) == c("__key"), "left")
+    kept = [c("__mapped").alias(target) if n == target else c(n) for n in df.columns]
     if target not in df.columns:
-        kept.append(c("_mapped").alias(target))
+        kept.append(c("__mapped").alias(target))
     return joined.select(*kept)
 
 

@@ -1,33 +1,165 @@
-"""Exact linear-interpolated quantiles.
+"""Exact linear-interpolated quantiles without sorting whole columns.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task.
-It is used only where a cardinality pass shows that this state is small;
-otherwise the value histogram is ranked with distributed running totals.
+The built-in ``percentile`` merges every distinct value of a group in one task,
+so it serves only groups of few rows or few distinct values. For the rest a
+small sample brackets each wanted rank, and one pass counts the rows below the
+bracket and the values inside it. Exact counts decide whether the rank lies in
+its bracket, so sampling affects how fast the answer is found, never what it is.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.operators.prefix import running_totals
 from trendspark.session import c
 
-# Distinct values a single aggregation task may hold.
-STATE_LIMIT = 2_000_000
+# The built-in aggregate serves groups within one of these.
+SMALL_ROWS = 100_000
+SMALL_DISTINCT = 1_000
+# Rows drawn per quantile, and distinct values of one bracket read by the driver.
+SAMPLE_ROWS = 20_000
+BRACKET_LIMIT = 40_000
+# Groups handled side by side in one pass.
+GROUP_LIMIT = 32
+MAX_LEVELS = 8
 
 
-def _clean(name: str):
+def _clean(name: str) -> Column:
     x = c(name).cast("double")
     return F.when(~F.isnan(x), x)
 
 
-def _state_size(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> int:
-    hashed = [F.approx_count_distinct(F.xxhash64(*[c(b) for b in by], _clean(n))) for n in cols]
-    row = df.agg(*hashed).first()
-    return max(row) if row else 0
+@dataclass
+class _Target:
+    """One wanted quantile: its group and column, the ranks around it, and the bracket so far."""
+
+    group: int
+    column: str
+    prob: float
+    lo: int
+    hi: int
+    n: int
+    inside: int
+    a: float = -math.inf
+    b: float = math.inf
+    below: int = 0
+    pair: tuple[float, float] | None = None
+
+    @property
+    def rank(self) -> tuple[float, float]:
+        """Wanted ranks as fractions of the rows inside the bracket."""
+        return (self.lo - self.below) / self.inside, (self.hi + 1 - self.below) / self.inside
+
+
+def _cells(masks: Sequence[Column | None], targets: Sequence[_Target], cell) -> Column:
+    """Array of ``cell(index, target)``; each row evaluates only the targets of its own group."""
+    arrays: list[tuple[Column | None, Column]] = []
+    for g, mask in enumerate(masks):
+        mine = [cell(i, t) for i, t in enumerate(targets) if t.group == g]
+        if mine:
+            arrays.append((mask, F.array(*mine)))
+    if arrays[0][0] is None:
+        return arrays[0][1]
+    out = F
+    for mask, cells in arrays:
+        out = out.when(mask, cells)
+    return out
+
+
+def _sample(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target], seed: int) -> None:
+    """Shrink the brackets to where a sample puts the wanted ranks, with wide margins."""
+
+    def cell(i: int, t: _Target) -> Column:
+        x = _clean(t.column)
+        chance = min(1.0, SAMPLE_ROWS / t.inside)
+        drawn = (x >= F.lit(t.a)) & (x <= F.lit(t.b)) & (F.rand(seed + i) < chance)
+        return F.struct(F.lit(i).alias("t"), F.when(drawn, x).alias("v"))
+
+    # About SAMPLE_ROWS values per target.
+    drawn = df.select(F.inline(_cells(masks, targets, cell))).filter("v is not null").collect()
+    values: dict[int, list[float]] = {}
+    for row in drawn:
+        values.setdefault(row["t"], []).append(row["v"])
+    for i, t in enumerate(targets):
+        got = sorted(values.get(i, []))
+        if not got:
+            continue
+        low, high = t.rank
+        margin = 5.0 * math.sqrt(max(low * (1 - low), 1.0 / len(got)) / len(got))
+        first, last = math.floor((low - margin) * len(got)) - 1, math.ceil((high + margin) * len(got)) + 1
+        if first >= 0:
+            t.a = got[first]
+        if last < len(got):
+            t.b = got[last]
+
+
+def _count(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target]) -> None:
+    """Count rows below each bracket and values inside it; settle targets whose bracket is small."""
+
+    def cell(i: int, t: _Target) -> Column:
+        x = _clean(t.column)
+        below = x < F.lit(t.a)
+        value = F.when(~below & (x <= F.lit(t.b)), x)
+        return F.struct(F.lit(i).alias("t"), below.alias("below"), value.alias("v"))
+
+    cells = df.select(F.inline(_cells(masks, targets, cell))).filter("below or v is not null")
+    # Rows below fold to one count per task; hot values fold likewise.
+    counts = cells.groupBy("t", "below", "v").agg(F.count(F.lit(1)).alias("n"))
+    room = BRACKET_LIMIT * len(targets)
+    rows = counts.limit(room + 1).collect()
+    if len(rows) > room:
+        # Too many distinct values somewhere: take totals only, and narrow again.
+        totals = counts.groupBy("t").agg(
+            F.coalesce(F.sum(F.when(c("below"), c("n"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(~c("below"), c("n"))), F.lit(0)).alias("inside"),
+        )
+        for row in totals.collect():
+            _place(targets[row["t"]], row["below"], row["inside"], None)
+        return
+    found: dict[int, list[tuple[float, int]]] = {}
+    under: dict[int, int] = {}
+    for row in rows:
+        if row["below"]:
+            under[row["t"]] = row["n"]
+        else:
+            found.setdefault(row["t"], []).append((row["v"], row["n"]))
+    for i, t in enumerate(targets):
+        inside = sorted(found.get(i, []))
+        _place(t, under.get(i, 0), sum(n for _, n in inside), inside)
+
+
+def _place(t: _Target, below: int, inside: int, values: list[tuple[float, int]] | None) -> None:
+    """Accept a bracket that holds the wanted ranks; reopen one that missed them."""
+    if not (below <= t.lo and t.hi < below + inside):
+        t.a, t.b, t.below, t.inside = -math.inf, math.inf, 0, t.n
+        return
+    t.below, t.inside = below, inside
+    if values is None:
+        return
+    seen, at = below, {}
+    for value, n in values:
+        for rank in (t.lo, t.hi):
+            if seen <= rank < seen + n:
+                at[rank] = value
+        seen += n
+    t.pair = (at[t.lo], at[t.hi])
+
+
+def _by_brackets(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target]) -> bool:
+    """Settle every target; False if that takes too many rounds."""
+    for level in range(MAX_LEVELS):
+        open_ = [t for t in targets if t.pair is None]
+        if not open_:
+            return True
+        _sample(df, masks, open_, seed=7919 * (level + 1))
+        _count(df, masks, open_)
+    return all(t.pair is not None for t in targets)
 
 
 def quantiles(
@@ -35,12 +167,62 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    state_limit: int = STATE_LIMIT,
+    small_rows: int = SMALL_ROWS,
+    small_distinct: int = SMALL_DISTINCT,
 ) -> DataFrame:
     """Long table (by..., column, n, q): ``q`` is the array of quantiles in the order of ``probs``."""
-    if _state_size(df, cols, by) <= state_limit:
-        return _by_percentile(df, cols, probs, by)
-    return _by_histogram(df, cols, probs, by)
+    ddl = ", ".join(
+        [*[f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by], "column string", "n bigint", "q array<double>"]
+    )
+    if not cols:
+        return df.sparkSession.createDataFrame([], ddl)
+    sizes = df.groupBy(*[c(b) for b in by]).agg(
+        *[e for n in cols for e in (F.count(_clean(n)), F.approx_count_distinct(_clean(n)))]
+    )
+    k = len(by)
+    groups = sizes.limit(GROUP_LIMIT + 1).collect()
+    if len(groups) > GROUP_LIMIT:
+        largest = sizes.agg(*[F.max(sizes.columns[k + 2 * i]) for i in range(len(cols))]).first()
+        if max(n or 0 for n in largest) <= small_rows:
+            return _by_percentile(df, cols, probs, by)
+        return _by_histogram(df, cols, probs, by)
+
+    def small(i: int) -> bool:
+        return all(g[k + 2 * i] <= small_rows or g[k + 2 * i + 1] <= small_distinct for g in groups)
+
+    few = [n for i, n in enumerate(cols) if small(i)]
+    many = [n for n in cols if n not in few]
+    parts = [_by_percentile(df, few, probs, by)] if few else []
+    if many:
+        masks: list[Column | None] = []
+        for g in groups:
+            mask: Column | None = None
+            for j, name in enumerate(by):
+                same = c(name).eqNullSafe(F.lit(g[j]).cast(df.schema[name].dataType))
+                mask = same if mask is None else mask & same
+            masks.append(mask)
+        targets = []
+        for gi, g in enumerate(groups):
+            for name in many:
+                n = g[k + 2 * list(cols).index(name)]
+                for p in probs:
+                    if n:
+                        pos = (n - 1) * p
+                        targets.append(_Target(gi, name, p, math.floor(pos), math.ceil(pos), n, n))
+        if not _by_brackets(df, masks, targets):
+            return _by_histogram(df, cols, probs, by)
+        found = {(t.group, t.column, t.prob): t for t in targets}
+        rows = []
+        for gi, g in enumerate(groups):
+            for name in many:
+                n = g[k + 2 * list(cols).index(name)]
+                q = None
+                if n:
+                    mine = [found[gi, name, p] for p in probs]
+                    q = [t.pair[0] + (t.pair[1] - t.pair[0]) * ((n - 1) * t.prob - t.lo) for t in mine]
+                rows.append((*[g[j] for j in range(k)], name, n, q))
+        parts.append(df.sparkSession.createDataFrame(rows, ddl))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _by_percentile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
@@ -82,12 +264,10 @@ def _by_histogram(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by
     return out.select(*[c(g) for g in groups], "n", F.array(*levels).alias("q"))
 
 
-def quantile_map(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], state_limit: int = STATE_LIMIT
-) -> dict[tuple[str, float], float | None]:
+def quantile_map(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
     """{(column, prob): value} on the driver: one number per column and probability."""
     out: dict[tuple[str, float], float | None] = {(n, p): None for n in cols for p in probs}
-    for row in quantiles(df, cols, probs, state_limit=state_limit).collect():
+    for row in quantiles(df, cols, probs).collect():
         for p, value in zip(probs, row["q"] or [], strict=False):
             out[row["column"], p] = value
     return out
