@@ -1,18 +1,18 @@
 """Cleaning as an ordered list of table functions with an audit log.
 
-Row counts are taken by observations inside the writes that end each stage.
-Such a write runs the counted steps in its last stage, where Spark applies a
-task's counters once even if executors are lost; a step that shuffles therefore
-ends in a barrier.
+Affected rows are plain aggregates, gathered while the steps are laid out and
+run together as one job. Unlike task counters they stay right when executors
+are lost and stages run again. Steps that shuffle end in a barrier, so neither
+the counts nor later steps repeat their work.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.functions.text import as_bool, split_tags
@@ -31,36 +31,40 @@ LOG_SCHEMA = "position int, step string, rule string, records_affected bigint, a
 class Entry:
     step: str
     rule: str
-    affected: int | Callable[[], int]
+    affected: int | DataFrame
     action: str
     rationale: str
 
 
 @dataclass
 class DecisionLog:
-    """What each step did. Counts are known once the stage holding the step is written."""
+    """What each step did. Counts given as one-row tables are run by ``resolve``, all at once."""
 
     entries: list[Entry] = field(default_factory=list)
     initial_shape: tuple[int, int] | None = None
     final_shape: tuple[int, int] | None = None
 
-    def record(self, step: str, rule: str, affected: int | Callable[[], int], action: str, rationale: str) -> None:
+    def record(self, step: str, rule: str, affected: int | DataFrame, action: str, rationale: str) -> None:
         self.entries.append(Entry(step, rule, affected, action, rationale))
 
-    def count(self, df: DataFrame, condition: Column | None = None) -> tuple[DataFrame, Callable[[], int]]:
-        """Count rows (meeting ``condition``) where they pass this point; readable after the write."""
-        seen = Observation(f"count-{uuid.uuid4().hex}")
+    @staticmethod
+    def count(df: DataFrame, condition: Column | None = None) -> DataFrame:
+        """Rows of ``df`` (meeting ``condition``) as a one-row table; reads only the columns it needs."""
         total = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-        return df.observe(seen, total.alias("n")), lambda: int(seen.get["n"])
+        return df.agg(total.cast("bigint").alias("n"))
 
-    def barrier(self, df: DataFrame) -> DataFrame:
-        """Write the table; counts taken before this point become known."""
+    @staticmethod
+    def barrier(df: DataFrame) -> DataFrame:
+        """Write the table, so that what follows starts from it."""
         return durable(df, "stage")
 
     def resolve(self) -> None:
-        for entry in self.entries:
-            if callable(entry.affected):
-                entry.affected = entry.affected()
+        waiting = [(i, e.affected) for i, e in enumerate(self.entries) if isinstance(e.affected, DataFrame)]
+        if not waiting:
+            return
+        counts = reduce(DataFrame.unionByName, [n.select(F.lit(i).alias("entry"), "n") for i, n in waiting])
+        for row in counts.collect():  # one row per step
+            self.entries[row["entry"]].affected = int(row["n"])
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """One row per step, in order."""
@@ -125,7 +129,7 @@ def filter_invalid_rows(df: DataFrame, log: DecisionLog | None = None) -> DataFr
     """Drop likes above views and impossible comment states."""
     valid = le_condition(df, "likes", "view_count") & comment_state_condition(df, "comment_count", "comments_disabled")
     if log is not None:
-        df, dropped = log.count(df, ~valid)
+        dropped = log.count(df, ~valid)
         log.record("Consistency", "likes > view_count / invalid comment state", dropped, "Drop", "Business rule violation")
     return df.filter(valid)
 
@@ -140,8 +144,7 @@ def drop_unused(df: DataFrame, log: DecisionLog | None = None, columns: Sequence
 def normalize_tags(df: DataFrame, log: DecisionLog | None = None, col: str = "tags") -> DataFrame:
     """Tags as an array of text; null becomes empty."""
     if log is not None:
-        df, rows = log.count(df)
-        log.record("Consistency", f"{col} to list", rows, "Coerce to list", "One tag format")
+        log.record("Consistency", f"{col} to list", log.count(df), "Coerce to list", "One tag format")
     if df.schema[col].dataType.simpleString().startswith("array"):
         return df.withColumn(col, F.coalesce(c(col), F.array().cast("array<string>")))
     return df.withColumn(col, split_tags(c(col)))
@@ -149,15 +152,14 @@ def normalize_tags(df: DataFrame, log: DecisionLog | None = None, col: str = "ta
 
 def fix_description(df: DataFrame, log: DecisionLog | None = None, col: str = "description") -> DataFrame:
     if log is not None:
-        df, nulls = log.count(df, c(col).isNull())
-        log.record("Completeness", f"{col} is null", nulls, "Fill with empty text", "No description given")
+        log.record("Completeness", f"{col} is null", log.count(df, c(col).isNull()), "Fill with empty text", "No description given")
     return transforms.fill_text(df, [col])
 
 
 def fix_comment_count(df: DataFrame, log: DecisionLog | None = None) -> DataFrame:
     off = _text_true("comments_disabled")
     if log is not None:
-        df, hits = log.count(df, c("comment_count").isNull() & off)
+        hits = log.count(df, c("comment_count").isNull() & off)
         log.record("Completeness", "comment_count null + disabled", hits, "Fill with 0", "Disabled comments mean none")
     return transforms.fill_when(df, "comment_count", off, 0)
 
@@ -165,8 +167,7 @@ def fix_comment_count(df: DataFrame, log: DecisionLog | None = None) -> DataFram
 def drop_null_rows(df: DataFrame, log: DecisionLog | None = None, ignore: Sequence[str] = ("_row",)) -> DataFrame:
     cols = [n for n in df.columns if n not in ignore]
     if log is not None:
-        df, dropped = log.count(df, ~complete(df, cols))
-        log.record("Completeness", "Remaining null values", dropped, "Drop rows", "Cannot be imputed")
+        log.record("Completeness", "Remaining null values", log.count(df, ~complete(df, cols)), "Drop rows", "Cannot be imputed")
     return drop_nulls(df, cols)
 
 
@@ -193,8 +194,7 @@ def clean_default_language(
         changed = c("_given").isNotNull() & ~c(col).eqNullSafe(c("_given"))
         # A value that already reads 'unknown' is no listed code either.
         changed = changed | (c("_given") == "unknown")
-        out, hits = log.count(out, changed)
-        log.record("Consistency", f"{col} invalid code", hits, "Replace with 'unknown'", "Not in the language list")
+        log.record("Consistency", f"{col} invalid code", log.count(out, changed), "Replace with 'unknown'", "Not in the language list")
     return out.drop("_given")
 
 
@@ -202,8 +202,7 @@ def log_columns(
     df: DataFrame, log: DecisionLog | None = None, columns: Sequence[str] = tuple(LOG_COLUMNS), base: str = "natural"
 ) -> DataFrame:
     if log is not None:
-        df, rows = log.count(df)
-        log.record("Transformation", f"log({base}) on {list(columns)}", rows, "log(x+1)", "Reduce skew")
+        log.record("Transformation", f"log({base}) on {list(columns)}", log.count(df), "log(x+1)", "Reduce skew")
     return transforms.log_transform(df, columns, base)
 
 
@@ -224,9 +223,8 @@ def cap_columns(
         outside = F.lit(0)
         for name, (lo, hi) in bounds.items():
             outside = outside + F.coalesce(((c(name) < lo) | (c(name) > hi)).cast("int"), F.lit(0))
-        seen = Observation(f"cap-{uuid.uuid4().hex}")
-        df = df.observe(seen, F.coalesce(F.sum(outside), F.lit(0)).alias("n"))
-        log.record("Outliers", f"Cap via {method} on {len(columns)} columns", lambda: int(seen.get["n"]), "Clip to bounds", "Outlier treatment")
+        capped = df.agg(F.coalesce(F.sum(outside), F.lit(0)).cast("bigint").alias("n"))
+        log.record("Outliers", f"Cap via {method} on {len(columns)} columns", capped, "Clip to bounds", "Outlier treatment")
     return transforms.apply_caps(df, bounds)
 
 
