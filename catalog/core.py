@@ -45,6 +45,7 @@ def channel_lorenz(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_order = lines.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"), F.count("l_linenumber").alias("n_lines"))
     orders = table(spark, sf_dir, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     vids = orders.select(
+        "o_orderkey",
         F.lpad(F.col("o_orderkey").cast("string"), 11, "0").alias("video_id"),
         F.col("o_custkey").alias("channelId"),
         F.floor("o_totalprice").cast("bigint").alias("view_count"),
@@ -53,10 +54,8 @@ def channel_lorenz(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_custkey") % 7 == 0).alias("is_verified"),
     )
     logged = durable(log_transform(filters.filter_le(vids, "likes", "view_count"), ["view_count"]), "flagship")
-    stats = channel_stats(cap_outliers(logged, ["view_count"], "zscore"))
-    stats = durable(stats, "channels")
-    curve = lorenz(stats, "channelId", "trending_count").drop("trending_count")
-    out = stats.select("channelId", "video_count", "trending_count", "avg_views").join(curve, "channelId")
+    stats = channel_stats(cap_outliers(logged, ["view_count"], "zscore"), order="o_orderkey")
+    out = lorenz(stats, "channelId", "trending_count", keep=["video_count", "avg_views"])
     return rounded(out, "avg_views", "cum_pct_keys", "cum_pct_value")
 
 

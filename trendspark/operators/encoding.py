@@ -79,7 +79,7 @@ class FrequencyEncoding:
 
 def clean_language(df: DataFrame, col: str, codes: DataFrame, unknown: str = "unknown") -> DataFrame:
     """Values whose base code is not in the one-column ``codes`` become ``unknown``; null stays."""
-    known = codes.select(c(codes.columns[0]).alias("__code")).distinct()
+    known = durable(codes.select(c(codes.columns[0]).alias("__code")).distinct(), "codes")
     joined = df.withColumn("__base", normalize_language(c(col))).join(known, c("__base") == c("__code"), "left")
     fixed = F.when(c(col).isNotNull() & c("__code").isNull(), F.lit(unknown)).otherwise(c(col))
     return joined.withColumn(col, fixed).select(*[c(n) for n in df.columns])

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendspark.session import c, durable, shuffle_width
+from trendspark.session import c, durable
 
 
 def running_totals(
@@ -29,18 +29,17 @@ def running_totals(
     ``order`` must be unique within ``by``; aggregate ties away first.
     """
     grand = dict(grand or {})
-    spark = df.sparkSession
     order_cols = [c(o) if isinstance(o, str) else o for o in order]
     groups = [c(b) for b in by]
-    n = partitions or shuffle_width(spark)
-
     ranged = df.withColumns({f"_s_{k}": e for k, e in sums.items()})
-    ranged = ranged.repartitionByRange(n, *groups, *order_cols).withColumn("_part", F.spark_partition_id())
+    # Without a number, adaptive execution merges neighbouring small ranges; their order stays.
+    width = [partitions] if partitions else []
+    ranged = ranged.repartitionByRange(*width, *groups, *order_cols).withColumn("_part", F.spark_partition_id())
     # Sampled range bounds differ between runs, so the placement is written down once.
     ranged = durable(ranged, "ranged")
 
     totals = ranged.groupBy("_part", *groups).agg(*[F.sum(f"_s_{k}").alias(f"_t_{k}") for k in sums])
-    # One row per partition and group: with no group that is at most n rows.
+    # One row per partition and group: without groups at most as many as shuffle partitions.
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
     offsets = totals.select(

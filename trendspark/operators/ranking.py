@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +11,12 @@ from trendspark.operators.prefix import running_totals
 from trendspark.session import c
 
 
-def lorenz(stats: DataFrame, key: str, value: str) -> DataFrame:
-    """Rank keys by value (largest first, ties by key); cumulative share of keys and of value."""
-    rows = stats.select(c(key), c(value))
+def lorenz(stats: DataFrame, key: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rank keys by value (largest first, ties by key); cumulative share of keys and of value.
+
+    Columns in ``keep`` travel along.
+    """
+    rows = stats.select(c(key), c(value), *[c(n) for n in keep])
     ranked = running_totals(
         rows,
         [c(value).desc_nulls_last(), c(key).asc()],
@@ -21,6 +26,7 @@ def lorenz(stats: DataFrame, key: str, value: str) -> DataFrame:
     return ranked.select(
         c(key),
         c(value),
+        *[c(n) for n in keep],
         "rank",
         (c("rank") / c("n_keys") * 100).alias("cum_pct_keys"),
         (F.try_divide(c("cum_value").cast("double"), c("total").cast("double")) * 100).alias("cum_pct_value"),

@@ -188,8 +188,7 @@ def clean_default_language(
     """Unknown language codes to 'unknown'."""
     if codes is None or col not in df.columns:
         return df
-    known = durable(codes, "codes")
-    out = clean_language(df.withColumn("_given", c(col)), col, known)
+    out = clean_language(df.withColumn("_given", c(col)), col, codes)
     if log is not None:
         changed = c("_given").isNotNull() & ~c(col).eqNullSafe(c("_given"))
         # A value that already reads 'unknown' is no listed code either.
