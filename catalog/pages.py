@@ -93,6 +93,12 @@ def watch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(KEY, F.when(key % 11 != 0, html).alias("html"), "player", "initial")
 
 
+def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, player, initial) as parsed structs."""
+    pages = watch_pages(spark, sf_dir)
+    return pages.select(KEY, P.parse_player(c("player")).alias("player"), P.parse_initial(c("initial")).alias("initial"))
+
+
 # Chapters: titles and starts by where they come from.
 _CHAPTERS_SQL = """
 ch AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 1 THEN 3 ELSE len(string_split(p_name, ' ')) END AS n,
@@ -112,7 +118,7 @@ def _chapter_columns(chapters: Column) -> list[Column]:
 @query(f"WITH {_CHAPTERS_SQL} SELECT p_partkey, cast(n AS int) AS chapter_count, titles, cast(seconds AS bigint) AS seconds FROM ch")
 def page_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player markers, else initial-data markers, else description lines."""
-    pages = watch_pages(spark, sf_dir).select(KEY, P.chapters(c("player"), c("initial")).alias("ch"))
+    pages = parsed_pages(spark, sf_dir).select(KEY, P.chapters(c("player"), c("initial")).alias("ch"))
     return pages.select(KEY, *_chapter_columns(c("ch")))
 
 
@@ -148,7 +154,7 @@ def script_json_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
   p_partkey % 5 <> 0 AND p_size % 2 = 0 AS supports_miniplayer, p_partkey % 5 = 1 AS is_age_restricted, p_partkey % 5 <> 3 AS is_embeddable FROM part"""
 )
 def page_playability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return watch_pages(spark, sf_dir).select(KEY, P.playability(c("player")).alias("p")).select(KEY, "p.*")
+    return parsed_pages(spark, sf_dir).select(KEY, P.playability(c("player")).alias("p")).select(KEY, "p.*")
 
 
 @query(
@@ -156,7 +162,7 @@ def page_playability(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN p_size % 4 = 0 THEN '' ELSE array_to_string(list_transform(range(1, p_size % 3 + 2), lambda i: CASE WHEN i % 2 = 0 THEN p_name ELSE '' END || '@' || i || '000'), '|') END AS cards FROM part"""
 )
 def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards = watch_pages(spark, sf_dir).select(KEY, P.cards(c("player")).alias("k"))
+    cards = parsed_pages(spark, sf_dir).select(KEY, P.cards(c("player")).alias("k"))
     shown = F.transform("k", lambda x: F.concat_ws("@", x["teaser_text"], x["start_ms"]))
     return cards.select(KEY, F.size("k").alias("card_count"), F.array_join(shown, "|").alias("cards"))
 
@@ -166,18 +172,18 @@ def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN p_partkey % 3 = 2 OR p_partkey % 6 = 5 THEN '' WHEN p_partkey % 6 = 1 THEN 'Verified' ELSE p_brand END AS badge_labels FROM part"""
 )
 def page_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    owner = watch_pages(spark, sf_dir).select(KEY, P.verified(c("initial")).alias("v"))
+    owner = parsed_pages(spark, sf_dir).select(KEY, P.verified(c("initial")).alias("v"))
     return owner.select(KEY, F.col("v.is_verified").alias("is_verified"), F.array_join("v.badge_labels", "|").alias("badge_labels"))
 
 
 @query("SELECT p_partkey, p_partkey % 3 <> 2 AND p_size % 5 = 0 AS comments_disabled FROM part")
 def page_comments_disabled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return watch_pages(spark, sf_dir).select(KEY, P.comments_disabled(c("initial")).alias("comments_disabled"))
+    return parsed_pages(spark, sf_dir).select(KEY, P.comments_disabled(c("initial")).alias("comments_disabled"))
 
 
 @query("SELECT p_partkey, p_partkey % 4 = 0 AS has_paid_promotion FROM part")
 def page_paid_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return watch_pages(spark, sf_dir).select(KEY, P.paid_promotion(c("player")).alias("has_paid_promotion"))
+    return parsed_pages(spark, sf_dir).select(KEY, P.paid_promotion(c("player")).alias("has_paid_promotion"))
 
 
 @query(

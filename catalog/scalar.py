@@ -206,7 +206,8 @@ def duration_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 2, F.concat(F.lit("P"), n, F.lit("DT"), q, F.lit("H")))
         .otherwise(F.concat(F.lit("PT"), q, F.lit("S")))
     )
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", times.duration_seconds(written).alias("s"))
+    texts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("duration"))
+    lines = texts.select("l_orderkey", "l_linenumber", times.duration_seconds(c("duration")).alias("s"))
     return lines.groupBy("l_orderkey", "l_linenumber").agg(F.sum("s").alias("seconds"))
 
 

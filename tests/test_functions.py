@@ -107,6 +107,8 @@ def test_script_json(spark):
     got = one(spark, pages.script_json(F.col("h"), pages.PLAYER_KEY), h=html)
     assert json.loads(got) == {"status": "OK", "is_awesome": True}
     assert one(spark, pages.script_json(F.col("h"), pages.INITIAL_KEY), h=html) is None
+    trailing = '<script>ytInitialData = {"a": 1}; var x = {"b": 2};</script>'
+    assert one(spark, pages.script_json(F.col("h"), pages.INITIAL_KEY), h=trailing) is None
     broken = '<script>ytInitialData = {bad};</script><SCRIPT a="b">ytInitialData = {"n": 2};</SCRIPT>'
     assert one(spark, pages.script_json(F.col("h"), pages.INITIAL_KEY), h=broken) == '{"n": 2}'
 
@@ -114,12 +116,12 @@ def test_script_json(spark):
 def test_cards(spark):
     card = {"cardRenderer": {"startCardActiveMs": "1000", "teaser": {"simpleCardTeaserRenderer": {"message": {"simpleText": "Check"}}}}}
     good = {"cards": {"cardCollectionRenderer": {"cards": [card, {"cardRenderer": {}}]}}}
-    got = one(spark, pages.cards(F.col("p")), p=json.dumps(good))
+    got = one(spark, pages.cards(pages.parse_player(F.col("p"))), p=json.dumps(good))
     assert [tuple(x) for x in got] == [("Check", "1000"), ("", None)]
     bad = {"cards": {"cardCollectionRenderer": {"cards": [card, {"other": 1}]}}}
-    assert one(spark, pages.cards(F.col("p")), p=json.dumps(bad)) == []
-    assert one(spark, pages.cards(F.col("p")), p="{}") == []
-    assert one(spark, pages.cards(F.col("p")), p=None) == []
+    assert one(spark, pages.cards(pages.parse_player(F.col("p"))), p=json.dumps(bad)) == []
+    assert one(spark, pages.cards(pages.parse_player(F.col("p"))), p="{}") == []
+    assert one(spark, pages.cards(pages.parse_player(F.col("p"))), p=None) == []
 
 
 def watch_next(*contents):
@@ -138,33 +140,33 @@ def watch_next(*contents):
 )
 def test_verified(spark, badge, expected):
     owner = {"videoSecondaryInfoRenderer": {"owner": {"videoOwnerRenderer": {"badges": [{"metadataBadgeRenderer": badge}]}}}}
-    got = one(spark, pages.verified(F.col("p")), p=watch_next({}, owner))
+    got = one(spark, pages.verified(pages.parse_initial(F.col("p"))), p=watch_next({}, owner))
     assert got["is_verified"] is expected
     assert got["badge_labels"] == [badge.get("accessibilityData", {}).get("label", "")]
-    assert tuple(one(spark, pages.verified(F.col("p")), p="{}")) == (False, [])
+    assert tuple(one(spark, pages.verified(pages.parse_initial(F.col("p"))), p="{}")) == (False, [])
 
 
 def test_comments_disabled(spark):
     section = {"itemSectionRenderer": {"contents": [{"messageRenderer": {}}]}}
-    assert one(spark, pages.comments_disabled(F.col("p")), p=watch_next(section)) is True
-    assert one(spark, pages.comments_disabled(F.col("p")), p=watch_next({}, {"itemSectionRenderer": {"contents": [{"x": 1}]}})) is False
-    assert one(spark, pages.comments_disabled(F.col("p")), p="{}") is False
+    assert one(spark, pages.comments_disabled(pages.parse_initial(F.col("p"))), p=watch_next(section)) is True
+    assert one(spark, pages.comments_disabled(pages.parse_initial(F.col("p"))), p=watch_next({}, {"itemSectionRenderer": {"contents": [{"x": 1}]}})) is False
+    assert one(spark, pages.comments_disabled(pages.parse_initial(F.col("p"))), p="{}") is False
 
 
 def test_paid_promotion(spark):
-    assert one(spark, pages.paid_promotion(F.col("p")), p='{"paidContentOverlay": {"a": 1}}') is True
+    assert one(spark, pages.paid_promotion(pages.parse_player(F.col("p"))), p='{"paidContentOverlay": {"a": 1}}') is True
     for empty in ('{"paidContentOverlay": {}}', '{"paidContentOverlay": null}', "{}", None):
-        assert one(spark, pages.paid_promotion(F.col("p")), p=empty) is False
+        assert one(spark, pages.paid_promotion(pages.parse_player(F.col("p"))), p=empty) is False
 
 
 def test_playability(spark):
     got = one(
         spark,
-        pages.playability(F.col("p")),
+        pages.playability(pages.parse_player(F.col("p"))),
         p=json.dumps({"playabilityStatus": {"status": "LOGIN_REQUIRED", "playableInEmbed": False}, "microformat": {"playerMicroformatRenderer": {"isFamilySafe": True}}}),
     )
     assert tuple(got) == ("LOGIN_REQUIRED", True, True, False)
-    assert tuple(one(spark, pages.playability(F.col("p")), p=None)) == ("UNKNOWN", False, False, True)
+    assert tuple(one(spark, pages.playability(pages.parse_player(F.col("p"))), p=None)) == ("UNKNOWN", False, False, True)
 
 
 def test_chapters_from_text(spark):
@@ -183,7 +185,7 @@ def test_chapters_prefer_markers(spark):
     chapter = {"chapterRenderer": {"title": {"simpleText": "A"}, "timeRangeStartMillis": 61999}}
     described = {"videoDetails": {"shortDescription": "1:00 Text"}}
     player = {**markers([chapter]), **described}
-    expr = pages.chapters(F.col("p"), F.col("i"))
+    expr = pages.chapters(pages.parse_player(F.col("p")), pages.parse_initial(F.col("i")))
     assert [tuple(x) for x in one(spark, expr, p=json.dumps(player), i=None)] == [("A", 61)]
     assert [tuple(x) for x in one(spark, expr, p=json.dumps(described), i=json.dumps(markers([chapter])))] == [("A", 61)]
     assert [tuple(x) for x in one(spark, expr, p=json.dumps(described), i="{}")] == [("Text", 60)]

@@ -1,7 +1,9 @@
 """Feature extraction from saved watch pages: HTML to JSON text to typed columns.
 
-Every function takes and returns columns, so a page table is read once and all
-features come out of one projection.
+``script_json`` finds the two JSON texts of a page, ``parse_player`` and
+``parse_initial`` read each once into a narrow struct, and the extractors work
+on those structs. Keep the three in separate projections, so that neither the
+search nor the parsing is repeated per feature.
 """
 
 from __future__ import annotations
@@ -33,49 +35,76 @@ def _struct_path(path: str, leaf: str) -> str:
 
 
 _MARKERS_PATH = (
-    "playerOverlays.playerOverlayRenderer.decoratedPlayerBarRenderer.decoratedPlayerBarRenderer"
+    "playerOverlayRenderer.decoratedPlayerBarRenderer.decoratedPlayerBarRenderer"
     ".playerBar.multiMarkersPlayerBarRenderer.markersMap"
 )
-_MARKERS_DDL = _struct_path(
+_OVERLAYS = "playerOverlays:" + _struct_path(
     _MARKERS_PATH,
     "array<struct<key:string,value:struct<chapters:array<struct<chapterRenderer:"
     "struct<title:struct<simpleText:string>,timeRangeStartMillis:bigint>>>>>>",
 )
-_CARDS_PATH = "cards.cardCollectionRenderer.cards"
-_CARDS_DDL = _struct_path(
+_CARDS_PATH = "cardCollectionRenderer.cards"
+_CARDS = "cards:" + _struct_path(
     _CARDS_PATH,
     "array<struct<cardRenderer:struct<startCardActiveMs:string,teaser:struct<simpleCardTeaserRenderer:"
     "struct<message:struct<simpleText:string>>>>>>",
 )
-_CONTENTS_PATH = "contents.twoColumnWatchNextResults.results.results.contents"
-_OWNER_DDL = _struct_path(
+_CONTENTS_PATH = "twoColumnWatchNextResults.results.results.contents"
+_CONTENTS = "contents:" + _struct_path(
     _CONTENTS_PATH,
     "array<struct<videoSecondaryInfoRenderer:struct<owner:struct<videoOwnerRenderer:struct<badges:"
     "array<struct<metadataBadgeRenderer:struct<accessibilityData:struct<label:string>,style:string,"
-    "icon:struct<iconType:string>>>>>>>>>",
+    "icon:struct<iconType:string>>>>>>>,"
+    "itemSectionRenderer:struct<contents:array<struct<messageRenderer:string>>>>>",
 )
-_SECTIONS_DDL = _struct_path(
-    _CONTENTS_PATH,
-    "array<struct<itemSectionRenderer:struct<contents:array<struct<messageRenderer:string>>>>>",
+_PLAYER_DDL = (
+    f"struct<{_OVERLAYS},{_CARDS},videoDetails:struct<shortDescription:string>,"
+    "playabilityStatus:struct<status:string,playableInEmbed:string>,"
+    "microformat:struct<playerMicroformatRenderer:struct<isFamilySafe:string>>,paidContentOverlay:string>"
 )
+_INITIAL_DDL = f"struct<{_OVERLAYS},{_CONTENTS}>"
+
+
+def parse_player(json: Column) -> Column:
+    """The fields of the player JSON that features are made of."""
+    return F.from_json(json, _PLAYER_DDL)
+
+
+def parse_initial(json: Column) -> Column:
+    """The fields of the initial-data JSON that features are made of."""
+    return F.from_json(json, _INITIAL_DDL)
+
+
+def _walk(col: Column, path: str) -> Column:
+    for name in path.split("."):
+        col = col.getField(name)
+    return col
 
 
 def _empty(ddl: str) -> Column:
     return F.array().cast(ddl)
 
 
-def script_json(html: Column, key: str) -> Column:
-    """First valid JSON object assigned to ``key`` inside a script element; null if none."""
-    bodies = F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), F.lit(1))
-    found = F.transform(bodies, lambda b: F.regexp_extract(b, rf"(?d){key}\s*=\s*(\{{.*\}});", 1))
-    valid = F.filter(found, lambda j: (j != "") & F.try_parse_json(j).isNotNull())
+def script_bodies(html: Column) -> Column:
+    """Texts of all script elements."""
+    return F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), F.lit(1))
+
+
+def assigned_json(bodies: Column, key: str) -> Column:
+    """First valid JSON object assigned to ``key`` in any of the scripts; null if none."""
+    naming = F.filter(bodies, lambda b: b.contains(key))
+    found = F.transform(naming, lambda b: F.regexp_extract(b, rf"(?d){key}\s*=\s*(\{{.*\}});", 1))
+    # Inside brackets the text must be one whole value: anything after the object makes it invalid.
+    valid = F.filter(found, lambda j: F.json_array_length(F.concat(F.lit("["), j, F.lit("]"))) == 1)
     return F.get(valid, F.lit(0))
 
 
-def _marker_chapters(json: Column) -> Column:
-    markers = F.from_json(json, _MARKERS_DDL)
-    for name in _MARKERS_PATH.split("."):
-        markers = markers.getField(name)
+def script_json(html: Column, key: str) -> Column:
+    return assigned_json(script_bodies(html), key)
+
+
+def _marker_chapters(parsed: Column) -> Column:
+    markers = _walk(parsed["playerOverlays"], _MARKERS_PATH)
     first = F.get(F.filter(markers, lambda m: m["key"] == CHAPTER_MARKER), F.lit(0))
     chapters = F.transform(
         first["value"]["chapters"],
@@ -107,7 +136,7 @@ def chapters(player: Column, initial: Column) -> Column:
     """Player markers, else initial-data markers, else description lines."""
     by_player = _marker_chapters(player)
     by_initial = _marker_chapters(initial)
-    by_text = chapters_from_text(F.get_json_object(player, "$.videoDetails.shortDescription"))
+    by_text = chapters_from_text(player["videoDetails"]["shortDescription"])
     return (
         F.when(F.size(by_player) > 0, by_player).when(F.size(by_initial) > 0, by_initial).otherwise(by_text)
     )
@@ -115,23 +144,19 @@ def chapters(player: Column, initial: Column) -> Column:
 
 def playability(player: Column) -> Column:
     """Status, family-safe flag, age restriction and embeddability as one struct."""
-    known = F.get_json_object(player, "$.playabilityStatus").isNotNull()
-    status = F.get_json_object(player, "$.playabilityStatus.status")
-    safe = F.get_json_object(player, "$.microformat.playerMicroformatRenderer.isFamilySafe") == "true"
-    embed = F.get_json_object(player, "$.playabilityStatus.playableInEmbed") == "true"
+    state = player["playabilityStatus"]
+    safe = player["microformat"]["playerMicroformatRenderer"]["isFamilySafe"] == "true"
     return F.struct(
-        F.coalesce(status, F.lit("UNKNOWN")).alias("status"),
-        F.coalesce(known & safe, F.lit(False)).alias("supports_miniplayer"),
-        F.coalesce(status == "LOGIN_REQUIRED", F.lit(False)).alias("is_age_restricted"),
-        F.coalesce(embed, F.lit(True)).alias("is_embeddable"),
+        F.coalesce(state["status"], F.lit("UNKNOWN")).alias("status"),
+        F.coalesce(state.isNotNull() & safe, F.lit(False)).alias("supports_miniplayer"),
+        F.coalesce(state["status"] == "LOGIN_REQUIRED", F.lit(False)).alias("is_age_restricted"),
+        F.coalesce(state["playableInEmbed"] == "true", F.lit(True)).alias("is_embeddable"),
     )
 
 
 def cards(player: Column) -> Column:
     """Info cards as an array of teaser text and start time; malformed cards give none."""
-    raw = F.from_json(player, _CARDS_DDL)
-    for name in _CARDS_PATH.split("."):
-        raw = raw.getField(name)
+    raw = _walk(player["cards"], _CARDS_PATH)
     items = F.transform(
         raw,
         lambda k: F.struct(
@@ -147,10 +172,7 @@ def cards(player: Column) -> Column:
 
 def verified(initial: Column) -> Column:
     """Badge labels of the channel owner and whether any badge marks it as verified."""
-    contents = F.from_json(initial, _OWNER_DDL)
-    for name in _CONTENTS_PATH.split("."):
-        contents = contents.getField(name)
-    second = F.get(contents, F.lit(1))
+    second = F.get(_walk(initial["contents"], _CONTENTS_PATH), F.lit(1))
     badges = F.transform(
         second["videoSecondaryInfoRenderer"]["owner"]["videoOwnerRenderer"]["badges"],
         lambda b: F.struct(
@@ -174,11 +196,8 @@ def verified(initial: Column) -> Column:
 
 def comments_disabled(initial: Column) -> Column:
     """True when any item section holds a message renderer."""
-    contents = F.from_json(initial, _SECTIONS_DDL)
-    for name in _CONTENTS_PATH.split("."):
-        contents = contents.getField(name)
     hit = F.exists(
-        contents,
+        _walk(initial["contents"], _CONTENTS_PATH),
         lambda s: F.coalesce(
             F.exists(s["itemSectionRenderer"]["contents"], lambda x: x["messageRenderer"].isNotNull()), F.lit(False)
         ),
@@ -188,5 +207,4 @@ def comments_disabled(initial: Column) -> Column:
 
 def paid_promotion(player: Column) -> Column:
     """The overlay is present and not an empty value."""
-    overlay = F.get_json_object(player, "$.paidContentOverlay")
-    return F.coalesce(~overlay.isin("", "{}", "[]", "false", "0", "null"), F.lit(False))
+    return F.coalesce(~player["paidContentOverlay"].isin("", "{}", "[]", "false", "0", "null"), F.lit(False))

@@ -16,11 +16,13 @@ _PICTOGRAPH = (
     r"\x{2934}\x{2935}\x{203C}\x{2049}\x{2122}\x{2139}\x{24C2}\x{3030}\x{303D}\x{3297}\x{3299}\x{A9}\x{AE}"
 )
 _ONE = rf"[{_PICTOGRAPH}]\x{{FE0F}}?[\x{{1F3FB}}-\x{{1F3FF}}]?(?:[\x{{E0020}}-\x{{E007F}}]+)?"
+# The first group turns letters away after a few comparisons; a keycap is found by its closing mark.
 EMOJI_PATTERN = (
+    r"(?=[\x{203C}-\x{3299}\x{1F000}-\x{1FAFF}\x{A9}\x{AE}])(?:"
     r"[\x{1F1E6}-\x{1F1FF}]{2}"
-    r"|[0-9#*]\x{FE0F}?\x{20E3}"
+    r"|(?<=[0-9#*]\x{FE0F}?)\x{20E3}"
     rf"|{_ONE}(?:\x{{200D}}{_ONE})*"
-    r"|[\x{1F3FB}-\x{1F3FF}]"
+    r"|[\x{1F3FB}-\x{1F3FF}])"
 )
 
 

@@ -17,7 +17,8 @@ def duration_seconds(col: Column) -> Column:
     """Seconds of an ISO-8601 duration; null and malformed text give 0."""
     total = F.lit(0).cast("bigint")
     for group, unit in _UNIT_SECONDS.items():
-        part = F.regexp_extract(col, DURATION_PATTERN, group).try_cast("bigint")
+        # Casting '' would raise and catch an error per row, so blanks become null first.
+        part = F.nullif(F.regexp_extract(col, DURATION_PATTERN, group), F.lit("")).try_cast("bigint")
         total = total + F.coalesce(part, F.lit(0)) * F.lit(unit)
     return F.coalesce(total, F.lit(0))
 

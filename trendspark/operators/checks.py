@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendspark.functions.text import is_blank, literal_list_length, normalize_language
 from trendspark.functions.times import as_timestamp
@@ -83,8 +84,15 @@ def check_cross_column(df: DataFrame, strict_types: bool = False) -> DataFrame:
     return evaluate(df, cross_column_probes(df, strict_types))
 
 
+def _moment(df: DataFrame, name: str) -> Column:
+    """The column as a timestamp; only text is parsed."""
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c(name).cast("timestamp")
+    return as_timestamp(c(name))
+
+
 def future_probes(df: DataFrame, cols: Sequence[str], now: datetime) -> list[Probe]:
-    return [zero_count("Timeliness", "no_future_dates", n, as_timestamp(c(n)) > F.lit(now)) for n in _present(df, cols)]
+    return [zero_count("Timeliness", "no_future_dates", n, _moment(df, n) > F.lit(now)) for n in _present(df, cols)]
 
 
 def future_counts(df: DataFrame, cols: Sequence[str], now: datetime) -> DataFrame:
@@ -97,7 +105,7 @@ def check_future(df: DataFrame, cols: Sequence[str], now: datetime) -> DataFrame
 
 
 def _dates(df: DataFrame, earlier: str, later: str) -> tuple[Column, Column]:
-    return F.to_date(as_timestamp(c(earlier))), F.to_date(as_timestamp(c(later)))
+    return F.to_date(_moment(df, earlier)), F.to_date(_moment(df, later))
 
 
 def date_order(df: DataFrame, earlier: str, later: str) -> DataFrame:

@@ -15,7 +15,7 @@ from trendspark.session import c
 
 def number(col: Column) -> Column:
     """Numeric value or null; never raises."""
-    return col.cast("string").try_cast("double")
+    return F.nullif(F.trim(col.cast("string")), F.lit("")).try_cast("double")
 
 
 def _numeric(df: DataFrame, name: str) -> Column:

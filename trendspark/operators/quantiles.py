@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ BRACKET_LIMIT = 40_000
 # Groups handled side by side in one pass.
 GROUP_LIMIT = 32
 MAX_LEVELS = 8
+# Rows inside a bracket from which its values are read, unless hot values keep it from shrinking.
+READ_ROWS = 10_000_000
 
 
 def _clean(name: str) -> Column:
@@ -49,6 +52,7 @@ class _Target:
     a: float = -math.inf
     b: float = math.inf
     below: int = 0
+    stalled: bool = False
     pair: tuple[float, float] | None = None
 
     @property
@@ -57,108 +61,136 @@ class _Target:
         return (self.lo - self.below) / self.inside, (self.hi + 1 - self.below) / self.inside
 
 
-def _cells(masks: Sequence[Column | None], targets: Sequence[_Target], cell) -> Column:
-    """Array of ``cell(index, target)``; each row evaluates only the targets of its own group."""
-    arrays: list[tuple[Column | None, Column]] = []
-    for g, mask in enumerate(masks):
-        mine = [cell(i, t) for i, t in enumerate(targets) if t.group == g]
-        if mine:
-            arrays.append((mask, F.array(*mine)))
-    if arrays[0][0] is None:
-        return arrays[0][1]
+Masks = Sequence[Column | None]
+
+
+def _by_group(masks: Masks, choices: dict[int, Column]) -> Column:
+    """The choice of the row's own group; null in a group without one."""
+    if masks[0] is None:
+        return choices[0]
     out = F
-    for mask, cells in arrays:
-        out = out.when(mask, cells)
+    for g, choice in choices.items():
+        out = out.when(masks[g], choice)
     return out
 
 
-def _sample(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target], seed: int) -> None:
-    """Shrink the brackets to where a sample puts the wanted ranks, with wide margins."""
-
-    def cell(i: int, t: _Target) -> Column:
-        x = _clean(t.column)
-        chance = min(1.0, SAMPLE_ROWS / t.inside)
-        drawn = (x >= F.lit(t.a)) & (x <= F.lit(t.b)) & (F.rand(seed + i) < chance)
-        return F.struct(F.lit(i).alias("t"), F.when(drawn, x).alias("v"))
-
-    # About SAMPLE_ROWS values per target.
-    drawn = df.select(F.inline(_cells(masks, targets, cell))).filter("v is not null").collect()
-    values: dict[int, list[float]] = {}
-    for row in drawn:
-        values.setdefault(row["t"], []).append(row["v"])
+def _cells(masks: Masks, targets: Sequence[_Target], cell) -> Column:
+    """Array of ``cell(index, target)``; each row evaluates only the targets of its own group."""
+    arrays: dict[int, list[Column]] = {}
     for i, t in enumerate(targets):
-        got = sorted(values.get(i, []))
-        if not got:
-            continue
-        low, high = t.rank
-        margin = 5.0 * math.sqrt(max(low * (1 - low), 1.0 / len(got)) / len(got))
-        first, last = math.floor((low - margin) * len(got)) - 1, math.ceil((high + margin) * len(got)) + 1
-        if first >= 0:
-            t.a = got[first]
-        if last < len(got):
-            t.b = got[last]
+        arrays.setdefault(t.group, []).append(cell(i, t))
+    return _by_group(masks, {g: F.array(*cells) for g, cells in arrays.items()})
+
 
+def _within(x: Column, t: _Target) -> Column:
+    return (x >= F.lit(t.a)) & (x <= F.lit(t.b))
 
-def _count(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target]) -> None:
-    """Count rows below each bracket and values inside it; settle targets whose bracket is small."""
+
+def _sample(df: DataFrame, masks: Masks, targets: Sequence[_Target], seed: int) -> None:
+    """Shrink the brackets to where a sample puts the wanted ranks, with wide margins."""
+    units: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        units.setdefault((t.group, t.column, t.a, t.b), []).append(t)
+    leads = [members[0] for members in units.values()]
+    chances = [min(1.0, SAMPLE_ROWS / t.inside) for t in leads]
+    top = max(chances)
 
     def cell(i: int, t: _Target) -> Column:
         x = _clean(t.column)
-        below = x < F.lit(t.a)
-        value = F.when(~below & (x <= F.lit(t.b)), x)
-        return F.struct(F.lit(i).alias("t"), below.alias("below"), value.alias("v"))
-
-    cells = df.select(F.inline(_cells(masks, targets, cell))).filter("below or v is not null")
-    # Rows below fold to one count per task; hot values fold likewise.
-    counts = cells.groupBy("t", "below", "v").agg(F.count(F.lit(1)).alias("n"))
-    room = BRACKET_LIMIT * len(targets)
-    rows = counts.limit(room + 1).collect()
-    if len(rows) > room:
-        # Too many distinct values somewhere: take totals only, and narrow again.
-        totals = counts.groupBy("t").agg(
-            F.coalesce(F.sum(F.when(c("below"), c("n"))), F.lit(0)).alias("below"),
-            F.coalesce(F.sum(F.when(~c("below"), c("n"))), F.lit(0)).alias("inside"),
-        )
-        for row in totals.collect():
-            _place(targets[row["t"]], row["below"], row["inside"], None)
+        keep = _within(x, t)
+        if chances[i] < top:
+            keep = keep & (F.rand(seed + i + 1) < chances[i] / top)
+        return F.struct(F.lit(i).alias("u"), F.when(keep, x).alias("v"))
+
+    # About SAMPLE_ROWS values per group, column and bracket. Rows are thinned before anything else is done to them.
+    thin = df.filter(F.rand(seed) < top) if top < 1 else df
+    drawn = thin.select(F.inline(_cells(masks, leads, cell))).filter("v is not null").toArrow()
+    unit, value = drawn["u"].to_numpy(), drawn["v"].to_numpy()
+    for i, members in enumerate(units.values()):
+        got = np.sort(value[unit == i])
+        for t in members if len(got) else ():
+            low, high = t.rank
+            margin = 5.0 * math.sqrt(max(low * (1 - low), 1.0 / len(got)) / len(got))
+            first, last = math.floor((low - margin) * len(got)) - 1, math.ceil((high + margin) * len(got)) + 1
+            if first >= 0:
+                t.a = float(got[first])
+            if last < len(got):
+                t.b = float(got[last])
+
+
+def _count(df: DataFrame, masks: Masks, by: Sequence[str], keys: Sequence[tuple], targets: Sequence[_Target]) -> None:
+    """Exact rows below and inside each bracket; a bracket that missed its ranks is reopened."""
+    slots: dict[tuple, dict[int, _Target]] = {}
+    for t in targets:
+        slots.setdefault((t.column, t.prob), {})[t.group] = t
+    aggs = []
+    for j, ((name, _), mine) in enumerate(slots.items()):
+        x = _clean(name)
+        low = _by_group(masks, {g: F.lit(t.a) for g, t in mine.items()})
+        high = _by_group(masks, {g: F.lit(t.b) for g, t in mine.items()})
+        aggs += [F.count_if(x < low).alias(f"b{j}"), F.count_if((x >= low) & (x <= high)).alias(f"i{j}")]
+    for row in df.groupBy(*[c(b) for b in by]).agg(*aggs).collect():  # one row per group, at most GROUP_LIMIT
+        group = keys.index(tuple(row[: len(by)]))
+        for j, mine in enumerate(slots.values()):
+            if group in mine:
+                t, below, inside = mine[group], row[f"b{j}"], row[f"i{j}"]
+                if below <= t.lo and t.hi < below + inside:
+                    t.stalled = inside > 0.5 * t.inside
+                    t.below, t.inside = below, inside
+                else:
+                    t.a, t.b, t.below, t.inside = -math.inf, math.inf, 0, t.n
+
+
+def _read(df: DataFrame, masks: Masks, targets: Sequence[_Target]) -> None:
+    """Settle targets from the distinct values inside their brackets, if there are few enough to read."""
+    ready = [t for t in targets if t.a != -math.inf or t.b != math.inf or t.inside <= READ_ROWS]
+    ready = [t for t in ready if t.inside <= READ_ROWS or t.stalled]
+    if not ready:
         return
-    found: dict[int, list[tuple[float, int]]] = {}
-    under: dict[int, int] = {}
-    for row in rows:
-        if row["below"]:
-            under[row["t"]] = row["n"]
-        else:
-            found.setdefault(row["t"], []).append((row["v"], row["n"]))
-    for i, t in enumerate(targets):
-        inside = sorted(found.get(i, []))
-        _place(t, under.get(i, 0), sum(n for _, n in inside), inside)
-
 
-def _place(t: _Target, below: int, inside: int, values: list[tuple[float, int]] | None) -> None:
-    """Accept a bracket that holds the wanted ranks; reopen one that missed them."""
-    if not (below <= t.lo and t.hi < below + inside):
-        t.a, t.b, t.below, t.inside = -math.inf, math.inf, 0, t.n
-        return
-    t.below, t.inside = below, inside
-    if values is None:
+    def cell(i: int, t: _Target) -> Column:
+        x = _clean(t.column)
+        return F.struct(F.lit(i).alias("t"), F.when(_within(x, t), x).alias("v"))
+
+    slots: dict[str, dict[int, list[_Target]]] = {}
+    for t in ready:
+        slots.setdefault(t.column, {}).setdefault(t.group, []).append(t)
+    near: Column = F.lit(False)
+    for name, mine in slots.items():
+        hit = {g: _any([_within(_clean(name), t) for t in ts]) for g, ts in mine.items()}
+        near = near | F.coalesce(_by_group(masks, hit), F.lit(False))
+    values = df.filter(near).select(F.inline(_cells(masks, ready, cell))).filter("v is not null")
+    room = BRACKET_LIMIT * len(ready)
+    counts = values.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).limit(room + 1).toArrow()
+    if counts.num_rows > room:
         return
-    seen, at = below, {}
-    for value, n in values:
-        for rank in (t.lo, t.hi):
-            if seen <= rank < seen + n:
-                at[rank] = value
-        seen += n
-    t.pair = (at[t.lo], at[t.hi])
+    which, value, n = (counts[name].to_numpy() for name in ("t", "v", "n"))
+    for i, t in enumerate(ready):
+        mine = which == i
+        order = np.argsort(value[mine])
+        # The value at rank r is the first whose rows, counted from the bottom, exceed r.
+        upto = t.below + np.cumsum(n[mine][order])
+        at = np.searchsorted(upto, [t.lo, t.hi], side="right")
+        if len(upto) and t.lo >= t.below and at[1] < len(upto):
+            t.pair = tuple(float(x) for x in value[mine][order][at])
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for more in conditions[1:]:
+        out = out | more
+    return out
 
 
-def _by_brackets(df: DataFrame, masks: Sequence[Column | None], targets: Sequence[_Target]) -> bool:
+def _by_brackets(df: DataFrame, masks: Masks, by: Sequence[str], keys: Sequence[tuple], targets: Sequence[_Target]) -> bool:
     """Settle every target; False if that takes too many rounds."""
     for level in range(MAX_LEVELS):
         open_ = [t for t in targets if t.pair is None]
         if not open_:
             return True
         _sample(df, masks, open_, seed=7919 * (level + 1))
-        _count(df, masks, open_)
+        _count(df, masks, by, keys, open_)
+        _read(df, masks, open_)
     return all(t.pair is not None for t in targets)
 
 
@@ -209,7 +241,8 @@ def quantiles(
                     if n:
                         pos = (n - 1) * p
                         targets.append(_Target(gi, name, p, math.floor(pos), math.ceil(pos), n, n))
-        if not _by_brackets(df, masks, targets):
+        keys = [tuple(g[:k]) for g in groups]
+        if not _by_brackets(df, masks, by, keys, targets):
             return _by_histogram(df, cols, probs, by)
         found = {(t.group, t.column, t.prob): t for t in targets}
         rows = []

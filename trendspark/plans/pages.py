@@ -12,14 +12,16 @@ from trendspark.session import c
 def page_features(df: DataFrame, key: str = "video_id", html: str = "html") -> DataFrame:
     """The eleven page columns. Pages without content (failed downloads) are removed.
 
-    The two JSON texts are extracted once per page; the rest is one projection.
+    Each page is searched for scripts once and each JSON text is parsed once; nothing is shuffled.
     """
-    texts = df.filter(c(html).isNotNull()).select(
+    scripts = df.filter(c(html).isNotNull()).select(c(key), P.script_bodies(c(html)).alias("_scripts"))
+    texts = scripts.select(
         c(key),
-        P.script_json(c(html), P.PLAYER_KEY).alias("_player"),
-        P.script_json(c(html), P.INITIAL_KEY).alias("_initial"),
+        P.assigned_json(c("_scripts"), P.PLAYER_KEY).alias("_player"),
+        P.assigned_json(c("_scripts"), P.INITIAL_KEY).alias("_initial"),
     )
-    parsed = texts.select(
+    structs = texts.select(c(key), P.parse_player(c("_player")).alias("_player"), P.parse_initial(c("_initial")).alias("_initial"))
+    parsed = structs.select(
         c(key),
         P.chapters(c("_player"), c("_initial")).alias("chapters"),
         P.playability(c("_player")).alias("_play"),
