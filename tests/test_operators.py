@@ -233,6 +233,13 @@ def test_value_shares_leave_nulls_out(spark):
     assert got == {1: 2 / 3, 0: 1 / 3}
 
 
+def test_unknown_groups_are_left_out(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 0), (None, 1)], "g string, y int")
+    assert [tuple(r) for r in aggregates.target_rate(df, "g", "y").collect()] == [("a", 0.5, 2)]
+    assert aggregates.group_median(df, "g", ["y"]).count() == 1
+    assert distribution.box_stats(df, "g", ["y"]).count() == 1
+
+
 # --- transforms -----------------------------------------------------------------------------
 
 

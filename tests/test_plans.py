@@ -296,6 +296,8 @@ def test_metrics(spark):
     row = metrics.binary_metrics(df).first()
     assert (row["precision"], row["recall"], row["wasted_rate"], row["missed_rate"]) == (0.0, 0.0, None, 1.0)
     assert row["f1"] == pytest.approx(1 / 3)
+    single = spark.createDataFrame([(0, 0), (0, 0)], "label int, prediction int")
+    assert metrics.binary_metrics(single).first()["f1"] == 1.0
     report = {r["class"]: r["f1"] for r in metrics.classification_report(df).collect()}
     assert report["0"] == pytest.approx(2 / 3) and report["1"] == 0.0 and report["accuracy"] == 0.5
 

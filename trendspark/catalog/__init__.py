@@ -1,13 +1,13 @@
 """Registered queries over the given tables, each with its SQL twin where SQL can say it."""
 
-from catalog.base import REGISTRY, Entry
+from trendspark.catalog.base import REGISTRY, Entry
 
 __all__ = ["REGISTRY", "Entry", "load"]
 
 
 def load() -> dict[str, Entry]:
     """Import every query module and return the registry."""
-    from catalog import (  # noqa: F401
+    from trendspark.catalog import (  # noqa: F401
         aggregate,
         cleaning,
         core,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import LABELLED_SQL, VIDEOS_SQL, labelled, query, rounded, table, videos
+from trendspark.catalog.base import LABELLED_SQL, VIDEOS_SQL, labelled, query, rounded, table, videos
 from trendspark.functions import times
 from trendspark.operators import aggregates, ranking, sampling
 from trendspark.session import c, durable

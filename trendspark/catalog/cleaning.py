@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.base import VIDEOS_SQL, query, rounded, table, videos
+from trendspark.catalog.base import VIDEOS_SQL, query, rounded, table, videos
 from trendspark.plans.acquire import acquire as acquire_plan
 from trendspark.plans.cleaning import CleaningPipeline, DecisionLog, build_default_pipeline
 from trendspark.session import c, durable, scratch_path
@@ -70,7 +70,7 @@ SELECT video_id, CASE WHEN tags IS NULL THEN '' WHEN tags LIKE '[%' THEN '''a''|
   round(least(greatest(lc, mc - sc), mc + sc), 4) AS comment_count, least(chapter_count, 20) AS chapter_count, cast(is_trending AS bigint) AS is_trending
 FROM logs, b"""
 )
-def cleaning_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The standard eleven steps on raw records."""
     out = build_default_pipeline(_codes(spark, sf_dir)).fit_transform(raw_videos(spark, sf_dir))
     out = out.withColumn("tags", F.array_join("tags", "|")).drop("_row", "title")
@@ -100,7 +100,7 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT o_orderstatus, count(*) AS n, round(avg(ln(o_totalprice + 1)), 4) AS mean_log FROM orders WHERE o_totalprice > 100000 AND o_orderpriority <> '5-LOW' GROUP BY 1")
-def custom_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def custom_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own table functions as steps, run as one lazy plan."""
 
     def above(df: DataFrame, log: DecisionLog | None = None, col: str = "", limit: float = 0.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import LABELLED_SQL, labelled, query, rounded, table
+from trendspark.catalog.base import LABELLED_SQL, labelled, query, rounded, table
 from trendspark.functions.hashing import hash_fraction_bucket
 from trendspark.ml import embed, estimators, metrics, runs, search
 from trendspark.ml.adaboost import adaboost as fit_adaboost

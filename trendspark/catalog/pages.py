@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import query, table
+from trendspark.catalog.base import query, table
 from trendspark.functions import pages as P
 from trendspark.plans.pages import page_features as page_features_plan
 from trendspark.session import c

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import query, rounded, table
+from trendspark.catalog.base import query, rounded, table
 from trendspark.operators import resample
 from trendspark.session import c
 

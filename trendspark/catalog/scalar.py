@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import VIDEOS_SQL, query, rounded, table, videos
+from trendspark.catalog.base import VIDEOS_SQL, query, rounded, table, videos
 from trendspark.functions import text, times
 from trendspark.operators import transforms
 from trendspark.operators.checks import blank_counts as count_blanks

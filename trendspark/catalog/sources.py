@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.base import query, table
-from catalog.cleaning import raw_videos
+from trendspark.catalog.base import query, table
+from trendspark.catalog.cleaning import raw_videos
 from trendspark.operators.checks import check_blank, check_variance
 from trendspark.plans.cleaning import CleaningPipeline, filter_invalid_rows, fix_comment_count, remove_duplicates
 from trendspark.session import c, scratch_path

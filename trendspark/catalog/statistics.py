@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import VIDEOS_SQL, query, rounded, table, videos
+from trendspark.catalog.base import VIDEOS_SQL, query, rounded, table, videos
 from trendspark.operators import distribution, encoding, sampling
 from trendspark.ml.metrics import roc_auc as roc_auc_op
 from trendspark.session import c, durable

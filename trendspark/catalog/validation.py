@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.base import VIDEOS_SQL, query, rounded, table, videos
-from catalog.core import _DATED_SQL, dated_videos
+from trendspark.catalog.base import VIDEOS_SQL, query, rounded, table, videos
+from trendspark.catalog.core import _DATED_SQL, dated_videos
 from trendspark.functions.text import literal_list_length
 from trendspark.operators import checks
 from trendspark.operators import expectations as expect

@@ -34,9 +34,12 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
     tn, fp, fn, tp = (c(n).cast("double") for n in ("tn", "fp", "fn", "tp"))
     precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
     precision0, recall0 = _ratio(tn, tn + fn), _ratio(tn, tn + fp)
+    # A class neither true nor predicted anywhere has no part in the mean.
+    seen1, seen0 = (tp + fp + fn > 0).cast("int"), (tn + fp + fn > 0).cast("int")
+    both = _f1(precision, recall) * seen1 + _f1(precision0, recall0) * seen0
     return m.select(
         _ratio(tn + tp, tn + fp + fn + tp).alias("accuracy"),
-        ((_f1(precision, recall) + _f1(precision0, recall0)) / 2).alias("f1"),
+        _ratio(both, (seen0 + seen1).cast("double")).alias("f1"),
         precision.alias("precision"),
         recall.alias("recall"),
         _ratio(fp, fp + tp, None).alias("wasted_rate"),

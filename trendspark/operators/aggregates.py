@@ -24,6 +24,13 @@ def missing(df: DataFrame, name: str) -> Column:
     return c(name).isNull()
 
 
+def known(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose group keys are all present: an unknown group is no group."""
+    for key in keys:
+        df = df.filter(c(key).isNotNull())
+    return df
+
+
 def value_shares(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     """(value, n, share) per value; nulls are outside the denominator unless kept."""
     rows = df.select(c(col).alias("value"))
@@ -75,14 +82,14 @@ def row_col_counts(df: DataFrame) -> DataFrame:
 def target_rate(df: DataFrame, group: str | Sequence[str], target: str) -> DataFrame:
     """Mean target per group, with the group size."""
     keys = [group] if isinstance(group, str) else list(group)
-    return df.groupBy(*[c(k) for k in keys]).agg(
+    return known(df, *keys).groupBy(*[c(k) for k in keys]).agg(
         F.avg(c(target).cast("double")).alias("rate"), F.count(F.lit(1)).alias("n")
     )
 
 
 def top_rate(df: DataFrame, group: str, target: str, n: int = 15) -> DataFrame:
     """The ``n`` groups with the highest rate; ties by group value."""
-    rates = target_rate(df.filter(c(group).isNotNull()), group, target)
+    rates = target_rate(df, group, target)
     return rates.select(c(group), "rate").orderBy(F.desc("rate"), c(group)).limit(n)
 
 
@@ -92,7 +99,7 @@ def top_n(df: DataFrame, by: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
 
 def group_by_target_counts(df: DataFrame, col: str, target: str, top: int = 10) -> DataFrame:
     """Counts by target class for the most frequent values of ``col``."""
-    counts = df.filter(c(col).isNotNull()).groupBy(c(col)).agg(
+    counts = known(df, col).groupBy(c(col)).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(c(target) == 0).alias("target_0"),
         F.count_if(c(target) == 1).alias("target_1"),
@@ -102,7 +109,7 @@ def group_by_target_counts(df: DataFrame, col: str, target: str, top: int = 10)
 
 def crosstab_share(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
     """Row-normalised cross-tabulation over the listed column values."""
-    counts = df.groupBy(c(row)).agg(
+    counts = known(df, row).groupBy(c(row)).agg(
         F.count_if(c(col).isin(list(values))).alias("_all"),
         *[F.count_if(c(col) == F.lit(v)).alias(f"share_{v}") for v in values],
     )
@@ -119,7 +126,7 @@ def channel_stats(
     order: str = "video_id",
 ) -> DataFrame:
     """Per channel: videos, trending videos, rate, mean views, first known flag in ``order``."""
-    return df.groupBy(c(key)).agg(
+    return known(df, key).groupBy(c(key)).agg(
         F.count(c(video)).alias("video_count"),
         F.sum(c(target).cast("bigint")).alias("trending_count"),
         F.avg(c(target).cast("double")).alias("trending_rate"),
@@ -131,12 +138,12 @@ def channel_stats(
 def pivot_rate(df: DataFrame, row: Column, col: Column, target: str, labels: Mapping[object, str]) -> DataFrame:
     """Grid of mean target: ``row`` values down, the labelled ``col`` values across."""
     hit = {label: F.avg(F.when(col == F.lit(v), c(target).cast("double"))) for v, label in labels.items()}
-    return df.groupBy(row.alias("row")).agg(*[e.alias(label) for label, e in hit.items()])
+    return df.filter(row.isNotNull()).groupBy(row.alias("row")).agg(*[e.alias(label) for label, e in hit.items()])
 
 
 def period_summary(df: DataFrame, period: Column, target: str, count: str) -> DataFrame:
     """Rate and volume per period."""
-    return df.groupBy(period.alias("period")).agg(
+    return df.filter(period.isNotNull()).groupBy(period.alias("period")).agg(
         F.avg(c(target).cast("double")).alias("trending_rate"), F.count(c(count)).alias("video_count")
     )
 
@@ -153,7 +160,7 @@ def kpis(df: DataFrame, target: str, log_views: str, comment_rate: str) -> DataF
 
 def group_median(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     """(group, column, median) in long form."""
-    long = quantiles(df, cols, [0.5], by=[group])
+    long = quantiles(known(df, group), cols, [0.5], by=[group])
     return long.select(c(group), "column", c("q")[0].alias("median"))
 
 

@@ -20,6 +20,7 @@ def log1p_columns(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ())
 
 def box_stats(df: DataFrame, group: str, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (furthest value inside the fences) and outliers, per group and column."""
+    df = df.filter(c(group).isNotNull())
     boxes = quantiles(df, cols, [0.25, 0.5, 0.75], by=[group]).select(
         c(group), "column", "n", *[c("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])]
     )

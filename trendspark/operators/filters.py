@@ -19,7 +19,10 @@ def number(col: Column) -> Column:
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
-    return c(name) if isinstance(df.schema[name].dataType, T.NumericType) else number(c(name))
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c(name)), c(name))
+    return c(name) if isinstance(kind, T.NumericType) else number(c(name))
 
 
 def le_condition(df: DataFrame, small: str, big: str) -> Column:

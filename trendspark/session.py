@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,7 +52,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/trendspark-{os.getpid()}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_root(spark)}/trendspark-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
