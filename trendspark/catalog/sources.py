@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendspark.catalog.base import query, table
-from trendspark.catalog.cleaning import raw_videos
+from trendspark.catalog.cleaning import _STEPS_SQL, raw_videos
 from trendspark.operators.checks import check_blank, check_variance
 from trendspark.plans.cleaning import CleaningPipeline, filter_invalid_rows, fix_comment_count, remove_duplicates
 from trendspark.session import c, scratch_path
@@ -115,7 +115,11 @@ def write_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("dimension", "passed").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+@query(
+    f"""WITH {_STEPS_SQL}, n AS (SELECT (SELECT count(*) FROM raw) AS raw, (SELECT count(*) FROM one) AS one, (SELECT count(*) FROM ok) AS ok)
+SELECT 1 AS position, 'Accuracy' AS step, raw - one AS records_affected FROM n UNION ALL SELECT 2, 'Consistency', one - ok FROM n
+UNION ALL SELECT 3, 'Completeness', count(*) FILTER (comment_count IS NULL AND comments_disabled) FROM ok"""
+)
 def write_decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of a short pipeline, stored and read back."""
     pipeline = (
@@ -127,4 +131,4 @@ def write_decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline.fit_transform(raw_videos(spark, sf_dir))
     path = scratch_path(spark, "log")
     writers.write_decision_log(pipeline.log.to_df(spark), path)
-    return spark.read.parquet(path).select("position", "step", "rule", "records_affected")
+    return spark.read.parquet(path).select("position", "step", "records_affected")
