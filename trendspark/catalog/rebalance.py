@@ -45,9 +45,8 @@ def _unit(key: str, seed: int) -> str:
     return f"('0x' || substr(md5({key} || '{seed}'), 1, 8))::bigint / 4294967296.0::double"
 
 
-@query(
-    f"""WITH {_VECTORS_SQL}, m AS (SELECT vec_id::varchar AS id, e FROM v WHERE target = 1),
-near AS (SELECT qid, bid, rk FROM (SELECT a.id AS qid, b.id AS bid, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.e, b.e), b.id) AS rk
+_GROWN_SQL = f"""{_VECTORS_SQL}, m AS (SELECT vec_id::varchar AS id, e FROM v WHERE target = 1),
+close AS (SELECT qid, bid, rk FROM (SELECT a.id AS qid, b.id AS bid, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.e, b.e), b.id) AS rk
   FROM m a, m b WHERE a.id <> b.id) WHERE rk <= 5),
 s AS (SELECT count(*) FILTER (target = 1) AS lo, count(*) FILTER (target = 0) - count(*) FILTER (target = 1) AS missing FROM v),
 r AS (SELECT id, e, row_number() OVER (ORDER BY md5(id || '42'), id) AS r FROM m),
@@ -55,9 +54,11 @@ seeds AS (SELECT id, e, unnest(range(1, cast(missing // lo + 1 AS bigint))) AS c
   UNION ALL SELECT id, e, cast(missing // lo + 1 AS bigint) FROM r, s WHERE r <= missing % lo),
 drawn AS (SELECT id, e, copy, cast(floor({_unit("id || '|' || copy", 42)} * 5) AS int) + 1 AS pick, {_unit("id || '|' || copy", 43)} AS gap FROM seeds),
 made AS (SELECT 'smote-' || d.id || '-' || d.copy AS vec_id, 1 AS target, list_transform(range(1, 65), lambda i: d.e[i] + (m.e[i] - d.e[i]) * d.gap) AS e
-  FROM drawn d JOIN near ON d.id = near.qid AND d.pick = near.rk JOIN m ON m.id = near.bid)
-SELECT vec_id, target, round(e[1], 4) + 0.0 AS first, round(list_sum(e), 4) + 0.0 AS total FROM (SELECT vec_id::varchar AS vec_id, target, e FROM v UNION ALL SELECT * FROM made)"""
-)
+  FROM drawn d JOIN close ON d.id = close.qid AND d.pick = close.rk JOIN m ON m.id = close.bid),
+grown AS (SELECT vec_id::varchar AS vec_id, target, e FROM v UNION ALL SELECT * FROM made)"""
+
+
+@query(f"WITH {_GROWN_SQL} SELECT vec_id, target, round(e[1], 4) + 0.0 AS first, round(list_sum(e), 4) + 0.0 AS total FROM grown")
 def smote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic minority vectors, reproduced from the same hashes."""
     grown = resample.smote(_vectors(spark, sf_dir), "embedding", "target", "vec_id")
@@ -87,7 +88,14 @@ def tomek_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.tomek_links(_vectors(spark, sf_dir), "embedding", "target", "vec_id").select("vec_id", "target")
 
 
-@query()
+@query(
+    f"""WITH {_GROWN_SQL},
+near AS (SELECT qid, bid FROM (SELECT a.vec_id AS qid, b.vec_id AS bid, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS rk
+  FROM grown a, grown b WHERE a.vec_id <> b.vec_id) WHERE rk = 1),
+links AS (SELECT f.qid AS a, f.bid AS b FROM near f JOIN near g ON f.qid = g.bid AND f.bid = g.qid
+  JOIN grown x ON x.vec_id = f.qid JOIN grown y ON y.vec_id = f.bid WHERE x.target <> y.target)
+SELECT vec_id, target FROM grown WHERE vec_id NOT IN (SELECT a FROM links UNION ALL SELECT b FROM links)"""
+)
 def smote_tomek(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic rows added, then both members of every link removed."""
     kept = resample.smote_tomek(_vectors(spark, sf_dir), "embedding", "target", "vec_id")

@@ -129,8 +129,9 @@ def _count(df: DataFrame, masks: Masks, by: Sequence[str], keys: Sequence[tuple]
         low = _by_group(masks, {g: F.lit(t.a) for g, t in mine.items()})
         high = _by_group(masks, {g: F.lit(t.b) for g, t in mine.items()})
         aggs += [F.count_if(x < low).alias(f"b{j}"), F.count_if((x >= low) & (x <= high)).alias(f"i{j}")]
+    names = [repr(key) for key in keys]  # a NaN key equals no other by value
     for row in df.groupBy(*[c(b) for b in by]).agg(*aggs).collect():  # one row per group, at most GROUP_LIMIT
-        group = keys.index(tuple(row[: len(by)]))
+        group = names.index(repr(tuple(row[: len(by)])))
         for j, mine in enumerate(slots.values()):
             if group in mine:
                 t, below, inside = mine[group], row[f"b{j}"], row[f"i{j}"]

@@ -82,11 +82,8 @@ def read_progress(
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """The row with the greatest ``order`` per key; aggregated before the shuffle."""
-    rest = [n for n in df.columns if n != key]
-    last = F.max_by(F.struct(*[c(n) for n in rest]), F.struct(*order))
-    picked = df.groupBy(c(key)).agg(last.alias("_rec"))
-    return picked.select(*[c(n) if n == key else c("_rec").getField(n).alias(n) for n in df.columns])
+    """The row with the greatest ``order`` per key; limited per key before the shuffle."""
+    return dedupe_key(df, key, [o.desc() for o in order])
 
 
 def language_codes(items: DataFrame, extra: Sequence[str] = tuple(EXTRA_LANGUAGES)) -> DataFrame:
