@@ -220,3 +220,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learned, 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query()
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.bagminhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
