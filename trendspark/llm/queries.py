@@ -227,3 +227,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trendspark.llm.bagminhash import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query()
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.brown import score_texts
+
+    return score_texts(_table(spark, sf_dir, "documents"))
