@@ -234,3 +234,10 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trendspark.llm.brown import score_texts
 
     return score_texts(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
