@@ -85,10 +85,6 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def suffix_group(word: bytes) -> int:
-    return zlib.crc32(word[-SUFFIX_BYTES:]) % SUFFIX_GROUPS
-
-
 def frequent_words(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
     """At most ``limit`` words, all above a common count, by that count; the end token is always there."""
     level = F.floor(F.log2(F.col("n").cast("double")) * 16)
@@ -112,27 +108,31 @@ class Units:
     number: dict[bytes, int]
     counts: np.ndarray
     own: dict[bytes, int]
+    n_words: int
+    n_groups: int
 
     @classmethod
-    def build(cls, frequent: list[tuple[bytes, int]], n_words: int) -> Units:
+    def build(cls, frequent: list[tuple[bytes, int]], n_words: int, n_groups: int) -> Units:
         words = [w for w, _ in frequent if w != END][:n_words]
         return cls(
             {w: i for i, (w, _) in enumerate(frequent)},
             np.array([n for _, n in frequent], np.int64),
             {w: i for i, w in enumerate(words)},
+            n_words,
+            n_groups,
         )
 
     def unit(self, word: bytes) -> int:
         at = self.own.get(word)
-        return CLUSTER_WORDS + suffix_group(word) if at is None else at
+        return self.n_words + zlib.crc32(word[-SUFFIX_BYTES:]) % self.n_groups if at is None else at
 
     @property
     def end(self) -> int:
-        return CLUSTER_WORDS + SUFFIX_GROUPS
+        return self.n_words + self.n_groups
 
     @property
     def size(self) -> int:
-        return CLUSTER_WORDS + SUFFIX_GROUPS + 1
+        return self.n_words + self.n_groups + 1
 
 
 def _stream(units: np.ndarray, codes: np.ndarray, rows: np.ndarray, n: int, end: int) -> np.ndarray:
@@ -275,7 +275,7 @@ class Model:
 def train(df: DataFrame, text: str, counts: DataFrame) -> Model:
     """The model of the texts of ``df``, whose word counts are ``counts``."""
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    units = Units.build(frequent_words(counts, FREQUENT_WORDS), CLUSTER_WORDS)
+    units = Units.build(frequent_words(counts, FREQUENT_WORDS), CLUSTER_WORDS, SUFFIX_GROUPS)
     shared = df.sparkSession.sparkContext.broadcast(units)
     assigned, pairs = exchange_classes(stored(unit_bigrams(df, text, shared), "unit_bigrams"), units)
 

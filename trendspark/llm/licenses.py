@@ -185,7 +185,8 @@ def found_in(index: Index, prints: np.ndarray, places: list[tuple[int, int, int]
         t = group[0][0]
         template, band = index.words[t], _band(index.words[t])
         matches, first, end = aligned(template, words, group[0][1] - band, group[-1][1] + band)
-        if matches >= min_coverage * len(template):
+        # Most of the template must stand there, and most of what stands there must be the template.
+        if matches and matches >= min_coverage * max(len(template), end - first):
             out.append((t, matches / len(template), first, end))
     # Templates share wording: of overlapping matches the one with most words counts, then the one that fits best.
     def rank(found: tuple[int, float, int, int]) -> tuple:
