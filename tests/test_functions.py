@@ -190,3 +190,37 @@ def test_chapters_prefer_markers(spark):
     assert [tuple(x) for x in one(spark, expr, p=json.dumps(described), i=json.dumps(markers([chapter])))] == [("A", 61)]
     assert [tuple(x) for x in one(spark, expr, p=json.dumps(described), i="{}")] == [("Text", 60)]
     assert [tuple(x) for x in one(spark, expr, p=json.dumps({**markers([{"chapterRenderer": {}}]), **described}), i="{}")] == [("Text", 60)]
+
+
+def test_emoji_ranges_are_unicodes(spark):
+    import regex
+    from pyspark.sql import functions as F
+
+    from trendspark.functions import text
+
+    ranges = [[int(x, 16) for x in part.split("-")] for part in text._EMOJI_RANGES.split()]
+    ours = {x for r in ranges for x in range(r[0], r[-1] + 1)}
+    theirs = {x for x in range(0x80, 0x110000) if not 0xD800 <= x < 0xE000 and regex.match(r"\p{Emoji}", chr(x))} - set(range(0x1F1E6, 0x1F200))
+    assert ours == theirs
+    some = [("♪ ♫ ★ ☆ ✓ ✗ 🄐🅑 ☰ ❶ ➜", 0), ("☀ ❤️ ⭐ 1️⃣ 7 # *", 4), ("👨‍👩‍👧🇫🇷👍🏽", 3), (None, 0)]
+    df = spark.createDataFrame(some, "t string, n int")
+    assert df.filter(text.emoji_count(F.col("t")) != F.col("n")).count() == 0
+
+
+def test_paid_promotion_by_type(spark):
+    from trendspark.functions import pages
+    from pyspark.sql import functions as F
+
+    values = {'"0"': True, '""': False, "0": False, "0.0": False, "2.5": True, "{}": False, '{"a":1}': True, "[]": False, "[0]": True, "true": True, "false": False, "null": False}
+    df = spark.createDataFrame([(f'{{"paidContentOverlay": {v}}}', want) for v, want in values.items()] + [("{}", False)], "j string, want boolean")
+    got = df.select("j", "want", pages.paid_promotion(pages.parse_player(F.col("j"))).alias("got")).collect()
+    assert [r["j"] for r in got if r["got"] != r["want"]] == []
+
+
+def test_join_tags(spark):
+    from pyspark.sql import functions as F
+
+    from trendspark.functions import text
+
+    df = spark.createDataFrame([(["a", None, "b c"],), ([],), (None,)], "t array<string>")
+    assert [r[0] for r in df.select(text.join_tags(F.col("t"))).collect()] == ["a b c", "", ""]

@@ -35,9 +35,10 @@ from trendspark.session import c
 
 
 def test_align_columns(spark):
-    df = spark.createDataFrame([(1, 2)], "A int, B int")
-    out = projection.align_columns(df, spark.createDataFrame([], "B int, C string").schema)
-    assert out.columns == ["B", "C"] and out.first()["C"] is None
+    df = spark.createDataFrame([("x", 2, 3.5)], "gone string, kept int, `dotted.name` double")
+    wanted = spark.createDataFrame([], "`dotted.name` double, added date, kept int").schema
+    out = projection.align_columns(df, wanted)
+    assert out.schema.simpleString() == wanted.simpleString() and out.first()["added"] is None and out.first()["kept"] == 2
 
 
 def test_drop_columns_takes_dotted_names_exactly(spark):
@@ -441,3 +442,39 @@ def test_filters_reach_the_scan(spark):
 
 def test_math_is_plain():
     assert math.isclose(neighbors._distances(np.array([[0.0, 3.0]]), np.array([[4.0, 0.0]]))[0, 0], 5.0)
+
+
+# --- NaN is missing ----------------------------------------------------------------------
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (nan, 5.0), (3.0, 6.0), (4.0, nan)], "x double, y double")
+    row = aggregates.numeric_summary(df, ["x"]).first()
+    assert (row["n"], row["min"], row["max"]) == (3, 1.0, 4.0) and row["mean"] == pytest.approx(8 / 3)
+    assert [r["n"] for r in distribution.histogram(df, "x", 3).orderBy("bin").collect()] == [1, 0, 2]
+    assert distribution.pearson(df, ["x", "y"]).first()["r"] == pytest.approx(1.0)
+    assert distribution.skew(df, ["x"]).first()["skew"] == pytest.approx(pd.Series([1.0, 3.0, 4.0]).skew())
+    assert not any(math.isnan(v) for v in distribution.fences(df, ["x"], "zscore")["x"])
+    scores = [r["x_z"] for r in transforms.zscore(df, ["x"]).collect()]
+    assert scores[1] is None and scores[0] == pytest.approx((1 - 8 / 3) / np.std([1, 3, 4], ddof=1))
+    wild = spark.createDataFrame([(float(i),) for i in range(50)] + [(1e9,), (nan,)], "x double")
+    assert not checks.check_outliers_z(wild, ["x"]).first()["passed"]
+    assert checks.check_outliers_z(wild, ["x"]).first()["issue_count"] == 1
+
+
+def test_rules_compare_text_as_numbers(spark):
+    df = spark.createDataFrame([("9", "10", "0", "true"), ("11", "10", "bad", "true")], "likes string, view_count string, comment_count string, comments_disabled string")
+    got = {r["rule"]: r["violations"] for r in filters.violations(df).collect()}
+    assert got == {"disabled_with_comments": 1, "likes_above_views": 1}
+
+
+def test_fill_when_takes_the_column_type(spark):
+    df = spark.createDataFrame([("abc",), (None,)], "t string")
+    assert [r["t"] for r in transforms.fill_when(df, "t", F.lit(True), 0).collect()] == ["abc", "0"]
+
+
+def test_quick_summary_reports_every_column(spark):
+    df = spark.createDataFrame([tuple([None, *range(14)])], "t int, " + ", ".join(f"c{i} int" for i in range(14)))
+    rows = checks.quick_summary(df.union(df), "t").filter("section = 'numeric'").select("name").distinct()
+    assert rows.count() == 15

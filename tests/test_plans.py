@@ -29,10 +29,10 @@ RAW = "video_id string, view_count int, likes int, comment_count int, comments_d
 @pytest.fixture
 def raw(spark):
     data = [
-        ("vid1", 1000, 100, 10, "False", "['tag1', 'tag2']", "en-US", "PT1H5M", "Title 1 😊", "Desc 1"),
-        ("vid2", 500, 600, 5, "False", "tag3, tag4", "es-ES", "PT30S", "Title 2", None),
-        ("vid3", 2000, 150, 20, "True", None, "invalid-code", "P1DT2H", "Title 3", "Desc 3"),
-        ("vid1", 1000, 100, 10, "False", "['tag1', 'tag2']", "en-US", "PT1H5M", "Title 1 😊", "Desc 1"),
+        ("k-01", 90210, 4411, 37, "False", "[surf, 'sun set']", "pt-BR", "PT2M8S", "Waves 🌊 at dawn", "Shot by hand"),
+        ("k-02", 77, 78, 0, "False", "one,two , three", "de-AT", "PT45S", "More likes than views", None),
+        ("k-03", 640, 31, 4, "True", None, "??", "P2DT1M", "Comments though disabled", "x"),
+        ("k-01", 90210, 4411, 37, "False", "[surf, 'sun set']", "pt-BR", "PT2M8S", "Waves 🌊 at dawn", "Shot by hand"),
     ]
     return spark.createDataFrame([(*row, i) for i, row in enumerate(data)], RAW + ", _row int")
 
@@ -88,16 +88,16 @@ def test_language_codes(spark, tmp_path):
 
 def test_flatten_items(spark, tmp_path):
     item = {
-        "id": "vid1",
-        "snippet": {"title": "My Video", "tags": ["a"], "thumbnails": {"default": {"url": "http://img.png"}, "high": {"url": "x"}}},
-        "statistics": {"viewCount": "100"},
-        "contentDetails": {"regionRestriction": {"blocked": ["FR"]}},
+        "id": "q-77",
+        "snippet": {"title": "Knots", "tags": ["rope", "sea"], "thumbnails": {"default": {"url": "https://i.test/7.jpg"}, "maxres": {"url": "big"}}},
+        "statistics": {"viewCount": "12"},
+        "contentDetails": {"regionRestriction": {"blocked": ["SE", "NO"]}},
     }
     target = tmp_path / "items.json"
     target.write_text(json.dumps([item]))
     out = acquire.items_table(readers.read_items_json(spark, str(target)))
     assert set(out.columns) == {"video_id", "title", "tags", "thumbnail_link", "view_count", "contentDetails.regionRestriction.blocked"}
-    assert out.first()["thumbnail_link"] == "http://img.png"
+    assert out.first()["thumbnail_link"] == "https://i.test/7.jpg"
     assert flatten.flat_name(("a", "b", "c")) == "a.b.c"
 
 
@@ -120,20 +120,20 @@ def test_cached_computes_once(spark):
 def test_steps(spark, raw):
     once = cleaning.remove_duplicates(raw)
     assert once.count() == 3
-    assert {r["video_id"] for r in cleaning.filter_invalid_rows(raw).collect()} == {"vid1"}
-    described = cleaning.fix_description(raw).filter("video_id = 'vid2'").first()
+    assert {r["video_id"] for r in cleaning.filter_invalid_rows(raw).collect()} == {"k-01"}
+    described = cleaning.fix_description(raw).filter("video_id = 'k-02'").first()
     assert described["description"] == ""
     filled = cleaning.fix_comment_count(spark.createDataFrame([(None, "True"), (None, "False"), (5, "False")], "comment_count int, comments_disabled string"))
     assert [r["comment_count"] for r in filled.collect()] == [0, None, 5]
 
 
 def test_default_pipeline(spark, raw):
-    codes = spark.createDataFrame([("en",), ("es",)], "code string")
+    codes = spark.createDataFrame([("pt",), ("de",)], "code string")
     pipeline = cleaning.build_default_pipeline(codes)
     out = pipeline.fit_transform(raw)
     row = out.first()
-    assert out.count() == 1 and row["video_id"] == "vid1" and row["tags"] == ["'tag1'", "'tag2'"]
-    assert row["view_count"] == pytest.approx(np.log1p(1000)) or row["view_count"] is not None
+    assert out.count() == 1 and row["video_id"] == "k-01" and row["tags"] == ["surf", "'sun set'"]
+    assert row["view_count"] == pytest.approx(np.log1p(90210))
     assert pipeline.log.initial_shape == (4, 11) and pipeline.log.final_shape[0] == 1
     log = [(r["step"], r["records_affected"]) for r in pipeline.log.to_df(spark).orderBy("position").collect()]
     assert log[:2] == [("Accuracy", 1), ("Consistency", 2)] and len(log) == 11
@@ -150,19 +150,19 @@ def test_language_log_counts_replacements(spark):
 
 
 def test_pipeline_is_open(spark):
-    seen = []
+    given = []
 
-    def step(df, log=None, magic=None):
-        seen.append(magic)
+    def keep_below(df, log=None, top=None):
+        given.append(top)
         if log is not None:
-            log.record("Test Step", "Rule 1", log.count(df, F.col("a") > 1), "Drop", "Test")
-        return df.filter("a <= 1")
+            log.record("Own step", "too large", log.count(df, F.col("size") >= top), "drop", "none")
+        return df.filter(F.col("size") < top)
 
     pipeline = cleaning.CleaningPipeline()
-    assert pipeline.add_step("One", step, magic=42) is pipeline
-    out = pipeline.fit_transform(spark.createDataFrame([(1,), (2,), (3,)], "a int"))
-    assert out.count() == 1 and seen == [42]
-    assert pipeline.log.initial_shape == (3, 1) and pipeline.log.final_shape == (1, 1)
+    assert pipeline.add_step("Below", keep_below, top=7) is pipeline
+    out = pipeline.fit_transform(spark.createDataFrame([(v, "x") for v in (9, 3, 7, 6)], "size int, name string"))
+    assert sorted(r["size"] for r in out.collect()) == [3, 6] and given == [7]
+    assert pipeline.log.initial_shape == (4, 2) and pipeline.log.final_shape == (2, 2)
     assert pipeline.log.to_df(spark).first()["records_affected"] == 2
 
 
@@ -221,16 +221,16 @@ def separable(spark):
 
 def test_build_features(spark):
     data = [
-        ("v1", 100, 10, 1000, "['tag1', 'tag2']", "Title 1", "Desc 1", 1, 0, "2024-01-01T12:00:00Z", "PT1M", "en-US"),
-        ("v2", 200, 20, 2000, "tag3,tag4", "Title 2 😊", "Desc 2", 0, 5, "2024-01-02T15:30:00Z", "PT2M", "es-ES"),
+        ("a", 7, 3, 55, "[red, 'deep blue', ]", "Two 🎈 and one 🚀!", "Long TEXT", 0, 12, "2023-12-31T23:05:00Z", "PT3H7S", "nb-NO"),
+        ("b", 0, 0, 0, '["x", "y", "z"]', "plain", "", 4, 0, "2024-02-29T00:00:00Z", "P1DT1S", None),
     ]
     names = "video_id string, likes int, comment_count int, view_count int, tags string, title string, description string, card_count int, chapter_count int, publishedAt string, duration string, defaultLanguage string"
     out = features.build_features(spark.createDataFrame(data, names), encode=lambda texts: [[0.1, 0.2]] * len(texts)).orderBy("video_id").collect()
-    assert [r["has_cards"] for r in out] == [1, 0] and [r["has_chapter"] for r in out] == [0, 1]
-    assert [r["tag_count"] for r in out] == [2, 2] and [r["tags_joined"] for r in out] == ["tag1 tag2", ""]
-    assert [r["publish_hour"] for r in out] == [12, 15] and [r["publish_dayofweek"] for r in out] == [0, 1]
-    assert [r["duration_seconds"] for r in out] == [60, 120] and [r["title_emoji_count"] for r in out] == [0, 1]
-    assert out[0]["tags_joined_emb"] == pytest.approx([0.1, 0.2])
+    assert [r["has_cards"] for r in out] == [0, 1] and [r["has_chapter"] for r in out] == [1, 0]
+    assert [r["tag_count"] for r in out] == [3, 3] and [r["tags_joined"] for r in out] == ["", "x y z"]
+    assert [r["publish_hour"] for r in out] == [23, 0] and [r["publish_dayofweek"] for r in out] == [6, 3]
+    assert [r["duration_seconds"] for r in out] == [10807, 86401] and [r["title_emoji_count"] for r in out] == [2, 0]
+    assert out[1]["tags_joined_emb"] == pytest.approx([0.1, 0.2])
 
 
 def test_embed_text(spark):
@@ -239,9 +239,9 @@ def test_embed_text(spark):
     assert all(len(v) == 32 for v in out.values())
     assert np.linalg.norm(out[1]) == pytest.approx(1.0, abs=1e-5)
     assert (out[2] == out[3]).all()
-    texts = []
-    embed_text(df, ["t"], lambda batch: [[float(len(t))] for t in batch]).collect()
-    assert texts == []
+    given = embed_text(df, ["t"], lambda batch: [[float(len(t or ""))] for t in batch]).orderBy("i").collect()
+    assert [r["t_emb"] for r in given] == [[5.0], [7.0], [7.0], [3.0]]  # a missing text is the word "missing"
+
 
 
 def test_pca_is_centred_with_fixed_sign(spark):

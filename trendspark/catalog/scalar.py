@@ -73,9 +73,11 @@ def tag_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, sf_dir).select("p_partkey", text.comma_pieces(c("tags")).alias("tag_count"))
 
 
-@query("SELECT p_partkey, replace(p_name, ' ', ' ') AS tags_joined FROM part")
+@query("SELECT p_partkey, replace(p_name, ' ', '; ') AS tags_joined FROM part")
 def join_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.split("p_name", " "), " ").alias("tags_joined"))
+    """The words of a name as a list with a null entry, joined again by another sign."""
+    tags = F.concat(F.split("p_name", " "), F.array(F.lit(None).cast("string")))
+    return table(spark, sf_dir, "part").select("p_partkey", text.join_tags(tags, "; ").alias("tags_joined"))
 
 
 @query("SELECT doc_id, cast(coalesce(length(text), 0) AS int) AS text_length, cast(coalesce(length(CASE WHEN lang = 'en' THEN source END), 0) AS int) AS source_length FROM documents")
@@ -106,9 +108,8 @@ def emoji_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emoji sequences in document text, after planting a known number of them in each."""
     docs = table(spark, sf_dir, "documents")
     mark = F.get(F.array(*[F.lit(e) for e in _EMOJI]), (c("doc_id") % 6).cast("int"))
-    planted = F.concat(
-        F.regexp_replace(c("text"), text.EMOJI_PATTERN, ""), F.repeat(F.concat(F.lit(" "), mark), (c("doc_id") % 4).cast("int"))
-    )
+    # Symbols that are no emoji stand beside the planted ones; the texts themselves are counted as they are.
+    planted = F.concat(c("text"), F.lit(" ♪ ★ ✓ ☰ ❶ ➜ 🄐"), F.repeat(F.concat(F.lit(" "), mark), (c("doc_id") % 4).cast("int")))
     return docs.select("doc_id", text.emoji_count(planted).alias("emoji_count"))
 
 

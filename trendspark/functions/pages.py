@@ -60,7 +60,7 @@ _CONTENTS = "contents:" + _struct_path(
 _PLAYER_DDL = (
     f"struct<{_OVERLAYS},{_CARDS},videoDetails:struct<shortDescription:string>,"
     "playabilityStatus:struct<status:string,playableInEmbed:string>,"
-    "microformat:struct<playerMicroformatRenderer:struct<isFamilySafe:string>>,paidContentOverlay:string>"
+    "microformat:struct<playerMicroformatRenderer:struct<isFamilySafe:string>>,paidContentOverlay:variant>"
 )
 _INITIAL_DDL = f"struct<{_OVERLAYS},{_CONTENTS}>"
 
@@ -206,5 +206,15 @@ def comments_disabled(initial: Column) -> Column:
 
 
 def paid_promotion(player: Column) -> Column:
-    """The overlay is present and not an empty value."""
-    return F.coalesce(~player["paidContentOverlay"].isin("", "{}", "[]", "false", "0", "null"), F.lit(False))
+    """The overlay is present and not an empty value: text, number, list and object each by their own type."""
+    value = player["paidContentOverlay"]
+    kind = F.schema_of_variant(value)
+    told = (
+        F.when(kind == "VOID", F.lit(False))
+        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
+        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
+        .when(kind.startswith("ARRAY"), F.to_json(value) != "[]")
+        .otherwise(F.try_variant_get(value, "$", "double") != 0)
+    )
+    return F.coalesce(told, F.lit(False))

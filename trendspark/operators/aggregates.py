@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendspark.functions.numbers import known_number
 from trendspark.operators.projection import is_numeric, names_by_rule
 from trendspark.operators.quantiles import quantiles
 from trendspark.session import c
@@ -40,7 +41,7 @@ def value_shares(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("share", c("n") / total)
 
 
-def null_counts(df: DataFrame, top: int | None = 10) -> DataFrame:
+def null_counts(df: DataFrame, top: int | None = None) -> DataFrame:
     """(column, nulls) of columns with any null, most first; one pass over the table."""
     names = df.columns
     counts = df.agg(*[F.count_if(missing(df, n)).alias(f"m{i}") for i, n in enumerate(names)])
@@ -54,7 +55,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     names = list(cols) if cols is not None else names_by_rule(df, is_numeric)
     aggs = []
     for i, name in enumerate(names):
-        x = c(name).cast("double")
+        x = known_number(name)
         aggs += [
             F.count(x).alias(f"n{i}"),
             F.avg(x).alias(f"mean{i}"),

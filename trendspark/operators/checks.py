@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendspark.functions.numbers import known_number
 from trendspark.functions.text import is_blank, literal_list_length, normalize_language
 from trendspark.functions.times import as_timestamp
 from trendspark.operators import aggregates
@@ -151,7 +152,7 @@ def iqr_probes(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> list[Probe
             )
             continue
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        probes.append(zero_count("Outliers", "outliers_iqr", n, (c(n) < lo) | (c(n) > hi)))
+        probes.append(zero_count("Outliers", "outliers_iqr", n, (known_number(n) < lo) | (known_number(n) > hi)))
     return probes
 
 
@@ -163,7 +164,7 @@ def zscore_probes(df: DataFrame, cols: Sequence[str], threshold: float = 5.0) ->
     bounds = fences(df, _present(df, cols), "zscore", z=threshold)
     # Equal fences mean no spread, and then no value lies outside them.
     return [
-        zero_count("Outliers", "outliers_zscore", n, (c(n) < lo) | (c(n) > hi) if lo < hi else F.lit(False))
+        zero_count("Outliers", "outliers_zscore", n, (known_number(n) < lo) | (known_number(n) > hi) if lo < hi else F.lit(False))
         for n, (lo, hi) in bounds.items()
     ]
 
@@ -195,7 +196,7 @@ def variance_probes(df: DataFrame, cols: Sequence[str]) -> list[Probe]:
         return ~constant, F.when(constant, 1).otherwise(0), no_detail()
 
     return [
-        Probe("Distribution", "variance", n, [F.stddev_samp(c(n).cast("double"))], verdict) for n in _present(df, cols)
+        Probe("Distribution", "variance", n, [F.stddev_samp(known_number(n))], verdict) for n in _present(df, cols)
     ]
 
 
@@ -325,8 +326,11 @@ def scorecard(checks: DataFrame) -> DataFrame:
     )
 
 
-def quick_summary(df: DataFrame, target: str, top_nulls: int = 10, numeric_cols: int = 8) -> DataFrame:
-    """Shape, target distribution, null counts and numeric ranges as (section, name, metric, value)."""
+def quick_summary(df: DataFrame, target: str, top_nulls: int | None = None, numeric_cols: int | None = None) -> DataFrame:
+    """Shape, target distribution, null counts and numeric ranges as (section, name, metric, value).
+
+    All columns are reported; ``top_nulls`` and ``numeric_cols`` shorten a printed page.
+    """
 
     def lines(frame: DataFrame, section: str, name: Column, metrics: Mapping[str, Column]) -> DataFrame:
         cells = [F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in metrics.items()]
@@ -341,7 +345,7 @@ def quick_summary(df: DataFrame, target: str, top_nulls: int = 10, numeric_cols:
         )
     out = out.unionByName(lines(aggregates.null_counts(df, top_nulls), "nulls", c("column"), {"nulls": c("nulls")}))
     names = names_by_rule(df, is_numeric)[:numeric_cols]
-    aggs = [e for i, n in enumerate(names) for e in (F.avg(c(n)).alias(f"a{i}"), F.min(c(n)).alias(f"b{i}"), F.max(c(n)).alias(f"c{i}"))]
+    aggs = [e for i, n in enumerate(names) for e in (F.avg(known_number(n)).alias(f"a{i}"), F.min(known_number(n)).alias(f"b{i}"), F.max(known_number(n)).alias(f"c{i}"))]
     cells = [
         F.struct(F.lit(n).alias("name"), c(f"a{i}").cast("double").alias("mean"), c(f"b{i}").cast("double").alias("min"), c(f"c{i}").cast("double").alias("max"))
         for i, n in enumerate(names)

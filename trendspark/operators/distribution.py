@@ -9,13 +9,14 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.functions.numbers import known_number
 from trendspark.operators.prefix import running_totals
 from trendspark.operators.quantiles import quantile_map, quantiles
 from trendspark.session import c, durable
 
 
 def log1p_columns(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*[c(k) for k in keep], *[F.log1p(c(n).cast("double")).alias(n) for n in cols])
+    return df.select(*[c(k) for k in keep], *[F.log1p(known_number(n)).alias(n) for n in cols])
 
 
 def box_stats(df: DataFrame, group: str, cols: Sequence[str], k: float = 1.5) -> DataFrame:
@@ -28,7 +29,7 @@ def box_stats(df: DataFrame, group: str, cols: Sequence[str], k: float = 1.5) ->
         "_hi", c("q3") + k * (c("q3") - c("q1"))
     )
     boxes = durable(boxes, "boxes")
-    cells = F.array(*[F.struct(F.lit(n).alias("column"), c(n).cast("double").alias("value")) for n in cols])
+    cells = F.array(*[F.struct(F.lit(n).alias("column"), known_number(n).alias("value")) for n in cols])
     long = df.select(c(group), F.inline(cells)).filter("value is not null")
     inside = (c("value") >= c("_lo")) & (c("value") <= c("_hi"))
     return (
@@ -49,7 +50,7 @@ def _bin_index(value: Column, lo: float, hi: float, bins: int) -> Column:
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """(bin, lo, hi, n) over equal-width bins between min and max; the last bin is closed."""
-    x = c(col).cast("double")
+    x = known_number(col)
     low, high = df.agg(F.min(x), F.max(x)).first()
     if low is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
@@ -76,7 +77,7 @@ def kde_grid(df: DataFrame, group: str, col: str, grid: int = 200, bins: int = 1
     The kernel runs over a fine histogram, so its cost does not grow with the
     rows. Groups are classes of a target: each contributes bins x grid cells.
     """
-    x = c(col).cast("double")
+    x = known_number(col)
     rows = df.select(c(group).alias("grp"), x.alias("x")).filter("x is not null and grp is not null")
     stats = durable(
         rows.groupBy("grp")
@@ -105,7 +106,7 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = list(combinations(cols, 2))
 
     def both(a: str, b: str) -> Column:
-        return F.corr(c(a).cast("double"), c(b).cast("double"))
+        return F.corr(known_number(a), known_number(b))
 
     row = df.agg(*[both(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), c(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
@@ -177,7 +178,7 @@ def skew(df: DataFrame, cols: Sequence[str], adjusted: bool = True) -> DataFrame
     """(column, skew); the adjusted figure corrects for sample size."""
     aggs = []
     for i, name in enumerate(cols):
-        x = c(name).cast("double")
+        x = known_number(name)
         aggs += [F.skewness(x).alias(f"s{i}"), F.count(x).cast("double").alias(f"n{i}")]
     cells = []
     for i, name in enumerate(cols):
@@ -202,7 +203,7 @@ def fences(
         return out
     if method == "zscore":
         sd = F.stddev_samp if ddof == 1 else F.stddev_pop
-        row = df.agg(*[F.struct(F.avg(c(n).cast("double")), sd(c(n).cast("double"))) for n in cols]).first()
+        row = df.agg(*[F.struct(F.avg(known_number(n)), sd(known_number(n))) for n in cols]).first()
         return {n: (m - z * s, m + z * s) for n, (m, s) in zip(cols, row, strict=True) if m is not None and s is not None}
     raise ValueError(f"unknown outlier method {method!r}")
 
@@ -219,7 +220,7 @@ def outlier_bounds(
         )
     counts = df.agg(
         *[
-            F.count_if((c(n).cast("double") < lo) | (c(n).cast("double") > hi)).alias(f"o{i}")
+            F.count_if((known_number(n) < lo) | (known_number(n) > hi)).alias(f"o{i}")
             for i, (n, _, lo, hi) in enumerate(bounds)
         ]
     )

@@ -83,11 +83,12 @@ def video_rules(df: DataFrame, strict_types: bool = False) -> dict[str, Column]:
 
     rules: dict[str, Column] = {}
     if {"is_trending", "trending_date"} <= have:
-        rules["trending_without_date"] = (c("is_trending").cast("int") == 1) & c("trending_date").isNull()
+        trending = as_bool(c("is_trending")) | (number(c("is_trending")) == 1)
+        rules["trending_without_date"] = F.coalesce(trending, F.lit(False)) & c("trending_date").isNull()
     if {"comments_disabled", "comment_count"} <= have:
-        rules["disabled_with_comments"] = disabled(True) & ~c("comment_count").eqNullSafe(F.lit(0))
+        rules["disabled_with_comments"] = disabled(True) & ~_numeric(df, "comment_count").eqNullSafe(F.lit(0))
     if {"likes", "view_count"} <= have:
-        rules["likes_above_views"] = c("likes") > c("view_count")
+        rules["likes_above_views"] = _numeric(df, "likes") > _numeric(df, "view_count")
     rating = "contentDetails.contentRating.ytRating"
     if {rating, "comments_disabled"} <= have:
         rules["age_restricted_with_comments"] = (c(rating) == "ytAgeRestricted") & disabled(False)

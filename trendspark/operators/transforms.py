@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendspark.functions.numbers import known_number
 from trendspark.functions.text import as_bool
 from trendspark.operators.distribution import fences
 from trendspark.operators.filters import number
@@ -29,7 +30,7 @@ def log_transform(df: DataFrame, cols: Sequence[str], base: str = "natural") ->
     log = {"natural": F.log1p, "log2": lambda x: F.log2(x + 1), "log10": lambda x: F.log10(x + 1)}[base]
 
     def clipped(name: str) -> Column:
-        x = c(name).cast("double")
+        x = known_number(name)
         return F.when(x.isNotNull(), F.greatest(x, F.lit(0.0)))
 
     return df.withColumns({n: log(clipped(n)) for n in _present(df, cols)})
@@ -103,8 +104,9 @@ def cast_types(df: DataFrame, ints: Sequence[str], bools: Sequence[str]) -> Data
 
 
 def fill_when(df: DataFrame, col: str, condition: Column, value: object) -> DataFrame:
-    """Fill nulls of ``col`` on rows meeting ``condition``."""
-    return df.withColumn(col, F.when(c(col).isNull() & condition, F.lit(value)).otherwise(c(col)))
+    """Fill nulls of ``col`` on rows meeting ``condition``; the value takes the column's type."""
+    filled = F.lit(value).cast(df.schema[col].dataType)
+    return df.withColumn(col, F.when(c(col).isNull() & condition, filled).otherwise(c(col)))
 
 
 def fill_text(df: DataFrame, cols: Sequence[str], value: str = "", empty_too: bool = False) -> DataFrame:
@@ -122,11 +124,11 @@ def fill_text(df: DataFrame, cols: Sequence[str], value: str = "", empty_too: bo
 def zscore(df: DataFrame, cols: Sequence[str], ddof: int = 1, suffix: str = "_z") -> DataFrame:
     """Standard score per column; zero spread gives null."""
     sd = F.stddev_samp if ddof == 1 else F.stddev_pop
-    row = df.agg(*[F.struct(F.avg(c(n).cast("double")), sd(c(n).cast("double"))) for n in cols]).first()
+    row = df.agg(*[F.struct(F.avg(known_number(n)), sd(known_number(n))) for n in cols]).first()
     scores = {}
     for name, (mean, spread) in zip(cols, row, strict=True):
         usable = mean is not None and spread not in (None, 0.0)
-        scores[name + suffix] = (c(name) - mean) / spread if usable else F.lit(None).cast("double")
+        scores[name + suffix] = (known_number(name) - mean) / spread if usable else F.lit(None).cast("double")
     return df.withColumns(scores)
 
 

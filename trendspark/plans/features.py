@@ -46,7 +46,7 @@ def text_features(df: DataFrame) -> DataFrame:
             "description_length": text.text_length(c("description")),
             "title_has_caps_ratio": text.caps_ratio(c("title")),
             "tags": tags,
-            "tags_joined": F.array_join(tags, " "),
+            "tags_joined": text.join_tags(tags),
             **{f"{n}_emoji_count": text.emoji_count(c(n)) for n in EMOJI_COLUMNS},
         }
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,22 +32,14 @@ def c(name: str) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder.
-    """
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``; an error without one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     root = spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="trendspark-")
-    spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

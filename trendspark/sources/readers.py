@@ -28,7 +28,16 @@ def read_videos_csv(
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    return df.withColumn(ORDER_COLUMN, F.monotonically_increasing_id()) if order else df
+    return df.withColumn(ORDER_COLUMN, _place()) if order else df
+
+
+def _place() -> Column:
+    """Where a row stood: files by path, then the part of the file, then the order of reading."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
 
 
 def read_csv_keep_empty(
@@ -60,10 +69,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def cached(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """Read the backup at ``path``; if it is absent or unfinished, compute and write it first."""
+    """Read the backup at ``path``; if it is absent or unfinished, compute and write it first.
+
+    The backup is Parquet, so types and columns come back as they were, also of an empty table.
+    """
     if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        compute().write.mode("overwrite").json(path)
-    return spark.read.json(path)
+        compute().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_progress(
@@ -77,8 +89,8 @@ def read_progress(
     rows = rows.filter(c(key).isNotNull())
     if order is not None:
         return last_per_key(rows, key, [c(order)])
-    seen = rows.withColumns({"_file": F.col("_metadata.file_modification_time"), "_line": F.monotonically_increasing_id()})
-    return last_per_key(seen, key, [c("_file"), c("_line")]).drop("_file", "_line")
+    seen = rows.withColumns({"_time": F.col("_metadata.file_modification_time"), "_place": _place()})
+    return last_per_key(seen, key, [c("_time"), c("_place")]).drop("_time", "_place")
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
