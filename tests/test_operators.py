@@ -478,3 +478,27 @@ def test_quick_summary_reports_every_column(spark):
     df = spark.createDataFrame([tuple([None, *range(14)])], "t int, " + ", ".join(f"c{i} int" for i in range(14)))
     rows = checks.quick_summary(df.union(df), "t").filter("section = 'numeric'").select("name").distinct()
     assert rows.count() == 15
+
+
+def test_approximate_neighbours_keep_their_recall(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(0, 4, (20, 16))
+    data = [(i, [float(x) for x in centres[i % 20] + rng.normal(0, 1, 16)]) for i in range(1200)]
+    df = spark.createDataFrame(data, "id int, v array<double>")
+    exact = neighbors.knn_join(df, df, "v", 5, exclude_self=True, block_rows=64).cache()
+    found = neighbors.knn_join(df, df, "v", 5, exclude_self=True, block_rows=64, probes=4)
+    assert neighbors.recall(found, exact).first()["recall"] >= 0.9
+    assert neighbors.recall(exact, exact).first()["recall"] == 1.0
+    matrix = np.array([v for _, v in data])
+    np.fill_diagonal(d := np.sqrt(((matrix[:, None] - matrix[None]) ** 2).sum(2)), np.inf)
+    best = np.sort(d, axis=1)[:, :5]
+    got = {(r["qid"], r["rank"]): r["distance"] for r in exact.collect()}
+    assert all(got[i, k + 1] == pytest.approx(best[i, k]) for i in range(1200) for k in range(5))
+
+
+def test_neighbours_among_many_ties(spark):
+    df = spark.createDataFrame([(i, [float(i % 3), 0.0]) for i in range(90)], "id int, v array<double>")
+    rows = neighbors.knn_join(df, df, "v", 4, exclude_self=True, block_rows=16).collect()
+    for i in range(90):
+        want = [j for j in range(90) if j % 3 == i % 3 and j != i][:4]
+        assert [r["bid"] for r in sorted(rows, key=lambda r: r["rank"]) if r["qid"] == i] == want

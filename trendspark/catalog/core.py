@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.catalog.base import LABELLED_SQL, VIDEOS_SQL, labelled, query, rounded, table, videos
+from trendspark.catalog.base import LABELLED_SQL, REGISTRY, VIDEOS_SQL, labelled, query, rounded, table, videos
 from trendspark.functions.text import language_base
 from trendspark.operators import dedupe, filters, joins, neighbors, projection
 from trendspark.operators.aggregates import channel_stats
@@ -188,14 +188,11 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins ----------------------------------------------------------------------
 
 
-@query(
-    """SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_acctbal > 0"""
-)
+@query("SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
 def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    extra = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    return joins.enrich_left(base, extra, "o_custkey")
+    """Documents with their labels; many have none."""
+    base = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return joins.enrich_left(base, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id")
 
 
 @query(
@@ -213,19 +210,11 @@ def merge_scraped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.merge_scraped(vids.drop("comment_count"), scraped, "video_id", ["comments_disabled"])
 
 
-@query(
-    """WITH f AS (SELECT c_mktsegment, count(*) / (SELECT count(*) FROM customer WHERE c_nationkey < 20)::double AS share
-  FROM customer WHERE c_nationkey < 20 AND c_mktsegment <> 'BUILDING' GROUP BY 1)
-SELECT c_custkey, round(share, 4) AS share FROM customer LEFT JOIN f USING (c_mktsegment)"""
-)
+@query("SELECT d.doc_id, l.quality AS mapped FROM documents d LEFT JOIN labels l USING (doc_id)")
 def map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values replaced by a looked-up number; a value without one becomes null."""
-    customer = table(spark, sf_dir, "customer")
-    some = customer.filter("c_nationkey < 20")
-    total = some.agg(F.count(F.lit(1))).scalar()
-    shares = some.filter("c_mktsegment <> 'BUILDING'").groupBy("c_mktsegment").agg((F.count(F.lit(1)) / total).alias("share"))
-    out = joins.map_lookup(customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", durable(shares, "shares"), "share")
-    return rounded(out.withColumnRenamed("c_mktsegment", "share"), "share")
+    """Document ids replaced by their label; an id without one becomes null."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return joins.map_lookup(docs, "doc_id", table(spark, sf_dir, "labels"), "quality", "mapped")
 
 
 @query("SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -255,11 +244,27 @@ SELECT qid, bid, round(distance, 4) AS distance, cast(rank AS int) AS rank FROM
 )
 def nearest_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest other vectors of every vector."""
+    return _five_nearest(spark, sf_dir)
+
+
+def _five_nearest(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     vecs = table(spark, sf_dir, "embeddings")
-    out = neighbors.knn_join(vecs, vecs, "embedding", 5, "vec_id", "vec_id", exclude_self=True)
+    out = neighbors.knn_join(vecs, vecs, "embedding", 5, "vec_id", "vec_id", exclude_self=True, **options)
     return rounded(out, "distance")
 
 
+@query(REGISTRY["nearest_neighbors"].sql)
+def nearest_neighbors_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over many cells and blocks."""
+    return _five_nearest(spark, sf_dir, block_rows=64)
+
+
+@query()
+def approximate_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours found in the nearest half of the cells; recall is measured in the tests."""
+    return _five_nearest(spark, sf_dir, block_rows=64, probes=16)
+
+
 # --- sets and de-duplication ----------------------------------------------------
 
 

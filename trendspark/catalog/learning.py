@@ -73,7 +73,7 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models with an exact twin ----------------------------------------------------------
 
-_DIMS = 8
+_DIMS = 64
 _NB_SPLIT = "('0x' || substr(md5(vec_id::varchar || '42'), 1, 8))::bigint % 100"
 
 

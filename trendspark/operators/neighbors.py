@@ -1,4 +1,4 @@
-"""Exact k nearest neighbours by Euclidean distance, as an equi-join on pruned cells.
+"""k nearest neighbours by Euclidean distance, exact or approximate, as an equi-join on cells.
 
 Base rows go to the cell of their nearest pivot. A query visits only the cells
 that the triangle inequality cannot rule out, so no cross join is planned and
@@ -23,6 +23,8 @@ from trendspark.session import c, durable
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 256
+# Neighbours measured exactly beyond the k wanted ones, for ties within rounding.
+SPARE = 8
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -52,24 +54,34 @@ def _block_top_k(k: int, exclude_self: bool):
         b = _matrix(base["vec"])
         bid = base["id"].to_numpy()
         out_q, out_b, out_d = [], [], []
+        take = min(len(b), k + SPARE)
         for start in range(0, len(queries), 512):
             part = queries.iloc[start : start + 512]
-            q = _matrix(part["vec"])
+            q, qid = _matrix(part["vec"]), part["id"].to_numpy()
             rough = _distances(q, b) ** 2
-            # The product form rounds; keep everything within its error of the k-th, then measure exactly.
+            if exclude_self:
+                rough[bid[None, :] == qid[:, None]] = np.inf
+            near = np.argpartition(rough, take - 1, axis=1)[:, :take]
+            # The product form rounds: measure the nearest again, exactly.
+            exact = np.sqrt(((b[near] - q[:, None, :]) ** 2).sum(2))
+            exact[~np.isfinite(np.take_along_axis(rough, near, 1))] = np.inf
+            order = np.lexsort((bid[near], exact), axis=1)[:, :k]
+            chosen, far = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
+            # Rows with more near ties than spare places are settled one by one.
             slack = 1e-9 * (1.0 + (q * q).sum(1).max() + (b * b).sum(1).max())
-            for i, qid in enumerate(part["id"].to_numpy()):
-                row = rough[i]
-                if exclude_self:
-                    row = np.where(bid == qid, np.inf, row)
-                kth = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-                near = np.flatnonzero((row <= kth + slack) & np.isfinite(row))
-                exact = np.sqrt(((b[near] - q[i]) ** 2).sum(1))
-                best = near[np.lexsort((bid[near], exact))][:k]
-                exact = np.sqrt(((b[best] - q[i]) ** 2).sum(1))
-                out_q += [qid] * len(best)
-                out_b += list(bid[best])
-                out_d += list(exact)
+            tied = np.zeros(len(q), bool)
+            if take < len(b):
+                kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+                tied = (rough <= kth[:, None] + slack).sum(1) > take
+            for i in np.flatnonzero(tied):
+                some = np.flatnonzero((rough[i] <= kth[i] + slack) & np.isfinite(rough[i]))
+                there = np.sqrt(((b[some] - q[i]) ** 2).sum(1))
+                best = np.lexsort((bid[some], there))[:k]
+                chosen[i, : len(best)], far[i, : len(best)] = some[best], there[best]
+            row, place = np.nonzero(np.isfinite(far))
+            out_q += list(qid[row])
+            out_b += list(bid[chosen[row, place]])
+            out_d += list(far[row, place])
         return pd.DataFrame({"qid": out_q, "bid": out_b, "distance": out_d}) if out_q else empty
 
     return compare
@@ -85,8 +97,13 @@ def knn_join(
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,
     seed: int = 42,
+    probes: int | None = None,
 ) -> DataFrame:
-    """(qid, bid, distance, rank): the k nearest base rows of each query, ties by base key."""
+    """(qid, bid, distance, rank): the k nearest base rows of each query, ties by base key.
+
+    With ``probes`` the answer is approximate: a query visits only the cells of its ``probes`` nearest pivots, so its
+    cost does not grow with the cells. ``recall`` measures what is lost.
+    """
     b = base.select(c(base_key).alias("id"), c(vec).cast("array<double>").alias("vec")).filter("vec is not null")
     q = queries.select(c(query_key).alias("id"), c(vec).cast("array<double>").alias("vec")).filter("vec is not null")
     key_type = q.schema["id"].dataType
@@ -138,6 +155,8 @@ def knn_join(
                 bound = np.full(len(d), np.inf)
             margin = 1e-6 * (1.0 + np.abs(d))
             hit = np.isfinite(radius)[None, :] & (d - radius[None, :] <= bound[:, None] + margin)
+            if probes is not None:
+                hit &= d.argsort(axis=1).argsort(axis=1) < probes
             row, cell = np.nonzero(hit)
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell.astype("int32"))], names=["id", "vec", "cell"])
@@ -176,6 +195,14 @@ def knn_join(
     return best.withColumn("rank", F.row_number().over(nearest)).filter(c("rank") <= k)
 
 
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(wanted, hit, recall): the share of exact neighbours that an approximate join found."""
+    wanted = exact.select("qid", "bid").withColumn("wanted", F.lit(1))
+    both = wanted.join(found.select("qid", "bid").withColumn("hit", F.lit(1)), ["qid", "bid"], "left")
+    counts = both.agg(F.count("wanted").alias("wanted"), F.count("hit").alias("hit"))
+    return counts.withColumn("recall", F.try_divide(c("hit").cast("double"), c("wanted")))
+
+
 def knn_brute(queries: np.ndarray, base: np.ndarray, k: int) -> list[list[int]]:
     """Plain reference for tests: row numbers of the k nearest, ties by row number."""
     out = []
