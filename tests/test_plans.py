@@ -368,3 +368,72 @@ def test_trainer(spark, separable):
     assert trainer.best_f1 == max(m["f1"] for _, m in trainer.log)
     report = trainer.test_report(scratch_path(spark, "models"))
     assert {r["class"] for r in report.collect()} >= {"0", "1", "macro avg"}
+
+
+@pytest.mark.parametrize(
+    ("name", "mode", "given"),
+    [
+        ("train_knn", None, {"grid": {"n_neighbors": [3], "weights": ["uniform", "distance"]}}),
+        ("train_ada", "under", {"grid": {"n_estimators": [3], "learning_rate": [1.0]}, "trials": 1}),
+        ("train_svc", "over", {"grid": {"C": [1.0]}}),
+        ("train_random_forest", "balanced", {"grid": {"n_estimators": [5], "max_depth": [3], "min_samples_split": [2]}}),
+        ("train_gbt", None, {"space": {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 3), "learning_rate": ("log", 0.1, 0.3), "subsample": ("uniform", 0.8, 1.0)}, "trials": 2}),
+    ],
+)
+def test_every_trainer(spark, separable, name, mode, given):
+    names = [f"f{i}" for i in range(5)]
+    wide = separable.select("key", "label", "fold", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
+    parts = [wide.filter(F.col("fold") == k).drop("fold") for k in range(3)]
+    trainer = ModelTrainer(spark, *parts, "key", "label", names, folds=2)
+    got = getattr(trainer, name)(mode, **given)
+    assert got["f1"] > 0.6 and trainer.best_model is not None
+    assert trainer.test_report().count() >= 4
+
+
+def test_copies_have_the_same_keys_in_every_run(spark, separable):
+    wide = separable.select("key", "label", *[F.col("vec")[i].alias(f"f{i}") for i in range(5)])
+    trainer = ModelTrainer(spark, wide, wide, wide, "key", "label", [f"f{i}" for i in range(5)], folds=3)
+    one, two = ({(r["key"], r["fold"]) for r in trainer.sampled("over").select("key", "fold").collect()} for _ in range(2))
+    assert one == two and len(one) == 600
+    spread = trainer.sampled("over").groupBy("label", "fold").count().collect()
+    assert {r["count"] for r in spread} == {100}
+
+
+def test_random_search_does_not_depend_on_partitions(spark, separable):
+    space = {"maxDepth": ("int", 2, 4)}
+    found = [search.random_search(estimators.decision_tree(), space, 2, separable.repartition(n)).validationMetrics for n in (1, 5)]
+    assert found[0] == pytest.approx(found[1])
+
+
+def test_scoring_checks_feature_names(spark, separable):
+    wide = separable.select("label", "weight", *[F.col("vec")[i].alias(f"f{i}") for i in range(5)])
+    model = estimators.decision_tree(2).fit(assemble(wide, ["f0", "f1"]))
+    assert runs.score_batch(model, assemble(wide, ["f0", "f1"]), ["f0", "f1"]).count() == 400
+    with pytest.raises(ValueError, match="f1"):
+        runs.score_batch(model, assemble(wide, ["f0", "f2"]), ["f0", "f1"])
+
+
+def test_rows_follow_the_order_of_files(spark, tmp_path):
+    for name, n in (("a_first.csv", 1), ("b_second.csv", 400)):
+        (tmp_path / name).write_text("k,t\n" + f"same,{name}\n" * n)
+    df = readers.read_videos_csv(spark, str(tmp_path), T._parse_datatype_string("k string, t string"))
+    assert readers.keep_first(df, "k").first()["t"] == "a_first.csv"
+
+
+def test_backup_keeps_types_and_columns(spark):
+    schema = "id int, d date, x string, v array<double>"
+    for rows in ([(1, None, None, None)], []):
+        path = scratch_path(spark, "backup")
+        df = spark.createDataFrame(rows, schema)
+        assert readers.cached(spark, path, lambda df=df: df).schema == readers.cached(spark, path, lambda: None).schema == df.schema
+
+
+def test_acquire_keeps_one_row_per_candidate(spark):
+    base = spark.createDataFrame([("a", False)], "video_id string, is_trending boolean")
+    item = "id string, statistics struct<viewCount:int>"
+    details = spark.createDataFrame([("a", (5,)), ("a", (5,))], item)
+    hot = spark.createDataFrame([("h", (7,))], item)
+    new = spark.createDataFrame([("n", (2,)), ("n", (3,)), ("a", (9,))], item)
+    scraped = spark.createDataFrame([("n", 4)], "video_id string, card_count int")
+    out = [r["video_id"] for r in acquire.acquire(base, details, hot, new, scraped, "2024-05-06").collect()]
+    assert sorted(out) == ["a", "h", "n"]

@@ -245,20 +245,20 @@ def _scored(model, test: DataFrame) -> DataFrame:
 @query()
 def adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _ready(spark, sf_dir)
-    return _scored(fit_adaboost(train, rounds=10), test)
+    return _scored(fit_adaboost(train, rounds=50), test)
 
 
 @query()
 def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No probability from this model."""
     train, test = _ready(spark, sf_dir)
-    return _scored(estimators.linear_svc(train.count(), 1.0, "weight", 20).fit(train), test)
+    return _scored(estimators.linear_svc(train.count(), 1.0, "weight", 100).fit(train), test)
 
 
 @query()
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _ready(spark, sf_dir)
-    return _scored(estimators.random_forest(20, 5, weight="weight").fit(train), test)
+    return _scored(estimators.random_forest(100, 5, weight="weight").fit(train), test)
 
 
 @query()
@@ -276,7 +276,7 @@ def decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def gradient_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _ready(spark, sf_dir)
-    return _scored(estimators.gbt(10, 3, 0.2, 0.8, "weight").fit(train), test)
+    return _scored(estimators.gbt(50, 3, 0.2, 0.8, "weight").fit(train), test)
 
 
 @query()
@@ -295,7 +295,7 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drawn settings scored on one validation split."""
     train, _ = _ready(spark, sf_dir)
     space = {"maxDepth": ("int", 2, 5), "minInfoGain": ("log", 1e-4, 1e-1)}
-    found = search.random_search(estimators.decision_tree(), space, 3, train)
+    found = search.random_search(estimators.decision_tree(), space, 10, train, key="vec_id")
     return spark.createDataFrame([(i, float(f)) for i, f in enumerate(found.validationMetrics)], "setting int, f1 double")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
@@ -104,7 +104,13 @@ def feature_names(df: DataFrame, features: str = "features") -> list[str]:
     return [a["name"] for a in sorted(flat, key=lambda a: a["idx"]) if "name" in a]
 
 
-def score_batch(model: object, df: DataFrame) -> DataFrame:
-    """Prediction, trend flag and probability (null if unsupported) for every row."""
+def score_batch(model: object, df: DataFrame, expected: Sequence[str] | None = None, features: str = "features") -> DataFrame:
+    """Prediction, trend flag and probability (null if unsupported) for every row.
+
+    With ``expected``, the feature names recorded in the vector must be these, in this order.
+    """
+    if expected is not None and (got := feature_names(df, features)) != list(expected):
+        missing, extra = sorted(set(expected) - set(got)), sorted(set(got) - set(expected))
+        raise ValueError(f"features do not match the model: missing {missing}, unknown {extra}, or in another order")
     scored = score(model, df)
     return scored.withColumn("prediction", c("prediction").cast("int")).withColumn("will_trend", c("prediction") == 1)

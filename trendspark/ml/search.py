@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from itertools import product
 
-from pyspark.ml import Estimator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, TrainValidationSplit, TrainValidationSplitModel
+from pyspark.ml import Estimator, Model
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,22 +91,45 @@ def draw(space: Mapping[str, tuple], n: int, seed: int = 42) -> list[dict]:
     return [{name: one(spec) for name, spec in space.items()} for _ in range(n)]
 
 
+@dataclass(frozen=True)
+class ValidatedSearch:
+    """Settings with their macro F1 on the validation rows, and the best one's model."""
+
+    settings: Sequence[dict]
+    validationMetrics: Sequence[float]
+    bestModel: Model
+
+
 def random_search(
-    est: Estimator, space: Mapping[str, tuple], n: int, train: DataFrame, folds: int | None = None, seed: int = 42, parallelism: int = 4
-) -> CrossValidatorModel | TrainValidationSplitModel:
-    """``n`` drawn settings by macro F1: cross-validated over ``folds``, else on one validation split."""
+    est: Estimator,
+    space: Mapping[str, tuple],
+    n: int,
+    train: DataFrame,
+    folds: int | None = None,
+    seed: int = 42,
+    parallelism: int = 4,
+    key: str = "key",
+    val: DataFrame | None = None,
+) -> CrossValidatorModel | ValidatedSearch:
+    """``n`` drawn settings by macro F1: cross-validated over ``folds``, else on ``val``.
+
+    Without ``val`` a quarter of the rows, by the hash of their key, is the validation part.
+    """
     settings = draw(space, n, seed)
     if folds:
         return grid_search(est, settings, train, folds, parallelism)
-    split = TrainValidationSplit(
-        estimator=est,
-        estimatorParamMaps=param_maps(est, settings),
-        evaluator=MacroF1Evaluator(),
-        trainRatio=0.75,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    return split.fit(train)
+    if val is None:
+        part = hash_fraction_bucket(key, seed, 100)
+        train, val = train.filter(part < 75), train.filter(part >= 75)
+    scores: list[float] = []
+    best: Model | None = None
+    for one in param_maps(est, settings):
+        model = est.fit(train, one)
+        score = MacroF1Evaluator().evaluate(model.transform(val))
+        if best is None or score > max(scores):
+            best = model
+        scores.append(score)
+    return ValidatedSearch(settings, scores, best)
 
 
 def search_models(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendspark.ml import estimators, search
@@ -71,11 +71,12 @@ class ModelTrainer:
         base = self._ready(self.train).select("key", "label", "vec")
         rows = resample(base, mode, "vec", "label", "key", self.seed)
         if mode == "over":
-            # Copies need keys of their own for the folds of the neighbour join.
-            rows = rows.withColumn("key", F.concat_ws("#", "key", F.monotonically_increasing_id().cast("string")))
+            # Copies need keys of their own: the key and the number of the copy, the same in every run.
+            copy = F.row_number().over(Window.partitionBy("key").orderBy("label"))
+            rows = rows.withColumn("key", F.concat_ws("#", "key", copy.cast("string")))
         rows = rows.select("key", "label", "vec", *[c("vec")[i].alias(n) for i, n in enumerate(self.features)])
         rows = class_weights(rows, "label")
-        return durable(search.with_folds(from_array(rows, "vec"), "key", self.folds, self.seed), "train")
+        return durable(search.stratified_folds(from_array(rows, "vec"), "key", "label", self.folds, self.seed), "train")
 
     def _keep(self, name: str, metrics: Mapping, model: object) -> None:
         self.log.append((name, metrics))
@@ -151,15 +152,14 @@ class ModelTrainer:
         """Drawn settings scored on the validation part; positives are weighted by the class ratio."""
         names = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "subsample": "subsamplingRate"}
         train = self.sampled(mode)
-        n, positives = train.agg(F.count(F.lit(1)), F.sum("label")).first()
+        # The ratio of the classes as given, before any rebalancing.
+        n, positives = self.train.agg(F.count(F.lit(1)), F.sum(c(self.target).cast("int"))).first()
         weighted = train.withColumn("weight", F.when(c("label") == 1, (n - positives) / positives).otherwise(1.0))
-        results = []
-        for setting in search.draw(space, trials, self.seed):
-            est = estimators.gbt(weight="weight", seed=self.seed).setParams(**{names[k]: v for k, v in setting.items()})
-            model = est.fit(weighted)
-            results.append((setting, search.MacroF1Evaluator().evaluate(model.transform(self.val)), model))
-        best = search.best_setting([(s, f) for s, f, _ in results])
-        model = next(m for s, f, m in results if (s, f) == best)
+        drawn = {names[k]: v for k, v in space.items()}
+        est = estimators.gbt(weight="weight", seed=self.seed)
+        found = search.random_search(est, drawn, trials, weighted, seed=self.seed, val=self.val)
+        best = search.best_setting(list(zip(found.settings, found.validationMetrics, strict=True)))
+        model = found.bestModel
         metrics, model = run_experiment(
             self.spark, f"GBT {mode or ''}".strip(), model, None, self.val, self.runs_path, best[0], {"stage": "search"}, best[1]
         )
