@@ -502,3 +502,15 @@ def test_neighbours_among_many_ties(spark):
     for i in range(90):
         want = [j for j in range(90) if j % 3 == i % 3 and j != i][:4]
         assert [r["bid"] for r in sorted(rows, key=lambda r: r["rank"]) if r["qid"] == i] == want
+
+
+def test_spearman_with_and_without_gaps(spark):
+    rng = np.random.default_rng(4)
+    table = pd.DataFrame({"a": rng.integers(0, 9, 300), "b": rng.normal(size=300), "c": rng.integers(0, 50, 300), "d": rng.normal(size=300)}).astype(float)
+    table["c"] += table["a"]
+    table.loc[::7, "d"] = np.nan
+    df = spark.createDataFrame(table)
+    want = table.corr("spearman")
+    for r in distribution.spearman(df, ["a", "b", "c", "d"]).collect():
+        assert r["r"] == pytest.approx(want.loc[r["a"], r["b"]])
+    assert distribution.spearman(df, ["a", "b", "c", "d"]).count() == 6 and distribution.spearman(df, ["a"]).count() == 0

@@ -136,26 +136,75 @@ def average_rank(df: DataFrame, col: str, out: str = "avg_rank") -> DataFrame:
 
 
 def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, r) rank correlation over the rows where both values are present.
+    """(a, b, r) rank correlation over the rows where both values are present; NaN is missing.
 
-    Rows fold to distinct value pairs first; all column pairs then share one ranking pass.
+    Columns that are known in the same rows are ranked once each. A pair whose columns are known in different rows
+    needs ranks of its own.
     """
+    pairs = list(combinations(cols, 2))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    numbers = df.select(*[known_number(n).alias(f"v{i}") for i, n in enumerate(cols)])
+    at = {n: i for i, n in enumerate(cols)}
+    gaps = [F.count_if(F.isnull(f"v{at[a]}") != F.isnull(f"v{at[b]}")) for a, b in pairs]
+    odd = [pair for pair, n in zip(pairs, numbers.agg(*gaps).first(), strict=True) if n]
+    frames = []
+    even = [pair for pair in pairs if pair not in odd]
+    while even:
+        # Columns that share their known rows with the first one, all by even pairs.
+        first = even[0][0]
+        alike = [n for n in cols if n == first or any(set(pair) == {n, first} for pair in even)]
+        here = [pair for pair in even if set(pair) <= set(alike)]
+        frames.append(_spearman_alike(numbers, [(a, b, at[a], at[b]) for a, b in here]))
+        even = [pair for pair in even if pair not in here]
+    if odd:
+        frames.append(_spearman_pairs(numbers, [(a, b, at[a], at[b]) for a, b in odd]))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def _spearman_alike(numbers: DataFrame, pairs: Sequence[tuple[str, str, int, int]]) -> DataFrame:
+    """Pairs of columns that are known in the same rows: one ranking per column."""
+    used = sorted({i for _, _, a, b in pairs for i in (a, b)})
+    rows = numbers.filter(F.col(f"v{used[0]}").isNotNull()).select(*[f"v{i}" for i in used])
+    cells = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("value")) for i in used])
+    sizes = rows.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["column"], grand={"upto": "n"})
+    # Centred on the mean rank (n+1)/2, so the moments below lose no precision.
+    centred = (c("upto") - (c("cnt") - 1) / 2 - (c("n") + 1) / 2).alias("d")
+    ranks = durable(ranked.select("column", "value", centred), "ranks")
+    for i in used:
+        own = ranks.filter(c("column") == i).select(c("value").alias(f"v{i}"), c("d").alias(f"d{i}"))
+        rows = rows.join(own, f"v{i}")
+    aggs = [F.sum(c(f"d{i}") * c(f"d{i}")).alias(f"s{i}") for i in used]
+    aggs += [F.sum(c(f"d{a}") * c(f"d{b}")).alias(f"p{a}_{b}") for _, _, a, b in pairs]
+    cells = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(c(f"p{i}_{j}"), F.sqrt(c(f"s{i}") * c(f"s{j}"))).alias("r"))
+        for a, b, i, j in pairs
+    ]
+    return rows.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
+def _spearman_pairs(numbers: DataFrame, pairs: Sequence[tuple[str, str, int, int]]) -> DataFrame:
+    """Pairs of columns that are known in different rows: rows fold to distinct value pairs, which share one ranking pass."""
     cells = F.array(
         *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), c(a).cast("double").alias("x"), c(b).cast("double").alias("y"))
-            for a, b in combinations(cols, 2)
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
+            for a, b, i, j in pairs
         ]
     )
     folded = (
-        df.select(F.inline(cells))
+        numbers.select(F.inline(cells))
         .filter("x is not null and y is not null")
         .groupBy("a", "b", "x", "y")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    pairs = durable(folded, "pairs")
+    stored = durable(folded, "pairs")
 
     sides = F.array(*[F.struct(F.lit(s).alias("side"), c(s).alias("value")) for s in ("x", "y")])
-    sizes = pairs.select("a", "b", "w", F.inline(sides)).groupBy("a", "b", "side", "value").agg(F.sum("w").alias("cnt"))
+    sizes = stored.select("a", "b", "w", F.inline(sides)).groupBy("a", "b", "side", "value").agg(F.sum("w").alias("cnt"))
     ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["a", "b", "side"], grand={"upto": "n"})
     # Centred on the mean rank (n+1)/2, so the moments below lose no precision.
     ranks = durable(
@@ -165,7 +214,7 @@ def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     def ranks_of(side: str) -> DataFrame:
         return ranks.filter(c("side") == side).select("a", "b", c("value").alias(side), c("d").alias(f"d{side}"))
 
-    joined = pairs.join(ranks_of("x"), ["a", "b", "x"]).join(ranks_of("y"), ["a", "b", "y"])
+    joined = stored.join(ranks_of("x"), ["a", "b", "x"]).join(ranks_of("y"), ["a", "b", "y"])
     sums = joined.groupBy("a", "b").agg(
         F.sum(c("w") * c("dx") * c("dy")).alias("xy"),
         F.sum(c("w") * c("dx") * c("dx")).alias("xx"),
