@@ -58,7 +58,7 @@ def _letters_short(text: bytes, base: Base) -> bool:
     # In bytes: letters of any script count, digits, marks and symbols do not.
     letters = len(text) - len(text.translate(None, _LETTER_BYTES))
     inside = len(text) - sum(map(text.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
-    return 10 * letters < 6 * inside
+    return 10 * letters < 4 * inside
 
 
 def _shouting(text: bytes, base: Base) -> bool:
@@ -81,7 +81,7 @@ def _ellipsis_lines(text: bytes, base: Base) -> bool:
 
 RULES: tuple[Rule, ...] = (
     Rule("symbols", lambda text, base: 10 * base.n_symbols > base.n_words),
-    Rule("repeated lines", lambda text, base: 10 * base.n_dup_lines > 3 * base.n_lines),
+    Rule("repeated lines", lambda text, base: 2 * base.n_dup_lines > base.n_lines),
     Rule("word length", lambda text, base: not 2 * base.n_words <= base.word_chars <= 20 * base.n_words),
     Rule("exclamations", lambda text, base: 10 * text.count(b"!") > 3 * base.n_words),
     Rule("letters", _letters_short),

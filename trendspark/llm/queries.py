@@ -103,9 +103,9 @@ judged AS (
     + """
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
             OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words OR 10 * bangs > 3 * n_words
-            OR 10 * letters < 6 * inside OR (2 * upper_letters > ascii_letters AND ascii_letters >= 20)
+            OR 10 * letters < 4 * inside OR (2 * upper_letters > ascii_letters AND ascii_letters >= 20)
             OR 10 * top > 3 * n_words OR 10 * ellipses > 3 * n_lines) AS kept
 FROM judged
 """

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from trendspark.llm.arrow import raw_text, steps
+from trendspark.llm.arrow import STEP_BYTES, raw_text, steps
 
 _WEIGHTS = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -63,9 +63,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_prints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprints of the byte spans of ``data``."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """Fingerprints of disjoint ascending byte spans of ``data``, some bytes at a time."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        last = int(np.searchsorted(ends, starts[first] + STEP_BYTES, side="right"))
+        last = max(last, first + 1)
+        low, high = starts[first], ends[last - 1]
+        out[first:last] = _near_prints(data[low:high], starts[first:last] - low, ends[first:last] - low)
+        first = last
+    return out
+
+
+def _near_prints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     powers, inverse = _powers(len(data))
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
@@ -90,6 +100,8 @@ class Texts:
 
     def per_row(self, flags: np.ndarray) -> np.ndarray:
         """Number of set flags in each row; one flag per byte."""
+        if len(self) == 1:
+            return np.array([np.count_nonzero(flags)])
         total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
         return total[self.offsets[1:]] - total[self.offsets[:-1]]
 
