@@ -514,3 +514,19 @@ def test_spearman_with_and_without_gaps(spark):
     for r in distribution.spearman(df, ["a", "b", "c", "d"]).collect():
         assert r["r"] == pytest.approx(want.loc[r["a"], r["b"]])
     assert distribution.spearman(df, ["a", "b", "c", "d"]).count() == 6 and distribution.spearman(df, ["a"]).count() == 0
+
+
+def test_density_grid_is_close_to_the_exact_kernel(spark):
+    rng = np.random.default_rng(12)
+    values = np.concatenate([rng.normal(0, 1, 300), rng.normal(6, 0.5, 200)])
+    df = spark.createDataFrame([(1, float(v)) for v in values], "g int, x double")
+    rows = sorted(distribution.kde_grid(df, "g", "x", grid=60).collect(), key=lambda r: r["point"])
+    width = values.std(ddof=1) * len(values) ** -0.2
+    at = np.array([r["at"] for r in rows])
+    exact = np.exp(-0.5 * ((at[:, None] - values[None]) / width) ** 2).sum(1) / (len(values) * width * np.sqrt(2 * np.pi))
+    assert np.abs(np.array([r["density"] for r in rows]) - exact).max() < 0.01 * exact.max()
+
+
+def test_a_key_is_no_class_label(spark):
+    with pytest.raises(ValueError, match="classes"):
+        resample.over_sample(spark.range(1500).withColumn("y", F.col("id")), "y", "id")

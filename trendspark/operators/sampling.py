@@ -18,6 +18,7 @@ from trendspark.session import c
 _DIGITS = 3
 _HASH_DIGITS = 32
 _CELL_ROWS = 100_000
+MAX_CLASSES = 1000
 
 
 def _names(key: str | Sequence[str]) -> list[str]:
@@ -71,7 +72,11 @@ def sample_n(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) ->
 
 
 def _class_sizes(df: DataFrame, target: str) -> dict:
-    return {row[0]: row[1] for row in df.groupBy(c(target)).count().collect()}
+    """Rows per class; a target with more than MAX_CLASSES values is no class label."""
+    found = df.groupBy(c(target)).count().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    return {row[0]: row[1] for row in found}
 
 
 def balanced_sample(df: DataFrame, target: str, key: str | Sequence[str], seed: int = 42) -> DataFrame:

@@ -121,7 +121,7 @@ def remove_duplicates(
     before = df.count()
     out = log.barrier(out)
     after = out.count()
-    log.record("Accuracy", f"Duplicate rows / {key}", before - after, "Drop", "Exact copies or repeated keys")
+    log.record("Accuracy", f"one row per {key}", before - after, "keep first", "a record may be listed more than once")
     return out
 
 
@@ -130,21 +130,21 @@ def filter_invalid_rows(df: DataFrame, log: DecisionLog | None = None) -> DataFr
     valid = le_condition(df, "likes", "view_count") & comment_state_condition(df, "comment_count", "comments_disabled")
     if log is not None:
         dropped = log.count(df, ~valid)
-        log.record("Consistency", "likes > view_count / invalid comment state", dropped, "Drop", "Business rule violation")
+        log.record("Consistency", "likes within views; comments fit their switch", dropped, "leave out", "such counts contradict each other")
     return df.filter(valid)
 
 
 def drop_unused(df: DataFrame, log: DecisionLog | None = None, columns: Sequence[str] = tuple(CLEANING_DROPS)) -> DataFrame:
     present = [n for n in columns if n in df.columns]
     if log is not None:
-        log.record("Relevance", f"Drop {len(present)} unused columns", 0, f"Dropped: {len(present)} columns", "Not needed for analysis")
+        log.record("Relevance", f"{len(present)} columns without use later", 0, "leave out", "later steps read none of them")
     return drop_columns(df, present)
 
 
 def normalize_tags(df: DataFrame, log: DecisionLog | None = None, col: str = "tags") -> DataFrame:
     """Tags as an array of text; null becomes empty."""
     if log is not None:
-        log.record("Consistency", f"{col} to list", log.count(df), "Coerce to list", "One tag format")
+        log.record("Consistency", f"{col} as an array", log.count(df), "parse", "texts and lists are mixed in the source")
     if df.schema[col].dataType.simpleString().startswith("array"):
         return df.withColumn(col, F.coalesce(c(col), F.array().cast("array<string>")))
     return df.withColumn(col, split_tags(c(col)))
@@ -152,7 +152,7 @@ def normalize_tags(df: DataFrame, log: DecisionLog | None = None, col: str = "ta
 
 def fix_description(df: DataFrame, log: DecisionLog | None = None, col: str = "description") -> DataFrame:
     if log is not None:
-        log.record("Completeness", f"{col} is null", log.count(df, c(col).isNull()), "Fill with empty text", "No description given")
+        log.record("Completeness", f"{col} missing", log.count(df, c(col).isNull()), "empty text", "absent and empty mean the same")
     return transforms.fill_text(df, [col])
 
 
@@ -160,14 +160,14 @@ def fix_comment_count(df: DataFrame, log: DecisionLog | None = None) -> DataFram
     off = _text_true("comments_disabled")
     if log is not None:
         hits = log.count(df, c("comment_count").isNull() & off)
-        log.record("Completeness", "comment_count null + disabled", hits, "Fill with 0", "Disabled comments mean none")
+        log.record("Completeness", "no count while comments are off", hits, "zero", "a closed section holds no comments")
     return transforms.fill_when(df, "comment_count", off, 0)
 
 
 def drop_null_rows(df: DataFrame, log: DecisionLog | None = None, ignore: Sequence[str] = ("_row",)) -> DataFrame:
     cols = [n for n in df.columns if n not in ignore]
     if log is not None:
-        log.record("Completeness", "Remaining null values", log.count(df, ~complete(df, cols)), "Drop rows", "Cannot be imputed")
+        log.record("Completeness", "every column known", log.count(df, ~complete(df, cols)), "leave out", "no sound value to put in")
     return drop_nulls(df, cols)
 
 
@@ -178,7 +178,7 @@ def cast_columns(
     bools: Sequence[str] = tuple(BOOL_COLUMNS),
 ) -> DataFrame:
     if log is not None:
-        log.record("Type Casting", "Integer and boolean columns", 0, "Cast", "Types for analysis")
+        log.record("Type Casting", "counts and switches", 0, "cast", "declared types from here on")
     return transforms.cast_types(df, ints, bools)
 
 
@@ -193,7 +193,7 @@ def clean_default_language(
         changed = c("_given").isNotNull() & ~c(col).eqNullSafe(c("_given"))
         # A value that already reads 'unknown' is no listed code either.
         changed = changed | (c("_given") == "unknown")
-        log.record("Consistency", f"{col} invalid code", log.count(out, changed), "Replace with 'unknown'", "Not in the language list")
+        log.record("Consistency", f"{col} listed", log.count(out, changed), "write 'unknown'", "the code list lacks the base code")
     return out.drop("_given")
 
 
@@ -201,7 +201,7 @@ def log_columns(
     df: DataFrame, log: DecisionLog | None = None, columns: Sequence[str] = tuple(LOG_COLUMNS), base: str = "natural"
 ) -> DataFrame:
     if log is not None:
-        log.record("Transformation", f"log({base}) on {list(columns)}", log.count(df), "log(x+1)", "Reduce skew")
+        log.record("Transformation", f"log({base}) on {list(columns)}", log.count(df), "log(1 + x)", "long right tails")
     return transforms.log_transform(df, columns, base)
 
 
@@ -215,15 +215,14 @@ def cap_columns(
     fixed: Mapping[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
     """Clip to fences. The table is written first: fences need all of it, and it is then read twice."""
-    if log is not None:
-        df = log.barrier(df)
+    df = log.barrier(df) if log is not None else durable(df, "before_caps")
     bounds = transforms.cap_bounds(df, columns, method, k, z, fixed)
     if log is not None:
         outside = F.lit(0)
         for name, (lo, hi) in bounds.items():
             outside = outside + F.coalesce(((c(name) < lo) | (c(name) > hi)).cast("int"), F.lit(0))
         capped = df.agg(F.coalesce(F.sum(outside), F.lit(0)).cast("bigint").alias("n"))
-        log.record("Outliers", f"Cap via {method} on {len(columns)} columns", capped, "Clip to bounds", "Outlier treatment")
+        log.record("Outliers", f"{method} fences of {len(columns)} columns", capped, "move to the fence", "extreme values outweigh the rest")
     return transforms.apply_caps(df, bounds)
 
 
