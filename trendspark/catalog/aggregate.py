@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trendspark.catalog.base import LABELLED_SQL, VIDEOS_SQL, labelled, query, rounded, table, videos
 from trendspark.functions import times
 from trendspark.operators import aggregates, ranking, sampling
+from trendspark.operators.quantiles import quantiles
 from trendspark.session import c, durable
 
 
@@ -202,6 +203,40 @@ def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.top_n(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 100, ["o_orderkey"])
 
 
+def _quartiles_sql(by: str = "") -> str:
+    group = f"{by}, " if by else ""
+    parts = [
+        f"SELECT {group}'{n}' AS \"column\", count({n}) AS n, round(quantile_cont({n}, 0.25), 4) AS q25, "
+        f"round(quantile_cont({n}, 0.5), 4) AS q50, round(quantile_cont({n}, 0.75), 4) AS q75 FROM lineitem" + (f" GROUP BY {by}" if by else "")
+        for n in _MEASURES
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _quartiles(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    """Quartiles without the built-in aggregate, whatever the size."""
+    found = quantiles(table(spark, sf_dir, "lineitem"), _MEASURES, [0.25, 0.5, 0.75], by, small_rows=0, small_distinct=0)
+    cells = [c("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
+    return rounded(found.select(*by, "column", "n", *cells), "q25", "q50", "q75")
+
+
+@query(_quartiles_sql())
+def quantiles_by_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quartiles(spark, sf_dir, [])
+
+
+@query(_quartiles_sql("l_linenumber"))
+def quantiles_of_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few groups, each with its own brackets."""
+    return _quartiles(spark, sf_dir, ["l_linenumber"])
+
+
+@query(_quartiles_sql("l_suppkey"))
+def quantiles_of_many_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More groups than brackets are kept for."""
+    return _quartiles(spark, sf_dir, ["l_suppkey"])
+
+
 # --- sampling -----------------------------------------------------------------------
 
 
@@ -210,6 +245,12 @@ def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_n(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 3000, "o_orderkey", 42)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey::varchar || '42'), o_orderkey LIMIT 3000")
+def sample_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sample by narrowing hash prefixes to cells of a hundred rows."""
+    return sampling.sample_n(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 3000, "o_orderkey", 42, cell_rows=100)
+
+
 @query(
     f"""WITH {VIDEOS_SQL}, p AS (SELECT count(*) AS n FROM videos WHERE is_trending = 1),
 neg AS (SELECT *, row_number() OVER (ORDER BY md5(video_id || '42'), video_id) AS rn FROM videos WHERE is_trending = 0)

@@ -25,7 +25,9 @@ def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def smallest_hashes(df: DataFrame, n: int, key: str | Sequence[str], seed: int) -> tuple[Column, DataFrame | None]:
+def smallest_hashes(
+    df: DataFrame, n: int, key: str | Sequence[str], seed: int, cell_rows: int = _CELL_ROWS
+) -> tuple[Column, DataFrame | None]:
     """The n first rows by (hash, key) as a filter plus the rows to add at its edge.
 
     Returns the condition of rows taken whole and, where the cut falls inside a
@@ -52,7 +54,7 @@ def smallest_hashes(df: DataFrame, n: int, key: str | Sequence[str], seed: int)
         depth += width
         if left == 0:
             return digest < F.lit(prefix), None
-        if cut[1] <= _CELL_ROWS:
+        if cut[1] <= cell_rows:
             edge = df.filter(digest.startswith(prefix))
             return digest < F.lit(prefix), edge.orderBy(digest, *[c(k) for k in names]).limit(left)
     # Rows sharing one full hash share the key: number them by all columns, in parallel.
@@ -62,11 +64,11 @@ def smallest_hashes(df: DataFrame, n: int, key: str | Sequence[str], seed: int)
     return digest < F.lit(prefix), numbered.filter(c("_nth") <= left).drop("_nth")
 
 
-def sample_n(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows, those with the smallest key hash."""
-    if n <= _CELL_ROWS:
+def sample_n(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42, cell_rows: int = _CELL_ROWS) -> DataFrame:
+    """Exactly min(n, rows) rows, those with the smallest key hash; up to ``cell_rows`` rows may be sorted by one task."""
+    if n <= cell_rows:
         return df.orderBy(keyed_hash(key, seed), *[c(k) for k in _names(key)]).limit(n)
-    below, edge = smallest_hashes(df, n, key, seed)
+    below, edge = smallest_hashes(df, n, key, seed, cell_rows)
     taken = df.filter(below)
     return taken if edge is None else taken.unionByName(edge)
 
