@@ -15,12 +15,15 @@ _UNIT_SECONDS = {1: 86400, 2: 3600, 3: 60, 4: 1}
 
 def duration_seconds(col: Column) -> Column:
     """Seconds of an ISO-8601 duration; null and malformed text give 0."""
+    # One match writes the parts side by side; text that does not match keeps its first letter.
+    written = F.regexp_replace(col, DURATION_PATTERN, "$1:$2:$3:$4")
+    parts = F.split(written, ":")
     total = F.lit(0).cast("bigint")
-    for group, unit in _UNIT_SECONDS.items():
+    for i, unit in enumerate(_UNIT_SECONDS.values()):
         # Casting '' would raise and catch an error per row, so blanks become null first.
-        part = F.nullif(F.regexp_extract(col, DURATION_PATTERN, group), F.lit("")).try_cast("bigint")
+        part = F.nullif(F.get(parts, F.lit(i)), F.lit("")).try_cast("bigint")
         total = total + F.coalesce(part, F.lit(0)) * F.lit(unit)
-    return F.coalesce(total, F.lit(0))
+    return F.coalesce(F.when(col.startswith("P") & ~written.startswith("P"), total), F.lit(0).cast("bigint"))
 
 
 def clock_seconds(col: Column) -> Column:

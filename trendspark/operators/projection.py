@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,21 @@ def add_metadata(df: DataFrame, is_trending: bool, today: str) -> DataFrame:
 
 
 def align_columns(df: DataFrame, reference: T.StructType) -> DataFrame:
-    """Columns of ``reference`` in its order; missing ones are null, others go."""
-    have = set(df.columns)
-    return df.select(
-        *[c(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in reference.fields]
-    )
+    """Columns of ``reference`` in its order and types; missing ones are null, others go.
+
+    A simple value that does not fit the wanted type is null.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def aligned(f: T.StructField) -> Column:
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        if have[f.name] == f.dataType:
+            return c(f.name)
+        simple = isinstance(have[f.name], T.AtomicType) and isinstance(f.dataType, T.AtomicType)
+        return (c(f.name).try_cast(f.dataType) if simple else c(f.name).cast(f.dataType)).alias(f.name)
+
+    return df.select(*[aligned(f) for f in reference.fields])
 
 
 def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
