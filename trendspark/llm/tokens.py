@@ -27,8 +27,9 @@ _SPACED = "[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}
 # Letters (all of these code points are in Unicode's L), then punctuation of ASCII only.
 _PLAIN = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯ]+)([!-/:-@\\[-`{-~]*)")
 _LOWERED = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
-CACHE_PARTS = 400_000
-CUT_BYTES = 8 << 20
+CACHE_PARTS = 150_000
+SEEN_SLOTS = 1 << 21
+CUT_BYTES = 4 << 20
 
 _LOADED: dict[tuple, object] = {}
 _ID = attrgetter("id")
@@ -56,19 +57,29 @@ def _mapped(pretoken: str) -> str:
 
 
 class Bounded(dict):
-    """A cache of two generations: when the young one is full the old one is forgotten; used entries move back."""
+    """A cache of two generations for keys that come back.
+
+    A key enters when it is missed for the second time, as a table of bits by its hash remembers; most parts of a
+    corpus come only once. When the young generation is full the old one is forgotten; used entries move back.
+    """
 
     def __init__(self, compute: Callable, limit: int | None = None):
         super().__init__()
         self.compute, self.limit, self.old = compute, limit or CACHE_PARTS, {}
+        self.seen = bytearray(SEEN_SLOTS)
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+            slot = hash(key) % SEEN_SLOTS
+            if not self.seen[slot]:
+                self.seen[slot] = 1
+                return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
+            self.seen = bytearray(SEEN_SLOTS)
         self[key] = value
         return value
 
