@@ -24,38 +24,57 @@ MAGIC = b"TSS8B001"
 _FIELD = np.uint64(60)
 
 
+_SHORT = np.array([max(1, i.bit_length()) for i in range(1 << 16)], np.uint8)
+
+
+def bit_widths(values: np.ndarray) -> np.ndarray:
+    """Bits of each id, one at least."""
+    if values.max() < len(_SHORT):
+        return _SHORT[values]
+    bits = np.ones(len(values), np.uint8)
+    for k in range(1, 60):
+        bits += values >= np.uint64(1 << k)
+    return bits
+
+
 def encode(values: np.ndarray) -> np.ndarray:
     """The words of a run of unsigned ids below 2**60."""
     values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64)
-    bits = np.ones(n, np.int64)
-    for w in WIDTHS[:-1]:
-        bits[values >= np.uint64(1 << w)] = WIDTHS[WIDTHS.index(w) + 1]
-    # For each place: the selector a word starting there would get.
+    needed = bit_widths(values)
+    # For each place: the selector a word starting there would get, by the widest id among the next few.
     best = np.full(n, len(COUNTS) - 1, np.int64)
+    widest, ahead = needed.copy(), 1
     for s in range(len(COUNTS) - 2, -1, -1):
         count, width = COUNTS[s], WIDTHS[s]
         if n < count:
             break
-        wide = np.concatenate(([0], np.cumsum(bits > width)))
-        best[: n - count + 1][wide[count:] == wide[:-count]] = s
+        while ahead < count:
+            widest = np.maximum(widest[:-1], needed[ahead:])
+            ahead += 1
+        fits = widest <= width
+        if not fits.any():
+            break
+        best[: n - count + 1][fits] = s
     counts = np.array(COUNTS)
     taken = counts[best]
-    starts, at, step = [], 0, taken.tolist()
-    while at < n:
-        starts.append(at)
-        at += step[at]
+    starts, place, step = [], 0, taken.tolist()
+    while place < n:
+        starts.append(place)
+        place += step[place]
     at = np.array(starts)
     chosen = best[at]
     words = np.zeros(len(at), np.uint64)
     for s in np.unique(chosen):
         rows = np.flatnonzero(chosen == s)
         count, width = COUNTS[s], WIDTHS[s]
-        places = at[rows][:, None] + np.arange(count)
-        shifts = (np.arange(count, dtype=np.uint64) * np.uint64(width))[None, :]
-        words[rows] = np.bitwise_or.reduce(values[places] << shifts, axis=1)
+        first = at[rows]
+        packed = np.zeros(len(rows), np.uint64)
+        for k in range(count):
+            packed |= values[first + k] << np.uint64(k * width)
+        words[rows] = packed
     selectors = np.where((chosen == len(COUNTS) - 1), ESCAPE, chosen).astype(np.uint64)
     return words | (selectors << _FIELD)
 
