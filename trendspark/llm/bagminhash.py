@@ -34,7 +34,7 @@ LINK = (4, 5)
 # Texts compared with one another in one task; larger groups of candidates are split.
 BLOCK_TEXTS = 256
 # Rows of a table of candidate ids that may be sent to all tasks (16 bytes each); beyond it they are joined by a shuffle.
-SENT_ROWS = 1_000_000
+SENT_ROWS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -261,14 +261,16 @@ def near_duplicates(
     # Copies fold into one row per content before anything is compared, on the map side first.
     contents = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.first("bands").alias("bands"), F.min("id").alias("id"))
     members = contents.select("key", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    # Totals that meet their own rows again are written first: joined by exchanges of their own, hot ones can be split.
+    buckets = stored(members.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1"), "hubs")
     shared = stored(members.join(buckets, "bucket").select("key", "hub", "n"), "buckets")
 
     # Contents that share a bucket, directly or through others, are compared: groups of candidates.
     grouped = components(shared.select("key", "hub"), "key", "hub")
     degree = shared.groupBy("key").agg(F.sum("n").alias("degree"))
-    labelled = grouped.select(F.col("node").alias("key"), F.col("root").alias("label")).join(degree, "key")
+    labelled = stored(grouped.select(F.col("node").alias("key"), F.col("root").alias("label")).join(degree, "key"), "labels")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("size"), F.max(F.struct("degree", "key"))["key"].alias("center"))
+    sizes = stored(sizes, "sizes")
     candidates = stored(labelled.join(sizes, "label").join(contents.select("key", "id"), "key"), "candidates")
 
     wanted = candidates.select("id", "key", "label", "size", "center")
@@ -288,7 +290,7 @@ def near_duplicates(
         "id", "key", F.coalesce("root", "key").alias("class")
     )
     classes = own_class.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    told = own_class.join(classes, "class", "left")
+    told = own_class.join(stored(classes, "class_ids"), "class", "left")
     alone = F.col("class").isNull()
     return told.select(
         F.col("id").alias(id_col),
@@ -320,9 +322,11 @@ def _links_of_large(placed: DataFrame) -> DataFrame:
     """
     large = stored(placed.select("label", "key", "text", "center"), "large_groups")
     centers = large.filter(F.col("key") == F.col("center")).select("label", F.col("text").alias("hub")).dropDuplicates(["label"])
+    centers = stored(centers, "centers")
     beside = large.select("label", "key", "text").join(centers, "label")
     tried = stored(map_batches(beside, _compare_with_hub, "label binary, key binary, text string, attached boolean"), "attached")
-    stars = tried.filter("attached").join(large.select("label", "center").distinct(), "label")
+    named = stored(large.select("label", "center").distinct(), "centers")
+    stars = tried.filter("attached").join(named, "label")
     stars = stars.filter(F.col("key") != F.col("center")).select(F.col("key").alias("a"), F.col("center").alias("b"))
 
     blocks = F.ceil(F.col("n") / BLOCK_TEXTS * 2).cast("int")
@@ -331,7 +335,7 @@ def _links_of_large(placed: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("attached"), blocks)), F.lit(0)).alias("n_in"),
         F.coalesce(F.max(F.when(~F.col("attached"), blocks)), F.lit(0)).alias("n_out"),
     )
-    rows = tried.join(counts, "label").filter("n_out > 0")
+    rows = tried.join(stored(counts, "blocks"), "label").filter("n_out > 0")
     own = F.pmod(F.xxhash64("key"), F.when(F.col("attached"), F.col("n_in")).otherwise(F.col("n_out"))).cast("int")
     rows = rows.withColumn("own", own)
     # A block meets block k of the others: outer blocks are numbered first, then inner ones.

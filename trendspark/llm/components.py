@@ -21,15 +21,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     state = tuple(now.agg(*told).first())
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # Written, the minima are joined by an exchange of their own; Spark can then split the star of a large component.
+        lower, lower_path = stored_at(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
+        large = both.join(lower, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large, large_path = stored_at(large, "links")
+        least, least_path = stored_at(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         pointed = large.join(least, "u")
         small = pointed.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).distinct()
         after, next_path = stored_at(small, "links")
         next_state = tuple(after.agg(*told).first())
-        drop_stored(edges.sparkSession, path)
+        drop_stored(edges.sparkSession, path, lower_path, large_path, least_path)
         now, path = after, next_path
         if next_state == state:
             break
