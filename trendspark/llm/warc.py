@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.llm.arrow import columns
+from trendspark.llm.arrow import columns, stored
 
 # Payloads of fewer bytes are repeated as responses rather than revisited.
 REVISIT_BYTES = 100
@@ -54,7 +54,8 @@ def write_archive(
     hashed = pages.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("bigint"))
 
     # A payload's first key by a map-side fold: a digest with a third of all rows sends one row per task.
-    firsts = hashed.groupBy("digest").agg(F.min("key").alias("first"))
+    # Written, it is joined by an exchange of its own, whose hot partitions Spark can split.
+    firsts = stored(hashed.groupBy("digest").agg(F.min("key").alias("first")), "firsts")
     light = hashed.select("key", "url", "digest", "size")
     typed = light.join(firsts, "digest", "left").withColumn(
         "revisit", (F.col("size") >= revisit_bytes) & F.coalesce(F.col("key") != F.col("first"), F.col("first").isNotNull())
@@ -76,11 +77,8 @@ def write_archive(
     )
     records = typed.select("key", head.cast("binary").alias("head"), "digest", (~F.col("revisit")).alias("carries"))
     records.write.mode("overwrite").parquet(f"{folder}/records")
-    # One bearer per payload: its first key, or, without keys, any of its equal rows.
-    bearers = hashed.select("key", "digest", "payload").join(
-        firsts.select(F.col("digest").alias("of"), "first"), (F.col("key").eqNullSafe(F.col("first"))) & (F.col("digest") == F.col("of"))
-    )
-    bearers.select("digest", "payload").dropDuplicates(["digest"]).write.mode("overwrite").parquet(f"{folder}/payloads")
+    # Equal digests are equal bytes, so any bearer will do: one per task and payload reaches the shuffle.
+    hashed.select("digest", "payload").dropDuplicates(["digest"]).write.mode("overwrite").parquet(f"{folder}/payloads")
 
 
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
