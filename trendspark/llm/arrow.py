@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -21,7 +22,20 @@ def columns(df: DataFrame, **wanted: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    return df.mapInArrow(task, schema)
+    """``mapInArrow``; workers are used again by later tasks, so each task gives back what it has freed."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        _give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ _SPACED = "[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}
 # Letters (all of these code points are in Unicode's L), then punctuation of ASCII only.
 _PLAIN = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯ]+)([!-/:-@\\[-`{-~]*)")
 _LOWERED = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
-CACHE_PARTS = 150_000
+CACHE_PARTS = 120_000
 SEEN_SLOTS = 1 << 21
 CUT_BYTES = 4 << 20
 
