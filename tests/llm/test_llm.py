@@ -604,6 +604,38 @@ def test_exchange_finds_planted_classes():
     assert best[-1] == 4 and all(len(set(best[:-1][kinds == k])) == 1 for k in range(4))
 
 
+def test_best_classes_have_the_highest_likelihood():
+    random = np.random.default_rng(5)
+    n, classes = 30, 6
+    table = random.poisson(1.5, (n, n)).astype(float)
+    assigned = np.r_[random.integers(0, classes - 1, n - 1), classes - 1]
+    member = np.eye(classes)[assigned]
+    right, left, twin = table @ member, table.T @ member, np.diagonal(table)
+    rows = np.arange(n)
+    right[rows, assigned] -= twin
+    left[rows, assigned] -= twin
+    got = brown.best_classes(brown.class_pairs(table, assigned, classes), assigned, right, left, twin)
+    for word in range(n - 1):
+        told = [brown.log_likelihood(brown.class_pairs(table, np.where(rows == word, k, assigned), classes)) for k in range(classes - 1)]
+        assert told[got[word]] == pytest.approx(max(told))
+
+
+def test_words_beyond_the_units_have_classes_by_their_own_bigrams(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CLUSTER_WORDS", 20)
+    monkeypatch.setattr(brown, "SUFFIX_GROUPS", 4)
+    random = np.random.default_rng(8)
+    # Words of four kinds that follow each other in turn, five of each kind common; their letters tell nothing.
+    kind = {f"w{zlib.crc32(b'%d' % i):x}".encode(): i % 4 for i in range(160)}
+    of = [[w.decode() for w, k in kind.items() if k == q] for q in range(4)]
+    texts = [" ".join(of[(at + j) % 4][random.integers(5 if random.random() < 0.6 else 40)] for j in range(60)) for at in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = brown.train(df, "text", brown.word_counts(df, "text").cache())
+    kinds = defaultdict(Counter)
+    for word, k in kind.items():
+        kinds[int(model.classes[model.units.unit(word)])][k] += 1
+    assert sum(max(c.values()) for c in kinds.values()) >= 0.95 * len(kind)
+
+
 def test_probabilities_add_up(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     counts = brown.word_counts(docs, "text").cache()

@@ -1,17 +1,19 @@
 """Scores of texts by a class-based bigram model whose classes come from exchange clustering.
 
 The model gives a token the probability of its class after the class before, times its probability within the class.
-Counts are over all training texts. Exchange clustering works on units: each of the most frequent words, and for the
-other words, seen or unseen, one of a fixed number of groups by their last letters. A group is moved between classes
-like a word, so every word has a class by its own bigrams or by those of its group, and no word needs a table of all
-words to know its class. The bigrams of units are bounded by the square of the number of units.
-
-The bigrams of units, a square table of fixed size, are clustered from several starts in parallel; the best is kept.
+Counts are over all training texts. A start is found on units: each of the most frequent words, and for the other words
+one of a fixed number of groups by their last letters. The bigrams of units, a square table of fixed size, are clustered
+from several starts in parallel; the best is kept.
+
+From there every word that came twice or more is moved by its own bigrams with all other words. The words beside each
+word, with their counts, are one row of a stored table; in a sweep, tasks find the best class of each of their words
+against the counts of class bigrams, and the counts are taken again. The most frequent words, and the groups, which now
+hold only words that came once or never, move one after another in between: their neighbours are in the rows of the
+others. Sweeps end when the likelihood no longer grows. The driver and each task hold one byte a word for its class.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,14 +26,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.arrow import batch, columns, map_batches, stored
+from trendspark.llm.arrow import batch, columns, drop_stored, lookup, map_batches, stored, stored_at
 from trendspark.llm.tokens import cuts
 
 # Words whose counts are sent to all tasks; the others are joined.
 FREQUENT_WORDS = 1 << 17
-# Units of the clustering: words of their own, and groups of the other words.
+# Units of the start: words of their own, and groups of the other words.
 CLUSTER_WORDS, SUFFIX_GROUPS, SUFFIX_BYTES = 1024, 256, 3
 CLASSES, SWEEPS, STARTS = 64, 20, 3
+# Sweeps over all words end when the likelihood of a token grows by less (natural logarithm).
+LEAST_GAIN = 1e-3
+# All words move in so many turns, each against counts taken after the turn before.
+TURNS = 4
+# Words with neighbouring numbers that meet in one task, and rows scored at a time.
+_BLOCK, _SCORE_ROWS = 1024, 512
+# Bigrams a task holds while counting.
+HELD_BIGRAMS = 1_500_000
 # Words a task holds while counting.
 HELD_WORDS = 400_000
 # No word holds white space, so this is the end token only.
@@ -103,7 +113,7 @@ def frequent_words(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
 
 @dataclass(frozen=True)
 class Units:
-    """Numbers of the frequent words, their counts, and the unit of any word."""
+    """Numbers of the frequent words, their counts, and the unit of any word in the start of the clustering."""
 
     number: dict[bytes, int]
     counts: np.ndarray
@@ -122,9 +132,17 @@ class Units:
             n_groups,
         )
 
-    def unit(self, word: bytes) -> int:
+    def start(self, word: bytes) -> int:
         at = self.own.get(word)
-        return self.n_words + zlib.crc32(word[-SUFFIX_BYTES:]) % self.n_groups if at is None else at
+        return self.n_words + self.group(word) if at is None else at
+
+    def unit(self, word: bytes) -> int:
+        """Place of a word in the classes of a model: frequent words by number, then the groups."""
+        at = self.number.get(word)
+        return len(self.number) + self.group(word) if at is None else at
+
+    def group(self, word: bytes) -> int:
+        return zlib.crc32(word[-SUFFIX_BYTES:]) % self.n_groups
 
     @property
     def end(self) -> int:
@@ -153,7 +171,7 @@ def unit_bigrams(df: DataFrame, text: str, shared) -> DataFrame:
         for rows in batches:
             for column in cuts(rows.column(0)):
                 words, codes, at = word_codes(column)
-                of = np.fromiter(map(units.unit, words), np.int64, len(words))
+                of = np.fromiter(map(units.start, words), np.int64, len(words))
                 stream = _stream(of, codes, at, len(column), units.end)
                 before = np.concatenate(([units.end], stream[:-1]))
                 total += np.bincount(before * size + stream, minlength=size * size)
@@ -181,6 +199,39 @@ def class_pairs(bigrams: np.ndarray, assigned: np.ndarray, classes: int) -> np.n
     return member.T @ (bigrams @ member)
 
 
+def _sweep(bigrams: np.ndarray, assigned: np.ndarray, pairs: np.ndarray, right: np.ndarray, left: np.ndarray) -> int:
+    """Move every unit but the last in turn; ``right`` and ``left`` hold its counts with the classes after and before."""
+    moved = 0
+    for unit in range(len(bigrams) - 1):
+        now, twin = assigned[unit], bigrams[unit, unit]
+        after, before = right[unit].copy(), left[unit].copy()
+        pairs[now, :] -= after
+        pairs[:, now] -= before
+        pairs[now, now] += twin
+        after[now] -= twin
+        before[now] -= twin
+        rows, columns_ = _h(pairs + after) - _h(pairs), _h(pairs + before[:, None]) - _h(pairs)
+        both = np.diagonal(pairs)
+        gain = rows.sum(1) - np.diagonal(rows) + columns_.sum(0) - np.diagonal(columns_)
+        gain += _h(both + after + before + twin) - _h(both)
+        for side, more in ((pairs.sum(1), after.sum() + twin), (pairs.sum(0), before.sum() + twin)):
+            gain -= _h(side + more) - _h(side)
+        best = int(np.argmax(gain[:-1]))
+        if gain[best] <= gain[now] + 1e-9:
+            best = int(now)
+        pairs[best, :] += after
+        pairs[:, best] += before
+        pairs[best, best] += twin
+        if best != now:
+            moved += 1
+            assigned[unit] = best
+            right[:, now] -= bigrams[:, unit]
+            right[:, best] += bigrams[:, unit]
+            left[:, now] -= bigrams[unit]
+            left[:, best] += bigrams[unit]
+    return moved
+
+
 def exchange(bigrams: np.ndarray, classes: int, seed: int, sweeps: int) -> tuple[float, np.ndarray]:
     """(log likelihood, class of each unit): every unit in turn moves where the likelihood is highest.
 
@@ -196,37 +247,8 @@ def exchange(bigrams: np.ndarray, classes: int, seed: int, sweeps: int) -> tuple
     member = np.zeros((n, classes))
     member[np.arange(n), assigned] = 1
     right, left = bigrams @ member, bigrams.T @ member
-    every = np.arange(classes)
     for _ in range(sweeps):
-        moved = 0
-        for unit in range(n - 1):
-            now, twin = assigned[unit], bigrams[unit, unit]
-            after, before = right[unit].copy(), left[unit].copy()
-            pairs[now, :] -= after
-            pairs[:, now] -= before
-            pairs[now, now] += twin
-            after[now] -= twin
-            before[now] -= twin
-            rows, columns_ = _h(pairs + after) - _h(pairs), _h(pairs + before[:, None]) - _h(pairs)
-            both = np.diagonal(pairs)
-            gain = rows.sum(1) - np.diagonal(rows) + columns_.sum(0) - np.diagonal(columns_)
-            gain += _h(both + after + before + twin) - _h(both)
-            for side, more in ((pairs.sum(1), after.sum() + twin), (pairs.sum(0), before.sum() + twin)):
-                gain -= _h(side + more) - _h(side)
-            best = int(np.argmax(gain[:-1]))
-            if gain[best] <= gain[now] + 1e-9:
-                best = int(now)
-            pairs[best, :] += after
-            pairs[:, best] += before
-            pairs[best, best] += twin
-            if best != now:
-                moved += 1
-                assigned[unit] = best
-                right[:, now] -= bigrams[:, unit]
-                right[:, best] += bigrams[:, unit]
-                left[:, now] -= bigrams[unit]
-                left[:, best] += bigrams[unit]
-        if not moved:
+        if not _sweep(bigrams, assigned, pairs, right, left):
             break
     return log_likelihood(pairs), assigned
 
@@ -256,8 +278,291 @@ def exchange_classes(bigrams: DataFrame, units: Units, classes: int = CLASSES) -
     return assigned, class_pairs(table, assigned, classes)
 
 
+# --- all words ------------------------------------------------------------------
+
+
+def numbered_words(counts: DataFrame, units: Units) -> tuple[DataFrame, list[int]]:
+    """(word, n, id, start) of all words, and the first ids of each turn's words, with one more than the highest id.
+
+    Ids below ``units.size`` are units: frequent words of their own, the end, and the groups of words that came once.
+    Every other word has an id of its own, without gaps, in the range of its turn, which its letters set; ``start`` is
+    its unit in the start of the clustering.
+    """
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("unit", pa.int64()), ("start", pa.int64()), ("part", pa.int32()), ("turn", pa.int32())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, local = TaskContext.get().partitionId(), [0] * TURNS
+        for rows in batches:
+            words, n = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+            start = [units.end if w == END else units.start(w) for w in words]
+            turn = [zlib.crc32(w) % TURNS for w in words]
+            unit = []
+            for w, k, u, t in zip(words, n, start, turn, strict=True):
+                if w == END or w in units.own or k < 2:
+                    unit.append(u)
+                else:
+                    # Numbered below zero until the parts before are known.
+                    unit.append(-1 - local[t])
+                    local[t] += 1
+            yield batch(schema, words, n, unit, start, [part] * len(words), turn)
+
+    named, path = stored_at(map_batches(counts.select("word", "n"), task, "word binary, n bigint, unit bigint, start bigint, part int, turn int"), "words")
+    sizes = {(r["turn"], r["part"]): r["n"] for r in named.filter("unit < 0").groupBy("turn", "part").agg(F.count("*").alias("n")).collect()}
+    parts = 1 + max((part for _, part in sizes), default=0)
+    first, turns, at = [], [], units.size
+    for turn in range(TURNS):
+        turns.append(at)
+        for part in range(parts):
+            first.append(at)
+            at += sizes.get((turn, part), 0)
+    place = F.least(F.col("turn") * parts + F.col("part"), F.lit(len(first) - 1))
+    number = F.when(F.col("unit") >= 0, F.col("unit")).otherwise(lookup(first, place) - 1 - F.col("unit"))
+    out = stored(named.select("word", "n", number.cast("bigint").alias("id"), "start"), "numbered_words")
+    drop_stored(counts.sparkSession, path)
+    return out, [*turns, at]
+
+
+def word_bigrams(df: DataFrame, text: str, words: DataFrame, sent: dict[bytes, int], least: int, end: int) -> tuple[DataFrame, str]:
+    """(a, b, n) by word ids, and its folder: how often b follows a. A pair may have several rows.
+
+    ``sent`` has the ids of the words that came ``least`` times or more; the others are joined.
+    """
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(sent)
+    schema = pa.schema([("a", pa.int64()), ("aw", pa.binary()), ("b", pa.int64()), ("bw", pa.binary()), ("n", pa.int64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = shared.value
+        size = max([*ids.values(), end]) + 1
+        keys, times, held = [], [], 0
+
+        def known() -> Iterator[pa.RecordBatch]:
+            if not keys:
+                return
+            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate(times)).astype(np.int64)
+            keys.clear()
+            times.clear()
+            for k in range(0, len(found), _EMIT_ROWS):
+                some = found[k : k + _EMIT_ROWS]
+                none = pa.nulls(len(some), pa.binary())
+                yield batch(schema, some // size, none, some % size, none, n[k : k + _EMIT_ROWS])
+
+        for rows in batches:
+            for column in cuts(rows.column(0)):
+                words, codes, at = word_codes(column)
+                of = np.fromiter((ids.get(w, -1) for w in words), np.int64, len(words))
+                # Words that are not sent are numbered behind the ids, within this cut.
+                local = np.where(of >= 0, of, size + np.arange(len(words)))
+                stream = _stream(local, codes, at, len(column), end)
+                before = np.concatenate(([end], stream[:-1]))
+                both = (before < size) & (stream < size)
+                found, n = np.unique(before[both] * size + stream[both], return_counts=True)
+                keys.append(found)
+                times.append(n)
+                held += len(found)
+                if held > HELD_BIGRAMS:
+                    yield from known()
+                    held = 0
+                wide = size + len(words)
+                found, n = np.unique(before[~both] * wide + stream[~both], return_counts=True)
+                a, b = found // wide, found % wide
+                yield batch(
+                    schema,
+                    np.where(a < size, a, -1),
+                    [words[i] if i >= 0 else None for i in (a - size).tolist()],
+                    np.where(b < size, b, -1),
+                    [words[i] if i >= 0 else None for i in (b - size).tolist()],
+                    n,
+                )
+        yield from known()
+
+    raw, raw_path = stored_at(map_batches(columns(df, text=text), task, "a bigint, aw binary, b bigint, bw binary, n bigint"), "raw_bigrams")
+    others = words.filter((F.col("n") < least) & (F.col("word") != F.lit(END))).select("word", "id")
+    met = raw.filter("a < 0").join(others.select(F.col("word").alias("aw"), F.col("id").alias("ia")), "aw")
+    half = raw.filter("a >= 0").select("a", "b", "bw", "n").unionAll(met.select(F.col("ia").alias("a"), "b", "bw", "n"))
+    met = half.filter("b < 0").join(others.select(F.col("word").alias("bw"), F.col("id").alias("ib")), "bw")
+    out = stored_at(half.filter("b >= 0").select("a", "b", "n").unionAll(met.select("a", F.col("ib").alias("b"), "n")), "word_bigrams")
+    drop_stored(spark, raw_path)
+    shared.unpersist()
+    return out
+
+
+def word_contexts(bigrams: DataFrame, units: int) -> tuple[DataFrame, str]:
+    """(id, codes, ns) of each word that is no unit, and its folder: its neighbours with counts.
+
+    A code is twice the neighbour's id, and one more if the neighbour stands before the word. Words with neighbouring
+    ids stand together; the most frequent words, the units, have no row, so no row is large beside the corpus.
+    """
+    after = bigrams.filter(F.col("a") >= units).select(F.col("a").alias("id"), (F.col("b") * 2).alias("code"), "n")
+    before = bigrams.filter(F.col("b") >= units).select(F.col("b").alias("id"), (F.col("a") * 2 + 1).alias("code"), "n")
+    schema = pa.schema([("id", pa.int64()), ("codes", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64()))])
+
+    def packed(ids: np.ndarray, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (codes[1:] != codes[:-1])])
+        ids, codes, n = ids[new], codes[new], np.add.reduceat(n, new)
+        rows = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        offsets = pa.array(np.r_[rows, len(ids)].astype(np.int32))
+        return batch(schema, ids[rows], pa.ListArray.from_arrays(offsets, pa.array(codes)), pa.ListArray.from_arrays(offsets, pa.array(n)))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            some = tuple(rows.column(k).to_numpy() for k in range(3))
+            cut = int(np.searchsorted(some[0], some[0][-1]))
+            if held and (cut or held[-1][0][-1] != some[0][0]):
+                # The word held so far ends in this batch.
+                held.append(tuple(x[:cut] for x in some))
+                yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held = []
+            elif cut:
+                yield packed(*(x[:cut] for x in some))
+            held.append(tuple(x[cut:] for x in some))
+        if held:
+            yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    dealt = after.unionAll(before).repartition(F.expr(f"id div {_BLOCK}")).sortWithinPartitions("id", "code")
+    return stored_at(map_batches(dealt, task, "id bigint, codes array<bigint>, ns array<bigint>"), "word_contexts")
+
+
+def _entries(rows: pa.RecordBatch, classes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ids of the words, and of each neighbour: row, id, whether it stands before, count, class."""
+    ids, lists = rows.column(0).to_numpy(), rows.column(1)
+    codes, n = lists.flatten().to_numpy(), rows.column(2).flatten().to_numpy()
+    row = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+    other = codes >> 1
+    return ids, row, other, (codes & 1).astype(bool), n, classes[other].astype(np.int64)
+
+
+def _count_classes(contexts: DataFrame, shared, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class bigrams among words that are no units; counts of each unit with classes of such words after and before it."""
+    square, wide = CLASSES * CLASSES, units * CLASSES
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
+        total = np.zeros(square + 2 * wide, np.int64)
+        for rows in batches:
+            ids, row, other, before, n, cls = _entries(rows, classes)
+            own = classes[ids].astype(np.int64)[row]
+            unit = other < units
+            # Of two words that are no units, the first one's row counts.
+            key = np.where(unit, square + np.where(before, 0, wide) + other * CLASSES + own, own * CLASSES + cls)
+            some = unit | ~before
+            total += np.bincount(key[some], weights=n[some], minlength=len(total)).astype(np.int64)
+        found = np.flatnonzero(total)
+        for k in range(0, len(found), _EMIT_ROWS):
+            some = found[k : k + _EMIT_ROWS]
+            yield batch(pa.schema([("key", pa.int64()), ("n", pa.int64())]), some, total[some])
+
+    told = map_batches(contexts, task, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(square + 2 * wide)
+    total[told["key"].to_numpy()] = told["n"].to_numpy()
+    return total[:square].reshape(CLASSES, -1), total[square : square + wide].reshape(units, -1), total[square + wide :].reshape(units, -1)
+
+
+def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before: np.ndarray, twin: np.ndarray) -> np.ndarray:
+    """For each word, alone, the class that gives the highest likelihood; its own class if no other is better.
+
+    ``after`` and ``before`` count the classes beside a word (one row each) without its ``twin`` bigrams with itself.
+    """
+    rows, classes = np.arange(len(now)), len(pairs)
+    gain = np.zeros((len(now), classes))
+    for table, mine, across in ((pairs, after, before), (pairs.T, before, after)):
+        r, k = np.nonzero(mine)
+        x, at = mine[r, k][:, None], now[r]
+        # Counts of all classes with the neighbour's class, without this word.
+        counts = table.T[k].copy()
+        lone = np.arange(len(r))
+        counts[lone, at] -= x[:, 0]
+        same = np.flatnonzero(k == at)
+        counts[same] -= across[r[same]]
+        counts[same, at[same]] -= twin[r[same]]
+        told = _h(counts + x) - _h(counts)
+        # The class with itself is taken below.
+        told[lone, k] = 0
+        if len(r):
+            first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+            gain[r[first]] += np.add.reduceat(told, first, axis=0)
+        more = mine.sum(1) + twin
+        side = np.tile(table.sum(1), (len(now), 1))
+        side[rows, now] -= more
+        gain -= _h(side + more[:, None]) - _h(side)
+    both = np.tile(np.diagonal(pairs), (len(now), 1))
+    own = after + before + twin[:, None]
+    both[rows, now] -= own[rows, now]
+    gain += _h(both + own) - _h(both)
+    gain = gain.round(6)
+    # Words that move together would all take the same empty class: units, which move in turn, open these.
+    gain[:, pairs.sum(0) == 0] = -np.inf
+    # The last class is the end token's.
+    best = gain[:, :-1].argmax(1)
+    return np.where(gain[rows, best] > gain[rows, now], best, now)
+
+
+def _best_of_all(contexts: DataFrame, shared, pairs: np.ndarray) -> list:
+    """(first id, classes as bytes) of runs of words."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
+        for rows in batches:
+            for low in range(0, rows.num_rows, _SCORE_ROWS):
+                ids, row, other, left, n, cls = _entries(rows.slice(low, _SCORE_ROWS), classes)
+                self_ = other == ids[row]
+                size = len(ids) * CLASSES
+                tables = [np.bincount(row[s] * CLASSES + cls[s], weights=n[s], minlength=size).reshape(-1, CLASSES) for s in (~left & ~self_, left & ~self_)]
+                twin = np.bincount(row[self_ & ~left], weights=n[self_ & ~left], minlength=len(ids))
+                best = best_classes(pairs, classes[ids].astype(np.int64), *tables, twin).astype(np.int8)
+                first = np.flatnonzero(np.r_[True, np.diff(ids) != 1])
+                runs = [x.tobytes() for x in np.split(best, first[1:])] if len(ids) else []
+                yield batch(pa.schema([("first", pa.int64()), ("classes", pa.binary())]), ids[first] if len(ids) else [], runs)
+
+    return map_batches(contexts, task, "first bigint, classes binary").collect()
+
+
+def all_word_classes(contexts: DataFrame, bigrams: np.ndarray, classes: np.ndarray, turns: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each id, class bigram counts) after sweeps over all words from the given classes.
+
+    ``bigrams`` are those among units, which have the first ids and whose last is the end token; ``turns`` are the first
+    ids of the words that move together, with one more than the highest id.
+    """
+    units = len(bigrams)
+    context = contexts.sparkSession.sparkContext
+    best: tuple[float, np.ndarray, np.ndarray] | None = None
+    for step in range(SWEEPS * TURNS + 1):
+        turn = step % TURNS
+        shared = context.broadcast(classes)
+        body, right, left = _count_classes(contexts, shared, units)
+        shared.unpersist()
+        mine = classes[:units].astype(np.int64)
+        member = np.zeros((units, CLASSES))
+        member[np.arange(units), mine] = 1
+        pairs = body + member.T @ (bigrams @ member) + member.T @ right + (member.T @ left).T
+        if turn == 0:
+            likelihood = log_likelihood(pairs)
+            if best is not None and likelihood - best[0] < LEAST_GAIN * max(pairs.sum(), 1):
+                # Words that move together do not see each other's moves, so a sweep may lose; the better state is kept.
+                return (classes, pairs) if likelihood > best[0] else best[1:]
+            best = (likelihood, classes.copy(), pairs.copy())
+        if step == SWEEPS * TURNS:
+            break
+        _sweep(bigrams, mine, pairs, right + bigrams @ member, left + bigrams.T @ member)
+        classes = classes.copy()
+        classes[:units] = mine
+        shared = context.broadcast(classes)
+        some_words = contexts.filter((F.col("id") >= turns[turn]) & (F.col("id") < turns[turn + 1]))
+        for r in _best_of_all(some_words, shared, pairs):
+            some = np.frombuffer(bytes(r["classes"]), np.int8)
+            classes[r["first"] : r["first"] + len(some)] = some
+        shared.unpersist()
+    return best[1:]
+
+
 @dataclass(frozen=True)
 class Model:
+    """``classes`` has those of the frequent words, by number, and of the groups."""
+
     units: Units
     classes: np.ndarray
     transition: np.ndarray
@@ -274,42 +579,88 @@ class Model:
 
 def train(df: DataFrame, text: str, counts: DataFrame) -> Model:
     """The model of the texts of ``df``, whose word counts are ``counts``."""
+    return learn(df, text, counts)[0]
+
+
+def learn(df: DataFrame, text: str, counts: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and (word, n, class) of the words that are not frequent."""
+    spark = df.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     units = Units.build(frequent_words(counts, FREQUENT_WORDS), CLUSTER_WORDS, SUFFIX_GROUPS)
-    shared = df.sparkSession.sparkContext.broadcast(units)
-    assigned, pairs = exchange_classes(stored(unit_bigrams(df, text, shared), "unit_bigrams"), units)
+    shared = spark.sparkContext.broadcast(units)
+    started = exchange_classes(stored(unit_bigrams(df, text, shared), "unit_bigrams"), units)[0].astype(np.int8)
+
+    words, turns = numbered_words(counts, units)
+    least = min((n for w, n in zip(units.number, units.counts.tolist(), strict=True) if w != END), default=1 << 62)
+    sent = words.filter(F.col("n") >= least).select("word", "id", "start").toArrow()
+    ids = dict(zip(map(bytes, sent["word"].to_pylist()), sent["id"].to_pylist(), strict=True))
+    ids[END] = units.end
+    bigrams, bigrams_path = word_bigrams(df, text, words, ids, least, units.end)
+    among = bigrams.filter((F.col("a") < units.size) & (F.col("b") < units.size)).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((units.size, units.size))
+    table[among["a"].to_numpy(), among["b"].to_numpy()] = among["n"].to_numpy()
+    contexts, contexts_path = word_contexts(bigrams, units.size)
+    drop_stored(spark, bigrams_path)
 
-    def class_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        known: Units = shared.value
+    classes = np.zeros(turns[-1], np.int8)
+    classes[: units.size] = started
+    for r in _starts(words, units.size, started):
+        classes[r["first"] : r["first"] + len(r["classes"])] = np.frombuffer(bytes(r["classes"]), np.int8)
+    classes, pairs = all_word_classes(contexts, table, classes, turns)
+    drop_stored(spark, contexts_path)
+
+    told, class_of = spark.sparkContext.broadcast(classes), pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
+
+    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            listed = rows.column(0).to_pylist()
-            of = assigned[np.fromiter((known.end if w == END else known.unit(w) for w in listed), np.int64, len(listed))]
-            tokens += np.bincount(of, weights=rows.column(1).to_numpy(), minlength=CLASSES).astype(np.int64)
-            words += np.bincount(of, minlength=CLASSES)
-        schema = pa.schema([("class", pa.int32()), ("n", pa.int64()), ("v", pa.int64())])
-        yield batch(schema, np.arange(CLASSES, dtype=np.int32), tokens, words)
-
-    totals = map_batches(counts.select("word", "n"), class_totals, "class int, n bigint, v bigint")
-    tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in totals.groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        tokens[r["class"]], words[r["class"]] = r["n"], r["v"]
+            yield batch(class_of, rows.column(0), rows.column(1), told.value[rows.column(2).to_numpy()].astype(np.int32))
+
+    classed = stored(map_batches(words.select("word", "n", "id"), with_class, "word binary, n bigint, class int"), "word_classes")
+    tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        tokens[r["class"]], kinds[r["class"]] = r["n"], r["v"]
     # A place for one unseen word per class; the end class has none.
-    emission = tokens + _EMISSION * (words + 1)
+    emission = tokens + _EMISSION * (kinds + 1)
     emission[-1] = tokens[-1] + _EMISSION
     prior = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * CLASSES)
     transition = np.log10((pairs + _TRANSITION * prior) / (pairs.sum(1, keepdims=True) + _TRANSITION))
-    return Model(units, assigned, transition, emission, int(n), int(v))
+    of = [ids[w] for w in units.number] + list(range(units.n_words, units.end))
+    model = Model(units, classes[of].astype(np.int64), transition, emission, int(n), int(v))
+    return model, classed.filter((F.col("n") < least) & (F.col("word") != F.lit(END)))
+
+
+def _starts(words: DataFrame, units: int, started: np.ndarray) -> list:
+    """(first id, classes as bytes) of runs of words that are no units."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            ids, start = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+            order = np.argsort(ids)
+            ids, of = ids[order], started[start[order]]
+            first = np.flatnonzero(np.r_[True, np.diff(ids) != 1]) if len(ids) else np.zeros(0, np.int64)
+            runs = [x.tobytes() for x in np.split(of, first[1:])] if len(ids) else []
+            yield batch(pa.schema([("first", pa.int64()), ("classes", pa.binary())]), ids[first], runs)
 
+    return map_batches(words.filter(F.col("id") >= units).select("id", "start"), task, "first bigint, classes binary").collect()
 
-_PARTS = "row bigint, id bigint, n_tokens bigint, n_known bigint, base double, score double, words array<binary>, times array<int>, classes array<int>"
+
+# Words that are not sent meet their counts and classes in a join: where they stand (class before and after, -1 if that
+# word is not sent either) and the bigrams of two of them. ``groups`` are classes for words that training has not met.
+_PARTS = (
+    "row bigint, id bigint, n_tokens bigint, n_known bigint, base double, score double, "
+    "words array<binary>, befores array<int>, afters array<int>, groups array<int>, seconds array<binary>, second_groups array<int>"
+)
 _PARTS_ARROW = pa.schema(
-    [("row", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())), ("classes", pa.list_(pa.int32()))]
+    [
+        *[("row", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())],
+        *[("words", pa.list_(pa.binary())), ("befores", pa.list_(pa.int32())), ("afters", pa.list_(pa.int32())), ("groups", pa.list_(pa.int32()))],
+        *[("seconds", pa.list_(pa.binary())), ("second_groups", pa.list_(pa.int32()))],
+    ]
 )
 
 
 def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
-    """Per row: what transitions and frequent words give, and the other words with their counts in the text."""
+    """Per row: what transitions and emissions of frequent words give, and the places of the other words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
@@ -324,14 +675,19 @@ def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
                 number = np.fromiter((units.number.get(w, -1) for w in words), np.int64, len(words))
                 unit = np.fromiter(map(units.unit, words), np.int64, len(words))
                 cls = model.classes[unit] if len(words) else unit
-                stream = _stream(cls, codes, of_row, n, CLASSES - 1)
+                frequent = number >= 0
+                # The last code stands for the end token.
+                known_class = np.append(np.where(frequent, cls, -1), CLASSES - 1)
+                stream = _stream(np.arange(len(words)), codes, of_row, n, len(words))
+                before = np.concatenate(([len(words)], stream[:-1]))
+                after = np.concatenate((stream[1:], [len(words)]))
                 owner = np.full(len(stream), -1)
                 owner[np.arange(len(codes)) + of_row] = of_row
                 owner[owner < 0] = np.arange(n)
-                before = np.concatenate(([CLASSES - 1], stream[:-1]))
-                score = np.bincount(owner, weights=model.transition[before, stream], minlength=n)
+                one, two = known_class[before], known_class[stream]
+                both = (one >= 0) & (two >= 0)
+                score = np.bincount(owner[both], weights=model.transition[one[both], two[both]], minlength=n)
 
-                frequent = number >= 0
                 c = np.where(frequent, counts[np.maximum(number, 0)] if len(counts) else 0.0, 0.0)
                 base_of = np.where(frequent, model.base(c), 0.0)
                 emit_of = np.where(frequent, model.emission(c, cls), 0.0)
@@ -343,11 +699,15 @@ def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
                 score = score + float(model.emission(np.float64(ends), np.int64(CLASSES - 1)))
                 n_tokens = np.bincount(of_row, minlength=n) + 1
 
-                rare = ~frequent[codes]
-                pairs, times = np.unique(of_row[rare] * max(len(words), 1) + codes[rare], return_counts=True)
-                rare_row, rare_code = pairs // max(len(words), 1), pairs % max(len(words), 1)
-                offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(rare_row, minlength=n)))).astype(np.int32))
-                listed = pa.array([words[i] for i in rare_code.tolist()], pa.binary())
+                rare = np.flatnonzero(two < 0)
+                code, second = stream[rare], after[rare]
+                offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner[rare], minlength=n)))).astype(np.int32))
+                group = np.append(cls, CLASSES - 1).astype(np.int32)
+                missed = known_class[second] < 0
+
+                def listed(values: pa.Array, offsets: pa.Array = offsets) -> pa.Array:
+                    return pa.ListArray.from_arrays(offsets, values)
+
                 yield batch(
                     _PARTS_ARROW,
                     row + np.arange(n),
@@ -356,9 +716,12 @@ def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
                     known + int(ends > 0),
                     base,
                     score,
-                    pa.ListArray.from_arrays(offsets, listed),
-                    pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(cls[rare_code].astype(np.int32) if len(words) else np.zeros(0, np.int32))),
+                    listed(pa.array([words[i] for i in code.tolist()], pa.binary())),
+                    listed(pa.array(one[rare].astype(np.int32))),
+                    listed(pa.array(known_class[second].astype(np.int32))),
+                    listed(pa.array(group[code])),
+                    listed(pa.array([words[i] if m else None for i, m in zip(second.tolist(), missed.tolist(), strict=True)], pa.binary())),
+                    listed(pa.array(group[second])),
                 )
                 row, at = row + n, at + n
 
@@ -366,6 +729,37 @@ def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
     return map_batches(source, task, _PARTS)
 
 
+def _score_places(met: DataFrame, shared) -> DataFrame:
+    """(row, more_known, more_base, more_score) of words in their places; a word of no count is unseen."""
+    schema = pa.schema([("row", pa.int64()), ("more_known", pa.int64()), ("more_base", pa.float64()), ("more_score", pa.float64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for rows in batches:
+            n, of, one, two = (rows.column(k).to_numpy() for k in range(1, 5))
+            score = model.emission(n.astype(np.float64), of)
+            score += np.where(one >= 0, model.transition[one, of], 0) + np.where(two >= 0, model.transition[of, two], 0)
+            yield batch(schema, rows.column(0), (n > 0).astype(np.int64), model.base(n.astype(np.float64)), score)
+
+    class_of = F.coalesce("class", "groups")
+    wanted = met.select("row", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), class_of.alias("class"), "befores", "afters")
+    return map_batches(wanted, task, "row bigint, more_known bigint, more_base double, more_score double")
+
+
+def _score_pairs(met: DataFrame, shared) -> DataFrame:
+    """(row, more_known, more_base, more_score) of transitions between classes ``one`` and ``two``."""
+    schema = pa.schema([("row", pa.int64()), ("more_known", pa.int64()), ("more_base", pa.float64()), ("more_score", pa.float64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for rows in batches:
+            none = np.zeros(rows.num_rows)
+            score = model.transition[rows.column(1).to_numpy(), rows.column(2).to_numpy()]
+            yield batch(schema, rows.column(0), none.astype(np.int64), none, score)
+
+    return map_batches(met.select("row", "one", "two"), task, "row bigint, more_known bigint, more_base double, more_score double")
+
+
 def held_out(id_col: Column, folds: int = 5, fold: int = 1) -> Column:
     """Whether a row is left out of training, by the crc32 of its id as text; rows without an id are not."""
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
@@ -380,22 +774,20 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     """
     training = df.filter(~held_out(F.col(f"`{id_col}`")))
     counts = stored(word_counts(training, text), "word_counts")
-    model = train(training, text, counts)
+    model, rare_words = learn(training, text, counts)
     shared = df.sparkSession.sparkContext.broadcast(model)
     parts = stored(_score_parts(df, id_col, text, shared), "score_parts")
 
-    # Frequent words never reach the join, so a word's tokens are few beside the training tokens.
-    rare = parts.select("row", F.inline(F.arrays_zip("words", "times", "classes")))
-    met = rare.join(counts.withColumnRenamed("word", "words"), "words", "left")
-    c = F.coalesce("n", F.lit(0)) + 0.5
-    base_total = model.train_tokens + 0.5 * (model.train_words + 1)
-    emission_log = F.element_at(F.array(*[F.lit(math.log10(x)) for x in model.emission_total.tolist()]), F.col("classes") + 1)
-    sums = met.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * (F.log10(c) - F.lit(math.log10(base_total)))).alias("more_base"),
-        F.sum(F.col("times") * (F.log10(c) - emission_log)).alias("more_score"),
-    )
-    told = parts.drop("words", "times", "classes").join(sums, "row", "left")
+    # Frequent words never reach the joins, so a word's tokens are few beside the training tokens.
+    names = ["words", "befores", "afters", "groups", "seconds", "second_groups"]
+    rare = parts.select("row", F.inline(F.arrays_zip(*names)))
+    classed = rare.join(rare_words.withColumnRenamed("word", "words"), "words", "left")
+    beside = rare_words.select(F.col("word").alias("seconds"), F.col("class").alias("two"))
+    paired = classed.filter("seconds is not null").select("row", F.coalesce("class", "groups").alias("one"), "seconds", "second_groups")
+    paired = paired.join(beside, "seconds", "left").withColumn("two", F.coalesce("two", "second_groups"))
+    both = _score_places(classed, shared).unionAll(_score_pairs(paired, shared))
+    sums = both.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("more_known", "more_base", "more_score")])
+    told = parts.drop(*names).join(sums, "row", "left")
     zero = F.lit(0)
     return told.select(
         F.col("id").alias(id_col),
