@@ -87,6 +87,11 @@ def _block_top_k(k: int, exclude_self: bool):
     return compare
 
 
+def _cells(size: int, block_rows: int) -> int:
+    """One cell while a block holds everything; then enough cells for pruning, up to a fixed number."""
+    return 1 if size <= block_rows else min(MAX_PIVOTS, 2 + int(math.sqrt(size / block_rows) * 4))
+
+
 def knn_join(
     queries: DataFrame,
     base: DataFrame,
@@ -98,11 +103,13 @@ def knn_join(
     block_rows: int = BLOCK_ROWS,
     seed: int = 42,
     probes: int | None = None,
+    probe_share: float | None = None,
 ) -> DataFrame:
     """(qid, bid, distance, rank): the k nearest base rows of each query, ties by base key.
 
     With ``probes`` the answer is approximate: a query visits only the cells of its ``probes`` nearest pivots, so its
-    cost does not grow with the cells. ``recall`` measures what is lost.
+    cost does not grow with the cells. With ``probe_share`` it visits that share of the cells, so that recall holds as
+    their number grows. ``recall`` measures what is lost.
     """
     b = base.select(c(base_key).alias("id"), c(vec).cast("array<double>").alias("vec")).filter("vec is not null")
     q = queries.select(c(query_key).alias("id"), c(vec).cast("array<double>").alias("vec")).filter("vec is not null")
@@ -114,9 +121,9 @@ def knn_join(
     size = b.count()
     if size == 0:
         return q.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
-    # One cell while a block holds everything; then enough cells for pruning, up to a fixed number.
-    n_pivots = 1 if size <= block_rows else min(MAX_PIVOTS, 2 + int(math.sqrt(size / block_rows) * 4))
-    pivots = _pivots(b, n_pivots, seed)
+    pivots = _pivots(b, _cells(size, block_rows), seed)
+    if probe_share is not None:
+        probes = max(probes or 0, math.ceil(probe_share * len(pivots)))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
