@@ -241,3 +241,32 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trendspark.llm.licenses import scan_licenses
 
     return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.whitening import whitened_embeddings
+
+    return whitened_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""
+WITH lines AS (
+  SELECT doc_id, t.place, t.line,
+         trim(translate(t.line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS split FROM documents),
+       unnest(list_zip(range(1, len(split) + 1), split)) AS u(t0), LATERAL (SELECT t0[1] AS place, t0[2] AS line) AS t
+),
+owners AS (SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key),
+marked AS (SELECT l.*, owner IS NOT NULL AND owner <> doc_id AS dropped FROM lines AS l LEFT JOIN owners AS o ON l.key = o.key AND length(l.key) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
