@@ -270,3 +270,41 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
+counts AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size, count(*) AS f
+  FROM runs, unnest(range(1, 6)) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i)
+  GROUP BY lang, phrase, size HAVING count(*) >= 100
+),
+candidates AS (SELECT lang, phrase, string_split(phrase, ' ') AS w, size, f AS a FROM counts WHERE size > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, n, CAST(1000 AS HUGEINT) * a * n // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM candidates AS c, unnest(range(1, size)) AS t(k), counts AS l, counts AS r, totals AS o
+  WHERE l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ') AND r.lang = c.lang
+    AND r.phrase = array_to_string(c.w[k + 1:], ' ') AND o.lang = c.lang
+),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS most
+  FROM candidates, unnest(range(2, size)) AS s(part), unnest(range(1, size - part + 2)) AS t(i) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 100 * a
+QUALIFY rank <= 2000
+"""
+)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendspark.llm.phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
