@@ -129,13 +129,13 @@ def _split_label(label: bytes) -> tuple[str, str]:
     return lang.decode(), word.decode()
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
+def _word_counts(docs: DataFrame, slice_words: int) -> DataFrame:
     """(label, f) of every word by language, with f = 0 for a spread of windows from all tasks."""
     schema = pa.schema([("label", pa.binary()), ("f", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[str, int] = {}
-        for words, own in _slices(_read(batches, langs), SLICE_WORDS):
+        for words, own in _slices(_read(batches, langs), slice_words):
             labels, place = _pairs(words, langs)
             counts = np.bincount(place[:own], minlength=len(labels))
             step = max(1, own // SLICE_SAMPLE)
@@ -389,7 +389,7 @@ def _range_bounds(words: DataFrame, bits: np.ndarray, ranges: int) -> list[tuple
     return sorted({ordered[len(ordered) * k // ranges] for k in range(1, ranges)}) if ordered else []
 
 
-def _shard_transducers(docs: DataFrame, bits: np.ndarray, bounds: list[tuple[bytes, ...]]) -> DataFrame:
+def _shard_transducers(docs: DataFrame, bits: np.ndarray, bounds: list[tuple[bytes, ...]], slice_words: int) -> DataFrame:
     """(range, automaton): the windows of every slice of every task, by range."""
     schema = pa.schema([("range", pa.int32()), ("automaton", pa.binary())])
     session = docs.sparkSession
@@ -398,7 +398,7 @@ def _shard_transducers(docs: DataFrame, bits: np.ndarray, bounds: list[tuple[byt
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, bounds = sent.value
         langs: dict[str, int] = {}
-        for words, own in _slices(_read(batches, langs), SLICE_WORDS):
+        for words, own in _slices(_read(batches, langs), slice_words):
             labels, place = _pairs(words, langs)
             frequent = np.flatnonzero(_is_set(bits, labels))
             order = sorted(frequent.tolist(), key=labels.__getitem__)
@@ -440,19 +440,21 @@ def _by_range(rows: DataFrame, ranges: int) -> DataFrame:
     return rows.repartitionById(ranges, F.col("range"))
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, list[tuple[bytes, ...]]]:
+def phrase_counts(
+    docs: DataFrame, least: int = LEAST, slice_words: int = SLICE_WORDS
+) -> tuple[DataFrame, DataFrame, list[tuple[bytes, ...]]]:
     """Counts of all phrases of up to five words of (text, lang) found ``least`` times or more.
 
     Returns (range, lang, phrase, size, f), the number of words by language (lang, n), and the bounds of the ranges.
     """
-    words = stored(_word_counts(docs), "words")
+    words = stored(_word_counts(docs, slice_words), "words")
     named = F.regexp_extract(F.col("label").cast("string"), r"(?s)^(.*)\n[^\n]*$", 1)
     totals = stored(words.filter(F.col("f") > 0).groupBy(named.alias("lang")).agg(F.sum("f").alias("n")), "language_words")
     bits = _frequent_bits(words, least)
     in_all = words.filter(F.col("f") >= least).agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-in_all // RANGE_WORDS))
     bounds = _range_bounds(words, bits, ranges)
-    parts = _shard_transducers(docs, bits, bounds)
+    parts = _shard_transducers(docs, bits, bounds, slice_words)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: dict[int, list[bytes]] = defaultdict(list)
@@ -559,7 +561,14 @@ def score_phrases(counts: DataFrame, totals: DataFrame, bounds: list[tuple[bytes
     return map_batches(_by_range(wanted.unionByName(parts), len(bounds) + 1), score, schema)
 
 
-def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:
+def collocations(
+    df: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    least: int = LEAST,
+    top: int = TOP,
+    slice_words: int = SLICE_WORDS,
+) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of 2 to 5 words by score.
 
     Texts are lower-cased in A-Z, cut into pieces at ``.,;:!?`` and line ends, and those into words at spaces and tabs.
@@ -570,7 +579,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     docs = columns(df, text=text_col, lang=lang_col)
     docs = docs.select("text", F.col("lang").cast("string").alias("lang"))
-    scored = stored(score_phrases(*phrase_counts(docs, least)), "scored_phrases")
+    scored = stored(score_phrases(*phrase_counts(docs, least, slice_words)), "scored_phrases")
     inside = scored.select("lang", F.explode("inner").alias("phrase"))
     left = scored.join(inside, ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
