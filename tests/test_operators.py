@@ -497,19 +497,16 @@ def test_approximate_neighbours_keep_their_recall(spark):
 
 
 @pytest.mark.parametrize("cells", [24, 256])
-def test_registered_approximate_neighbours_keep_their_recall(spark, monkeypatch, cells):
-    from trendspark.catalog import core
-
+def test_a_share_of_the_cells_keeps_recall(spark, monkeypatch, cells):
     sf = "/root/testdata/sf0.1"
     vecs = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     matrix = np.array([v for _, v in vecs], dtype=np.float64)
     best = neighbors.knn_brute(matrix[::20], matrix, 6)
     wanted = {(vecs[20 * i][0], vecs[j][0]) for i, row in enumerate(best) for j in [j for j in row if j != 20 * i][:5]}
     monkeypatch.setattr(neighbors, "_cells", lambda size, block_rows: cells)
-    # Blocks do not change the answer; larger ones make fewer groups.
-    few = core._five_nearest
-    monkeypatch.setattr(core, "_five_nearest", lambda spark, sf_dir, **options: few(spark, sf_dir, **{**options, "block_rows": 4096}))
-    found = {(r["qid"], r["bid"]) for r in core.approximate_neighbors(spark, sf).collect()}
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    near = neighbors.knn_join(table, table, "embedding", 5, "vec_id", "vec_id", exclude_self=True, probe_share=0.75)
+    found = {(r["qid"], r["bid"]) for r in near.collect()}
     assert len(wanted & found) >= 0.9 * len(wanted)
 
 

@@ -9,6 +9,7 @@ from trendspark.catalog.base import LABELLED_SQL, REGISTRY, VIDEOS_SQL, labelled
 from trendspark.functions.text import language_base
 from trendspark.operators import dedupe, filters, joins, neighbors, projection
 from trendspark.operators.aggregates import channel_stats
+from trendspark.operators.neighbor_graph import graph_join
 from trendspark.operators.ranking import lorenz
 from trendspark.operators.transforms import cap_outliers, log_transform
 from trendspark.session import c, durable
@@ -259,14 +260,11 @@ def nearest_neighbors_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _five_nearest(spark, sf_dir, block_rows=64)
 
 
-# Recall is 0.9 at least with 24 and with 256 cells.
-PROBE_SHARE = 0.75
-
-
 @query()
 def approximate_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbours found in the nearest three quarters of the cells; the tests measure recall on this table."""
-    return _five_nearest(spark, sf_dir, block_rows=64, probe_share=PROBE_SHARE)
+    """Neighbours found by refining a graph; the tests measure recall on this table."""
+    vecs = table(spark, sf_dir, "embeddings")
+    return rounded(graph_join(vecs, vecs, "embedding", 5, "vec_id", "vec_id", exclude_self=True), "distance")
 
 
 # --- sets and de-duplication ----------------------------------------------------

@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.operators.neighbors import knn_join
+from trendspark.operators.neighbors import Search, knn_join
 from trendspark.session import c
 
 
 def knn_classify(
-    train: DataFrame, queries: DataFrame, vec: str, label: str, key: str, k: int = 5, weights: str = "uniform"
+    train: DataFrame,
+    queries: DataFrame,
+    vec: str,
+    label: str,
+    key: str,
+    k: int = 5,
+    weights: str = "uniform",
+    search: Search = knn_join,
 ) -> DataFrame:
     """(key, prediction, share): vote of the k nearest training rows.
 
     ``weights='distance'`` counts 1/distance; rows at distance 0 then decide alone.
     Ties go to the smaller class.
     """
-    near = knn_join(queries, train, vec, k, key, key)
+    near = search(queries, train, vec, k, key, key)
     classes = train.select(c(key).alias("_bid"), c(label).cast("int").alias("_class"))
     votes = near.join(classes, c("bid") == c("_bid"))
     hit = c("distance") == 0

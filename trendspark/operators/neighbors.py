@@ -9,7 +9,7 @@ blocks of bounded size on both sides, whatever their share of the data.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from trendspark.functions.hashing import keyed_hash
 from trendspark.session import c, durable
 
+# (queries, base, vec, k, query key, base key, exclude_self=...) to (qid, bid, distance, rank).
+Search = Callable[..., DataFrame]
+
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 256
 # Neighbours measured exactly beyond the k wanted ones, for ties within rounding.

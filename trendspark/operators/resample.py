@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.functions.hashing import hash_unit
-from trendspark.operators.neighbors import knn_join
+from trendspark.operators.neighbors import Search, knn_join
 from trendspark.operators.sampling import _class_sizes, sample_n
 from trendspark.session import c, durable
 
@@ -42,9 +42,13 @@ def under_sample(df: DataFrame, target: str, key: str | Sequence[str], seed: int
     return rest.unionByName(sample_n(majority, n_low, key, seed))
 
 
-def smote(df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(
+    df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int = 42, search: Search = knn_join
+) -> DataFrame:
     """Add synthetic minority rows on segments to one of the k nearest minority rows until classes match.
 
+    ``search`` finds the neighbours: exactly, or with ``graph_join`` at a cost that does not grow with the class per row.
+
     Output: (key as text, target, vec); a synthetic key is 'smote-<row>-<copy>'.
     """
     low, n_low, _, n_high = _minority_majority(df, target)
@@ -54,7 +58,7 @@ def smote(df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int
         return original
     minority = original.filter(c(target) == F.lit(low))
     k = min(k, n_low - 1)
-    pairs = knn_join(minority, minority, vec, k, key, key, exclude_self=True)
+    pairs = search(minority, minority, vec, k, key, key, exclude_self=True)
 
     whole, extra = divmod(missing, n_low)
     seeds = minority.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(whole)))) if whole else None
@@ -76,9 +80,9 @@ def smote(df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int
     return original.unionByName(synthetic)
 
 
-def tomek_pairs(df: DataFrame, vec: str, target: str, key: str) -> DataFrame:
+def tomek_pairs(df: DataFrame, vec: str, target: str, key: str, search: Search = knn_join) -> DataFrame:
     """(a, b, target_a, target_b): mutual nearest rows of different classes, a < b."""
-    near = knn_join(df, df, vec, 1, key, key, exclude_self=True)
+    near = search(df, df, vec, 1, key, key, exclude_self=True)
     classes = df.select(c(key).alias("_id"), c(target).alias("_class"))
     links = near.select(c("qid"), c("bid"))
     mutual = links.filter("qid < bid").alias("f").join(
@@ -91,10 +95,12 @@ def tomek_pairs(df: DataFrame, vec: str, target: str, key: str) -> DataFrame:
     return pairs.filter("target_a <> target_b").select("a", "b", "target_a", "target_b")
 
 
-def tomek_links(df: DataFrame, vec: str, target: str, key: str, remove: str = "majority") -> DataFrame:
+def tomek_links(
+    df: DataFrame, vec: str, target: str, key: str, remove: str = "majority", search: Search = knn_join
+) -> DataFrame:
     """Remove the members of links: all that are not of the smallest class, or with ``remove='all'`` both."""
     low, *_ = _minority_majority(df, target)
-    pairs = tomek_pairs(df, vec, target, key)
+    pairs = tomek_pairs(df, vec, target, key, search)
     ends = pairs.select(c("a").alias("_gone"), c("target_a").alias("_class")).unionByName(
         pairs.select(c("b").alias("_gone"), c("target_b").alias("_class"))
     )
@@ -103,9 +109,11 @@ def tomek_links(df: DataFrame, vec: str, target: str, key: str, remove: str = "m
     return df.join(ends.select("_gone"), c(key) == c("_gone"), "left_anti")
 
 
-def smote_tomek(df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    grown = durable(smote(df, vec, target, key, k, seed), "smote")
-    return tomek_links(grown, vec, target, key, remove="all")
+def smote_tomek(
+    df: DataFrame, vec: str, target: str, key: str, k: int = 5, seed: int = 42, search: Search = knn_join
+) -> DataFrame:
+    grown = durable(smote(df, vec, target, key, k, seed, search), "smote")
+    return tomek_links(grown, vec, target, key, remove="all", search=search)
 
 
 def class_weights(df: DataFrame, target: str, out: str = "weight") -> DataFrame:
