@@ -31,7 +31,7 @@ from trendspark.llm.words import LOWERED, byte_set, texts
 SIZE = 5
 LEAST = 100
 TOP = 2000
-SLICE_WORDS = 2_000_000
+SLICE_WORDS = 1_000_000
 RANGE_WORDS = 8_000_000
 SAMPLE = 20_000
 SLICE_SAMPLE = 512
