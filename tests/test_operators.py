@@ -129,7 +129,7 @@ def test_running_totals(spark, partitions):
 # --- quantiles ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("path", ["small", "brackets", "histogram"])
+@pytest.mark.parametrize("path", ["values", "brackets", "missed brackets", "histogram"])
 @pytest.mark.parametrize("shape", ["uniform", "hot value", "heavy tail", "few values"])
 def test_quantiles(spark, path, shape):
     rng = np.random.default_rng(7)
@@ -143,10 +143,11 @@ def test_quantiles(spark, path, shape):
     probs = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
     df = spark.createDataFrame(pd.DataFrame({"x": x})).unionByName(spark.createDataFrame([(None,), (float("nan"),)], "x double"))
     if path == "histogram":
-        out = quantiles._by_histogram(df, ["x"], probs, ())
+        out = quantiles.value_quantiles(df, ["x"], probs)
+    elif path == "values":
+        out = quantiles.quantiles(df, ["x"], probs, small_rows=10**9)
     else:
-        limit = 10**9 if path == "small" else 0
-        out = quantiles.quantiles(df, ["x"], probs, small_rows=limit, small_distinct=0)
+        out = quantiles.quantiles(df, ["x"], probs, accuracy=1000 if path == "brackets" else 10**8, small_rows=0)
     row = out.first()
     assert row["n"] == n
     assert row["q"] == pytest.approx(np.quantile(x, probs).tolist(), rel=1e-12)
@@ -159,7 +160,7 @@ def test_quantiles_by_group(spark, groups):
     pdf.loc[:7000, "g"] = 0
     df = spark.createDataFrame(pdf)
     for small in (0, 10**9):
-        out = quantiles.quantiles(df, ["x"], [0.25, 0.5], by=["g"], small_rows=small, small_distinct=0)
+        out = quantiles.quantiles(df, ["x"], [0.25, 0.5], by=["g"], accuracy=200, small_rows=small)
         got = {r["g"]: r["q"] for r in out.collect()}
         want = pdf.groupby("g")["x"].quantile([0.25, 0.5]).unstack()
         assert len(got) == groups
@@ -172,7 +173,7 @@ def test_quantiles_by_group(spark, groups):
 def test_quantiles_property(spark, items, p):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in items], "x double").coalesce(2)
     known = [v for v in items if v is not None]
-    got = quantiles.quantiles(df, ["x"], [p], small_rows=0, small_distinct=0).first()["q"]
+    got = quantiles.quantiles(df, ["x"], [p], small_rows=0).first()["q"]
     if known:
         assert got[0] == pytest.approx(float(np.quantile(known, p)), abs=1e-9)
     else:

@@ -1,36 +1,25 @@
-"""Exact linear-interpolated quantiles without sorting whole columns.
+"""Exact linear-interpolated quantiles from mergeable summaries.
 
-The built-in ``percentile`` merges every distinct value of a group in one task,
-so it serves only groups of few rows or few distinct values. For the rest a
-small sample brackets each wanted rank, and one pass counts the rows below the
-bracket and the values inside it. Exact counts decide whether the rank lies in
-its bracket, so sampling affects how fast the answer is found, never what it is.
+One aggregate builds a rank summary per group and column, folded in each task and merged after the shuffle. Its values a
+little below and above a wanted rank bracket the exact one. A second aggregate then counts the rows of each bracket by
+value and everything between brackets as a whole, and a running count over these few cells finds the rank. Two scans
+serve any number of columns, groups and probabilities, and the rows stay in the cluster. The running count tells whether
+a rank lay in its bracket; if one did not, the values of its column are counted one by one.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.operators.prefix import running_totals
-from trendspark.session import c
+from trendspark.session import c, durable
 
-# The built-in aggregate serves groups within one of these.
-SMALL_ROWS = 100_000
-SMALL_DISTINCT = 1_000
-# Rows drawn per quantile, and distinct values of one bracket read by the driver.
-SAMPLE_ROWS = 20_000
-BRACKET_LIMIT = 40_000
-# Groups handled side by side in one pass.
-GROUP_LIMIT = 32
-MAX_LEVELS = 8
-# Rows inside a bracket from which its values are read, unless hot values keep it from shrinking.
-READ_ROWS = 10_000_000
+# Ranks of a summary are off by at most one in so many.
+ACCURACY = 10_000
+_BELOW = float("-inf")
 
 
 def _clean(name: str) -> Column:
@@ -38,161 +27,119 @@ def _clean(name: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-@dataclass
-class _Target:
-    """One wanted quantile: its group and column, the ranks around it, and the bracket so far."""
+def _double(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
 
-    group: int
-    column: str
-    prob: float
-    lo: int
-    hi: int
-    n: int
-    inside: int
-    a: float = -math.inf
-    b: float = math.inf
-    below: int = 0
-    stalled: bool = False
-    pair: tuple[float, float] | None = None
 
-    @property
-    def rank(self) -> tuple[float, float]:
-        """Wanted ranks as fractions of the rows inside the bracket."""
-        return (self.lo - self.below) / self.inside, (self.hi + 1 - self.below) / self.inside
+# The aggregates below are written as SQL text: built from columns one by one, they would take longer than they run.
 
 
-Masks = Sequence[Column | None]
+def _ends(probs: Sequence[float], accuracy: int) -> tuple[list[float], list[float]]:
+    margin = 2 / accuracy
+    return [max(p - margin, 0.0) for p in probs], [min(p + margin, 1.0) for p in probs]
 
 
-def _by_group(masks: Masks, choices: dict[int, Column]) -> Column:
-    """The choice of the row's own group; null in a group without one."""
-    if masks[0] is None:
-        return choices[0]
-    out = F
-    for g, choice in choices.items():
-        out = out.when(masks[g], choice)
-    return out
+def _summaries(rows: DataFrame, width: int, probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+    """(by..., n0, s0, n1, ...): rows of each column, and its values a little below and above each wanted rank."""
+    levels = ", ".join(_double(p) for side in _ends(probs, accuracy) for p in side)
+    aggs = []
+    for i in range(width):
+        aggs += [F.expr(f"count(_x{i}) AS n{i}"), F.expr(f"percentile_approx(_x{i}, array({levels}), {accuracy}) AS s{i}")]
+    return rows.groupBy(*[c(b) for b in by]).agg(*aggs)
 
 
-def _cells(masks: Masks, targets: Sequence[_Target], cell) -> Column:
-    """Array of ``cell(index, target)``; each row evaluates only the targets of its own group."""
-    arrays: dict[int, list[Column]] = {}
-    for i, t in enumerate(targets):
-        arrays.setdefault(t.group, []).append(cell(i, t))
-    return _by_group(masks, {g: F.array(*cells) for g, cells in arrays.items()})
-
-
-def _within(x: Column, t: _Target) -> Column:
-    return (x >= F.lit(t.a)) & (x <= F.lit(t.b))
-
-
-def _sample(df: DataFrame, masks: Masks, targets: Sequence[_Target], seed: int) -> None:
-    """Shrink the brackets to where a sample puts the wanted ranks, with wide margins."""
-    units: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        units.setdefault((t.group, t.column, t.a, t.b), []).append(t)
-    leads = [members[0] for members in units.values()]
-    chances = [min(1.0, SAMPLE_ROWS / t.inside) for t in leads]
-    top = max(chances)
-
-    def cell(i: int, t: _Target) -> Column:
-        x = _clean(t.column)
-        keep = _within(x, t)
-        if chances[i] < top:
-            keep = keep & (F.rand(seed + i + 1) < chances[i] / top)
-        return F.struct(F.lit(i).alias("u"), F.when(keep, x).alias("v"))
-
-    # About SAMPLE_ROWS values per group, column and bracket. Rows are thinned before anything else is done to them.
-    thin = df.filter(F.rand(seed) < top) if top < 1 else df
-    drawn = thin.select(F.inline(_cells(masks, leads, cell))).filter("v is not null").toArrow()
-    unit, value = drawn["u"].to_numpy(), drawn["v"].to_numpy()
-    for i, members in enumerate(units.values()):
-        got = np.sort(value[unit == i])
-        for t in members if len(got) else ():
-            low, high = t.rank
-            margin = 5.0 * math.sqrt(max(low * (1 - low), 1.0 / len(got)) / len(got))
-            first, last = math.floor((low - margin) * len(got)) - 1, math.ceil((high + margin) * len(got)) + 1
-            if first >= 0:
-                t.a = float(got[first])
-            if last < len(got):
-                t.b = float(got[last])
-
-
-def _count(df: DataFrame, masks: Masks, by: Sequence[str], keys: Sequence[tuple], targets: Sequence[_Target]) -> None:
-    """Exact rows below and inside each bracket; a bracket that missed its ranks is reopened."""
-    slots: dict[tuple, dict[int, _Target]] = {}
-    for t in targets:
-        slots.setdefault((t.column, t.prob), {})[t.group] = t
-    aggs = []
-    for j, ((name, _), mine) in enumerate(slots.items()):
-        x = _clean(name)
-        low = _by_group(masks, {g: F.lit(t.a) for g, t in mine.items()})
-        high = _by_group(masks, {g: F.lit(t.b) for g, t in mine.items()})
-        aggs += [F.count_if(x < low).alias(f"b{j}"), F.count_if((x >= low) & (x <= high)).alias(f"i{j}")]
-    names = [repr(key) for key in keys]  # a NaN key equals no other by value
-    for row in df.groupBy(*[c(b) for b in by]).agg(*aggs).collect():  # one row per group, at most GROUP_LIMIT
-        group = names.index(repr(tuple(row[: len(by)])))
-        for j, mine in enumerate(slots.values()):
-            if group in mine:
-                t, below, inside = mine[group], row[f"b{j}"], row[f"i{j}"]
-                if below <= t.lo and t.hi < below + inside:
-                    t.stalled = inside > 0.5 * t.inside
-                    t.below, t.inside = below, inside
-                else:
-                    t.a, t.b, t.below, t.inside = -math.inf, math.inf, 0, t.n
-
-
-def _read(df: DataFrame, masks: Masks, targets: Sequence[_Target]) -> None:
-    """Settle targets from the distinct values inside their brackets, if there are few enough to read."""
-    ready = [t for t in targets if t.a != -math.inf or t.b != math.inf or t.inside <= READ_ROWS]
-    ready = [t for t in ready if t.inside <= READ_ROWS or t.stalled]
-    if not ready:
-        return
-
-    def cell(i: int, t: _Target) -> Column:
-        x = _clean(t.column)
-        return F.struct(F.lit(i).alias("t"), F.when(_within(x, t), x).alias("v"))
-
-    slots: dict[str, dict[int, list[_Target]]] = {}
-    for t in ready:
-        slots.setdefault(t.column, {}).setdefault(t.group, []).append(t)
-    near: Column = F.lit(False)
-    for name, mine in slots.items():
-        hit = {g: _any([_within(_clean(name), t) for t in ts]) for g, ts in mine.items()}
-        near = near | F.coalesce(_by_group(masks, hit), F.lit(False))
-    values = df.filter(near).select(F.inline(_cells(masks, ready, cell))).filter("v is not null")
-    room = BRACKET_LIMIT * len(ready)
-    counts = values.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).limit(room + 1).toArrow()
-    if counts.num_rows > room:
-        return
-    which, value, n = (counts[name].to_numpy() for name in ("t", "v", "n"))
-    for i, t in enumerate(ready):
-        mine = which == i
-        order = np.argsort(value[mine])
-        # The value at rank r is the first whose rows, counted from the bottom, exceed r.
-        upto = t.below + np.cumsum(n[mine][order])
-        at = np.searchsorted(upto, [t.lo, t.hi], side="right")
-        if len(upto) and t.lo >= t.below and at[1] < len(upto):
-            t.pair = tuple(float(x) for x in value[mine][order][at])
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for more in conditions[1:]:
-        out = out | more
-    return out
+def _open_ends(values: str, n: str, probs: Sequence[float], accuracy: int, small_rows: int) -> list[str]:
+    """SQL of the lower ends of all brackets, then of the upper ones. In few rows a bracket would be a row or two wide:
+    there all values count.
+    """
+    lows, highs = _ends(probs, accuracy)
+    open_ = [(_double(_BELOW), p <= 0) for p in lows] + [(_double(-_BELOW), p >= 1) for p in highs]
+    return [far if always else f"IF({n} < {small_rows}, {far}, {values}[{j}])" for j, (far, always) in enumerate(open_)]
 
 
-def _by_brackets(df: DataFrame, masks: Masks, by: Sequence[str], keys: Sequence[tuple], targets: Sequence[_Target]) -> bool:
-    """Settle every target; False if that takes too many rounds."""
-    for level in range(MAX_LEVELS):
-        open_ = [t for t in targets if t.pair is None]
-        if not open_:
-            return True
-        _sample(df, masks, open_, seed=7919 * (level + 1))
-        _count(df, masks, by, keys, open_)
-        _read(df, masks, open_)
-    return all(t.pair is not None for t in targets)
+def _cell(i: int, lows: Sequence[str], highs: Sequence[str]) -> str:
+    """A value inside a bracket stands for itself, any other for all values since the bracket below it."""
+    inside = " OR ".join(f"_x{i} BETWEEN {a} AND {b}" for a, b in zip(lows, highs, strict=True))
+    # Ends rise with the probability, so the last one below counts.
+    below = " ".join(f"WHEN _x{i} > {b} THEN {b}" for b in reversed(highs))
+    return f"named_struct('_i', {i}, '_x', _x{i}, '_v', CASE WHEN {inside} THEN _x{i} {below} ELSE {_double(_BELOW)} END)"
+
+
+def _interpolated(found: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(keys..., n, q) from cells (keys..., n, _v, _gap, cnt, upto)."""
+    picks, levels = [], []
+    for i, p in enumerate(probs):
+        pos = f"((n - 1) * {_double(p)})"
+        for side, at in (("lo", f"floor({pos})"), ("hi", f"ceil({pos})")):
+            # The value at 0-based position ``at`` is the one whose run covers it.
+            picks.append(F.expr(f"max(IF(upto > {at} AND upto - cnt <= {at} AND _gap = 0, _v, NULL)) AS {side}{i}"))
+        levels.append(f"IF(lo{i} = hi{i}, lo{i}, lo{i} + (hi{i} - lo{i}) * ({pos} - floor({pos})))")
+    out = found.groupBy(*[c(g) for g in keys], "n").agg(*picks)
+    return out.select(*[c(g) for g in keys], "n", F.expr(f"array({', '.join(levels)})").alias("q"))
+
+
+def _ranked_cells(rows: DataFrame, ends: Sequence[Sequence[str]], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., _i, n, q) by one aggregate over the rows; a rank outside its bracket leaves a null level.
+
+    ``ends`` has for each column the SQL of its lower and then its upper ends.
+    """
+    k = len(probs)
+    cells = F.expr(f"inline(array({', '.join(_cell(i, e[:k], e[k:]) for i, e in enumerate(ends))}))")
+    groups = [*by, "_i"]
+    counted = (
+        rows.select(*[c(b) for b in by], cells)
+        .filter("_x IS NOT NULL")
+        .groupBy(*[c(g) for g in groups], "_v", F.expr("IF(_v = _x, 0, 1) AS _gap"))
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    # A window holds the cells of one group and column: the values inside its brackets.
+    upto = Window.partitionBy(*[c(g) for g in groups]).orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*[c(g) for g in groups])
+    placed = counted.select("*", F.sum("cnt").over(upto).alias("upto"), F.sum("cnt").over(whole).alias("n"))
+    return _interpolated(placed, groups, probs)
+
+
+def _of_table(df: DataFrame, rows: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int, small_rows: int) -> dict[str, tuple[int, list]]:
+    """{column: (n, levels)} of the whole table: a few numbers a column reach the driver."""
+    first = _summaries(rows, len(cols), probs, (), accuracy).first()
+    row = first.asDict()
+    lows, highs = _ends(probs, accuracy)
+    far = [p <= 0 for p in lows] + [p >= 1 for p in highs]
+    ends = []
+    for i in range(len(cols)):
+        few = row[f"n{i}"] < max(small_rows, 1)
+        widest = [_BELOW] * len(probs) + [-_BELOW] * len(probs)
+        ends.append([_double(w if few or always else row[f"s{i}"][j]) for j, (w, always) in enumerate(zip(widest, far, strict=True))])
+    found = {cols[r["_i"]]: (r["n"], r["q"]) for r in _ranked_cells(rows, ends, probs, ()).collect()}
+    missed = [n for n, (_, q) in found.items() if None in q]
+    if missed:
+        found |= {r["column"]: (r["n"], r["q"]) for r in value_quantiles(df, missed, probs).collect()}
+    return found
+
+
+def _of_groups(df: DataFrame, rows: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int, small_rows: int) -> DataFrame:
+    # Written, so that the planner sends the brackets to the rows only if they are small.
+    ends = [_open_ends(f"s{i}", f"n{i}", probs, accuracy, small_rows) for i in range(len(cols))]
+    named = [F.expr(f"{sql} AS _e{i}_{j}") for i, mine in enumerate(ends) for j, sql in enumerate(mine)]
+    found = _summaries(rows, len(cols), probs, by, accuracy)
+    summaries = durable(found.select(*[c(b).alias(f"_by{j}") for j, b in enumerate(by)], *named), "summaries")
+    joined = rows.join(summaries, [c(b).eqNullSafe(c(f"_by{j}")) for j, b in enumerate(by)])
+    places = [[f"_e{i}_{j}" for j in range(len(mine))] for i, mine in enumerate(ends)]
+    found = _ranked_cells(joined, places, probs, by)
+    name = F.element_at(F.array(*[F.lit(n) for n in cols]), c("_i") + 1).alias("column")
+    found = durable(found.select(*[c(b) for b in by], name, "n", "q"), "quantiles")
+    keys = [*by, "column"]
+    missed = F.exists("q", lambda x: x.isNull())
+    if not found.filter(missed).isEmpty():
+        kept = found.filter(~missed)
+        settled = kept.select(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        again = value_quantiles(df, cols, probs, by).join(settled, [c(k).eqNullSafe(c(f"_k{i}")) for i, k in enumerate(keys)], "left_anti")
+        found = durable(kept.unionByName(again), "quantiles")
+    # Columns of a group without any value.
+    every = summaries.select(*[c(f"_by{j}").alias(b) for j, b in enumerate(by)], F.explode(F.array(*[F.lit(n) for n in cols])).alias("column"))
+    levels = found.select(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n", "q")
+    out = every.join(levels, [c(k).eqNullSafe(c(f"_k{i}")) for i, k in enumerate(keys)], "left")
+    return out.select(*[c(k) for k in keys], F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "q")
 
 
 def quantiles(
@@ -200,76 +147,34 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
-    small_distinct: int = SMALL_DISTINCT,
+    accuracy: int = ACCURACY,
+    small_rows: int | None = None,
 ) -> DataFrame:
-    """Long table (by..., column, n, q): ``q`` is the array of quantiles in the order of ``probs``."""
+    """Long table (by..., column, n, q): ``q`` is the array of quantiles in the order of ``probs``, null without values.
+
+    Every group has a row for every column. Null and NaN are missing. ``accuracy`` sets the width of the brackets, and
+    with it how much is counted value by value; the result is exact whatever it is.
+    """
     ddl = ", ".join(
         [*[f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by], "column string", "n bigint", "q array<double>"]
     )
     if not cols:
         return df.sparkSession.createDataFrame([], ddl)
-    sizes = df.groupBy(*[c(b) for b in by]).agg(
-        *[e for n in cols for e in (F.count(_clean(n)), F.approx_count_distinct(_clean(n)))]
-    )
-    k = len(by)
-    groups = sizes.limit(GROUP_LIMIT + 1).collect()
-    if len(groups) > GROUP_LIMIT:
-        largest = sizes.agg(*[F.max(sizes.columns[k + 2 * i]) for i in range(len(cols))]).first()
-        if max(n or 0 for n in largest) <= small_rows:
-            return _by_percentile(df, cols, probs, by)
-        return _by_histogram(df, cols, probs, by)
-
-    def small(i: int) -> bool:
-        return all(g[k + 2 * i] <= small_rows or g[k + 2 * i + 1] <= small_distinct for g in groups)
-
-    few = [n for i, n in enumerate(cols) if small(i)]
-    many = [n for n in cols if n not in few]
-    parts = [_by_percentile(df, few, probs, by)] if few else []
-    if many:
-        masks: list[Column | None] = []
-        for g in groups:
-            mask: Column | None = None
-            for j, name in enumerate(by):
-                same = c(name).eqNullSafe(F.lit(g[j]).cast(df.schema[name].dataType))
-                mask = same if mask is None else mask & same
-            masks.append(mask)
-        targets = []
-        for gi, g in enumerate(groups):
-            for name in many:
-                n = g[k + 2 * list(cols).index(name)]
-                for p in probs:
-                    if n:
-                        pos = (n - 1) * p
-                        targets.append(_Target(gi, name, p, math.floor(pos), math.ceil(pos), n, n))
-        keys = [tuple(g[:k]) for g in groups]
-        if not _by_brackets(df, masks, by, keys, targets):
-            return _by_histogram(df, cols, probs, by)
-        found = {(t.group, t.column, t.prob): t for t in targets}
-        rows = []
-        for gi, g in enumerate(groups):
-            for name in many:
-                n = g[k + 2 * list(cols).index(name)]
-                q = None
-                if n:
-                    mine = [found[gi, name, p] for p in probs]
-                    q = [t.pair[0] + (t.pair[1] - t.pair[0]) * ((n - 1) * t.prob - t.lo) for t in mine]
-                rows.append((*[g[j] for j in range(k)], name, n, q))
-        parts.append(df.sparkSession.createDataFrame(rows, ddl))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _by_percentile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    levels = F.array(*[F.lit(float(p)) for p in probs])
-    aggs = []
-    for i, name in enumerate(cols):
-        aggs += [F.count(_clean(name)).alias(f"n{i}"), F.percentile(_clean(name), levels).alias(f"q{i}")]
-    wide = df.groupBy(*[c(b) for b in by]).agg(*aggs)
-    rows = [
-        F.struct(F.lit(name).alias("column"), c(f"n{i}").alias("n"), c(f"q{i}").alias("q"))
-        for i, name in enumerate(cols)
-    ]
-    return wide.select(*[c(b) for b in by], F.inline(F.array(*rows)))
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    rising = [float(probs[i]) for i in order]
+    back = [order.index(i) for i in range(len(probs))]
+    small_rows = 4 * accuracy if small_rows is None else small_rows
+    rows = df.select(*[c(b) for b in by], *[_clean(n).alias(f"_x{i}") for i, n in enumerate(cols)])
+    if not by:
+        found = _of_table(df, rows, cols, rising, accuracy, small_rows)
+        table = []
+        for name in cols:
+            n, levels = found.get(name, (0, None))
+            table.append((name, n, [levels[i] for i in back] if levels else None))
+        return df.sparkSession.createDataFrame(table, ddl)
+    out = _of_groups(df, rows, cols, rising, by, accuracy, small_rows)
+    levels = F.when(c("q").isNotNull(), F.array(*[c("q")[i] for i in back])).alias("q")
+    return out.select(*[c(b) for b in by], "column", "n", levels)
 
 
 def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -279,23 +184,12 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
     return long.groupBy(*[c(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _by_histogram(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    hist = value_histogram(df, cols, by)
+def value_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column, n, q) from counts of all distinct values, ordered across the cluster."""
     groups = [*by, "column"]
-    joined = running_totals(hist, ["value"], {"upto": c("cnt")}, by=groups, grand={"upto": "n"})
-    picks = []
-    for i, p in enumerate(probs):
-        pos = (c("n") - 1) * F.lit(float(p))
-        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            # The value at 0-based position ``at`` is the one whose run covers it.
-            covers = (c("upto") > at) & (c("upto") - c("cnt") <= at)
-            picks.append(F.max(F.when(covers, c("value"))).alias(f"{side}{i}"))
-    out = joined.groupBy(*[c(g) for g in groups], "n").agg(*picks)
-    levels = []
-    for i, p in enumerate(probs):
-        pos = (c("n") - 1) * F.lit(float(p))
-        levels.append(c(f"lo{i}") + (c(f"hi{i}") - c(f"lo{i}")) * (pos - F.floor(pos)))
-    return out.select(*[c(g) for g in groups], "n", F.array(*levels).alias("q"))
+    joined = running_totals(value_histogram(df, cols, by), ["value"], {"upto": c("cnt")}, by=groups, grand={"upto": "n"})
+    cells = joined.select(*[c(g) for g in groups], "n", c("value").alias("_v"), F.lit(0).alias("_gap"), "cnt", "upto")
+    return _interpolated(cells, groups, probs)
 
 
 def quantile_map(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
