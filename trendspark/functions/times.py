@@ -15,15 +15,17 @@ _UNIT_SECONDS = {1: 86400, 2: 3600, 3: 60, 4: 1}
 
 def duration_seconds(col: Column) -> Column:
     """Seconds of an ISO-8601 duration; null and malformed text give 0."""
-    # One match writes the parts side by side; text that does not match keeps its first letter.
-    written = F.regexp_replace(col, DURATION_PATTERN, "$1:$2:$3:$4")
-    parts = F.split(written, ":")
-    total = F.lit(0).cast("bigint")
-    for i, unit in enumerate(_UNIT_SECONDS.values()):
+    units = F.array(*[F.lit(u).cast("bigint") for u in _UNIT_SECONDS.values()])
+
+    def total(parts: Column) -> Column:
         # Casting '' would raise and catch an error per row, so blanks become null first.
-        part = F.nullif(F.get(parts, F.lit(i)), F.lit("")).try_cast("bigint")
-        total = total + F.coalesce(part, F.lit(0)) * F.lit(unit)
-    return F.coalesce(F.when(col.startswith("P") & ~written.startswith("P"), total), F.lit(0).cast("bigint"))
+        terms = F.zip_with(parts, units, lambda p, u: F.coalesce(F.when(p != "", p).try_cast("bigint"), F.lit(0)) * u)
+        return F.when(~parts[0].startswith("P"), F.aggregate(terms, F.lit(0).cast("bigint"), lambda a, x: a + x))
+
+    # One match writes the parts side by side; text that does not match keeps its first letter. The lambda binds the
+    # match, which each use of a plain expression would run again.
+    written = F.array(F.split(F.regexp_replace(col, DURATION_PATTERN, "$1:$2:$3:$4"), ":"))
+    return F.coalesce(F.when(col.startswith("P"), F.transform(written, total)[0]), F.lit(0).cast("bigint"))
 
 
 def clock_seconds(col: Column) -> Column:
