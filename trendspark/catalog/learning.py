@@ -109,6 +109,31 @@ def gaussian_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scored.select("vec_id", "label", "prediction", "probability"), "probability")
 
 
+_NB_FOLD = "('0x' || substr(md5(vec_id::varchar || '42'), 1, 8))::bigint % 5"
+_NB_GRID = ", ".join(f"({i}, {one!r}::double)" for i, one in enumerate(search.GRIDS["gaussian_nb"]["var_smoothing"]))
+
+
+@query(
+    f"""WITH x AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE 0 END AS y, {_NB_FOLD} AS fold, unnest(range(1, {_DIMS + 1})) AS i, unnest(embedding)::double AS v FROM embeddings),
+g(setting, smoothing) AS (VALUES {_NB_GRID}), k AS (SELECT unnest(range(5)) AS k),
+m AS (SELECT k, y, i, count(*) AS n, avg(v) AS mean, var_pop(v) AS var FROM x JOIN k ON fold <> k GROUP BY ALL),
+w AS (SELECT k, max(var) AS widest FROM (SELECT k, i, var_pop(v) AS var FROM x JOIN k ON fold <> k GROUP BY ALL) GROUP BY k),
+p AS (SELECT k, y, any_value(n) / sum(any_value(n)) OVER (PARTITION BY k)::double AS prior FROM m GROUP BY k, y),
+j AS (SELECT setting, x.fold, vec_id, x.y AS label, m.y AS guess, any_value(ln(prior)) - 0.5 * sum(ln(2 * pi() * (var + smoothing * widest)) + (v - mean) * (v - mean) / (var + smoothing * widest)) AS joint
+  FROM x JOIN m ON x.fold = m.k AND x.i = m.i JOIN w ON w.k = m.k JOIN p ON p.k = m.k AND p.y = m.y, g GROUP BY ALL),
+b AS (SELECT setting, fold, label, arg_max(guess, joint) AS guess FROM j GROUP BY setting, fold, vec_id, label),
+c AS (SELECT setting, fold, cls, count(*) FILTER (label = cls AND guess = cls) AS hit, count(*) FILTER ((label = cls) <> (guess = cls)) AS miss FROM b, (VALUES (0), (1)) t(cls) GROUP BY ALL),
+f AS (SELECT setting, fold, avg(2.0 * hit / (2 * hit + miss)) AS f1 FROM c WHERE hit + miss > 0 GROUP BY ALL)
+SELECT setting::int AS setting, smoothing AS var_smoothing, round(avg(f1), 6) AS f1 FROM f JOIN g USING (setting) GROUP BY 1, 2"""
+)
+def gaussian_nb_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro F1 of the whole smoothing grid over five folds."""
+    rows = search.with_folds(expand(_vectors(spark, sf_dir), "embedding", _DIMS, "f"), "vec_id", 5)
+    found = search.gaussian_nb_search(search.GRIDS["gaussian_nb"]["var_smoothing"], rows, [f"f{i}" for i in range(_DIMS)], 5)
+    table_ = [(i, s["var_smoothing"], float(f)) for i, (s, f) in enumerate(found)]
+    return spark.createDataFrame(table_, "setting int, var_smoothing double, f1 double").withColumn("f1", F.round("f1", 6))
+
+
 def _knn_sql(weights: str) -> str:
     vote = "count(*)::double" if weights == "uniform" else "sum(1 / d)"
     return f"""WITH x AS (SELECT vec_id, label, embedding::double[] AS e, {_NB_SPLIT} AS part FROM embeddings),

@@ -85,7 +85,9 @@ class ModelTrainer:
 
     def _own(self, name: str, mode: str | None, settings: Sequence[dict], fit, predict) -> Mapping:
         train = self.sampled(mode)
-        results = search.search_models(settings, train, fit, predict, self.folds)
+        return self._log_own(name, mode, train, search.search_models(settings, train, fit, predict, self.folds), fit)
+
+    def _log_own(self, name: str, mode: str | None, train: DataFrame, results: Sequence[tuple[dict, float]], fit) -> Mapping:
         setting, cv = search.best_setting(results)
         model = fit(train, **setting)
         metrics, model = run_experiment(
@@ -110,7 +112,9 @@ class ModelTrainer:
         def fit(df: DataFrame, var_smoothing: float) -> GaussianNB:
             return GaussianNB.fit(df, self.features, "label", var_smoothing)
 
-        return self._own("Gaussian NB", mode, search.expand_grid(grid), fit, lambda m, df: m.transform(df))
+        train = self.sampled(mode)
+        results = search.gaussian_nb_search(grid["var_smoothing"], train, self.features, self.folds)
+        return self._log_own("Gaussian NB", mode, train, results, fit)
 
     def train_knn(self, mode: str | None = None, grid: Mapping = search.GRIDS["knn"]) -> Mapping:
         def fit(df: DataFrame, n_neighbors: int, weights: str) -> KnnModel:
