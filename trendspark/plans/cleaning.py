@@ -1,9 +1,9 @@
 """Cleaning as an ordered list of table functions with an audit log.
 
-Affected rows are plain aggregates, gathered while the steps are laid out and
-run together as one job. Unlike task counters they stay right when executors
-are lost and stages run again. Steps that shuffle end in a barrier, so neither
-the counts nor later steps repeat their work.
+While a pipeline runs, its rows carry a mask with one bit for every step that dropped or changed them. Dropped rows stay
+until the stage is written, with the mask; one aggregate over the mask then gives the counts of all its steps, and the
+next stage starts from the rows that are left. The mask is part of the stored rows, so the counts stay right when
+executors are lost and tasks run again. A step that does not know the mask gets, and gives, plain tables.
 """
 
 from __future__ import annotations
@@ -27,6 +27,11 @@ from trendspark.session import c, durable
 LOG_SCHEMA = "position int, step string, rule string, records_affected bigint, action string, rationale string"
 
 
+# The mask's column, and the bits of one stage.
+AUDIT = "_audit"
+MOST_BITS = 60
+
+
 @dataclass
 class Entry:
     step: str
@@ -38,11 +43,21 @@ class Entry:
 
 @dataclass
 class DecisionLog:
-    """What each step did. Counts given as one-row tables are run by ``resolve``, all at once."""
+    """What each step did. Counts given as one-row tables are run by ``resolve``, all at once.
+
+    With ``masked``, steps mark rows instead, and ``barrier`` counts the marks.
+    """
 
     entries: list[Entry] = field(default_factory=list)
     initial_shape: tuple[int, int] | None = None
     final_shape: tuple[int, int] | None = None
+    masked: bool = False
+    # Rows of the table at hand, where a count has told.
+    rows: int | None = None
+    # Of the stage at hand: the entry of each bit, the bits of dropped rows, and an entry that waits for the stage's rows.
+    _bits: list[int] = field(default_factory=list)
+    _gone: int = 0
+    _fewer: tuple[int, int] | None = None
 
     def record(self, step: str, rule: str, affected: int | DataFrame, action: str, rationale: str) -> None:
         self.entries.append(Entry(step, rule, affected, action, rationale))
@@ -53,10 +68,76 @@ class DecisionLog:
         total = F.count(F.lit(1)) if condition is None else F.count_if(condition)
         return df.agg(total.cast("bigint").alias("n"))
 
-    @staticmethod
-    def barrier(df: DataFrame) -> DataFrame:
-        """Write the table, so that what follows starts from it."""
-        return durable(df, "stage")
+    def _alive(self) -> Column:
+        return c(AUDIT).bitwiseAND(F.lit(self._gone)) == 0
+
+    def _set(self, df: DataFrame, condition: Column) -> DataFrame:
+        """A new bit of the last entry, set where the condition holds in a row that is still there."""
+        bit = 1 << len(self._bits)
+        self._bits.append(len(self.entries) - 1)
+        if AUDIT not in df.columns:
+            df = df.withColumn(AUDIT, F.lit(0).cast("bigint"))
+        hit = F.coalesce(condition, F.lit(False)) & self._alive()
+        return df.withColumn(AUDIT, F.when(hit, c(AUDIT).bitwiseOR(F.lit(bit))).otherwise(c(AUDIT)))
+
+    def mark(self, df: DataFrame, condition: Column | Sequence[Column], step: str, rule: str, action: str, rationale: str) -> DataFrame:
+        """Log the rows that meet a condition; of several conditions, the sum of their rows."""
+        conditions = [condition] if isinstance(condition, Column) else list(condition)
+        if not self.masked:
+            each = F.lit(0)
+            for one in conditions:
+                each = each + F.coalesce(one.cast("int"), F.lit(0))
+            total = df.agg(F.coalesce(F.sum(each), F.lit(0)).cast("bigint").alias("n"))
+            self.record(step, rule, total, action, rationale)
+            return df
+        if len(self._bits) + len(conditions) > MOST_BITS:
+            df = self.barrier(df)
+        self.record(step, rule, 0, action, rationale)
+        for one in conditions:
+            df = self._set(df, one)
+        return df
+
+    def drop(self, df: DataFrame, valid: Column, step: str, rule: str, action: str, rationale: str) -> DataFrame:
+        """Leave out the rows that do not meet a condition, and log them."""
+        bad = ~F.coalesce(valid, F.lit(False))
+        out = self.mark(df, bad, step, rule, action, rationale)
+        if not self.masked:
+            return out.filter(valid)
+        self._gone |= 1 << (len(self._bits) - 1)
+        return out
+
+    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The table without marks, and its number of rows; a step that drops rows by a shuffle starts here."""
+        if self._bits or self._fewer:
+            df = self.barrier(df)
+        if self.rows is None or not self.masked:
+            self.rows = df.count()
+        return df, self.rows
+
+    def fewer(self, before: int, step: str, rule: str, action: str, rationale: str) -> None:
+        """Log what the stage at hand has less than ``before`` rows, as soon as it is written."""
+        self.record(step, rule, 0, action, rationale)
+        self._fewer = (len(self.entries) - 1, before)
+        self.rows = None
+
+    def barrier(self, df: DataFrame) -> DataFrame:
+        """Write the table, so that what follows starts from it, and count its marks in one aggregate."""
+        out = durable(df, "stage")
+        if not (self.masked or self._fewer):
+            return out
+        bits, gone = list(self._bits), self._gone
+        left = self._alive() if bits else F.lit(True)
+        sums = [F.count_if(c(AUDIT).bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(bits))]
+        rows, self.rows, *hits = out.agg(F.count(F.lit(1)), F.count_if(left), *sums).first()
+        for i, n in zip(bits, hits, strict=True):
+            self.entries[i].affected += n
+        if self._fewer:
+            i, before = self._fewer
+            self.entries[i].affected = before - rows
+        self._bits, self._gone, self._fewer = [], 0, None
+        if not bits:
+            return out
+        return (out.filter(left) if gone else out).drop(AUDIT)
 
     def resolve(self) -> None:
         waiting = [(i, e.affected) for i, e in enumerate(self.entries) if isinstance(e.affected, DataFrame)]
@@ -76,6 +157,12 @@ class DecisionLog:
 Step = Callable[..., DataFrame]
 
 
+def knows_mask(step: Step) -> Step:
+    """Tell that a step passes marked rows on: it works row by row and leaves the mask as it is."""
+    step.knows_mask = True
+    return step
+
+
 class CleaningPipeline:
     """Ordered steps ``fn(df, log=..., **kwargs) -> DataFrame``; any table function can be a step."""
 
@@ -95,14 +182,21 @@ class CleaningPipeline:
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         """Run the steps, write the result to shared storage and fill the log."""
-        self.log = DecisionLog()
-        self.log.initial_shape = (df.count(), len(df.columns))
+        self.log = log = DecisionLog(masked=True)
+        log.rows = df.count()
+        log.initial_shape = (log.rows, len(df.columns))
         out = df
         for _, fn, kwargs in self.steps:
-            out = out.transform(fn, log=self.log, **kwargs)
-        out = self.log.barrier(out)
-        self.log.resolve()
-        self.log.final_shape = (out.count(), len(out.columns))
+            if getattr(fn, "knows_mask", False):
+                out = out.transform(fn, log=log, **kwargs)
+                continue
+            if AUDIT in out.columns or log._fewer:
+                out = log.barrier(out)
+            out = out.transform(fn, log=log, **kwargs)
+            log.rows = None
+        out = log.barrier(out)
+        log.resolve()
+        log.final_shape = (log.rows, len(out.columns))
         return out
 
 
@@ -110,30 +204,32 @@ def _text_true(name: str) -> Column:
     return as_bool(c(name))
 
 
+@knows_mask
 def remove_duplicates(
     df: DataFrame, log: DecisionLog | None = None, key: str = "video_id", order: Sequence[str] = ("_row",)
 ) -> DataFrame:
     """Keep the first row per key. Equal rows share their key, so this also drops exact copies."""
+    before = 0
+    if log is not None:
+        df, before = log.counted(df)
     present = [n for n in order if n in df.columns] or [n for n in df.columns if n != key]
     out = dedupe_key(df, key, present)
     if log is None:
         return out
-    before = df.count()
-    out = log.barrier(out)
-    after = out.count()
-    log.record("Accuracy", f"one row per {key}", before - after, "keep first", "a record may be listed more than once")
-    return out
+    log.fewer(before, "Accuracy", f"one row per {key}", "keep first", "a record may be listed more than once")
+    return out if log.masked else log.barrier(out)
 
 
+@knows_mask
 def filter_invalid_rows(df: DataFrame, log: DecisionLog | None = None) -> DataFrame:
     """Drop likes above views and impossible comment states."""
     valid = le_condition(df, "likes", "view_count") & comment_state_condition(df, "comment_count", "comments_disabled")
-    if log is not None:
-        dropped = log.count(df, ~valid)
-        log.record("Consistency", "likes within views; comments fit their switch", dropped, "leave out", "such counts contradict each other")
-    return df.filter(valid)
+    if log is None:
+        return df.filter(valid)
+    return log.drop(df, valid, "Consistency", "likes within views; comments fit their switch", "leave out", "such counts contradict each other")
 
 
+@knows_mask
 def drop_unused(df: DataFrame, log: DecisionLog | None = None, columns: Sequence[str] = tuple(CLEANING_DROPS)) -> DataFrame:
     present = [n for n in columns if n in df.columns]
     if log is not None:
@@ -141,36 +237,41 @@ def drop_unused(df: DataFrame, log: DecisionLog | None = None, columns: Sequence
     return drop_columns(df, present)
 
 
+@knows_mask
 def normalize_tags(df: DataFrame, log: DecisionLog | None = None, col: str = "tags") -> DataFrame:
     """Tags as an array of text; null becomes empty."""
     if log is not None:
-        log.record("Consistency", f"{col} as an array", log.count(df), "parse", "texts and lists are mixed in the source")
+        df = log.mark(df, F.lit(True), "Consistency", f"{col} as an array", "parse", "texts and lists are mixed in the source")
     if df.schema[col].dataType.simpleString().startswith("array"):
         return df.withColumn(col, F.coalesce(c(col), F.array().cast("array<string>")))
     return df.withColumn(col, split_tags(c(col)))
 
 
+@knows_mask
 def fix_description(df: DataFrame, log: DecisionLog | None = None, col: str = "description") -> DataFrame:
     if log is not None:
-        log.record("Completeness", f"{col} missing", log.count(df, c(col).isNull()), "empty text", "absent and empty mean the same")
+        df = log.mark(df, c(col).isNull(), "Completeness", f"{col} missing", "empty text", "absent and empty mean the same")
     return transforms.fill_text(df, [col])
 
 
+@knows_mask
 def fix_comment_count(df: DataFrame, log: DecisionLog | None = None) -> DataFrame:
     off = _text_true("comments_disabled")
     if log is not None:
-        hits = log.count(df, c("comment_count").isNull() & off)
-        log.record("Completeness", "no count while comments are off", hits, "zero", "a closed section holds no comments")
+        hit = c("comment_count").isNull() & off
+        df = log.mark(df, hit, "Completeness", "no count while comments are off", "zero", "a closed section holds no comments")
     return transforms.fill_when(df, "comment_count", off, 0)
 
 
+@knows_mask
 def drop_null_rows(df: DataFrame, log: DecisionLog | None = None, ignore: Sequence[str] = ("_row",)) -> DataFrame:
-    cols = [n for n in df.columns if n not in ignore]
-    if log is not None:
-        log.record("Completeness", "every column known", log.count(df, ~complete(df, cols)), "leave out", "no sound value to put in")
-    return drop_nulls(df, cols)
+    cols = [n for n in df.columns if n not in (*ignore, AUDIT)]
+    if log is None:
+        return drop_nulls(df, cols)
+    return log.drop(df, complete(df, cols), "Completeness", "every column known", "leave out", "no sound value to put in")
 
 
+@knows_mask
 def cast_columns(
     df: DataFrame,
     log: DecisionLog | None = None,
@@ -182,6 +283,7 @@ def cast_columns(
     return transforms.cast_types(df, ints, bools)
 
 
+@knows_mask
 def clean_default_language(
     df: DataFrame, log: DecisionLog | None = None, codes: DataFrame | None = None, col: str = "defaultLanguage"
 ) -> DataFrame:
@@ -193,18 +295,20 @@ def clean_default_language(
         changed = c("_given").isNotNull() & ~c(col).eqNullSafe(c("_given"))
         # A value that already reads 'unknown' is no listed code either.
         changed = changed | (c("_given") == "unknown")
-        log.record("Consistency", f"{col} listed", log.count(out, changed), "write 'unknown'", "the code list lacks the base code")
+        out = log.mark(out, changed, "Consistency", f"{col} listed", "write 'unknown'", "the code list lacks the base code")
     return out.drop("_given")
 
 
+@knows_mask
 def log_columns(
     df: DataFrame, log: DecisionLog | None = None, columns: Sequence[str] = tuple(LOG_COLUMNS), base: str = "natural"
 ) -> DataFrame:
     if log is not None:
-        log.record("Transformation", f"log({base}) on {list(columns)}", log.count(df), "log(1 + x)", "long right tails")
+        df = log.mark(df, F.lit(True), "Transformation", f"log({base}) on {list(columns)}", "log(1 + x)", "long right tails")
     return transforms.log_transform(df, columns, base)
 
 
+@knows_mask
 def cap_columns(
     df: DataFrame,
     log: DecisionLog | None = None,
@@ -218,11 +322,8 @@ def cap_columns(
     df = log.barrier(df) if log is not None else durable(df, "before_caps")
     bounds = transforms.cap_bounds(df, columns, method, k, z, fixed)
     if log is not None:
-        outside = F.lit(0)
-        for name, (lo, hi) in bounds.items():
-            outside = outside + F.coalesce(((c(name) < lo) | (c(name) > hi)).cast("int"), F.lit(0))
-        capped = df.agg(F.coalesce(F.sum(outside), F.lit(0)).cast("bigint").alias("n"))
-        log.record("Outliers", f"{method} fences of {len(columns)} columns", capped, "move to the fence", "extreme values outweigh the rest")
+        outside = [(c(name) < lo) | (c(name) > hi) for name, (lo, hi) in bounds.items()]
+        df = log.mark(df, outside, "Outliers", f"{method} fences of {len(columns)} columns", "move to the fence", "extreme values outweigh the rest")
     return transforms.apply_caps(df, bounds)
 
 
