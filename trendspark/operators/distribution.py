@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.functions.numbers import known_number
+from trendspark.operators.heavy import heavy_condition, split_lookup
 from trendspark.operators.prefix import running_totals
 from trendspark.operators.quantiles import quantile_map, quantiles
 from trendspark.session import c, durable
@@ -131,96 +133,73 @@ def average_ranks(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 def average_rank(df: DataFrame, col: str, out: str = "avg_rank") -> DataFrame:
     """Append the average rank of ``col`` to every row; null values get a null rank."""
-    ranks = durable(average_ranks(df, col).select(c("value").alias("_value"), c("avg_rank").alias(out)), "ranks")
-    return df.join(ranks, c(col) == c("_value"), "left").drop("_value")
+    ranks = durable(average_ranks(df, col).select("value", "cnt", c("avg_rank").alias(out)), "ranks")
+    total = ranks.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
+    often = heavy_condition("cnt", F.lit(total))
+    return split_lookup(df, c(col), ranks.filter(often), ranks.filter(~often), "value", [out])
+
+
+def _row_sets(numbers: DataFrame, pairs: Sequence[tuple[int, int]]) -> list[tuple[set[int], list[tuple[int, int]]]]:
+    """Pairs of columns by the rows in which both are known: (columns, pairs), each set with rows of its own."""
+    used = sorted({i for pair in pairs for i in pair})
+    known = F.lit(0).cast("bigint")
+    for place, i in enumerate(used):
+        known = known + F.when(c(f"v{i}").isNotNull(), F.lit(1 << place)).otherwise(F.lit(0))
+    bit = {i: 1 << place for place, i in enumerate(used)}
+    # One row per combination of known columns.
+    patterns = numbers.groupBy(known.alias("known")).agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def rows(columns: set[int]) -> int:
+        wanted = sum(bit[i] for i in columns)
+        return sum(r["n"] for r in patterns if r["known"] & wanted == wanted)
+
+    sets: list[tuple[set[int], list[tuple[int, int]]]] = []
+    for pair in pairs:
+        for columns, mine in sets:
+            if rows(columns) == rows(set(pair)) == rows(columns | set(pair)):
+                columns |= set(pair)
+                mine.append(pair)
+                break
+        else:
+            sets.append((set(pair), [pair]))
+    return sets
 
 
 def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, r) rank correlation over the rows where both values are present; NaN is missing.
 
-    Columns that are known in the same rows are ranked once each. A pair whose columns are known in different rows
-    needs ranks of its own.
+    Columns are ranked once for each set of rows in which pairs are known. Up to 62 columns.
     """
-    pairs = list(combinations(cols, 2))
+    pairs = list(combinations(range(len(cols)), 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
     numbers = df.select(*[known_number(n).alias(f"v{i}") for i, n in enumerate(cols)])
-    at = {n: i for i, n in enumerate(cols)}
-    gaps = [F.count_if(F.isnull(f"v{at[a]}") != F.isnull(f"v{at[b]}")) for a, b in pairs]
-    odd = [pair for pair, n in zip(pairs, numbers.agg(*gaps).first(), strict=True) if n]
-    frames = []
-    even = [pair for pair in pairs if pair not in odd]
-    while even:
-        # Columns that share their known rows with the first one, all by even pairs.
-        first = even[0][0]
-        alike = [n for n in cols if n == first or any(set(pair) == {n, first} for pair in even)]
-        here = [pair for pair in even if set(pair) <= set(alike)]
-        frames.append(_spearman_alike(numbers, [(a, b, at[a], at[b]) for a, b in here]))
-        even = [pair for pair in even if pair not in here]
-    if odd:
-        frames.append(_spearman_pairs(numbers, [(a, b, at[a], at[b]) for a, b in odd]))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
-
-
-def _spearman_alike(numbers: DataFrame, pairs: Sequence[tuple[str, str, int, int]]) -> DataFrame:
-    """Pairs of columns that are known in the same rows: one ranking per column."""
-    used = sorted({i for _, _, a, b in pairs for i in (a, b)})
-    rows = numbers.filter(F.col(f"v{used[0]}").isNotNull()).select(*[f"v{i}" for i in used])
-    cells = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("value")) for i in used])
-    sizes = rows.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["column"], grand={"upto": "n"})
+    sets = _row_sets(numbers, pairs)
+    cells = []
+    for s, (columns, _) in enumerate(sets):
+        whole = " AND ".join(f"v{i} IS NOT NULL" for i in sorted(columns))
+        cells += [f"named_struct('set', {s}, 'column', {i}, 'value', IF({whole}, v{i}, NULL))" for i in sorted(columns)]
+    long = numbers.select(F.expr(f"inline(array({', '.join(cells)}))")).filter("value IS NOT NULL")
+    sizes = long.groupBy("set", "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["set", "column"], grand={"upto": "n"})
     # Centred on the mean rank (n+1)/2, so the moments below lose no precision.
-    centred = (c("upto") - (c("cnt") - 1) / 2 - (c("n") + 1) / 2).alias("d")
-    ranks = durable(ranked.select("column", "value", centred), "ranks")
-    for i in used:
-        own = ranks.filter(c("column") == i).select(c("value").alias(f"v{i}"), c("d").alias(f"d{i}"))
-        rows = rows.join(own, f"v{i}")
-    aggs = [F.sum(c(f"d{i}") * c(f"d{i}")).alias(f"s{i}") for i in used]
-    aggs += [F.sum(c(f"d{a}") * c(f"d{b}")).alias(f"p{a}_{b}") for _, _, a, b in pairs]
-    cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(c(f"p{i}_{j}"), F.sqrt(c(f"s{i}") * c(f"s{j}"))).alias("r"))
-        for a, b, i, j in pairs
-    ]
-    return rows.agg(*aggs).select(F.inline(F.array(*cells)))
-
-
-def _spearman_pairs(numbers: DataFrame, pairs: Sequence[tuple[str, str, int, int]]) -> DataFrame:
-    """Pairs of columns that are known in different rows: rows fold to distinct value pairs, which share one ranking pass."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
-            for a, b, i, j in pairs
+    centred = F.expr("upto - (cnt - 1) / 2 - (n + 1) / 2").alias("d")
+    ranks = durable(ranked.select("set", "column", "value", "cnt", "n", centred), "ranks")
+    often = heavy_condition("cnt", c("n"))
+    found = []
+    for s, (columns, mine) in enumerate(sets):
+        used = sorted(columns)
+        rows = numbers.filter(" AND ".join(f"v{i} IS NOT NULL" for i in used)).select(*[f"v{i}" for i in used])
+        for i in used:
+            own = ranks.filter((c("set") == s) & (c("column") == i)).withColumnRenamed("d", f"d{i}")
+            rows = split_lookup(rows, c(f"v{i}"), own.filter(often), own.filter(~often), "value", [f"d{i}"])
+        aggs = [F.expr(f"sum(d{i} * d{i}) AS s{i}") for i in used] + [F.expr(f"sum(d{a} * d{b}) AS p{a}_{b}") for a, b in mine]
+        named = [
+            F.struct(F.lit(cols[a]).alias("a"), F.lit(cols[b]).alias("b"), F.expr(f"try_divide(p{a}_{b}, sqrt(s{a} * s{b}))").alias("r"))
+            for a, b in mine
         ]
-    )
-    folded = (
-        numbers.select(F.inline(cells))
-        .filter("x is not null and y is not null")
-        .groupBy("a", "b", "x", "y")
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    stored = durable(folded, "pairs")
-
-    sides = F.array(*[F.struct(F.lit(s).alias("side"), c(s).alias("value")) for s in ("x", "y")])
-    sizes = stored.select("a", "b", "w", F.inline(sides)).groupBy("a", "b", "side", "value").agg(F.sum("w").alias("cnt"))
-    ranked = running_totals(sizes, ["value"], {"upto": c("cnt")}, by=["a", "b", "side"], grand={"upto": "n"})
-    # Centred on the mean rank (n+1)/2, so the moments below lose no precision.
-    ranks = durable(
-        ranked.select("a", "b", "side", "value", (c("upto") - (c("cnt") - 1) / 2 - (c("n") + 1) / 2).alias("d")), "ranks"
-    )
-
-    def ranks_of(side: str) -> DataFrame:
-        return ranks.filter(c("side") == side).select("a", "b", c("value").alias(side), c("d").alias(f"d{side}"))
-
-    joined = stored.join(ranks_of("x"), ["a", "b", "x"]).join(ranks_of("y"), ["a", "b", "y"])
-    sums = joined.groupBy("a", "b").agg(
-        F.sum(c("w") * c("dx") * c("dy")).alias("xy"),
-        F.sum(c("w") * c("dx") * c("dx")).alias("xx"),
-        F.sum(c("w") * c("dy") * c("dy")).alias("yy"),
-    )
-    return sums.select("a", "b", F.try_divide(c("xy"), F.sqrt(c("xx") * c("yy"))).alias("r"))
+        found.append(rows.agg(*aggs).select(F.inline(F.array(*named))))
+    return reduce(DataFrame.unionByName, found)
 
 
 def skew(df: DataFrame, cols: Sequence[str], adjusted: bool = True) -> DataFrame:

@@ -1,79 +1,83 @@
 """Category grouping and frequency encoding.
 
-Value tables are aggregated once and written to shared storage; the planner
-then broadcasts them by their true size or falls back to a sort-merge join.
+Values of all columns are counted in one scan and written to shared storage. Frequent values are looked up in a small map,
+the others by a join (see ``heavy``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendspark.functions.text import normalize_language
-from trendspark.operators.joins import map_lookup
+from trendspark.operators.heavy import heavy_condition, split_lookup
 from trendspark.session import c, durable
 
 
-def _replace_listed(df: DataFrame, col: str, listed: DataFrame, other: object, out: str | None = None) -> DataFrame:
-    """``other`` where the value is in the one-column table ``listed``."""
-    hits = listed.select(c(listed.columns[0]).alias("__hit"))
-    kind = df.schema[col].dataType
-    target = out or col
-    replaced = F.when(c("__hit").isNotNull(), F.lit(other).cast(kind)).otherwise(c(col))
-    joined = df.join(hits, c(col) == c("__hit"), "left").withColumn("__new", replaced)
-    kept = [c("__new").alias(n) if n == target else c(n) for n in df.columns]
-    if target not in df.columns:
-        kept.append(c("__new").alias(target))
-    return joined.select(*kept)
+def _as_key(df: DataFrame, name: str) -> Column:
+    """A column's value as text, so that columns of several types share one table; both zeros are one value."""
+    kind = df.schema[name].dataType
+    value = c(name) + F.lit(0.0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else c(name)
+    return value.cast("string")
 
 
-def rare_by_share(df: DataFrame, col: str, threshold: float) -> DataFrame:
-    """Values whose share of the non-null rows is below ``threshold``."""
-    rows = df.select(c(col).alias("value")).filter("value is not null")
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    counts = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    return durable(counts.filter(c("n") / total < F.lit(threshold)).select("value"), "rare")
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Stored (column, value, n, total) of the non-null values of all columns, as text, from one scan."""
+    cells = F.array(*[F.struct(F.lit(i).alias("column"), _as_key(df, n).alias("value")) for i, n in enumerate(cols)])
+    long = df.select(F.inline(cells)).filter("value IS NOT NULL")
+    counts = durable(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    totals = {r["column"]: r["total"] for r in counts.groupBy("column").agg(F.sum("n").alias("total")).collect()}  # one row per column
+    total = F.element_at(F.array(*[F.lit(totals.get(i, 0)).cast("bigint") for i in range(len(cols))]), c("column") + 1)
+    return counts.withColumn("total", total)
 
 
-def rare_by_count(df: DataFrame, col: str, min_count: int) -> DataFrame:
-    counts = df.select(c(col).alias("value")).filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    return durable(counts.filter(c("n") < min_count).select("value"), "rare")
+def _group_rare(df: DataFrame, col: str, rare: Column, other: object, out: str | None) -> DataFrame:
+    """``other`` where a value is rare by its (n, total)."""
+    counts = value_counts(df, [col])
+    often = heavy_condition("n", c("total"))
+    marked = counts.withColumn("_rare", rare)
+    heavy, light = marked.filter(often), marked.filter(~often & c("_rare"))
+    found = split_lookup(df, _as_key(df, col), heavy, light, "value", ["_rare"])
+    target = out or col
+    replaced = F.when(c("_rare"), F.lit(other).cast(df.schema[col].dataType)).otherwise(c(col)).alias(target)
+    kept = [replaced if n == target else c(n) for n in df.columns]
+    return found.select(*kept, *([] if target in df.columns else [replaced]))
 
 
 def group_rare_share(df: DataFrame, col: str, threshold: float, other: object = "other", out: str | None = None) -> DataFrame:
-    return _replace_listed(df, col, rare_by_share(df, col, threshold), other, out)
+    """``other`` for values whose share of the non-null rows is below ``threshold``."""
+    return _group_rare(df, col, c("n") / c("total") < F.lit(threshold), other, out)
 
 
 def group_rare_count(df: DataFrame, col: str, min_count: int = 500, other: object = 29, out: str | None = None) -> DataFrame:
-    return _replace_listed(df, col, rare_by_count(df, col, min_count), other, out)
+    return _group_rare(df, col, c("n") < min_count, other, out)
 
 
 @dataclass(frozen=True)
 class FrequencyEncoding:
-    """Share of each value in the fitted table, per column."""
+    """Share of each value in the fitted table, for all columns from one scan and in one stored table."""
 
-    tables: Mapping[str, DataFrame]
+    cols: Sequence[str]
+    counts: DataFrame
     missing: float | None = None
 
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str], missing: float | None = None) -> FrequencyEncoding:
-        tables = {}
-        for name in cols:
-            rows = train.select(c(name)).filter(c(name).isNotNull())
-            total = rows.agg(F.count(F.lit(1))).scalar()
-            shares = rows.groupBy(c(name)).agg(F.count(F.lit(1)).alias("_n")).select(c(name), (c("_n") / total).alias("_share"))
-            tables[name] = durable(shares, "frequency")
-        return cls(tables, missing)
+        return cls(tuple(cols), value_counts(train, cols), missing)
 
     def apply(self, df: DataFrame) -> DataFrame:
+        shares = self.counts.withColumn("_share", c("n") / c("total"))
         out = df
-        for name, table in self.tables.items():
-            out = map_lookup(out, name, table, "_share")
-            if self.missing is not None:
-                out = out.withColumn(name, F.coalesce(c(name), F.lit(self.missing)))
+        for i, name in enumerate(self.cols):
+            mine = shares.filter(c("column") == i)
+            often = heavy_condition("n", c("total"))
+            found = split_lookup(out, _as_key(df, name), mine.filter(often), mine.filter(~often), "value", ["_share"])
+            share = c("_share") if self.missing is None else F.coalesce(c("_share"), F.lit(self.missing))
+            out = found.select(*[share.alias(n) if n == name else c(n) for n in df.columns])
         return out
 
 
