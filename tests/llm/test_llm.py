@@ -512,12 +512,12 @@ def plain_hits(text, items, window):
     for item, body in items:
         words_ = decontamination.fold_words((body or "").encode())
         size = min(window, len(words_))
-        for at in range(len(words_) - size + 1 if size and item is not None else 0):
+        for at in range(len(words_) - size + 1 if size else 0):
             for k in range(len(found) - size + 1):
                 if found[k : k + size] == words_[at : at + size]:
                     hit |= set(range(k, k + size))
                     names.add(item)
-    return len(found), len(hit), sorted(names)
+    return len(found), len(hit), sorted(names, key=lambda i: (i is None, i))
 
 
 @pytest.mark.parametrize("pass_words", [decontamination.PASS_WORDS, 4])

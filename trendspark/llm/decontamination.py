@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from trendspark.llm.arrow import batch, columns, map_batches
+from trendspark.llm.arrow import batch, columns, map_batches, stored
 from trendspark.session import c
 
 WINDOW = 10
@@ -142,12 +142,13 @@ _FOUND_ARROW = [
 
 def _passes(benchmark: DataFrame, item_col: str, text: str, pass_words: int) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's rows in parts of bounded size; one part for any benchmark of usual size."""
-    items = columns(benchmark, item=item_col, text=text).filter("item is not null").withColumn("item", F.col("item").cast("bigint"))
+    items = columns(benchmark, item=item_col, text=text).withColumn("item", F.col("item").cast("bigint"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word with its separator takes two bytes at least.
     n = max(1, -(-size // (2 * pass_words)))
     for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
+        # By text, so that an item of many rows is spread too.
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
         yield [(r["item"], r["text"]) for r in part.collect()]
 
 
@@ -164,13 +165,21 @@ def search_documents(
     """``df`` with a column ``out`` (n_words, runs, items): its words, the disjoint runs of hit words, the items found.
 
     A word run is hit if ``window`` consecutive words of a benchmark text, or all words of a shorter one, stand there.
-    A-Z is lower-cased on both sides. Null texts have no words, benchmark rows with a null id or without words are
-    left out, an empty benchmark hits nothing. The name ``out`` must not be a column of ``df``.
+    A-Z is lower-cased on both sides. Null texts have no words, benchmark rows without words are left out, an empty
+    benchmark hits nothing. Benchmark rows with a null id are one item, which stands as a null at the end of ``items``.
+    The name ``out`` must not be a column of ``df``.
+
+    A benchmark of several passes is searched pass by pass: each pass is written to the shared folder and its tables are
+    released before the next one's are built.
     """
     if out in df.columns:
         raise ValueError(f"the table has a column {out} already")
     place = df.columns.index(text)
+    shared = None
     for rows in _passes(benchmark, item_col, benchmark_text, pass_words):
+        if shared is not None:
+            df = stored(df, "searched")
+            shared.destroy()
         shared = df.sparkSession.sparkContext.broadcast(build_searches(rows, window))
         before = df.columns.index(out) if out in df.columns else None
         df = map_batches(df, _search_task(shared, place, before, out), _with_found(df, out, before))
@@ -190,7 +199,7 @@ def _search_task(shared, place: int, before: int | None, out: str):
             found = []
             for text in rows.column(place).cast(pa.large_binary()):
                 n, runs, items = _search(text.as_py() or b"", searches)
-                found.append({"n_words": n, "runs": [{"start": a, "end": b} for a, b in runs], "items": sorted(items)})
+                found.append({"n_words": n, "runs": [{"start": a, "end": b} for a, b in runs], "items": _in_order(items)})
             arrays, names = list(rows.columns), list(rows.schema.names)
             if before is not None:
                 found = [_joined(a, b) for a, b in zip(arrays[before].to_pylist(), found, strict=True)]
@@ -205,7 +214,11 @@ def _search_task(shared, place: int, before: int | None, out: str):
 
 def _joined(a: dict, b: dict) -> dict:
     runs = merge_runs([(r["start"], r["end"]) for r in a["runs"] + b["runs"]])
-    return {"n_words": a["n_words"], "runs": [{"start": s, "end": e} for s, e in runs], "items": sorted({*a["items"], *b["items"]})}
+    return {"n_words": a["n_words"], "runs": [{"start": s, "end": e} for s, e in runs], "items": _in_order({*a["items"], *b["items"]})}
+
+
+def _in_order(items: set) -> list:
+    return sorted(items, key=lambda i: (i is None, i))
 
 
 def contamination(
