@@ -77,13 +77,13 @@ _DIMS = 64
 _NB_SPLIT = "('0x' || substr(md5(vec_id::varchar || '42'), 1, 8))::bigint % 100"
 
 
-def _nb_sql() -> str:
+def _nb_sql(smoothing: float = 0.001) -> str:
     cols = ", ".join(f"embedding[{i + 1}]::double AS f{i}" for i in range(_DIMS))
     stats = ", ".join(f"avg(f{i}) AS m{i}, var_pop(f{i}) AS v{i}" for i in range(_DIMS))
     widest = "greatest(" + ", ".join(f"var_pop(f{i})" for i in range(_DIMS)) + ")"
     terms = " + ".join(f"ln(2 * pi() * (v{i} + eps)) + (f{i} - m{i}) * (f{i} - m{i}) / (v{i} + eps)" for i in range(_DIMS))
     return f"""WITH x AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE 0 END AS label, {_NB_SPLIT} AS part, {cols} FROM embeddings),
-t AS (SELECT * FROM x WHERE part < 60), e AS (SELECT 0.001 * {widest} AS eps FROM t),
+t AS (SELECT * FROM x WHERE part < 60), e AS (SELECT {smoothing!r}::double * {widest} AS eps FROM t),
 s AS (SELECT label AS k, count(*) / (SELECT count(*) FROM t)::double AS prior, {stats} FROM t GROUP BY 1),
 j AS (SELECT vec_id, x.label, k, ln(prior) - 0.5 * ({terms}) AS joint FROM x, s, e WHERE part >= 60),
 w AS (SELECT vec_id, label, max(joint) FILTER (k = 0) AS j0, max(joint) FILTER (k = 1) AS j1 FROM j GROUP BY 1, 2)
@@ -334,7 +334,7 @@ def run_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.read_runs(spark, path).select("name", *runs.RUN_METRICS)
 
 
-@query()
+@query(f"SELECT vec_id, prediction, 'Gaussian_NB_v2' AS version FROM ({_nb_sql(1e-9)})")
 def save_model_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions count up; the saved model scores like the fitted one."""
     train, test = _ready(spark, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -387,7 +388,38 @@ def check_count_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL_NUMERIC = ["view_count", "likes", "comment_count"]
 
 
-@query()
+def _all_checks_sql() -> str:
+    """The checks of one table, each as in its own query."""
+    cross = (
+        ("trending_without_date", "is_trending = 1 AND trending_date IS NULL"),
+        ("disabled_with_comments", "comments_disabled AND comment_count IS DISTINCT FROM 0"),
+        ("likes_above_views", "likes > view_count"),
+        ("age_restricted_with_comments", "rating = 'ytAgeRestricted' AND NOT comments_disabled"),
+    )
+    parts = [_zero("Completeness", "blank_strings", "video_id", "regexp_matches(video_id, '^\\s*$')", "dated")]
+    parts += [_zero("Accuracy", "cross_column", name, bad, "dated") for name, bad in cross]
+    for name in ("publishedAt", "trending_date"):
+        parts.append(_zero("Timeliness", "no_future_dates", name, f"\"{name}\"::timestamp > TIMESTAMP '{_NOW:%Y-%m-%d}'", "dated"))
+    before = "count(*) FILTER (trending_date::date < \"publishedAt\"::date)"
+    skipped = "'skipped=' || count(*) FILTER (trending_date IS NULL OR \"publishedAt\" IS NULL) || ', unparseable=0'"
+    parts.append(_row("Timeliness", "date_order", "publishedAt,trending_date", f"{before} = 0", before, skipped, "FROM dated"))
+    for n in _ALL_NUMERIC:
+        parts += [_iqr_sql(n, "dated", 1.5), _z_sql(n, "dated", 3.0)]
+        parts.append(_row("Distribution", "variance", n, f"NOT stddev_samp({n}) = 0", f"CASE WHEN stddev_samp({n}) = 0 THEN 1 ELSE 0 END", "cast(NULL AS varchar)", "FROM dated"))
+        skewed = f"abs(skewness({n})) > 0.6"
+        parts.append(_row("Relationships", "skew", n, f"NOT {skewed}", f"CASE WHEN {skewed} THEN 1 ELSE 0 END", f"printf('skew=%.2f', skewness({n}))", "FROM dated"))
+    share = "greatest(count(*) FILTER (is_trending = 0), count(*) FILTER (is_trending = 1)) / count(is_trending)::double"
+    parts.append(_row("Distribution", "class_imbalance", "is_trending", f"NOT {share} > 0.9", f"CASE WHEN {share} > 0.9 THEN 1 ELSE 0 END", f"printf('dominant_share=%.4f', {share})", "FROM dated"))
+    top = "max(n) / sum(n)::double"
+    parts.append(_row("Distribution", "dominance", "categoryId", f"NOT {top} > 0.8", f"CASE WHEN {top} > 0.8 THEN 1 ELSE 0 END", f"printf('top_share=%.4f', {top})", 'FROM (SELECT count(*) AS n FROM dated WHERE "categoryId" IS NOT NULL GROUP BY "categoryId")'))
+    for a, b in combinations(_ALL_NUMERIC, 2):
+        parts.append(_corr_row("pearson", a, b, f"corr({a}, {b})", "FROM dated", 0.6))
+        ranked = f"FROM (SELECT {_rank_sql(a)} AS ra, {_rank_sql(b)} AS rb FROM dated WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+        parts.append(_corr_row("spearman", a, b, "corr(ra, rb)", ranked, 0.6))
+    return f"WITH {_DATED_SQL} " + " UNION ALL ".join(parts)
+
+
+@query(_all_checks_sql())
 def run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check of the video table, fused where possible."""
     return checks.run_checks(durable(dated_videos(spark, sf_dir), "dated"), _ALL_NUMERIC, ["video_id"], ["publishedAt", "trending_date"], _NOW)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.functions.times import DATE_PREFIX_CHECK, DURATION_CHECK
-from trendspark.operators.quantiles import quantiles
+from trendspark.operators.quantiles import quantile_map
 from trendspark.schema import REQUIRED_COLUMNS
 from trendspark.session import c
 
@@ -157,10 +157,15 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], samples: int = 3) ->
             wrong = len(set(e.columns) ^ set(df.columns))
             one = df.sparkSession.range(1)
             parts.append(one.select(*_result("Consistency", "column_set", "table", F.lit(wrong == 0), F.lit(wrong))))
-        elif isinstance(e, Median):
-            level = quantiles(df, [e.column], [0.5]).select(c("q")[0].alias("m"))
-            ok = F.coalesce(c("m") >= e.lo, F.lit(False))
-            parts.append(level.select(*_result("Distribution", "median", e.column, ok, F.when(ok, 0).otherwise(1))))
+    medians = [e for e in suite if isinstance(e, Median)]
+    if medians:
+        # All medians come from the same two scans.
+        found = quantile_map(df, list(dict.fromkeys(e.column for e in medians)), [0.5])
+        one = df.sparkSession.range(1)
+        for e in medians:
+            level = found[e.column, 0.5]
+            ok = F.lit(level is not None and level >= e.lo)
+            parts.append(one.select(*_result("Distribution", "median", e.column, ok, F.when(ok, 0).otherwise(1))))
     checks = reduce(DataFrame.unionByName, parts)
     if not samples or not rows:
         return checks.withColumn("sample", F.lit(None).cast("string"))
