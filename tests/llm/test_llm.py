@@ -187,6 +187,7 @@ def test_token_counts(spark, odd, none, name):
 def test_frequent_parts_come_from_all_tasks(spark):
     df = spark.createDataFrame([(f"x{i} common common b{i % 3} b{i % 3}",) for i in range(90)], "text string").repartition(4)
     assert token_counts.frequent_parts(df, "text", limit=4)[0] == "common"
+    assert token_counts.frequent_parts(df.limit(0), "text") == []
 
 
 # --- quality ---------------------------------------------------------------------------------

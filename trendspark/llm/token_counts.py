@@ -3,12 +3,14 @@
 First tier: the lengths of the most frequent pre-tokens, a table of bounded size sent to all tasks. Second tier: a
 cache in each worker, which asks the library about the rest. Both only save time: every count is the library's.
 
-The frequent pre-tokens are found over all texts. Each task folds its pre-tokens into a bounded summary (it keeps the
-largest counts and drops what falls behind), and only the summaries are added up.
+The frequent pre-tokens are found over all texts. Each task folds its pre-tokens into one summary of bounded size (it keeps
+the largest counts and drops what falls behind). Summaries are merged whole, by a few tasks and then by the driver: no
+pre-token is shuffled.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from trendspark.llm.arrow import batch, columns, map_batches
 from trendspark.llm.tokens import cuts, distinct_parts, token_counter
 
-# Rows of the table sent to all tasks, and of one task's summary.
+# Rows of the table sent to all tasks, pre-tokens of one task's summary, and summaries that the driver merges.
 FREQUENT_PARTS = 50_000
 SUMMARY_PARTS = 8_192
-_SUMMARY = pa.schema([("part", pa.string()), ("n", pa.int64())])
+MERGED_SUMMARIES = 16
+_SUMMARY = pa.schema([("slot", pa.int32()), ("parts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+_SUMMARY_KINDS = "slot int, parts array<string>, counts array<bigint>"
 _COUNTS = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -39,17 +43,41 @@ def _summaries(keep: int):
                 seen.update({followers[i]: n for i, n in zip(often.tolist(), counts[often].tolist(), strict=True)})
                 if len(seen) > 16 * keep:
                     seen = Counter(dict(seen.most_common(4 * keep)))
-        top = seen.most_common(keep)
-        yield batch(_SUMMARY, [p for p, _ in top], [n for _, n in top])
+        yield _summary(seen, keep)
+
+    return task
+
+
+def _summary(seen: Counter[str], keep: int) -> pa.RecordBatch:
+    """One row: the largest counts. Its slot, from its content, deals summaries out evenly."""
+    top = seen.most_common(keep)
+    parts, counts = [p for p, _ in top], [n for _, n in top]
+    slot = zlib.crc32("\n".join(parts).encode()) % MERGED_SUMMARIES
+    return batch(_SUMMARY, [slot], [parts], [counts])
+
+
+def _merge(keep: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for rows in batches:
+            for parts, counts in zip(rows.column("parts"), rows.column("counts"), strict=True):
+                seen.update(dict(zip(parts.as_py(), counts.as_py(), strict=True)))
+                if len(seen) > 16 * keep:
+                    seen = Counter(dict(seen.most_common(4 * keep)))
+        if seen:
+            yield _summary(seen, keep)
 
     return task
 
 
 def frequent_parts(df: DataFrame, text: str, limit: int = FREQUENT_PARTS) -> list[str]:
     """At most ``limit`` frequent pre-tokens of a text column, by the summaries of all tasks."""
-    found = map_batches(columns(df, text=text), _summaries(SUMMARY_PARTS), "part string, n bigint")
-    totals = found.groupBy("part").agg(F.sum("n").alias("n"))
-    return [r["part"] for r in totals.orderBy(F.desc("n"), "part").limit(limit).select("part").collect()]
+    found = map_batches(columns(df, text=text), _summaries(SUMMARY_PARTS), _SUMMARY_KINDS)
+    merged = map_batches(found.repartitionById(MERGED_SUMMARIES, F.col("slot")), _merge(max(limit, SUMMARY_PARTS)), _SUMMARY_KINDS)
+    totals: Counter[str] = Counter()
+    for row in merged.toLocalIterator():  # at most MERGED_SUMMARIES summaries
+        totals.update(dict(zip(row["parts"], row["counts"], strict=True)))
+    return sorted(totals, key=lambda part: (-totals[part], part))[:limit]
 
 
 def _lengths(path: str, parts: list[str]) -> dict[str, int]:
