@@ -275,6 +275,83 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(none).count() == 0
 
 
+def names_in(text):
+    index = licenses.Index.build(licenses.TEMPLATES)
+    prints = licenses.notice_prints(text.encode())
+    grams, at = words.window_prints(prints, np.zeros(len(prints), np.int64), licenses.GRAM)
+    there, known = index.hits(grams)
+    places = [(t, w - place, w) for w, gram in zip(at[there].tolist(), known.tolist(), strict=True) for t, place in index.places[gram]]
+    return [index.names[t] if named else None for t, named, *_ in licenses.found_in(index, prints, places, licenses.MIN_COVERAGE)]
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 4.", [None]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        (dict(licenses.TEMPLATES)["GPL-2.0-header"], ["GPL-2.0-header"]),
+        (dict(licenses.TEMPLATES)["LGPL-2.1-header"], ["LGPL-2.1-header"]),
+        (dict(licenses.TEMPLATES)["GPL-3.0-header"].replace("General", "Library General"), [None]),
+        ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]),
+        ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+        ("Licensed under CC BY-NC-SA 4.0, or not.", ["CC-BY-NC-SA-4.0"]),
+        ("Licensed under CC BY-NC-XX 4.0.", ["CC-BY-NC-4.0"]),
+        ("Not licensed under the MIT License", [None]),
+        (dict(licenses.TEMPLATES)["BSD-3-Clause-text"], ["BSD-3-Clause-text"]),
+        (dict(licenses.TEMPLATES)["BSD-2-Clause-text"], ["BSD-2-Clause-text"]),
+        ("Licensed under the Apache License, Version 1.0.", [None]),
+    ],
+)
+def test_siblings_are_told_apart(text, names):
+    assert names_in(text) == names
+    assert names_in(f"{PLAIN} {text} {PLAIN}") == names
+
+
+def test_every_template_names_itself():
+    for name, text in licenses.TEMPLATES:
+        assert names_in(f"{PLAIN}. {text} {PLAIN}") == [name]
+
+
+def plain_alignment(template, text):
+    """(score, matches) of the best local alignment over the full matrix."""
+    best, zero = (0, 0), (0, 0)
+    before = [zero] * (len(text) + 1)
+    for a in template:
+        row = [zero]
+        for j, b in enumerate(text, 1):
+            score, matches = before[j - 1]
+            cells = [(score + licenses.MATCH, matches + 1) if a == b else (score + licenses.MISMATCH, matches)]
+            cells += [(s + licenses.GAP, m) for s, m in (before[j], row[-1])]
+            cell = max(cells)
+            row.append(cell if cell[0] > 0 else zero)
+        best = max(best, *row)
+        before = row
+    return best
+
+
+def test_alignment_against_the_full_matrix():
+    random.seed(23)
+    for _ in range(150):
+        template = [random.randrange(40) for _ in range(random.randint(4, 30))]
+        body = [w for w in template if random.random() > 0.1]
+        for _ in range(random.randint(0, 3)):
+            body.insert(random.randint(0, len(body)), random.randrange(40))
+        text = [random.randrange(100, 140) for _ in range(20)] + body + [random.randrange(100, 140) for _ in range(20)]
+        matches, first, end = licenses.aligned(template, text, -len(template), len(text))
+        score, most = plain_alignment(template, text)
+        inside = plain_alignment(template, text[first:end])
+        assert inside[0] == score and matches <= end - first and abs(matches - most) <= 1
+
+
+def test_long_repeats_do_not_hide_notices():
+    """Short notices back to back chain over every diagonal of a long template; both long notices are still found."""
+    header = dict(licenses.TEMPLATES)["Apache-2.0-header"]
+    line = "Licensed under the Apache License, Version 2.0. "
+    got = names_in(f"{header} {line * 60} {header}")
+    assert got.count("Apache-2.0-header") == 2 and got.count("Apache-2.0") >= 58
+
+
 def test_winnowing_finds_every_shared_run():
     random.seed(4)
     index = licenses.Index.build(licenses.TEMPLATES)

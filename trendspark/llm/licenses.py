@@ -5,6 +5,9 @@ with the smallest fingerprint is kept; an inverted index holds where each kept o
 looked up, so any run of WINNOW + 3 words that a text shares with a template is found. Hits of one template on nearby
 diagonals form a candidate, and a local alignment in a band around these diagonals tells how many words of the template
 match, and where.
+
+A match names its license only if the words that tell the license from its siblings (family, version, variant) are those
+of the template: no other may stand there and none may be missing. Else it is reported without a name.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 _NOTICE_BYTES = byte_set(bytes(range(48, 58)) + bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 
 # Short notices and standard wordings of public licenses.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+_WORDINGS: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0-header",
@@ -59,28 +62,68 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
         "with the distribution.",
     ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
-        "GPL-3.0-header",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version.",
+        "BSD-3-Clause-text",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission.",
     ),
     (
         "MPL-2.0-header",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
 
+# Licenses of the GNU family and the variants and versions of Creative Commons.
+_GNU = (
+    ("GPL-2.0", "GNU General Public License", "2"),
+    ("GPL-3.0", "GNU General Public License", "3"),
+    ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3"),
+    ("AGPL-3.0", "GNU Affero General Public License", "3"),
+)
+_CC_VARIANTS = ("BY", "BY-SA", "BY-NC", "BY-NC-SA", "BY-ND", "BY-NC-ND")
+_CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+
+
+def _family_templates() -> Iterator[tuple[str, str]]:
+    for name, title, version in _GNU:
+        yield name, f"This work is licensed under the {title}, version {version}."
+        yield (
+            f"{name}-header",
+            f"This program is free software: you can redistribute it and/or modify it under the terms of the {title} as "
+            f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+            "later version.",
+        )
+    for version in _CC_VERSIONS:
+        for variant in _CC_VARIANTS:
+            yield f"CC-{variant}-{version}", f"Licensed under CC {variant} {version}."
+
+
+TEMPLATES: tuple[tuple[str, str], ...] = (*_WORDINGS, *_family_templates())
+
+# The words that tell a license from its siblings, by the beginning of its name.
+_TELLING = {
+    "GPL": "gnu general lesser library affero 1 2 3",
+    "LGPL": "gnu general lesser library affero 1 2 3",
+    "AGPL": "gnu general lesser library affero 1 2 3",
+    "CC-": "cc by sa nc nd 0 1 2 3 4 5",
+    "Apache": "apache 0 1 2",
+    "MPL": "mozilla mpl 0 1 2",
+    "MIT": "mit bsd isc",
+    "BSD": "neither endorse",
+}
+# Words before a notice that deny it.
+_DENIALS = "not never"
+
+
 def notice_prints(text: bytes) -> np.ndarray:
     """Fingerprints of the words (ASCII letters and digits, non-ASCII characters, A-Z lower-cased) of a text."""
     for some in texts(pa.array([text], pa.large_binary())):
@@ -108,6 +151,9 @@ class Index:
     words: list[list[int]]
     grams: np.ndarray
     places: list[list[tuple[int, int]]]
+    # For each template the telling words of its family, and those that it has.
+    telling: list[tuple[frozenset[int], frozenset[int]]]
+    denials: frozenset[int]
 
     @classmethod
     def build(cls, templates: Sequence[tuple[str, str]]) -> Index:
@@ -119,7 +165,21 @@ class Index:
             for gram, place in winnowed(words):
                 found.setdefault(gram, []).append((t, place))
         grams = sorted(found)
-        return cls([n for n, _ in templates], [p.tolist() for p in prints], np.array(grams, np.uint64), [found[g] for g in grams])
+        telling = []
+        for (name, _), words in zip(templates, prints, strict=True):
+            family = " ".join(w for start, w in _TELLING.items() if name.startswith(start))
+            known = frozenset(notice_prints(family.encode()).tolist())
+            telling.append((known, known & set(words.tolist())))
+        denials = frozenset(notice_prints(_DENIALS.encode()).tolist())
+        words = [p.tolist() for p in prints]
+        return cls([n for n, _ in templates], words, np.array(grams, np.uint64), [found[g] for g in grams], telling, denials)
+
+    def names_it(self, template: int, words: list[int], matches: int, first: int, end: int) -> bool:
+        """True if the words of a match tell its license from the siblings, and nothing denies it."""
+        known, own = self.telling[template]
+        # Where the template's first words are missing, others may stand for them.
+        before = words[max(0, first - 1 - (len(self.words[template]) - matches)) : first]
+        return known & set(words[first:end]) == own and not self.denials & set(before)
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``grams``, number of the known gram) of the grams in the index."""
@@ -169,16 +229,21 @@ def _band(template: list[int]) -> int:
     return max(2, len(template) // 8)
 
 
-def found_in(index: Index, prints: np.ndarray, places: list[tuple[int, int, int]], min_coverage: float) -> list[tuple[int, float, int, int]]:
-    """(template, coverage, first word, past the last) of the notices of one text; ``places`` are its hits
+Found = tuple[int, bool, float, int, int]
+
+
+def found_in(index: Index, prints: np.ndarray, places: list[tuple[int, int, int]], min_coverage: float) -> list[Found]:
+    """(template, named, coverage, first word, past the last) of the notices of one text; ``places`` are its hits
     (template, diagonal, word)."""
-    out = []
+    out: list[Found] = []
     words = prints.tolist()
     groups: list[list[tuple[int, int, int]]] = []
     for hit in sorted(places):
-        last = groups[-1][-1] if groups else None
-        if last and last[0] == hit[0] and hit[1] - last[1] <= _band(index.words[hit[0]]):
-            groups[-1].append(hit)
+        group = groups[-1] if groups else None
+        band = _band(index.words[hit[0]])
+        # A group spans a few bands, however long a text goes on repeating itself.
+        if group and group[-1][0] == hit[0] and hit[1] - group[-1][1] <= band and hit[1] - group[0][1] <= 2 * band:
+            group.append(hit)
         else:
             groups.append([hit])
     for group in groups:
@@ -187,19 +252,20 @@ def found_in(index: Index, prints: np.ndarray, places: list[tuple[int, int, int]
         matches, first, end = aligned(template, words, group[0][1] - band, group[-1][1] + band)
         # Most of the template must stand there, and most of what stands there must be the template.
         if matches and matches >= min_coverage * max(len(template), end - first):
-            out.append((t, matches / len(template), first, end))
-    # Templates share wording: of overlapping matches the one with most words counts, then the one that fits best.
-    def rank(found: tuple[int, float, int, int]) -> tuple:
-        t, coverage, first, end = found
+            out.append((t, index.names_it(t, words, matches, first, end), matches / len(template), first, end))
+    # Templates share wording: of overlapping matches a named one counts first, then the one with most words, then the one
+    # that fits best, then the template that stands first in the list.
+    def rank(found: Found) -> tuple:
+        t, named, coverage, first, end = found
         size = len(index.words[t])
         matches = round(coverage * size)
-        return -matches, -matches / max(size, end - first), first, end, t
+        return not named, -matches, -matches / max(size, end - first), first, end, t
 
-    chosen: list[tuple[int, float, int, int]] = []
+    chosen: list[Found] = []
     for found in sorted(set(out), key=rank):
-        if not any(found[2] < end and first < found[3] for _, _, first, end in chosen):
+        if not any(found[3] < end and first < found[4] for *_, first, end in chosen):
             chosen.append(found)
-    return sorted(chosen, key=lambda f: f[2:])
+    return sorted(chosen, key=lambda f: f[3:])
 
 
 _FOUND = "id bigint, license string, coverage double, start bigint, end bigint, start_word bigint, end_word bigint"
@@ -217,8 +283,11 @@ def scan_licenses(
 ) -> DataFrame:
     """A row (id, license, coverage, start, end, start_word, end_word) for each notice in a text of ``df``.
 
-    ``coverage`` is the share of the template's words that match, ``start`` and ``end`` are code points of the text. Null
-    and empty texts have no notices; null and repeated ids give rows of their own; other columns are ignored.
+    ``coverage`` is the share of the template's words that match, ``start`` and ``end`` are code points of the text.
+    ``license`` is null where the wording matches but a word that tells the license from its siblings does not, or where
+    ``not`` stands before the notice. Of overlapping matches one is reported: a named one, the one with most words, the one
+    that fits best, the first template. Null and empty texts have no notices; a text of any length is searched whole, in
+    time in proportion to its words and hits; null and repeated ids give rows of their own; other columns are ignored.
     Templates are few: they are sent to all tasks.
     """
     index = Index.build(templates)
@@ -242,9 +311,9 @@ def scan_licenses(
                     body = some.data[some.offsets[r] : some.offsets[r + 1]]
                     points = np.concatenate(([0], np.cumsum(LEADING_BYTES[body])))
                     base = int(some.offsets[r])
-                    for t, coverage, a, b in found_in(index, prints[first:last], places, min_coverage):
+                    for t, named, coverage, a, b in found_in(index, prints[first:last], places, min_coverage):
                         start, end = int(points[starts[first + a] - base]), int(points[ends[first + b - 1] - base])
-                        out.append((ids[some.first + r].as_py(), index.names[t], coverage, start, end, a, b))
+                        out.append((ids[some.first + r].as_py(), index.names[t] if named else None, coverage, start, end, a, b))
             yield batch(_FOUND_ARROW, *(zip(*out, strict=True) if out else [[]] * 7))
 
     source = columns(df, id=id_col, text=text).withColumn("id", F.col("id").cast("bigint"))
