@@ -46,6 +46,15 @@ def test_unknown_and_null_keys(spark):
     assert got == {1: 1, 2: 2, 3: None, 4: None, 5: 1}
 
 
+def test_columns_of_any_name_stay(spark):
+    names = ["_key", "_heavy", "_light", "_deal", "_on", "_at", "_share", "_rare", "_lookup_key", "__lookup_on", "value", "n"]
+    df = spark.createDataFrame([(i % 3, *range(100 * i, 100 * i + len(names))) for i in range(9)], "v int, " + ", ".join(f"{n} int" for n in names))
+    kept = [("v" if n == "v" else n) for n in df.columns]
+    for out in (encoding.group_rare_count(df, "v", 4, other=7), encoding.FrequencyEncoding.fit(df, ["v"]).apply(df), distribution.average_rank(df, "v", "r")):
+        assert out.columns[: len(kept)] == kept
+        assert sorted(out.select(names).collect()) == sorted(df.select(names).collect())
+
+
 def test_encodings_of_a_hot_value(spark, hot):
     rare = encoding.group_rare_count(hot, "v", 3, other=-9)
     assert {r["v"]: r["count"] for r in rare.groupBy("v").count().collect()} == {-1: 20_000, -9: 40_000}

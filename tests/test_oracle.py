@@ -9,7 +9,7 @@ from trendspark.catalog import load
 SF = "/root/testdata/sf0.001"
 QUERIES = {name: run for name, run in contract.queries().items() if name in load()}
 ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in load()}
-SLOW = {"engineer", "train_and_compare", "rfecv", "grid_search"}
+SLOW = {"train_and_compare", "rfecv", "grid_search"}
 
 
 @pytest.fixture(scope="module")

@@ -25,6 +25,13 @@ def _as_key(df: DataFrame, name: str) -> Column:
     return value.cast("string")
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Stored (column, value, n, total) of the non-null values of all columns, as text, from one scan."""
     cells = F.array(*[F.struct(F.lit(i).alias("column"), _as_key(df, n).alias("value")) for i, n in enumerate(cols)])
@@ -39,11 +46,12 @@ def _group_rare(df: DataFrame, col: str, rare: Column, other: object, out: str |
     """``other`` where a value is rare by its (n, total)."""
     counts = value_counts(df, [col])
     often = heavy_condition("n", c("total"))
-    marked = counts.withColumn("_rare", rare)
-    heavy, light = marked.filter(often), marked.filter(~often & c("_rare"))
-    found = split_lookup(df, _as_key(df, col), heavy, light, "value", ["_rare"])
+    mark = _free(df, "_rare")
+    marked = counts.withColumn(mark, rare)
+    heavy, light = marked.filter(often), marked.filter(~often & c(mark))
+    found = split_lookup(df, _as_key(df, col), heavy, light, "value", [mark])
     target = out or col
-    replaced = F.when(c("_rare"), F.lit(other).cast(df.schema[col].dataType)).otherwise(c(col)).alias(target)
+    replaced = F.when(c(mark), F.lit(other).cast(df.schema[col].dataType)).otherwise(c(col)).alias(target)
     kept = [replaced if n == target else c(n) for n in df.columns]
     return found.select(*kept, *([] if target in df.columns else [replaced]))
 
@@ -70,13 +78,14 @@ class FrequencyEncoding:
         return cls(tuple(cols), value_counts(train, cols), missing)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        shares = self.counts.withColumn("_share", c("n") / c("total"))
+        name_ = _free(df, "_share")
+        shares = self.counts.withColumn(name_, c("n") / c("total"))
         out = df
         for i, name in enumerate(self.cols):
             mine = shares.filter(c("column") == i)
             often = heavy_condition("n", c("total"))
-            found = split_lookup(out, _as_key(df, name), mine.filter(often), mine.filter(~often), "value", ["_share"])
-            share = c("_share") if self.missing is None else F.coalesce(c("_share"), F.lit(self.missing))
+            found = split_lookup(out, _as_key(df, name), mine.filter(often), mine.filter(~often), "value", [name_])
+            share = c(name_) if self.missing is None else F.coalesce(c(name_), F.lit(self.missing))
             out = found.select(*[share.alias(n) if n == name else c(n) for n in df.columns])
         return out
 

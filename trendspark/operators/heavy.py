@@ -30,16 +30,21 @@ def split_lookup(rows: DataFrame, key: Column, heavy: DataFrame, light: DataFram
 
     Both tables are unique on ``on`` and share no value; ``heavy`` holds values of a share of the rows each.
     """
-    told = heavy.select(c(on).alias("_heavy"), *[c(v).alias(f"_h_{v}") for v in values])
-    served = rows.withColumn("_key", key).join(F.broadcast(told), c("_key") == c("_heavy"), "left")
-    done = c("_heavy").isNotNull() | c("_key").isNull()
+    # Names of its own, whatever the columns of the rows are called.
+    own = "_lookup"
+    while any(n.startswith(own) for n in rows.columns):
+        own = f"_{own}"
+    key_, hit, on_, rest, deal, at = (f"{own}_{n}" for n in ("key", "heavy", "on", "light", "deal", "at"))
+    told = heavy.select(c(on).alias(hit), *[c(v).alias(f"{own}_h_{v}") for v in values])
+    served = rows.withColumn(key_, key).join(F.broadcast(told), c(key_) == c(hit), "left")
+    done = c(hit).isNotNull() | c(key_).isNull()
     # Served rows are dealt out by their task and content; unlike random numbers these are the same when a task runs again.
     plain = [c(f.name) for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    deal = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(_SPREAD))
-    dealt = served.withColumn("_light", F.when(~done, c("_key"))).withColumn("_deal", F.when(done, deal).otherwise(F.lit(0)).cast("bigint"))
+    spread = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(_SPREAD))
+    dealt = served.withColumn(rest, F.when(~done, c(key_))).withColumn(deal, F.when(done, spread).otherwise(F.lit(0)).cast("bigint"))
     # Always 0; written as 0, it would turn into a filter and leave the shuffle to the value alone.
-    at = F.pmod(F.xxhash64(c(on)), F.lit(1)).cast("bigint").alias("_at")
-    others = light.select(c(on).alias("_on"), at, *[c(v).alias(f"_l_{v}") for v in values])
-    joined = dealt.join(others, (c("_light") == c("_on")) & (c("_deal") == c("_at")), "left")
-    found = [F.when(c("_heavy").isNotNull(), c(f"_h_{v}")).otherwise(c(f"_l_{v}")).alias(v) for v in values]
+    zero = F.pmod(F.xxhash64(c(on)), F.lit(1)).cast("bigint").alias(at)
+    others = light.select(c(on).alias(on_), zero, *[c(v).alias(f"{own}_l_{v}") for v in values])
+    joined = dealt.join(others, (c(rest) == c(on_)) & (c(deal) == c(at)), "left")
+    found = [F.when(c(hit).isNotNull(), c(f"{own}_h_{v}")).otherwise(c(f"{own}_l_{v}")).alias(v) for v in values]
     return joined.select(*[c(n) for n in rows.columns], *found)
