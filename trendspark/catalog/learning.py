@@ -204,13 +204,15 @@ SELECT doc_id::varchar AS video_id, round(likes / view_count::double, 4) AS like
   cast(length('About ' || source || ' ' || lang) AS int) AS title_length, cast(length(text) AS int) AS description_length, 'x ' || lang AS tags_joined,
   CASE WHEN doc_id % 3 > 0 THEN 1 ELSE 0 END AS has_cards, CASE WHEN doc_id % 4 > 0 THEN 1 ELSE 0 END AS has_chapter,
   cast(hour(published) AS int) AS publish_hour, cast(isodow(published) - 1 AS int) AS publish_dayofweek,
-  CASE WHEN b.s < 0.002 THEN 'other' ELSE p.base END AS lang_base, CASE WHEN r.s < 0.005 THEN 'other' ELSE p.region END AS lang_region
+  CASE WHEN b.s < 0.002 THEN 'other' ELSE p.base END AS lang_base, CASE WHEN r.s < 0.005 THEN 'other' ELSE p.region END AS lang_region,
+  384 AS title_width, 384 AS description_width, 384 AS tags_joined_width
 FROM parts p JOIN b ON p.base = b.base JOIN r ON p.region = r.region"""
 )
 def build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratios, text, time and language features of a cleaned table."""
-    out = build(cleaned_videos(spark, sf_dir), embed=())
-    out = out.select(
+    """Ratios, text, time and language features of a cleaned table, and its three texts embedded."""
+    out = build(cleaned_videos(spark, sf_dir))
+    widths = [F.size(f"{n}_emb").alias(f"{n}_width") for n in ("title", "description", "tags_joined")]
+    out = out.select(*widths, 
         "video_id", "like_to_view_ratio", "comment_to_view_ratio", "tag_count", "title_length", "description_length", "tags_joined",
         "has_cards", "has_chapter", "publish_hour", "publish_dayofweek", "lang_base", "lang_region",
     )
