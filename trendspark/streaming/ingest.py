@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,6 @@ PROBES = 4
 FILTER_KEYS = 1 << 22
 SENT_BYTES = 64 << 20
 _BITMAP = 1 << 15  # bits of one of Spark's bitmaps
-_MIX = 0x9E3779B97F4A7C15
 
 
 def resume_pending(ids: DataFrame, progress: DataFrame, key: str) -> DataFrame:
@@ -47,11 +46,9 @@ def _index_path(sink: str) -> str:
     return f"{sink.rstrip('/')}_keys"
 
 
-def _spots(hashes: np.ndarray, size: int) -> list[np.ndarray]:
-    """Places of each hash in a filter of ``size`` bits, a power of two: one from each step of a second hash."""
-    first = hashes.astype(np.uint64)
-    step = (first * np.uint64(_MIX)) >> np.uint64(17) | np.uint64(1)
-    return [((first + np.uint64(i) * step) & np.uint64(size - 1)).astype(np.int64) for i in range(PROBES)]
+def _hashes(name: str) -> Column:
+    """The hash values of a key that set its places in a filter."""
+    return F.array(*[F.xxhash64(c(name), F.lit(i)) for i in range(PROBES)])
 
 
 def write_key_index(spark: SparkSession, sink: str, folder: str, key: str, kind: T.DataType) -> None:
@@ -63,13 +60,7 @@ def write_key_index(spark: SparkSession, sink: str, folder: str, key: str, kind:
     lo, hi, n = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
     size = max(_BITMAP, 1 << math.ceil(math.log2(KEY_BITS * max(n, 1))))
     if n <= FILTER_KEYS:
-
-        def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = np.concatenate(_spots(batch.column(0).to_numpy(zero_copy_only=False), size))
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(found))], ["spot"])
-
-        spots = keys.select(F.xxhash64("k").alias("h")).mapInArrow(places, "spot bigint")
+        spots = keys.filter("k IS NOT NULL").select(F.explode(_hashes("k")).alias("h")).select(c("h").bitwiseAND(F.lit(size - 1)).alias("spot"))
         part = (c("spot") / _BITMAP).cast("bigint").alias("part")
         bits = spots.groupBy(part).agg(F.bitmap_construct_agg(c("spot") % _BITMAP).alias("bits"))
     else:
@@ -108,17 +99,15 @@ def folders_to_open(spark: SparkSession, sink: str, folders: Sequence[str], keys
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = set()
         for batch in batches:
-            hashes = batch.column(0).to_numpy(zero_copy_only=False)
+            hashes = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, PROBES)
             for folder, bits in shared.value.items():
                 if folder not in open_:
-                    held = np.ones(len(hashes), bool)
-                    for spot in _spots(hashes, 8 * len(bits)):
-                        held &= bits[spot >> 3] >> (spot & 7) & 1 > 0
-                    if held.any():
+                    spot = hashes & (8 * len(bits) - 1)
+                    if (bits[spot >> 3] >> (spot & 7) & 1 > 0).all(axis=1).any():
                         open_.add(folder)
         yield pa.RecordBatch.from_arrays([pa.array(sorted(open_), pa.string())], ["folder"])
 
-    hit = keys.select(F.xxhash64(key).alias("h")).mapInArrow(probe, "folder string").distinct().collect()
+    hit = keys.filter(c(key).isNotNull()).select(_hashes(key).alias("h")).mapInArrow(probe, "folder string").distinct().collect()
     shared.unpersist()
     return out + [r["folder"] for r in hit]
 
@@ -145,9 +134,11 @@ def incremental_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session, own = batch.sparkSession, f"batch={batch_id}"
-        rows = durable(dedupe_key(batch.filter(c(key).isNotNull()), key, order), "ingest-batch")
+        rows = dedupe_key(batch.filter(c(key).isNotNull()), key, order)
         others = [n for n in list_names(session, sink) if n.startswith("batch=") and n != own]
-        others = folders_to_open(session, sink, others, rows, key)
+        if others:
+            rows = durable(rows, "ingest-batch")
+            others = folders_to_open(session, sink, others, rows, key)
         if others:
             known = session.read.schema(T.StructType([schema[key]])).parquet(*[f"{sink}/{n}" for n in others])
             rows = exclude_known(rows, known, key).select(*[f.name for f in schema.fields])
