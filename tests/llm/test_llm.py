@@ -729,6 +729,40 @@ def test_probabilities_add_up(spark):
     assert np.allclose(within, 1)
 
 
+def test_scores_by_plain_counts_of_the_models_classes(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CLUSTER_WORDS", 50)
+    seen = []
+    sweeps = brown.all_word_classes
+    monkeypatch.setattr(brown, "all_word_classes", lambda contexts, *rest: seen.extend([contexts.count(), sweeps(contexts, *rest)]) or seen[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    learned, encoded, vocabulary = brown.learn(docs, "doc_id", "text", ~brown.held_out(F.col("doc_id")))
+    # A row for each bucket of words, not one for each bigram.
+    assert seen[0] <= brown.BUCKETS
+    listed = brown.listed_words(vocabulary).collect()
+    ids, _ = learned.numbers(*(np.array([r[x] for r in listed]) for x in ("bucket", "number", "group")))
+    cls = {bytes(r["word"]): int(k) for r, k in zip(listed, learned.classes[ids], strict=True)} | {brown.END: brown.CLASSES - 1}
+    counts, pairs = Counter(), np.zeros((brown.CLASSES, brown.CLASSES))
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() + [brown.END] for r in docs.collect()}
+    for i, words in texts.items():
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            counts.update(words)
+            for a, b in zip([brown.END, *words], words):
+                pairs[cls[a], cls[b]] += 1
+    # Counts that are changed by the words that moved are those of the classes in the end.
+    assert np.array_equal(seen[1][1], pairs)
+    prior = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * brown.CLASSES)
+    follows = np.log10((pairs + prior) / (pairs.sum(1, keepdims=True) + 1))
+    tokens, kinds = np.zeros(brown.CLASSES), np.zeros(brown.CLASSES)
+    for word, n in counts.items():
+        tokens[cls[word]] += n
+        kinds[cls[word]] += 1
+    total = tokens + 0.5 * (kinds + (np.arange(brown.CLASSES) < brown.CLASSES - 1))
+    for r in brown._scores(encoded, learned).collect():
+        words = texts[r["id"]]
+        want = sum(follows[cls[a], cls[b]] + math.log10((counts[b] + 0.5) / total[cls[b]]) for a, b in zip([brown.END, *words], words))
+        assert r["score"] == pytest.approx(want)
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 

@@ -5,19 +5,25 @@ Counts are over all training texts. A start is found on units: each of the most
 one of a fixed number of groups by their last letters. The bigrams of units, a square table of fixed size, are clustered
 from several starts in parallel; the best is kept.
 
-From there every word that came twice or more is moved by its own bigrams with all other words. The words beside each
-word, with their counts, are one row of a stored table; in a sweep, tasks find the best class of each of their words
-against the counts of class bigrams, and the counts are taken again. The most frequent words, and the groups, which now
-hold only words that came once or never, move one after another in between: their neighbours are in the rows of the
-others. Sweeps end when the likelihood no longer grows. The driver and each task hold one byte a word for its class.
+Texts are split into words once. Each chunk of texts keeps its word numbers and sends its distinct words, with their
+counts, to buckets by the words' hashes; a bucket counts and numbers its words and sends the numbers back to the chunks.
+Bigrams and scores are taken from the chunks, whose arrays travel as one binary value each.
+
+From the start on every word that came twice or more is moved by its own bigrams with all other words. The words beside
+the words of a bucket, with their counts, are one row of a stored table; in a turn, tasks find the best class of each
+word of a quarter of the buckets against the counts of class bigrams, and the counts are changed by the words that
+moved. The most frequent words, and the groups, which now hold only words that came once or never, move one after
+another in between: their neighbours are in the rows of the others. Sweeps end when the likelihood no longer grows. The
+driver and each task hold one byte a word for its class.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendspark.llm.arrow import batch, columns, drop_stored, lookup, map_batches, stored, stored_at
+from trendspark.llm.arrow import batch, columns, drop_stored, map_batches, raw_text, steps, stored, stored_at
 from trendspark.llm.tokens import cuts
+from trendspark.session import c, scratch_path
 
-# Words whose counts are sent to all tasks; the others are joined.
+# Words that a model holds by themselves outside of a query; the others have the class of their group there.
 FREQUENT_WORDS = 1 << 17
 # Units of the start: words of their own, and groups of the other words.
 CLUSTER_WORDS, SUFFIX_GROUPS, SUFFIX_BYTES = 1024, 256, 3
@@ -38,12 +45,16 @@ CLASSES, SWEEPS, STARTS = 64, 20, 3
 LEAST_GAIN = 1e-3
 # All words move in so many turns, each against counts taken after the turn before.
 TURNS = 4
-# Words with neighbouring numbers that meet in one task, and rows scored at a time.
-_BLOCK, _SCORE_ROWS = 1024, 512
-# Bigrams a task holds while counting.
+# Rows scored at a time; counts below which logarithms are looked up, and below which one product adds them.
+_SCORE_ROWS, _SMALL, _LEAST = 256, 64, 3
+# Texts of a chunk, and the fewest buckets of words.
+CHUNK_BYTES, BUCKETS = 8 << 20, 256
+# Neighbours a task holds before it sends them.
 HELD_BIGRAMS = 1_500_000
 # Words a task holds while counting.
 HELD_WORDS = 400_000
+# Cells of a table that are summed in one task.
+_CELLS = 1 << 13
 # No word holds white space, so this is the end token only.
 END = b"\n"
 _EMISSION, _TRANSITION = 0.5, 1.0
@@ -160,30 +171,6 @@ def _stream(units: np.ndarray, codes: np.ndarray, rows: np.ndarray, n: int, end:
     return out
 
 
-def unit_bigrams(df: DataFrame, text: str, shared) -> DataFrame:
-    """(a, b, n): how often unit b follows unit a; an end unit stands before each text's first word."""
-    schema = pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units: Units = shared.value
-        size = units.size
-        total = np.zeros(size * size, np.int64)
-        for rows in batches:
-            for column in cuts(rows.column(0)):
-                words, codes, at = word_codes(column)
-                of = np.fromiter(map(units.start, words), np.int64, len(words))
-                stream = _stream(of, codes, at, len(column), units.end)
-                before = np.concatenate(([units.end], stream[:-1]))
-                total += np.bincount(before * size + stream, minlength=size * size)
-        found = np.flatnonzero(total)
-        for k in range(0, len(found), _EMIT_ROWS):
-            some = found[k : k + _EMIT_ROWS]
-            yield batch(schema, (some // size).astype(np.int32), (some % size).astype(np.int32), total[some])
-
-    partial = map_batches(columns(df, text=text), task, "a int, b int, n bigint")
-    return partial.groupBy("a", "b").agg(F.sum("n").alias("n"))
-
-
 def _h(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -253,15 +240,284 @@ def exchange(bigrams: np.ndarray, classes: int, seed: int, sweeps: int) -> tuple
     return log_likelihood(pairs), assigned
 
 
-def exchange_classes(bigrams: DataFrame, units: Units, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, class bigram counts) of the best of some exchange clusterings from different starts.
+def summed(df: DataFrame, total_of: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
+    """The sum of the integer tables, of ``size`` cells each, that ``total_of`` makes of each partition."""
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        yield total_of(batches)
+
+    return summed_and_listed(df, alone, size)[2]
+
+
+def summed_and_listed(df: DataFrame, parts_of: Callable, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids, all their classes, and the sum of all tables of ``size`` integers that ``parts_of`` yields.
+
+    It yields tables, and pairs of ids and classes. Tables travel in slices, without their zeros, and a slice is summed
+    in one task.
+    """
+    schema = pa.schema([("part", pa.int32()), ("cells", pa.binary()), ("n", pa.binary())])
+    cells = _CELLS
+
+    def told(part: int, table: np.ndarray) -> pa.RecordBatch:
+        found = np.flatnonzero(table)
+        return batch(schema, [part], [found.astype(np.int16).tobytes()], [table[found].tobytes()])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Lists of ids have parts of their own.
+        lists = -1 - TaskContext.get().partitionId()
+        for x in parts_of(batches):
+            if isinstance(x, tuple):
+                yield batch(schema, [lists], [x[0].tobytes()], [x[1].tobytes()])
+                continue
+            for part in range(0, size, cells):
+                if x[part : part + cells].any():
+                    yield told(part // cells, x[part : part + cells])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for rows in batches:
+            for part, at, n in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                if part < 0:
+                    yield batch(schema, [part], [at], [n])
+                else:
+                    sums.setdefault(part, np.zeros(cells, np.int64))[np.frombuffer(at, np.int16)] += np.frombuffer(n, np.int64)
+        for part, table in sums.items():
+            yield told(part, table)
+
+    kind = "part int, cells binary, n binary"
+    out, ids, classes = np.zeros(-(-size // cells) * cells), [b""], [b""]
+    for r in map_batches(map_batches(df, first, kind).repartition("part"), second, kind).collect():
+        if r["part"] < 0:
+            ids.append(bytes(r["cells"]))
+            classes.append(bytes(r["n"]))
+        else:
+            out[r["part"] * cells :][np.frombuffer(r["cells"], np.int16)] = np.frombuffer(r["n"], np.int64)
+    return np.frombuffer(b"".join(ids), np.int64), np.frombuffer(b"".join(classes), np.int8), out[:size]
+
+
+# --- texts as numbers of words ------------------------------------------------------
+
+# A chunk's texts: ids, sizes in words, whether they are learned from, and the chunk's own number of each word.
+_CHUNK = "ids array<bigint>, sizes binary, learned binary, codes binary"
+_CHUNK_ARROW = [("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("learned", pa.binary()), ("codes", pa.binary())]
+# After the words of a chunk in the order of the buckets.
+_TEXTS = (1 << 31) - 1
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    """Unsigned numbers in one, two, four or eight bytes each, by the largest."""
+    return x.astype(np.min_scalar_type(int(x.max())) if len(x) else np.uint8).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    """``n`` numbers by ``_narrow``."""
+    return np.frombuffer(raw, f"u{max(1, len(raw) // max(n, 1))}").astype(np.int64)
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """Rows of sorted batches as tuples, by their first column."""
+    rows = (r for b in batches for r in zip(*(x.to_pylist() for x in b.columns), strict=True))
+    return groupby(rows, key=lambda r: r[0])
+
+
+def split_texts(df: DataFrame, id_col: str, text: str, learned: Column, buckets: int) -> tuple[DataFrame, str]:
+    """Chunks of texts and, bucket by bucket, their distinct words with the counts in learned texts; and the folder."""
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *_CHUNK_ARROW, ("places", pa.binary()), ("words", pa.binary()), ("ns", pa.binary())])
+    limit = CHUNK_BYTES
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for rows in batches:
+            texts = rows.column(1).fill_null("") if rows.column(1).null_count else rows.column(1)
+            for first, last in steps(raw_text(texts)[1], limit):
+                n = last - first
+                words, codes, of_row = word_codes(texts.slice(first, n))
+                learn = rows.column(2).slice(first, n).to_numpy(zero_copy_only=False).astype(bool)
+                sizes, none = np.bincount(of_row, minlength=n).astype(np.uint32), [None]
+                ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows.column(0).slice(first, n))
+                yield batch(schema, [chunk], [_TEXTS], ids, [sizes.tobytes()], [learn.tobytes()], [_narrow(codes)], none, none, none)
+                uses, ns = np.bincount(codes, minlength=len(words)), np.bincount(codes[learn[of_row]], minlength=len(words))
+                of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+                order = np.argsort(of, kind="stable")
+                # The empty word is never used.
+                order = order[uses[order] > 0]
+                starts = np.flatnonzero(np.r_[True, of[order][1:] != of[order][:-1]]) if len(order) else order
+                parts = np.split(order, starts[1:]) if len(order) else []
+                yield batch(
+                    schema,
+                    [chunk] * len(parts),
+                    of[order[starts]],
+                    *[pa.nulls(len(parts), t) for _, t in _CHUNK_ARROW],
+                    [x.astype(np.uint32).tobytes() for x in parts],
+                    [END.join([words[i] for i in x.tolist()]) for x in parts],
+                    [_narrow(ns[x]) for x in parts],
+                )
+                chunk += 1
+
+    source = columns(df.withColumn("learned", learned), id=id_col, text=text, learned="learned").withColumn("id", F.col("id").cast("bigint"))
+    return stored_at(map_batches(source, task, f"chunk bigint, bucket int, {_CHUNK}, places binary, words binary, ns binary"), "split_texts")
+
+
+def number_words(split: DataFrame, groups: int) -> tuple[DataFrame, str]:
+    """Per bucket its words (chunk -1), per bucket and chunk the numbers of the chunk's words in the bucket; the folder.
+
+    The words that came twice or more, of which there are ``kept``, have the first numbers.
+    """
+    fields = [(x, pa.binary()) for x in ("places", "numbers", "ns", "groups", "words")]
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *fields, ("kept", pa.int64()), ("types", pa.int64()), ("seen", pa.int64()), ("tokens", pa.int64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_key(batches):
+            _, chunks, places, words, ns = zip(*rows, strict=True)
+            coded = pa.array(END.join(words).split(END), pa.binary()).dictionary_encode()
+            distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            n = np.bincount(codes, weights=np.concatenate([_wide(x, len(y) // 4) for x, y in zip(ns, places, strict=True)]), minlength=len(distinct)).astype(np.int64)
+            order = np.argsort(n < 2, kind="stable")
+            number = np.empty(len(order), np.int64)
+            number[order] = np.arange(len(order))
+            group = np.fromiter((zlib.crc32(w[-SUFFIX_BYTES:]) for w in distinct), np.int64, len(distinct)) % groups
+            kept = int((n > 1).sum())
+            yield batch(
+                schema, [-1], [bucket], [None], [None], [_narrow(n[order])], [group[order].astype(np.uint16).tobytes()], [END.join([distinct[i] for i in order.tolist()])],
+                [kept], [len(n)], [int((n > 0).sum())], [int(n.sum())],
+            )
+            ends = np.cumsum([len(x) // 4 for x in places])
+            own = np.split(codes, ends[:-1])
+            none = pa.nulls(len(chunks), pa.int64())
+            yield batch(
+                schema, chunks, [bucket] * len(chunks), places, [number[x].astype(np.uint32).tobytes() for x in own], [_narrow(n[x]) for x in own],
+                [group[x].astype(np.uint16).tobytes() for x in own], pa.nulls(len(chunks), pa.binary()), none, none, none, none,
+            )
+
+    listed = split.filter(F.col("bucket") < _TEXTS).select("bucket", "chunk", "places", "words", "ns").repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    kind = "chunk bigint, bucket int, places binary, numbers binary, ns binary, groups binary, words binary, kept bigint, types bigint, seen bigint, tokens bigint"
+    return stored_at(map_batches(listed, task, kind), "numbered_words")
+
+
+@dataclass(frozen=True)
+class Numbers:
+    """From numbers of words in their buckets to ids.
+
+    Ids below ``units`` are units: words of their own, groups of words that came once or never, and the end. ``first``
+    has the first id of each bucket's words that came twice or more, ``before`` the words of all buckets before, and
+    ``own`` the place of each word that is a unit among all words, ascending, with its unit in ``own_unit``.
+    """
+
+    units: int
+    n_words: int
+    first: np.ndarray
+    before: np.ndarray
+    own: np.ndarray
+    own_unit: np.ndarray
+
+    @property
+    def end(self) -> int:
+        return self.units - 1
+
+    @property
+    def ids(self) -> int:
+        return int(self.first[-1])
+
+    def turns(self) -> np.ndarray:
+        """The turn in which each id moves; -1 for units."""
+        kept = self.first[1:] - self.first[:-1]
+        return np.concatenate((np.full(self.units, -1, np.int8), np.repeat(np.arange(len(kept)) % TURNS, kept).astype(np.int8)))
+
+    def __call__(self, bucket: int | np.ndarray, numbers: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and their units in the start of the clustering."""
+        numbers, groups = numbers.astype(np.int64), groups.astype(np.int64)
+        start = self.n_words + groups
+        ids = np.where(numbers < (self.first[1:] - self.first[:-1])[bucket], self.first[bucket] + numbers, start)
+        if len(self.own):
+            place = self.before[bucket] + numbers
+            at = np.minimum(np.searchsorted(self.own, place), len(self.own) - 1)
+            is_own = self.own[at] == place
+            ids, start = np.where(is_own, self.own_unit[at], ids), np.where(is_own, self.own_unit[at], start)
+        return ids, start
+
+
+def listed_words(vocabulary: DataFrame, most: int | None = None) -> DataFrame:
+    """(word, n, bucket, number, group) of all words, or of those that may be among the ``most`` frequent."""
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("bucket", pa.int32()), ("number", pa.int64()), ("group", pa.int32())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for bucket, words, ns, groups in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                listed, group = words.split(END), np.frombuffer(groups, np.uint16)
+                n = _wide(ns, len(listed))
+                least = 0 if most is None or len(n) <= most else np.partition(n, -most)[-most]
+                found = np.flatnonzero(n >= least)
+                for k in range(0, len(found), _EMIT_ROWS):
+                    some = found[k : k + _EMIT_ROWS]
+                    yield batch(schema, [listed[i] for i in some.tolist()], n[some], np.full(len(some), bucket, np.int32), some, group[some].astype(np.int32))
+
+    return map_batches(vocabulary.select("bucket", "words", "ns", "groups"), task, "word binary, n bigint, bucket int, number bigint, group int")
+
+
+def encode_texts(split: DataFrame, numbered: DataFrame, numbers: Numbers) -> tuple[DataFrame, str]:
+    """Chunks of texts with the id, the unit of the start and the count of each distinct word; and the folder."""
+    schema = pa.schema([*_CHUNK_ARROW, ("words", pa.binary()), ("starts", pa.binary()), ("ns", pa.binary()), ("size", pa.int64())])
+    shared = split.sparkSession.sparkContext.broadcast(numbers)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids: Numbers = shared.value
+        for _, rows in _by_key(batches):
+            met = list(rows)
+            texts = met.pop()
+            places = np.frombuffer(b"".join(r[2] for r in met), np.uint32)
+            bucket = np.repeat(np.array([r[1] for r in met], np.int64), np.array([len(r[2]) // 4 for r in met], np.int64))
+            of = to_ids(bucket, np.frombuffer(b"".join(r[3] for r in met), np.uint32), np.frombuffer(b"".join(r[5] for r in met), np.uint16))
+            size = int(places.max()) + 1 if len(places) else 0
+            told = []
+            counts = [_wide(r[4], len(r[2]) // 4) for r in met]
+            for x in (*of, np.concatenate(counts) if counts else 0):
+                told.append(np.zeros(size, np.int64))
+                told[-1][places] = x
+            yield batch(schema, *[[x] for x in texts[6:]], *[[_narrow(x)] for x in told], [size])
+
+    none = [F.lit(None).cast("binary").alias(x) for x in ("places", "numbers", "ns", "groups")]
+    texts = split.filter(F.col("bucket") == _TEXTS).select("chunk", "bucket", *none, "ids", "sizes", "learned", "codes")
+    no_text = [F.lit(None).cast(kind).alias(x) for x, kind in (("ids", "array<bigint>"), ("sizes", "binary"), ("learned", "binary"), ("codes", "binary"))]
+    maps = numbered.filter("chunk >= 0").select("chunk", "bucket", "places", "numbers", "ns", "groups", *no_text)
+    dealt = texts.unionAll(maps).repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    return stored_at(map_batches(dealt, task, f"{_CHUNK}, words binary, starts binary, ns binary, size bigint"), "encoded_texts")
+
+
+def _learned_pairs(sizes: bytes, learned: bytes, codes: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of each learned word and of the one before it; the end of a text is ``n`` and stands before the first."""
+    sizes_, learned_ = np.frombuffer(sizes, np.uint32).astype(np.int64), np.frombuffer(learned, bool)
+    some = _wide(codes, int(sizes_.sum()))[np.repeat(learned_, sizes_)]
+    rows = int(learned_.sum())
+    stream = _stream(np.arange(n), some, np.repeat(np.arange(rows), sizes_[learned_]), rows, n)
+    return stream, np.concatenate(([n], stream[:-1]))
+
+
+def unit_tables(encoded: DataFrame, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """How often a unit follows another: with the units of the start for all words, and among words that are units."""
+    size, end = numbers.units, numbers.end
+
+    def total_of(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(2 * size * size, np.int64)
+        for rows in batches:
+            for sizes, learned, codes, words, starts, n in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                ids = np.append(_wide(words, n), end)
+                after, before = _learned_pairs(sizes, learned, codes, len(ids) - 1)
+                start = np.append(_wide(starts, n), end)
+                total[: size * size] += np.bincount(start[before] * size + start[after], minlength=size * size)
+                a, b = ids[before], ids[after]
+                both = (a < size) & (b < size)
+                total[size * size :] += np.bincount(a[both] * size + b[both], minlength=size * size)
+        return total
+
+    told = summed(encoded.select("sizes", "learned", "codes", "words", "starts", "size"), total_of, 2 * size * size)
+    return told[: size * size].reshape(size, size), told[size * size :].reshape(size, size)
+
+
+def exchange_classes(table: np.ndarray, spark, classes: int = CLASSES) -> np.ndarray:
+    """Class of each unit, by the best of some exchange clusterings of unit bigrams from different starts.
 
     The unit bigrams are a square table of a size that does not depend on the corpus; each task clusters it once.
     """
-    spark = bigrams.sparkSession
-    found = bigrams.select("a", "b", "n").toArrow()
-    table = np.zeros((units.size, units.size))
-    table[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
     shared = spark.sparkContext.broadcast(table)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,226 +529,223 @@ def exchange_classes(bigrams: DataFrame, units: Units, classes: int = CLASSES) -
 
     starts = spark.range(0, STARTS, 1, STARTS)
     told = map_batches(starts, task, "seed bigint, likelihood double, classes array<int>").collect()
-    best = max(told, key=lambda r: (r["likelihood"], -r["seed"]))
-    assigned = np.array(best["classes"])
-    return assigned, class_pairs(table, assigned, classes)
+    return np.array(max(told, key=lambda r: (r["likelihood"], -r["seed"]))["classes"])
 
 
 # --- all words ------------------------------------------------------------------
 
 
-def numbered_words(counts: DataFrame, units: Units) -> tuple[DataFrame, list[int]]:
-    """(word, n, id, start) of all words, and the first ids of each turn's words, with one more than the highest id.
+# Columns of the neighbours of a bucket's words: of all, and of those that move in the same turn.
+_BESIDE = ["ids", "sizes", "codes", "ns"]
+_BESIDE_SAME = [f"same_{x}" for x in _BESIDE]
+
+
+def word_contexts(encoded: DataFrame, numbers: Numbers) -> tuple[DataFrame, str]:
+    """Per bucket its turn and its words that are no units with their neighbours, and its folder.
 
-    Ids below ``units.size`` are units: frequent words of their own, the end, and the groups of words that came once.
-    Every other word has an id of its own, without gaps, in the range of its turn, which its letters set; ``start`` is
-    its unit in the start of the clustering.
+    A word's neighbours are codes with counts: twice the neighbour's id, and one more if the neighbour stands before
+    the word; counts of 256 and more are several. The most frequent words, the units, have none, so no bucket is large
+    beside the corpus.
     """
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("unit", pa.int64()), ("start", pa.int64()), ("part", pa.int32()), ("turn", pa.int32())])
+    schema = pa.schema([("bucket", pa.int32()), ("size", pa.int64()), ("numbers", pa.binary()), ("codes", pa.binary()), ("ns", pa.binary())])
+    shared = encoded.sparkSession.sparkContext.broadcast(numbers)
+    # Two bytes hold a bucket if they can: these are sorted faster.
+    small, held_most = np.uint16 if len(numbers.first) <= 1 << 16 else np.int64, HELD_BIGRAMS
+
+    def packed(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        bucket, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(bucket, kind="stable")
+        bucket, rest = bucket[order], [x[order] for x in rest]
+        at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist()
+        ranges = list(zip(at, [*at[1:], len(bucket)], strict=True))
+        return batch(schema, bucket[at].astype(np.int32), [k - i for i, k in ranges], *[[_narrow(x[i:k]) for i, k in ranges] for x in rest])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, local = TaskContext.get().partitionId(), [0] * TURNS
+        to_ids: Numbers = shared.value
+        held, size = [], 0
         for rows in batches:
-            words, n = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-            start = [units.end if w == END else units.start(w) for w in words]
-            turn = [zlib.crc32(w) % TURNS for w in words]
-            unit = []
-            for w, k, u, t in zip(words, n, start, turn, strict=True):
-                if w == END or w in units.own or k < 2:
-                    unit.append(u)
-                else:
-                    # Numbered below zero until the parts before are known.
-                    unit.append(-1 - local[t])
-                    local[t] += 1
-            yield batch(schema, words, n, unit, start, [part] * len(words), turn)
-
-    named, path = stored_at(map_batches(counts.select("word", "n"), task, "word binary, n bigint, unit bigint, start bigint, part int, turn int"), "words")
-    sizes = {(r["turn"], r["part"]): r["n"] for r in named.filter("unit < 0").groupBy("turn", "part").agg(F.count("*").alias("n")).collect()}
-    parts = 1 + max((part for _, part in sizes), default=0)
-    first, turns, at = [], [], units.size
-    for turn in range(TURNS):
-        turns.append(at)
-        for part in range(parts):
-            first.append(at)
-            at += sizes.get((turn, part), 0)
-    place = F.least(F.col("turn") * parts + F.col("part"), F.lit(len(first) - 1))
-    number = F.when(F.col("unit") >= 0, F.col("unit")).otherwise(lookup(first, place) - 1 - F.col("unit"))
-    out = stored(named.select("word", "n", number.cast("bigint").alias("id"), "start"), "numbered_words")
-    drop_stored(counts.sparkSession, path)
-    return out, [*turns, at]
-
-
-def word_bigrams(df: DataFrame, text: str, words: DataFrame, sent: dict[bytes, int], least: int, end: int) -> tuple[DataFrame, str]:
-    """(a, b, n) by word ids, and its folder: how often b follows a. A pair may have several rows.
-
-    ``sent`` has the ids of the words that came ``least`` times or more; the others are joined.
+            for sizes, learned, codes, words, n_words in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                ids = np.append(_wide(words, n_words), to_ids.end)
+                bucket = np.searchsorted(to_ids.first, ids, side="right") - 1
+                number = (ids - to_ids.first[bucket]).astype(np.uint32)
+                bucket = bucket.astype(small)
+                after, before = _learned_pairs(sizes, learned, codes, n_words)
+                found, n = np.unique(before * len(ids) + after, return_counts=True)
+                a, b = found // len(ids), found % len(ids)
+                for word, other, side in ((a, b, 0), (b, a, 1)):
+                    some = np.flatnonzero(ids[word] >= to_ids.units)
+                    if len(some):
+                        word = word[some]
+                        held.append((bucket[word], number[word], ids[other[some]] * 2 + side, n[some].astype(np.uint32)))
+                        size += len(some)
+                if size > held_most:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    span = 2 * numbers.ids
+    told = pa.schema([("turn", pa.int32()), *[(x, pa.binary()) for x in _BESIDE + _BESIDE_SAME], ("code_bytes", pa.int32())])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, turn_of = shared.value.first, shared.value.turns()
+        width = np.uint32 if span < 1 << 32 else np.uint64
+
+        def listed(word: np.ndarray, code: np.ndarray, n: np.ndarray) -> list[list[bytes]]:
+            ids, sizes = np.unique(word, return_counts=True)
+            return [[x.tobytes()] for x in (ids, sizes, code.astype(width), n)]
+
+        for bucket, rows in _by_key(batches):
+            number, code, n = (np.concatenate([_wide(r[k], r[1]) for r in rows_]) for rows_ in [list(rows)] for k in (2, 3, 4))
+            # A bucket's words times all codes stay far below 2**63.
+            key = number * span + code
+            order = np.argsort(key)
+            key = key[order]
+            new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            ns, key = np.add.reduceat(n[order], new), key[new]
+            # Counts in one byte each, as many as it takes.
+            times = -(-ns // 255)
+            last = np.cumsum(times) - 1
+            n = np.full(int(times.sum()), 255, np.uint8)
+            n[last] = ns - 255 * (times - 1)
+            word, code = np.repeat(key // span + first[bucket], times), np.repeat(key % span, times)
+            same = turn_of[code >> 1] == bucket % TURNS
+            yield batch(told, [bucket % TURNS], *listed(word, code, n), *listed(word[same], code[same], n[same]), [width().itemsize])
+
+    sent = map_batches(encoded.select("sizes", "learned", "codes", "words", "size"), task, "bucket int, size bigint, numbers binary, codes binary, ns binary")
+    dealt = sent.select("bucket", "size", "numbers", "codes", "ns").repartition("bucket").sortWithinPartitions("bucket")
+    kind, path = f"turn int, {', '.join(f'{x} binary' for x in _BESIDE + _BESIDE_SAME)}, code_bytes int", scratch_path(encoded.sparkSession, "word_contexts")
+    map_batches(dealt, met, kind).write.partitionBy("turn").parquet(path)
+    return encoded.sparkSession.read.schema(kind).parquet(path), path
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of each bucket: ids and numbers of neighbours of its words, then the neighbours' codes and counts."""
+    for rows in batches:
+        for width, *arrays in zip(*rows.columns, strict=True):
+            kinds = (np.int64, np.int64, f"u{width.as_py()}", np.uint8)
+            yield tuple(np.frombuffer(x.as_buffer(), kind) for x, kind in zip(arrays, kinds, strict=True))
+
+
+def _add_pairs(total: np.ndarray, units: int, own: np.ndarray, codes: np.ndarray, ns: np.ndarray, signed: list[tuple[np.ndarray, int]]) -> None:
+    """Add pairs of words with neighbours to the counts of class bigrams and of units beside classes.
+
+    ``signed`` has tables of classes by id, each with the sign that its counts take.
     """
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(sent)
-    schema = pa.schema([("a", pa.int64()), ("aw", pa.binary()), ("b", pa.int64()), ("bw", pa.binary()), ("n", pa.int64())])
+    square, wide = CLASSES * CLASSES, units * CLASSES
+    other, before = (codes >> 1).astype(np.int64), (codes & 1).astype(bool)
+    unit = other < units
+    edge = square + np.where(before, 0, wide) + other * CLASSES
+    for classes, sign in signed:
+        mine, its = classes[own].astype(np.int64), classes[other].astype(np.int64)
+        key = np.where(unit, edge + mine, np.where(before, its * CLASSES + mine, mine * CLASSES + its))
+        total += sign * np.bincount(key, weights=ns, minlength=len(total)).astype(np.int64)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value
-        size = max([*ids.values(), end]) + 1
-        keys, times, held = [], [], 0
-
-        def known() -> Iterator[pa.RecordBatch]:
-            if not keys:
-                return
-            found, at = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate(times)).astype(np.int64)
-            keys.clear()
-            times.clear()
-            for k in range(0, len(found), _EMIT_ROWS):
-                some = found[k : k + _EMIT_ROWS]
-                none = pa.nulls(len(some), pa.binary())
-                yield batch(schema, some // size, none, some % size, none, n[k : k + _EMIT_ROWS])
 
-        for rows in batches:
-            for column in cuts(rows.column(0)):
-                words, codes, at = word_codes(column)
-                of = np.fromiter((ids.get(w, -1) for w in words), np.int64, len(words))
-                # Words that are not sent are numbered behind the ids, within this cut.
-                local = np.where(of >= 0, of, size + np.arange(len(words)))
-                stream = _stream(local, codes, at, len(column), end)
-                before = np.concatenate(([end], stream[:-1]))
-                both = (before < size) & (stream < size)
-                found, n = np.unique(before[both] * size + stream[both], return_counts=True)
-                keys.append(found)
-                times.append(n)
-                held += len(found)
-                if held > HELD_BIGRAMS:
-                    yield from known()
-                    held = 0
-                wide = size + len(words)
-                found, n = np.unique(before[~both] * wide + stream[~both], return_counts=True)
-                a, b = found // wide, found % wide
-                yield batch(
-                    schema,
-                    np.where(a < size, a, -1),
-                    [words[i] if i >= 0 else None for i in (a - size).tolist()],
-                    np.where(b < size, b, -1),
-                    [words[i] if i >= 0 else None for i in (b - size).tolist()],
-                    n,
-                )
-        yield from known()
-
-    raw, raw_path = stored_at(map_batches(columns(df, text=text), task, "a bigint, aw binary, b bigint, bw binary, n bigint"), "raw_bigrams")
-    others = words.filter((F.col("n") < least) & (F.col("word") != F.lit(END))).select("word", "id")
-    met = raw.filter("a < 0").join(others.select(F.col("word").alias("aw"), F.col("id").alias("ia")), "aw")
-    half = raw.filter("a >= 0").select("a", "b", "bw", "n").unionAll(met.select(F.col("ia").alias("a"), "b", "bw", "n"))
-    met = half.filter("b < 0").join(others.select(F.col("word").alias("bw"), F.col("id").alias("ib")), "bw")
-    out = stored_at(half.filter("b >= 0").select("a", "b", "n").unionAll(met.select("a", F.col("ib").alias("b"), "n")), "word_bigrams")
-    drop_stored(spark, raw_path)
-    shared.unpersist()
-    return out
+def _tables(total: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class bigrams among words that are no units; counts of each unit with classes of such words after and before it."""
+    square, wide = CLASSES * CLASSES, units * CLASSES
+    return total[:square].reshape(CLASSES, -1), total[square : square + wide].reshape(units, -1), total[square + wide :].reshape(units, -1)
 
 
-def word_contexts(bigrams: DataFrame, units: int) -> tuple[DataFrame, str]:
-    """(id, codes, ns) of each word that is no unit, and its folder: its neighbours with counts.
+def _table_size(units: int) -> int:
+    return CLASSES * (CLASSES + 2 * units)
 
-    A code is twice the neighbour's id, and one more if the neighbour stands before the word. Words with neighbouring
-    ids stand together; the most frequent words, the units, have no row, so no row is large beside the corpus.
-    """
-    after = bigrams.filter(F.col("a") >= units).select(F.col("a").alias("id"), (F.col("b") * 2).alias("code"), "n")
-    before = bigrams.filter(F.col("b") >= units).select(F.col("b").alias("id"), (F.col("a") * 2 + 1).alias("code"), "n")
-    schema = pa.schema([("id", pa.int64()), ("codes", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64()))])
 
-    def packed(ids: np.ndarray, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (codes[1:] != codes[:-1])])
-        ids, codes, n = ids[new], codes[new], np.add.reduceat(n, new)
-        rows = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        offsets = pa.array(np.r_[rows, len(ids)].astype(np.int32))
-        return batch(schema, ids[rows], pa.ListArray.from_arrays(offsets, pa.array(codes)), pa.ListArray.from_arrays(offsets, pa.array(n)))
+def count_classes(contexts: DataFrame, shared, units: int) -> np.ndarray:
+    """The counts of ``_tables``, all in one row, for the classes of ``shared``."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        for rows in batches:
-            if not rows.num_rows:
-                continue
-            some = tuple(rows.column(k).to_numpy() for k in range(3))
-            cut = int(np.searchsorted(some[0], some[0][-1]))
-            if held and (cut or held[-1][0][-1] != some[0][0]):
-                # The word held so far ends in this batch.
-                held.append(tuple(x[:cut] for x in some))
-                yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                held = []
-            elif cut:
-                yield packed(*(x[:cut] for x in some))
-            held.append(tuple(x[cut:] for x in some))
-        if held:
-            yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    def total_of(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        classes = shared.value[1]
+        total = np.zeros(_table_size(units), np.int64)
+        for ids, sizes, codes, ns in _contexts(batches):
+            # Of two words that are no units, the first one's row counts.
+            some = np.flatnonzero((codes < 2 * units) | (codes & 1 == 0))
+            _add_pairs(total, units, np.repeat(ids, sizes)[some], codes[some], ns[some], [(classes, 1)])
+        return total
 
-    dealt = after.unionAll(before).repartition(F.expr(f"id div {_BLOCK}")).sortWithinPartitions("id", "code")
-    return stored_at(map_batches(dealt, task, "id bigint, codes array<bigint>, ns array<bigint>"), "word_contexts")
+    return summed(contexts.select("code_bytes", *_BESIDE), total_of, _table_size(units))
 
 
-def _entries(rows: pa.RecordBatch, classes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Ids of the words, and of each neighbour: row, id, whether it stands before, count, class."""
-    ids, lists = rows.column(0).to_numpy(), rows.column(1)
-    codes, n = lists.flatten().to_numpy(), rows.column(2).flatten().to_numpy()
-    row = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
-    other = codes >> 1
-    return ids, row, other, (codes & 1).astype(bool), n, classes[other].astype(np.int64)
+def _changes(contexts: DataFrame, shared, units: int) -> np.ndarray:
+    """What pairs of two words of the same turn change in the counts; ``shared`` has the classes before and now."""
 
+    def total_of(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        old, now = shared.value
+        moved = old != now
+        total = np.zeros(_table_size(units), np.int64)
+        for ids, sizes, codes, ns in _contexts(batches):
+            # Where both words have moved, the first one's row counts.
+            some = np.flatnonzero(np.repeat(moved[ids], sizes))
+            some = some[(codes[some] & 1 == 0) | ~moved[codes[some] >> 1]]
+            if len(some):
+                _add_pairs(total, units, np.repeat(ids, sizes)[some], codes[some], ns[some], [(now, 1), (old, -1)])
+        return total
 
-def _count_classes(contexts: DataFrame, shared, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class bigrams among words that are no units; counts of each unit with classes of such words after and before it."""
-    square, wide = CLASSES * CLASSES, units * CLASSES
+    return summed(contexts.select("code_bytes", *_BESIDE_SAME), total_of, _table_size(units))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value
-        total = np.zeros(square + 2 * wide, np.int64)
-        for rows in batches:
-            ids, row, other, before, n, cls = _entries(rows, classes)
-            own = classes[ids].astype(np.int64)[row]
-            unit = other < units
-            # Of two words that are no units, the first one's row counts.
-            key = np.where(unit, square + np.where(before, 0, wide) + other * CLASSES + own, own * CLASSES + cls)
-            some = unit | ~before
-            total += np.bincount(key[some], weights=n[some], minlength=len(total)).astype(np.int64)
-        found = np.flatnonzero(total)
-        for k in range(0, len(found), _EMIT_ROWS):
-            some = found[k : k + _EMIT_ROWS]
-            yield batch(pa.schema([("key", pa.int64()), ("n", pa.int64())]), some, total[some])
-
-    told = map_batches(contexts, task, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(square + 2 * wide)
-    total[told["key"].to_numpy()] = told["n"].to_numpy()
-    return total[:square].reshape(CLASSES, -1), total[square : square + wide].reshape(units, -1), total[square + wide :].reshape(units, -1)
 
+def _grown(table: np.ndarray) -> np.ndarray:
+    """Of each small count x and class k, one row of what x more counts with k add in each class."""
+    more = np.arange(_SMALL)[:, None, None]
+    return (_h(table.T + more) - _h(table.T)).reshape(-1, len(table))
 
-def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before: np.ndarray, twin: np.ndarray) -> np.ndarray:
+
+def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before: np.ndarray, twin: np.ndarray, grown: tuple | None = None) -> np.ndarray:
     """For each word, alone, the class that gives the highest likelihood; its own class if no other is better.
 
     ``after`` and ``before`` count the classes beside a word (one row each) without its ``twin`` bigrams with itself.
     """
     rows, classes = np.arange(len(now)), len(pairs)
     gain = np.zeros((len(now), classes))
-    for table, mine, across in ((pairs, after, before), (pairs.T, before, after)):
-        r, k = np.nonzero(mine)
-        x, at = mine[r, k][:, None], now[r]
+    grown = grown or (_grown(pairs), _grown(pairs.T))
+    for table, mine, across, known in ((pairs, after, before, grown[0]), (pairs.T, before, after, grown[1])):
+        cells = np.flatnonzero(mine)
+        x = mine.ravel()[cells]
+        few = x < _SMALL
+        # What small counts with the neighbour's class add is known for all classes.
+        many, cells, x = cells[~few], cells[few], x[few]
+        r, k = np.divmod(cells, classes)
+        at = x.astype(np.int64) * classes + k
+        one = x < _LEAST
+        least = np.zeros((len(now), (_LEAST - 1) * classes))
+        least[r[one], at[one] - classes] = 1
+        gain += least @ known[classes : _LEAST * classes]
+        _add_rows(gain, r[~one], known[at[~one]])
+        # The class with itself is taken below, and the word's own class holds the word already.
+        gain.ravel()[cells] -= known[at, k]
+        own = now[r]
+        here, same = table[own, k], k == own
+        gain[rows, now] += np.bincount(r, weights=np.where(same, 0, _h(here) - _h(here - x) - known[at, own]), minlength=len(now))
+        # Beside its own class, a word's counts on the other side are in the counts too.
+        lone, mid, place = r[same], k[same], at[same]
+        i, to = np.nonzero(across[lone])
+        i, to = i[to != mid[i]], to[to != mid[i]]
+        counts = table[to, mid[i]] - across[lone[i], to]
+        gain[lone[i], to] += _h(counts + x[same][i]) - _h(counts) - known[place[i], to]
+
+        r, k = np.divmod(many, classes)
+        x, lone, at = mine[r, k][:, None], np.arange(len(r)), now[r]
         # Counts of all classes with the neighbour's class, without this word.
         counts = table.T[k].copy()
-        lone = np.arange(len(r))
         counts[lone, at] -= x[:, 0]
         same = np.flatnonzero(k == at)
         counts[same] -= across[r[same]]
         counts[same, at[same]] -= twin[r[same]]
         told = _h(counts + x) - _h(counts)
-        # The class with itself is taken below.
         told[lone, k] = 0
-        if len(r):
-            first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            gain[r[first]] += np.add.reduceat(told, first, axis=0)
-        more = mine.sum(1) + twin
-        side = np.tile(table.sum(1), (len(now), 1))
-        side[rows, now] -= more
-        gain -= _h(side + more[:, None]) - _h(side)
-    both = np.tile(np.diagonal(pairs), (len(now), 1))
+        _add_rows(gain, r, told)
+
+        more, side = mine.sum(1) + twin, table.sum(1)
+        which, where = np.unique(more, return_inverse=True)
+        gain -= (_h(side + which[:, None]) - _h(side))[where]
+        own = side[now]
+        gain[rows, now] += _h(own + more) - 2 * _h(own) + _h(own - more)
     own = after + before + twin[:, None]
-    both[rows, now] -= own[rows, now]
-    gain += _h(both + own) - _h(both)
+    r, k = np.divmod(np.flatnonzero(own), classes)
+    x, both = own[r, k], pairs[k, k]
+    both = np.where(k == now[r], both - x, both)
+    gain[r, k] += _h(both + x) - _h(both)
     gain = gain.round(6)
     # Words that move together would all take the same empty class: units, which move in turn, open these.
     gain[:, pairs.sum(0) == 0] = -np.inf
@@ -501,43 +754,64 @@ def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before:
     return np.where(gain[rows, best] > gain[rows, now], best, now)
 
 
-def _best_of_all(contexts: DataFrame, shared, pairs: np.ndarray) -> list:
-    """(first id, classes as bytes) of runs of words."""
+def _add_rows(gain: np.ndarray, r: np.ndarray, told: np.ndarray) -> None:
+    """Add rows of ``told`` to the rows ``r``, ascending, of ``gain``."""
+    if len(r):
+        first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        gain[r[first]] += np.add.reduceat(told, first, axis=0)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value
-        for rows in batches:
-            for low in range(0, rows.num_rows, _SCORE_ROWS):
-                ids, row, other, left, n, cls = _entries(rows.slice(low, _SCORE_ROWS), classes)
-                self_ = other == ids[row]
-                size = len(ids) * CLASSES
-                tables = [np.bincount(row[s] * CLASSES + cls[s], weights=n[s], minlength=size).reshape(-1, CLASSES) for s in (~left & ~self_, left & ~self_)]
-                twin = np.bincount(row[self_ & ~left], weights=n[self_ & ~left], minlength=len(ids))
-                best = best_classes(pairs, classes[ids].astype(np.int64), *tables, twin).astype(np.int8)
-                first = np.flatnonzero(np.r_[True, np.diff(ids) != 1])
-                runs = [x.tobytes() for x in np.split(best, first[1:])] if len(ids) else []
-                yield batch(pa.schema([("first", pa.int64()), ("classes", pa.binary())]), ids[first] if len(ids) else [], runs)
 
-    return map_batches(contexts, task, "first bigint, classes binary").collect()
+def _moves(contexts: DataFrame, shared, pairs: np.ndarray, units: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the words for which another class is best, that class, and what they change in the counts.
 
+    Pairs of two words of the turn are not counted: both may have moved.
+    """
 
-def all_word_classes(contexts: DataFrame, bigrams: np.ndarray, classes: np.ndarray, turns: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def total_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray | tuple[np.ndarray, np.ndarray]]:
+        turn_of, classes = shared.value
+        now, grown = classes.copy(), (_grown(pairs), _grown(pairs.T))
+        total = np.zeros(_table_size(units), np.int64)
+        for ids, sizes, codes, ns in _contexts(batches):
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            for low in range(0, len(ids), _SCORE_ROWS):
+                words = ids[low : low + _SCORE_ROWS]
+                some = slice(ends[low], ends[low + len(words)])
+                other, left = (codes[some] >> 1).astype(np.int64), (codes[some] & 1).astype(np.int64)
+                row = np.repeat(np.arange(len(words)), sizes[low : low + len(words)])
+                n, self_ = ns[some], other == words[row]
+                size = len(words) * CLASSES
+                key = left * size + row * CLASSES + classes[other]
+                beside = np.bincount(key, weights=np.where(self_, 0, n), minlength=2 * size).reshape(2, -1, CLASSES)
+                same = np.flatnonzero(self_ & (left == 0))
+                twin = np.bincount(row[same], weights=n[same], minlength=len(words))
+                now[words] = best_classes(pairs, classes[words].astype(np.int64), *beside, twin, grown)
+            moved = now[ids] != classes[ids]
+            some = np.flatnonzero(np.repeat(moved, sizes))
+            some = some[turn_of[codes[some] >> 1] != turn]
+            if len(some):
+                _add_pairs(total, units, np.repeat(ids, sizes)[some], codes[some], ns[some], [(now, 1), (classes, -1)])
+            yield ids[moved], now[ids[moved]]
+        yield total
+
+    return summed_and_listed(contexts.select("code_bytes", *_BESIDE), total_of, _table_size(units))
+
+
+def all_word_classes(contexts: DataFrame, bigrams: np.ndarray, classes: np.ndarray, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
     """(class of each id, class bigram counts) after sweeps over all words from the given classes.
 
-    ``bigrams`` are those among units, which have the first ids and whose last is the end token; ``turns`` are the first
-    ids of the words that move together, with one more than the highest id.
+    ``bigrams`` are those among units, which have the first ids and whose last is the end token.
     """
-    units = len(bigrams)
+    units, turn_of = len(bigrams), numbers.turns()
     context = contexts.sparkSession.sparkContext
+    shared = context.broadcast((None, classes))
+    total = count_classes(contexts, shared, units)
     best: tuple[float, np.ndarray, np.ndarray] | None = None
     for step in range(SWEEPS * TURNS + 1):
         turn = step % TURNS
-        shared = context.broadcast(classes)
-        body, right, left = _count_classes(contexts, shared, units)
-        shared.unpersist()
         mine = classes[:units].astype(np.int64)
         member = np.zeros((units, CLASSES))
         member[np.arange(units), mine] = 1
+        body, right, left = _tables(total, units)
         pairs = body + member.T @ (bigrams @ member) + member.T @ right + (member.T @ left).T
         if turn == 0:
             likelihood = log_likelihood(pairs)
@@ -548,14 +822,19 @@ def all_word_classes(contexts: DataFrame, bigrams: np.ndarray, classes: np.ndarr
         if step == SWEEPS * TURNS:
             break
         _sweep(bigrams, mine, pairs, right + bigrams @ member, left + bigrams.T @ member)
-        classes = classes.copy()
-        classes[:units] = mine
-        shared = context.broadcast(classes)
-        some_words = contexts.filter((F.col("id") >= turns[turn]) & (F.col("id") < turns[turn + 1]))
-        for r in _best_of_all(some_words, shared, pairs):
-            some = np.frombuffer(bytes(r["classes"]), np.int8)
-            classes[r["first"] : r["first"] + len(some)] = some
+        before = classes.copy()
+        before[:units] = mine
+        shared.unpersist()
+        shared = context.broadcast((turn_of, before))
+        some_words = contexts.filter(F.col("turn") == turn)
+        ids, best_of, change = _moves(some_words, shared, pairs, units, turn)
+        classes = before.copy()
+        classes[ids] = best_of
         shared.unpersist()
+        shared = context.broadcast((before, classes))
+        total += change
+        if len(ids):
+            total += _changes(some_words, shared, units)
     return best[1:]
 
 
@@ -577,192 +856,131 @@ class Model:
         return np.log10((counts + _EMISSION) / self.emission_total[of])
 
 
-def train(df: DataFrame, text: str, counts: DataFrame) -> Model:
-    """The model of the texts of ``df``, whose word counts are ``counts``."""
-    return learn(df, text, counts)[0]
+@dataclass(frozen=True)
+class Learned:
+    """A model of all words: their classes, and the tables of classes."""
+
+    numbers: Numbers
+    classes: np.ndarray
+    transition: np.ndarray
+    emission_total: np.ndarray
+    train_tokens: int
+    train_words: int
+    train_texts: int
 
 
-def learn(df: DataFrame, text: str, counts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and (word, n, class) of the words that are not frequent."""
+def train(df: DataFrame, text: str, counts: DataFrame) -> Model:
+    """The model of the texts of ``df``, whose word counts are ``counts``."""
+    source = df.select(F.lit(None).cast("bigint").alias("id"), c(text).alias("text"))
+    learned, _, vocabulary = learn(source, "id", "text", F.lit(True))
+    frequent = frequent_words(counts, FREQUENT_WORDS)
+    units = Units.build(frequent, CLUSTER_WORDS, SUFFIX_GROUPS)
+    least = min((n for w, n in frequent if w != END), default=1 << 62)
+    of = {END: CLASSES - 1}
+    for r in listed_words(vocabulary).filter(F.col("n") >= least).collect():
+        if bytes(r["word"]) in units.number:
+            at = learned.numbers(np.array([r["bucket"]]), np.array([r["number"]]), np.array([r["group"]]))[0]
+            of[bytes(r["word"])] = int(learned.classes[at[0]])
+    groups = learned.classes[learned.numbers.n_words : learned.numbers.end]
+    classes = np.concatenate(([of[w] for w in units.number], groups)).astype(np.int64)
+    return Model(units, classes, learned.transition, learned.emission_total, learned.train_tokens, learned.train_words)
+
+
+def learn(df: DataFrame, id_col: str, text: str, learned: Column) -> tuple[Learned, DataFrame, DataFrame]:
+    """The model of the texts that are ``learned``; all texts as ids of words; and the words of the buckets."""
     spark = df.sparkSession
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    units = Units.build(frequent_words(counts, FREQUENT_WORDS), CLUSTER_WORDS, SUFFIX_GROUPS)
-    shared = spark.sparkContext.broadcast(units)
-    started = exchange_classes(stored(unit_bigrams(df, text, shared), "unit_bigrams"), units)[0].astype(np.int8)
-
-    words, turns = numbered_words(counts, units)
-    least = min((n for w, n in zip(units.number, units.counts.tolist(), strict=True) if w != END), default=1 << 62)
-    sent = words.filter(F.col("n") >= least).select("word", "id", "start").toArrow()
-    ids = dict(zip(map(bytes, sent["word"].to_pylist()), sent["id"].to_pylist(), strict=True))
-    ids[END] = units.end
-    bigrams, bigrams_path = word_bigrams(df, text, words, ids, least, units.end)
-    among = bigrams.filter((F.col("a") < units.size) & (F.col("b") < units.size)).groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((units.size, units.size))
-    table[among["a"].to_numpy(), among["b"].to_numpy()] = among["n"].to_numpy()
-    contexts, contexts_path = word_contexts(bigrams, units.size)
-    drop_stored(spark, bigrams_path)
-
-    classes = np.zeros(turns[-1], np.int8)
-    classes[: units.size] = started
-    for r in _starts(words, units.size, started):
-        classes[r["first"] : r["first"] + len(r["classes"])] = np.frombuffer(bytes(r["classes"]), np.int8)
-    classes, pairs = all_word_classes(contexts, table, classes, turns)
+    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    split, split_path = split_texts(df, id_col, text, learned, buckets)
+    numbered, numbered_path = number_words(split, SUFFIX_GROUPS)
+    vocabulary = stored(numbered.filter("chunk = -1"), "vocabulary")
+    kept, types = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+    groups = [b""] * buckets
+    n = v = 0
+    # One row a bucket.
+    for r in vocabulary.select("bucket", "kept", "types", "seen", "tokens", "groups").collect():
+        at = r["bucket"]
+        kept[at], types[at], groups[at] = r["kept"], r["types"], bytes(r["groups"])[: 2 * r["kept"]]
+        n, v = n + r["tokens"], v + r["seen"]
+    units = CLUSTER_WORDS + SUFFIX_GROUPS + 1
+    before = np.concatenate(([0], np.cumsum(types)))
+    most = listed_words(vocabulary, CLUSTER_WORDS).filter("n > 0").orderBy(F.desc("n"), "word").select("bucket", "number").limit(CLUSTER_WORDS).collect()
+    place = np.array([before[r["bucket"]] + r["number"] for r in most], np.int64)
+    order = np.argsort(place)
+    numbers = Numbers(units, CLUSTER_WORDS, units + np.concatenate(([0], np.cumsum(kept))), before, place[order], order)
+
+    encoded, _ = encode_texts(split, numbered, numbers)
+    drop_stored(spark, split_path, numbered_path)
+    start_table, table = unit_tables(encoded, numbers)
+    # Every text has one end token, whatever stands before it.
+    texts = int(start_table[:, numbers.end].sum())
+    started = exchange_classes(start_table, spark).astype(np.int8)
+    contexts, contexts_path = word_contexts(encoded, numbers)
+    first = np.frombuffer(b"".join(groups), np.uint16).astype(np.int64)
+    classes, pairs = all_word_classes(contexts, table, np.concatenate((started, started[CLUSTER_WORDS + first])), numbers)
     drop_stored(spark, contexts_path)
 
-    told, class_of = spark.sparkContext.broadcast(classes), pa.schema([("word", pa.binary()), ("n", pa.int64()), ("class", pa.int32())])
+    shared = spark.sparkContext.broadcast((numbers, classes))
 
-    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def total_of(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        to_ids, of = shared.value
+        total = np.zeros(2 * CLASSES, np.int64)
         for rows in batches:
-            yield batch(class_of, rows.column(0), rows.column(1), told.value[rows.column(2).to_numpy()].astype(np.int32))
-
-    classed = stored(map_batches(words.select("word", "n", "id"), with_class, "word binary, n bigint, class int"), "word_classes")
-    tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        tokens[r["class"]], kinds[r["class"]] = r["n"], r["v"]
+            for bucket, ns, group in zip(*(x.to_pylist() for x in rows.columns), strict=True):
+                group = np.frombuffer(group, np.uint16)
+                n = _wide(ns, len(group))
+                cls = of[to_ids(np.full(len(n), bucket), np.arange(len(n)), group)[0]]
+                total[:CLASSES] += np.bincount(cls, weights=n, minlength=CLASSES).astype(np.int64)
+                total[CLASSES:] += np.bincount(cls[n > 0], minlength=CLASSES)
+        return total
+
+    told = summed(vocabulary.select("bucket", "ns", "groups"), total_of, 2 * CLASSES)
+    tokens, kinds = told[:CLASSES], told[CLASSES:]
+    tokens[-1], kinds[-1] = texts, texts > 0
     # A place for one unseen word per class; the end class has none.
     emission = tokens + _EMISSION * (kinds + 1)
     emission[-1] = tokens[-1] + _EMISSION
     prior = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * CLASSES)
     transition = np.log10((pairs + _TRANSITION * prior) / (pairs.sum(1, keepdims=True) + _TRANSITION))
-    of = [ids[w] for w in units.number] + list(range(units.n_words, units.end))
-    model = Model(units, classes[of].astype(np.int64), transition, emission, int(n), int(v))
-    return model, classed.filter((F.col("n") < least) & (F.col("word") != F.lit(END)))
-
+    return Learned(numbers, classes, transition, emission, int(n + texts), int(v + (texts > 0)), texts), encoded, vocabulary
 
-def _starts(words: DataFrame, units: int, started: np.ndarray) -> list:
-    """(first id, classes as bytes) of runs of words that are no units."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            ids, start = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-            order = np.argsort(ids)
-            ids, of = ids[order], started[start[order]]
-            first = np.flatnonzero(np.r_[True, np.diff(ids) != 1]) if len(ids) else np.zeros(0, np.int64)
-            runs = [x.tobytes() for x in np.split(of, first[1:])] if len(ids) else []
-            yield batch(pa.schema([("first", pa.int64()), ("classes", pa.binary())]), ids[first], runs)
-
-    return map_batches(words.filter(F.col("id") >= units).select("id", "start"), task, "first bigint, classes binary").collect()
-
-
-# Words that are not sent meet their counts and classes in a join: where they stand (class before and after, -1 if that
-# word is not sent either) and the bigrams of two of them. ``groups`` are classes for words that training has not met.
-_PARTS = (
-    "row bigint, id bigint, n_tokens bigint, n_known bigint, base double, score double, "
-    "words array<binary>, befores array<int>, afters array<int>, groups array<int>, seconds array<binary>, second_groups array<int>"
-)
-_PARTS_ARROW = pa.schema(
-    [
-        *[("row", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())],
-        *[("words", pa.list_(pa.binary())), ("befores", pa.list_(pa.int32())), ("afters", pa.list_(pa.int32())), ("groups", pa.list_(pa.int32()))],
-        *[("seconds", pa.list_(pa.binary())), ("second_groups", pa.list_(pa.int32()))],
-    ]
-)
-
-
-def _score_parts(df: DataFrame, id_col: str, text: str, shared) -> DataFrame:
-    """Per row: what transitions and emissions of frequent words give, and the places of the other words."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        units = model.units
-        row = TaskContext.get().partitionId() << 40
-        counts = units.counts.astype(np.float64)
-        for rows in batches:
-            at = 0
-            for column in cuts(rows.column(1)):
-                n = len(column)
-                words, codes, of_row = word_codes(column)
-                number = np.fromiter((units.number.get(w, -1) for w in words), np.int64, len(words))
-                unit = np.fromiter(map(units.unit, words), np.int64, len(words))
-                cls = model.classes[unit] if len(words) else unit
-                frequent = number >= 0
-                # The last code stands for the end token.
-                known_class = np.append(np.where(frequent, cls, -1), CLASSES - 1)
-                stream = _stream(np.arange(len(words)), codes, of_row, n, len(words))
-                before = np.concatenate(([len(words)], stream[:-1]))
-                after = np.concatenate((stream[1:], [len(words)]))
-                owner = np.full(len(stream), -1)
-                owner[np.arange(len(codes)) + of_row] = of_row
-                owner[owner < 0] = np.arange(n)
-                one, two = known_class[before], known_class[stream]
-                both = (one >= 0) & (two >= 0)
-                score = np.bincount(owner[both], weights=model.transition[one[both], two[both]], minlength=n)
-
-                c = np.where(frequent, counts[np.maximum(number, 0)] if len(counts) else 0.0, 0.0)
-                base_of = np.where(frequent, model.base(c), 0.0)
-                emit_of = np.where(frequent, model.emission(c, cls), 0.0)
-                base = np.bincount(of_row, weights=base_of[codes], minlength=n)
-                score = score + np.bincount(of_row, weights=emit_of[codes], minlength=n)
-                known = np.bincount(of_row, weights=frequent[codes], minlength=n).astype(np.int64)
-                ends = counts[units.number[END]] if END in units.number else 0.0
-                base = base + float(model.base(np.float64(ends)))
-                score = score + float(model.emission(np.float64(ends), np.int64(CLASSES - 1)))
-                n_tokens = np.bincount(of_row, minlength=n) + 1
-
-                rare = np.flatnonzero(two < 0)
-                code, second = stream[rare], after[rare]
-                offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner[rare], minlength=n)))).astype(np.int32))
-                group = np.append(cls, CLASSES - 1).astype(np.int32)
-                missed = known_class[second] < 0
-
-                def listed(values: pa.Array, offsets: pa.Array = offsets) -> pa.Array:
-                    return pa.ListArray.from_arrays(offsets, values)
-
-                yield batch(
-                    _PARTS_ARROW,
-                    row + np.arange(n),
-                    rows.column(0).slice(at, n),
-                    n_tokens,
-                    known + int(ends > 0),
-                    base,
-                    score,
-                    listed(pa.array([words[i] for i in code.tolist()], pa.binary())),
-                    listed(pa.array(one[rare].astype(np.int32))),
-                    listed(pa.array(known_class[second].astype(np.int32))),
-                    listed(pa.array(group[code])),
-                    listed(pa.array([words[i] if m else None for i, m in zip(second.tolist(), missed.tolist(), strict=True)], pa.binary())),
-                    listed(pa.array(group[second])),
-                )
-                row, at = row + n, at + n
-
-    source = columns(df, id=id_col, text=text).withColumn("id", F.col("id").cast("bigint"))
-    return map_batches(source, task, _PARTS)
-
-
-def _score_places(met: DataFrame, shared) -> DataFrame:
-    """(row, more_known, more_base, more_score) of words in their places; a word of no count is unseen."""
-    schema = pa.schema([("row", pa.int64()), ("more_known", pa.int64()), ("more_base", pa.float64()), ("more_score", pa.float64())])
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for rows in batches:
-            n, of, one, two = (rows.column(k).to_numpy() for k in range(1, 5))
-            score = model.emission(n.astype(np.float64), of)
-            score += np.where(one >= 0, model.transition[one, of], 0) + np.where(two >= 0, model.transition[of, two], 0)
-            yield batch(schema, rows.column(0), (n > 0).astype(np.int64), model.base(n.astype(np.float64)), score)
-
-    class_of = F.coalesce("class", "groups")
-    wanted = met.select("row", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), class_of.alias("class"), "befores", "afters")
-    return map_batches(wanted, task, "row bigint, more_known bigint, more_base double, more_score double")
+def held_out(id_col: Column, folds: int = 5, fold: int = 1) -> Column:
+    """Whether a row is left out of training, by the crc32 of its id as text; rows without an id are not."""
+    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
 
 
-def _score_pairs(met: DataFrame, shared) -> DataFrame:
-    """(row, more_known, more_base, more_score) of transitions between classes ``one`` and ``two``."""
-    schema = pa.schema([("row", pa.int64()), ("more_known", pa.int64()), ("more_base", pa.float64()), ("more_score", pa.float64())])
+def _scores(encoded: DataFrame, learned: Learned) -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score) of every text."""
+    schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    shared = encoded.sparkSession.sparkContext.broadcast(learned)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model: Learned = shared.value
         for rows in batches:
-            none = np.zeros(rows.num_rows)
-            score = model.transition[rows.column(1).to_numpy(), rows.column(2).to_numpy()]
-            yield batch(schema, rows.column(0), none.astype(np.int64), none, score)
-
-    return map_batches(met.select("row", "one", "two"), task, "row bigint, more_known bigint, more_base double, more_score double")
-
-
-def held_out(id_col: Column, folds: int = 5, fold: int = 1) -> Column:
-    """Whether a row is left out of training, by the crc32 of its id as text; rows without an id are not."""
-    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
+            ids = rows.column(0).flatten()
+            at = 0
+            for sizes, codes, words, ns, n_words in zip(*(x.to_pylist() for x in rows.columns[1:]), strict=True):
+                size = np.frombuffer(sizes, np.uint32).astype(np.int64)
+                n, code = len(size), _wide(codes, int(size.sum()))
+                # The last number stands for the end token.
+                of = np.append(_wide(words, n_words), model.numbers.end)
+                count = np.append(_wide(ns, n_words), model.train_texts).astype(np.float64)
+                cls = model.classes[of].astype(np.int64)
+                base_of = np.log10((count + 0.5) / (model.train_tokens + 0.5 * (model.train_words + 1)))
+                emit_of = np.log10((count + _EMISSION) / model.emission_total[cls])
+                of_row = np.repeat(np.arange(n), size)
+                stream = _stream(np.arange(len(of)), code, of_row, n, len(of) - 1)
+                # A text's end token is its last one.
+                owner = np.repeat(np.arange(n), size + 1)
+                after = cls[stream]
+                steps_ = model.transition[np.concatenate(([CLASSES - 1], after[:-1])), after]
+                base = np.bincount(owner, weights=base_of[stream], minlength=n)
+                score = np.bincount(owner, weights=emit_of[stream] + steps_, minlength=n)
+                known = np.bincount(owner, weights=count[stream] > 0, minlength=n).astype(np.int64)
+                yield batch(schema, ids.slice(at, n), size + 1, known, base, score)
+                at += n
+
+    return map_batches(encoded.select("ids", "sizes", "codes", "words", "ns", "size"), task, "id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -772,29 +990,15 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     token. A null text is empty and has the end token alone; rows with equal or null ids are texts of their own; other
     columns are ignored. Without training rows all counts are zero.
     """
-    training = df.filter(~held_out(F.col(f"`{id_col}`")))
-    counts = stored(word_counts(training, text), "word_counts")
-    model, rare_words = learn(training, text, counts)
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    parts = stored(_score_parts(df, id_col, text, shared), "score_parts")
-
-    # Frequent words never reach the joins, so a word's tokens are few beside the training tokens.
-    names = ["words", "befores", "afters", "groups", "seconds", "second_groups"]
-    rare = parts.select("row", F.inline(F.arrays_zip(*names)))
-    classed = rare.join(rare_words.withColumnRenamed("word", "words"), "words", "left")
-    beside = rare_words.select(F.col("word").alias("seconds"), F.col("class").alias("two"))
-    paired = classed.filter("seconds is not null").select("row", F.coalesce("class", "groups").alias("one"), "seconds", "second_groups")
-    paired = paired.join(beside, "seconds", "left").withColumn("two", F.coalesce("two", "second_groups"))
-    both = _score_places(classed, shared).unionAll(_score_pairs(paired, shared))
-    sums = both.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("more_known", "more_base", "more_score")])
-    told = parts.drop(*names).join(sums, "row", "left")
-    zero = F.lit(0)
+    source = columns(df, id=id_col, text=text)
+    learned, encoded, _ = learn(source, "id", "text", ~held_out(F.col("id")))
+    told = _scores(encoded, learned)
     return told.select(
         F.col("id").alias(id_col),
         held_out(F.col("id")).alias("held_out"),
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
-        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"),
+        "n_known",
+        F.lit(learned.train_tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
     )
