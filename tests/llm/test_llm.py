@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -763,6 +764,37 @@ def test_scores_by_plain_counts_of_the_models_classes(spark, monkeypatch):
         assert r["score"] == pytest.approx(want)
 
 
+def test_packed_numbers_come_back():
+    random = np.random.default_rng(2)
+    many = random.zipf(1.3, 50_000) % 200_000
+    for x in ([], [0], [255, 0, 3], [256, 1], [65_535], [65_536, 2], [(1 << 24) - 1], [1 << 24, 5], [1 << 32, 7], [1 << 62, 0], many):
+        x = np.array(x, np.int64)
+        assert np.array_equal(brown._unpacked(brown._packed(x), len(x)), x)
+    assert len(brown._packed(many)) < len(brown._narrow(many)) / 2
+
+
+def test_disk_of_tables_when_texts_are_encoded(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    folder, seen = Path(scratch_path(spark, "x")).parent, []
+    encode, old = brown.encode_texts, set(folder.glob("**/*"))
+
+    class Encoded(Exception):
+        pass
+
+    def watched(split, numbered, numbers):
+        seen.extend(p for p in split.inputFiles() if Path(p.removeprefix("file://")).exists())
+        encode(split, numbered, numbers)
+        raise Encoded
+
+    monkeypatch.setattr(brown, "encode_texts", watched)
+    with pytest.raises(Encoded):
+        brown.learn(docs, "doc_id", "text", ~brown.held_out(F.col("doc_id")))
+    # The words of the chunks have numbers by now and are gone.
+    assert {r["bucket"] for r in spark.read.parquet(*seen).select("bucket").collect()} == {brown._TEXTS}
+    stored = sum(p.stat().st_size for p in set(folder.glob("**/*")) - old if p.is_file())
+    assert stored < 2 * docs.select(F.sum(F.octet_length("text"))).first()[0]
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 

@@ -7,7 +7,8 @@ from several starts in parallel; the best is kept.
 
 Texts are split into words once. Each chunk of texts keeps its word numbers and sends its distinct words, with their
 counts, to buckets by the words' hashes; a bucket counts and numbers its words and sends the numbers back to the chunks.
-Bigrams and scores are taken from the chunks, whose arrays travel as one binary value each.
+Bigrams and scores are taken from the chunks, whose arrays travel as one compressed binary value each. The words of the
+chunks are a table of their own, which goes as soon as they are numbered.
 
 From the start on every word that came twice or more is moved by its own bigrams with all other words. The words beside
 the words of a bucket, with their counts, are one row of a stored table; in a turn, tasks find the best class of each
@@ -302,6 +303,7 @@ _CHUNK = "ids array<bigint>, sizes binary, learned binary, codes binary"
 _CHUNK_ARROW = [("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("learned", pa.binary()), ("codes", pa.binary())]
 # After the words of a chunk in the order of the buckets.
 _TEXTS = (1 << 31) - 1
+_KINDS = ("texts", "words")
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -314,6 +316,21 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{max(1, len(raw) // max(n, 1))}").astype(np.int64)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs, lowest bytes first, compressed; the width before them."""
+    width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    """``n`` numbers by ``_packed``."""
+    width = raw[0]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(raw[1:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<i8")
+
+
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
     """Rows of sorted batches as tuples, by their first column."""
     rows = (r for b in batches for r in zip(*(x.to_pylist() for x in b.columns), strict=True))
@@ -321,7 +338,10 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[t
 
 
 def split_texts(df: DataFrame, id_col: str, text: str, learned: Column, buckets: int) -> tuple[DataFrame, str]:
-    """Chunks of texts and, bucket by bucket, their distinct words with the counts in learned texts; and the folder."""
+    """Chunks of texts and, bucket by bucket, their distinct words with the counts in learned texts; and the folder.
+
+    Texts and words are in subfolders of their own, by ``kind``.
+    """
     schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *_CHUNK_ARROW, ("places", pa.binary()), ("words", pa.binary()), ("ns", pa.binary())])
     limit = CHUNK_BYTES
 
@@ -335,7 +355,7 @@ def split_texts(df: DataFrame, id_col: str, text: str, learned: Column, buckets:
                 learn = rows.column(2).slice(first, n).to_numpy(zero_copy_only=False).astype(bool)
                 sizes, none = np.bincount(of_row, minlength=n).astype(np.uint32), [None]
                 ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows.column(0).slice(first, n))
-                yield batch(schema, [chunk], [_TEXTS], ids, [sizes.tobytes()], [learn.tobytes()], [_narrow(codes)], none, none, none)
+                yield batch(schema, [chunk], [_TEXTS], ids, [sizes.tobytes()], [learn.tobytes()], [_packed(codes)], none, none, none)
                 uses, ns = np.bincount(codes, minlength=len(words)), np.bincount(codes[learn[of_row]], minlength=len(words))
                 of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
                 order = np.argsort(of, kind="stable")
@@ -348,14 +368,18 @@ def split_texts(df: DataFrame, id_col: str, text: str, learned: Column, buckets:
                     [chunk] * len(parts),
                     of[order[starts]],
                     *[pa.nulls(len(parts), t) for _, t in _CHUNK_ARROW],
-                    [x.astype(np.uint32).tobytes() for x in parts],
+                    # Ascending in a bucket, so their steps are small.
+                    [_narrow(np.diff(x, prepend=0)) for x in parts],
                     [END.join([words[i] for i in x.tolist()]) for x in parts],
                     [_narrow(ns[x]) for x in parts],
                 )
                 chunk += 1
 
     source = columns(df.withColumn("learned", learned), id=id_col, text=text, learned="learned").withColumn("id", F.col("id").cast("bigint"))
-    return stored_at(map_batches(source, task, f"chunk bigint, bucket int, {_CHUNK}, places binary, words binary, ns binary"), "split_texts")
+    kind, path = f"chunk bigint, bucket int, {_CHUNK}, places binary, words binary, ns binary", scratch_path(df.sparkSession, "split_texts")
+    told = map_batches(source, task, kind).withColumn("kind", F.when(F.col("bucket") == _TEXTS, _KINDS[0]).otherwise(_KINDS[1]))
+    told.write.partitionBy("kind").parquet(path)
+    return df.sparkSession.read.schema(f"{kind}, kind string").parquet(path), path
 
 
 def number_words(split: DataFrame, groups: int) -> tuple[DataFrame, str]:
@@ -369,9 +393,10 @@ def number_words(split: DataFrame, groups: int) -> tuple[DataFrame, str]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_key(batches):
             _, chunks, places, words, ns = zip(*rows, strict=True)
+            sizes = [x.count(END) + 1 for x in words]
             coded = pa.array(END.join(words).split(END), pa.binary()).dictionary_encode()
             distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            n = np.bincount(codes, weights=np.concatenate([_wide(x, len(y) // 4) for x, y in zip(ns, places, strict=True)]), minlength=len(distinct)).astype(np.int64)
+            n = np.bincount(codes, weights=np.concatenate([_wide(x, size) for x, size in zip(ns, sizes, strict=True)]), minlength=len(distinct)).astype(np.int64)
             order = np.argsort(n < 2, kind="stable")
             number = np.empty(len(order), np.int64)
             number[order] = np.arange(len(order))
@@ -381,15 +406,14 @@ def number_words(split: DataFrame, groups: int) -> tuple[DataFrame, str]:
                 schema, [-1], [bucket], [None], [None], [_narrow(n[order])], [group[order].astype(np.uint16).tobytes()], [END.join([distinct[i] for i in order.tolist()])],
                 [kept], [len(n)], [int((n > 0).sum())], [int(n.sum())],
             )
-            ends = np.cumsum([len(x) // 4 for x in places])
-            own = np.split(codes, ends[:-1])
+            own = np.split(codes, np.cumsum(sizes)[:-1])
             none = pa.nulls(len(chunks), pa.int64())
             yield batch(
-                schema, chunks, [bucket] * len(chunks), places, [number[x].astype(np.uint32).tobytes() for x in own], [_narrow(n[x]) for x in own],
+                schema, chunks, [bucket] * len(chunks), places, [_narrow(number[x]) for x in own], [_narrow(n[x]) for x in own],
                 [group[x].astype(np.uint16).tobytes() for x in own], pa.nulls(len(chunks), pa.binary()), none, none, none, none,
             )
 
-    listed = split.filter(F.col("bucket") < _TEXTS).select("bucket", "chunk", "places", "words", "ns").repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    listed = split.filter(F.col("kind") == _KINDS[1]).select("bucket", "chunk", "places", "words", "ns").repartition("bucket").sortWithinPartitions("bucket", "chunk")
     kind = "chunk bigint, bucket int, places binary, numbers binary, ns binary, groups binary, words binary, kept bigint, types bigint, seen bigint, tokens bigint"
     return stored_at(map_batches(listed, task, kind), "numbered_words")
 
@@ -464,19 +488,21 @@ def encode_texts(split: DataFrame, numbered: DataFrame, numbers: Numbers) -> tup
         for _, rows in _by_key(batches):
             met = list(rows)
             texts = met.pop()
-            places = np.frombuffer(b"".join(r[2] for r in met), np.uint32)
-            bucket = np.repeat(np.array([r[1] for r in met], np.int64), np.array([len(r[2]) // 4 for r in met], np.int64))
-            of = to_ids(bucket, np.frombuffer(b"".join(r[3] for r in met), np.uint32), np.frombuffer(b"".join(r[5] for r in met), np.uint16))
+            # A group takes two bytes.
+            sizes = [len(r[5]) // 2 for r in met]
+            bucket = np.repeat(np.array([r[1] for r in met], np.int64), np.array(sizes, np.int64))
+            none = np.zeros(0, np.int64)
+            places = np.concatenate([none, *[np.cumsum(_wide(r[2], n)) for r, n in zip(met, sizes, strict=True)]])
+            of_bucket, ns = (np.concatenate([none, *[_wide(r[k], n) for r, n in zip(met, sizes, strict=True)]]) for k in (3, 4))
             size = int(places.max()) + 1 if len(places) else 0
             told = []
-            counts = [_wide(r[4], len(r[2]) // 4) for r in met]
-            for x in (*of, np.concatenate(counts) if counts else 0):
+            for x in (*to_ids(bucket, of_bucket, np.frombuffer(b"".join(r[5] for r in met), np.uint16)), ns):
                 told.append(np.zeros(size, np.int64))
                 told[-1][places] = x
-            yield batch(schema, *[[x] for x in texts[6:]], *[[_narrow(x)] for x in told], [size])
+            yield batch(schema, *[[x] for x in texts[6:]], *[[_packed(x)] for x in told], [size])
 
     none = [F.lit(None).cast("binary").alias(x) for x in ("places", "numbers", "ns", "groups")]
-    texts = split.filter(F.col("bucket") == _TEXTS).select("chunk", "bucket", *none, "ids", "sizes", "learned", "codes")
+    texts = split.filter(F.col("kind") == _KINDS[0]).select("chunk", "bucket", *none, "ids", "sizes", "learned", "codes")
     no_text = [F.lit(None).cast(kind).alias(x) for x, kind in (("ids", "array<bigint>"), ("sizes", "binary"), ("learned", "binary"), ("codes", "binary"))]
     maps = numbered.filter("chunk >= 0").select("chunk", "bucket", "places", "numbers", "ns", "groups", *no_text)
     dealt = texts.unionAll(maps).repartition("chunk").sortWithinPartitions("chunk", "bucket")
@@ -486,7 +512,7 @@ def encode_texts(split: DataFrame, numbered: DataFrame, numbers: Numbers) -> tup
 def _learned_pairs(sizes: bytes, learned: bytes, codes: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of each learned word and of the one before it; the end of a text is ``n`` and stands before the first."""
     sizes_, learned_ = np.frombuffer(sizes, np.uint32).astype(np.int64), np.frombuffer(learned, bool)
-    some = _wide(codes, int(sizes_.sum()))[np.repeat(learned_, sizes_)]
+    some = _unpacked(codes, int(sizes_.sum()))[np.repeat(learned_, sizes_)]
     rows = int(learned_.sum())
     stream = _stream(np.arange(n), some, np.repeat(np.arange(rows), sizes_[learned_]), rows, n)
     return stream, np.concatenate(([n], stream[:-1]))
@@ -500,9 +526,9 @@ def unit_tables(encoded: DataFrame, numbers: Numbers) -> tuple[np.ndarray, np.nd
         total = np.zeros(2 * size * size, np.int64)
         for rows in batches:
             for sizes, learned, codes, words, starts, n in zip(*(x.to_pylist() for x in rows.columns), strict=True):
-                ids = np.append(_wide(words, n), end)
+                ids = np.append(_unpacked(words, n), end)
                 after, before = _learned_pairs(sizes, learned, codes, len(ids) - 1)
-                start = np.append(_wide(starts, n), end)
+                start = np.append(_unpacked(starts, n), end)
                 total[: size * size] += np.bincount(start[before] * size + start[after], minlength=size * size)
                 a, b = ids[before], ids[after]
                 both = (a < size) & (b < size)
@@ -565,7 +591,7 @@ def word_contexts(encoded: DataFrame, numbers: Numbers) -> tuple[DataFrame, str]
         held, size = [], 0
         for rows in batches:
             for sizes, learned, codes, words, n_words in zip(*(x.to_pylist() for x in rows.columns), strict=True):
-                ids = np.append(_wide(words, n_words), to_ids.end)
+                ids = np.append(_unpacked(words, n_words), to_ids.end)
                 bucket = np.searchsorted(to_ids.first, ids, side="right") - 1
                 number = (ids - to_ids.first[bucket]).astype(np.uint32)
                 bucket = bucket.astype(small)
@@ -892,6 +918,7 @@ def learn(df: DataFrame, id_col: str, text: str, learned: Column) -> tuple[Learn
     buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     split, split_path = split_texts(df, id_col, text, learned, buckets)
     numbered, numbered_path = number_words(split, SUFFIX_GROUPS)
+    drop_stored(spark, f"{split_path}/kind={_KINDS[1]}")
     vocabulary = stored(numbered.filter("chunk = -1"), "vocabulary")
     kept, types = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
     groups = [b""] * buckets
@@ -961,10 +988,10 @@ def _scores(encoded: DataFrame, learned: Learned) -> DataFrame:
             at = 0
             for sizes, codes, words, ns, n_words in zip(*(x.to_pylist() for x in rows.columns[1:]), strict=True):
                 size = np.frombuffer(sizes, np.uint32).astype(np.int64)
-                n, code = len(size), _wide(codes, int(size.sum()))
+                n, code = len(size), _unpacked(codes, int(size.sum()))
                 # The last number stands for the end token.
-                of = np.append(_wide(words, n_words), model.numbers.end)
-                count = np.append(_wide(ns, n_words), model.train_texts).astype(np.float64)
+                of = np.append(_unpacked(words, n_words), model.numbers.end)
+                count = np.append(_unpacked(ns, n_words), model.train_texts).astype(np.float64)
                 cls = model.classes[of].astype(np.int64)
                 base_of = np.log10((count + 0.5) / (model.train_tokens + 0.5 * (model.train_words + 1)))
                 emit_of = np.log10((count + _EMISSION) / model.emission_total[cls])
