@@ -47,7 +47,7 @@ LEAST_GAIN = 1e-3
 # All words move in so many turns, each against counts taken after the turn before.
 TURNS = 4
 # Rows scored at a time; counts below which logarithms are looked up, and below which one product adds them.
-_SCORE_ROWS, _SMALL, _LEAST = 256, 64, 3
+_SCORE_ROWS, _SMALL, _LEAST = 512, 64, 3
 # Texts of a chunk, and the fewest buckets of words.
 CHUNK_BYTES, BUCKETS = 8 << 20, 256
 # Neighbours a task holds before it sends them.
@@ -731,18 +731,21 @@ def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before:
         few = x < _SMALL
         # What small counts with the neighbour's class add is known for all classes.
         many, cells, x = cells[~few], cells[few], x[few]
-        r, k = np.divmod(cells, classes)
+        r = cells // classes
+        k = cells - r * classes
         at = x.astype(np.int64) * classes + k
         one = x < _LEAST
         least = np.zeros((len(now), (_LEAST - 1) * classes))
-        least[r[one], at[one] - classes] = 1
+        least.ravel()[r[one] * ((_LEAST - 1) * classes) + at[one] - classes] = 1
         gain += least @ known[classes : _LEAST * classes]
-        _add_rows(gain, r[~one], known[at[~one]])
+        more_ = ~one
+        _add_rows(gain, r[more_], known.take(at[more_], axis=0))
         # The class with itself is taken below, and the word's own class holds the word already.
-        gain.ravel()[cells] -= known[at, k]
+        of, at_row = known.ravel(), at * classes
+        gain.ravel()[cells] -= of.take(at_row + k)
         own = now[r]
         here, same = table[own, k], k == own
-        gain[rows, now] += np.bincount(r, weights=np.where(same, 0, _h(here) - _h(here - x) - known[at, own]), minlength=len(now))
+        gain[rows, now] += np.bincount(r, weights=np.where(same, 0, _h(here) - _h(here - x) - of.take(at_row + own)), minlength=len(now))
         # Beside its own class, a word's counts on the other side are in the counts too.
         lone, mid, place = r[same], k[same], at[same]
         i, to = np.nonzero(across[lone])
@@ -750,7 +753,8 @@ def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before:
         counts = table[to, mid[i]] - across[lone[i], to]
         gain[lone[i], to] += _h(counts + x[same][i]) - _h(counts) - known[place[i], to]
 
-        r, k = np.divmod(many, classes)
+        r = many // classes
+        k = many - r * classes
         x, lone, at = mine[r, k][:, None], np.arange(len(r)), now[r]
         # Counts of all classes with the neighbour's class, without this word.
         counts = table.T[k].copy()
@@ -768,10 +772,12 @@ def best_classes(pairs: np.ndarray, now: np.ndarray, after: np.ndarray, before:
         own = side[now]
         gain[rows, now] += _h(own + more) - 2 * _h(own) + _h(own - more)
     own = after + before + twin[:, None]
-    r, k = np.divmod(np.flatnonzero(own), classes)
-    x, both = own[r, k], pairs[k, k]
+    cells = np.flatnonzero(own)
+    r = cells // classes
+    k = cells - r * classes
+    x, both = own.ravel()[cells], np.diagonal(pairs)[k]
     both = np.where(k == now[r], both - x, both)
-    gain[r, k] += _h(both + x) - _h(both)
+    gain.ravel()[cells] += _h(both + x) - _h(both)
     gain = gain.round(6)
     # Words that move together would all take the same empty class: units, which move in turn, open these.
     gain[:, pairs.sum(0) == 0] = -np.inf
