@@ -2,12 +2,13 @@
 
 import gc
 import os
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trendspark.operators import neighbors
+from trendspark.operators import neighbors, resample
 from trendspark.session import durable
 
 
@@ -19,11 +20,15 @@ def bytes_on_disk(spark):
 
 
 def written(spark, run):
-    gc.collect()
-    spark._jvm.System.gc()
-    before = bytes_on_disk(spark)
-    rows = run().collect()
-    return bytes_on_disk(spark) - before, rows
+    before = None
+    for _ in range(10):  # files of earlier queries go a little later
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+        if before == (before := bytes_on_disk(spark)):
+            break
+    run().collect()
+    return bytes_on_disk(spark) - before
 
 
 def points(spark, n, dims=16, seed=2):
@@ -47,14 +52,14 @@ def nearest(df, k, **options):
     return out
 
 
-def grows_with_the_rows(spark, run, times=12, small=400, large=1600):
-    """Before, each vector was written for every cell and block that it met: four times the rows took up to sixteen times the room."""
-    less, more = (written(spark, lambda df=durable(points(spark, n), "points"): run(df))[0] for n in (small, large))
-    assert more < times * large * 16 * 8 and more < 6 * max(less, small * 16 * 8)
+def written_once(spark, run, times=8, n=1600):
+    """At most ``times`` the room of the vectors; before, each was written for every cell and block that it met."""
+    df = durable(points(spark, n), "points")
+    assert written(spark, lambda: run(df)) < times * n * 16 * 8
 
 
 def test_cells_do_not_multiply_what_is_written(spark):
-    grows_with_the_rows(spark, lambda df: neighbors.knn_join(df, df, "v", 5, exclude_self=True, block_rows=16))
+    written_once(spark, lambda df: neighbors.knn_join(df, df, "v", 5, exclude_self=True, block_rows=16))
 
 
 @pytest.mark.parametrize("block", [7, 64, 4096])
@@ -100,3 +105,15 @@ def test_queries_without_a_base_and_a_base_without_queries(spark):
     assert neighbors.knn_join(df.limit(0), df, "v", 2).collect() == []
     only_nan = df.withColumn("v", F.array(F.lit(float("nan"))))
     assert neighbors.knn_join(only_nan, only_nan, "v", 2).collect() == []
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Searches that name no block size get 64 rows instead of 4,096."""
+    old = neighbors.knn_join.__defaults__
+    monkeypatch.setattr(neighbors.knn_join, "__defaults__", tuple(64 if x == neighbors.BLOCK_ROWS else x for x in old))
+    assert neighbors.knn_join.__defaults__ != old
+
+
+def test_grown_classes_are_written_once(spark, small_blocks):
+    written_once(spark, lambda df: resample.smote_tomek(df, "v", "y", "id").select("id"), times=16)
