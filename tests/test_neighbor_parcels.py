@@ -117,3 +117,7 @@ def small_blocks(monkeypatch):
 
 def test_grown_classes_are_written_once(spark, small_blocks):
     written_once(spark, lambda df: resample.smote_tomek(df, "v", "y", "id").select("id"), times=16)
+
+
+def test_neighbours_by_default_are_written_once(spark, small_blocks):
+    written_once(spark, lambda df: neighbors.knn_join(df, df, "v", 5, exclude_self=True))
