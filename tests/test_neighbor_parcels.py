@@ -121,3 +121,7 @@ def test_grown_classes_are_written_once(spark, small_blocks):
 
 def test_neighbours_by_default_are_written_once(spark, small_blocks):
     written_once(spark, lambda df: neighbors.knn_join(df, df, "v", 5, exclude_self=True))
+
+
+def test_pairs_are_written_once(spark, small_blocks):
+    written_once(spark, lambda df: resample.tomek_pairs(df, "v", "y", "id"))
