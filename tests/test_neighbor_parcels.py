@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trendspark.llm.arrow import union_all
 from trendspark.operators import neighbors, resample
 from trendspark.session import durable
 
@@ -125,3 +126,10 @@ def test_neighbours_by_default_are_written_once(spark, small_blocks):
 
 def test_pairs_are_written_once(spark, small_blocks):
     written_once(spark, lambda df: resample.tomek_pairs(df, "v", "y", "id"))
+
+
+def test_modes_are_written_once(spark, small_blocks):
+    def modes(df):
+        return union_all([resample.resample(df, mode, "v", "y", "id").groupBy("y").count() for mode in ("over", "under", "smote", "tomek", "balanced")])
+
+    written_once(spark, modes, times=12)
