@@ -133,3 +133,7 @@ def test_modes_are_written_once(spark, small_blocks):
         return union_all([resample.resample(df, mode, "v", "y", "id").groupBy("y").count() for mode in ("over", "under", "smote", "tomek", "balanced")])
 
     written_once(spark, modes, times=12)
+
+
+def test_links_are_written_once(spark, small_blocks):
+    written_once(spark, lambda df: resample.tomek_links(df, "v", "y", "id").select("id"))

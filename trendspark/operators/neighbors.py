@@ -29,7 +29,7 @@ Search = Callable[..., DataFrame]
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 256
 # Vectors of a parcel or chunk, as doubles, and of the base rows that one task packs.
-PARCEL_BYTES = 8 << 20
+PARCEL_BYTES = 4 << 20
 PACK_BYTES = 16 << 20
 # Fewer queries than this do not need another task.
 LEAST_CHUNK = 512
@@ -163,6 +163,14 @@ class _Cells:
         return 1e-6 * (1.0 + np.abs(d) + math.sqrt((self.pivots**2).sum(1).max(initial=0.0)))
 
 
+def _true_places(flags: np.ndarray, count: int) -> np.ndarray:
+    """Places of the true among the first ``count`` flags, looking at eight at once; flags beyond them are lost."""
+    whole = -(-count // 8) * 8
+    flags[count:whole] = False
+    places = (np.flatnonzero(flags[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return places[flags[places]]
+
+
 class _Chunk:
     """Queries of one task, and the k best base rows that each has met."""
 
@@ -238,7 +246,7 @@ class _Chunk:
             np.matmul(self.single[queries], single.T, out=near)
             near[without] = -np.inf
             np.greater_equal(near, np.maximum(floor - slack, -1e37).astype(np.float32)[:, None], out=hit)
-            row, col = np.divmod(np.flatnonzero(hit), len(half))
+            row, col = np.divmod(_true_places(self.room[1], pairs), len(half))
             many = np.bincount(row, minlength=len(queries)) > 2 * self.k + 64
             if not many.any():
                 return row, col
